@@ -33,8 +33,7 @@ def feed_matches(name: Column | str, feed: str) -> Column:
 
 def name_date(name: Column | str) -> Column:
     """First 8 consecutive digits of the name as int; null when there are none."""
-    digits = F.regexp_extract(_col(name), NAME_DATE_PATTERN, 1)
-    return F.when(digits != "", digits.cast("int"))
+    return F.regexp_extract(_col(name), NAME_DATE_PATTERN, 1).try_cast("int")
 
 
 def select_names(name: Column | str, feed: str, since: int = 0) -> Column:
@@ -65,6 +64,7 @@ def relative_path(path: Column | str, roots: Sequence[str]) -> Column:
     p = _col(path)
     parts = []
     for root in roots:
-        quoted = "\\Q" + _normalise_root(root) + "\\E"
-        parts.append(F.nullif(F.regexp_extract(p, "^.*?" + quoted + "/(.*)$", 1), F.lit("")))
+        marker = _normalise_root(root) + "/"
+        pos = F.instr(p, marker)  # first occurrence, 1-based; 0 when absent
+        parts.append(F.when(pos > 0, p.substr(pos + F.lit(len(marker)), F.lit(1 << 30))))
     return F.coalesce(*parts, p)

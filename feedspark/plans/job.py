@@ -55,6 +55,7 @@ def run_feed(
     mode: str = "FAILFAST",
     quarantine: str | None = None,
     only_new: bool = False,
+    stage: str = "cache",
 ) -> None:
     """Load every landing file of ``feed`` dated after ``since`` into ``catalog``.
 
@@ -62,7 +63,7 @@ def run_feed(
     """
     spec = feed_spec(feed)
     flat = flat_feed(spark, spec.name, landing, since=since, multi_line=multi_line, mode=mode, quarantine=quarantine)
-    LOADERS[spec.name](flat, catalog, only_new=only_new)
+    LOADERS[spec.name](flat, catalog, only_new=only_new, stage=stage)
 
 
 def _catalog(spark: SparkSession, args):
@@ -96,6 +97,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
     p.add_argument("--quarantine", help="where PERMISSIVE mode keeps bad documents")
     p.add_argument("--only-new", action="store_true", help="append only keys not yet in the target")
+    p.add_argument("--stage", default="cache", choices=["cache", "table"], help="hold the flat feed in cache or as a parquet table")
     args = p.parse_args(argv)
     try:
         feed_spec(args.feed)
@@ -113,6 +115,7 @@ def main(argv: list[str] | None = None) -> int:
         mode=args.mode,
         quarantine=args.quarantine,
         only_new=args.only_new,
+        stage=args.stage,
     )
     return 0
 

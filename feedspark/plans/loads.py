@@ -16,6 +16,7 @@ from ..operators.dedupe import first_seen
 from ..operators.lookup import require_parents, resolve
 from ..schemas import TARGET_COLUMNS
 from ..sinks.tables import new_rows
+from ..session import scratch_path
 from ..sources.lookups import client_lookup, network_lookup, tenant_lookup
 
 # business key of every target table (first-seen and re-run guard)
@@ -33,10 +34,38 @@ def _tiebreak(table: str, key: list[str]) -> list[str]:
     return [c for c in TARGET_COLUMNS[table] if c not in key and c != "id"]
 
 
+# flat-feed columns each load reads (the rest is never held)
+NEEDED = {
+    "advertiser": ["tenant", "extract_datetime", "advertiser_id", "advertiser_name", "brand_id", "brand_name"],
+    "destination": ["tenant", "extract_datetime", "id", "name", "media", "type", "nielsen_code"],
+    "estimate": ["extract_datetime", "id", "estimate_name", "start_date", "end_date", "media", "advertiser_id"],
+    "daypart": ["tenant", "extract_datetime", "id", "daypart_name", "media", "advertiser_id"],
+    "program": [
+        "tenant", "extract_datetime", "program_id", "program_name", "program_network_id",
+        "program_start_date", "program_end_date", "program_media",
+    ],
+}
+
+
 @contextmanager
-def persisted(df: DataFrame):
-    """Keep ``df`` between several actions (the check, then the writes)."""
-    df.persist()
+def persisted(df: DataFrame, feed: str | None = None, stage: str = "cache"):
+    """Hold the columns a load needs between its actions (check, then writes),
+    so the JSON is parsed once.
+
+    ``stage="cache"`` persists in executor memory/disk (recomputed from the
+    files if an executor is lost); ``stage="table"`` writes a parquet table
+    under the shared checkpoint folder and reads it back, which survives
+    executor loss without recomputation and lets each later read prune
+    columns - the choice for very large feeds.
+    """
+    if feed:
+        df = df.select(*NEEDED[feed])
+    if stage == "table":
+        path = scratch_path(df.sparkSession, f"stage-{feed or 'flat'}")
+        df.write.parquet(path)
+        yield df.sparkSession.read.parquet(path)
+        return
+    df = df.persist()
     try:
         yield df
     finally:
@@ -82,9 +111,9 @@ def product_rows(joined: DataFrame, client: DataFrame, *, tenant_scoped: bool =
     return first_seen(rows, key, tiebreak=_tiebreak("product", key)).select("mo_id", "name", "client_id")
 
 
-def load_advertiser(flat: DataFrame, catalog, *, only_new: bool = False, tenant_scoped: bool = False) -> None:
+def load_advertiser(flat: DataFrame, catalog, *, only_new: bool = False, tenant_scoped: bool = False, stage: str = "cache") -> None:
     """Client first, then product (which reads the client ids back)."""
-    with persisted(flat):
+    with persisted(flat, "advertiser", stage) as flat:
         joined = with_tenant(flat, catalog.read("tenant"))
         clients = client_rows(joined)
         if only_new:
@@ -112,8 +141,8 @@ def network_rows(joined: DataFrame) -> DataFrame:
     return first.where(F.col("network_type").isNotNull()).select(*TARGET_COLUMNS["network"][1:])
 
 
-def load_destination(flat: DataFrame, catalog, *, only_new: bool = False) -> None:
-    with persisted(flat):
+def load_destination(flat: DataFrame, catalog, *, only_new: bool = False, stage: str = "cache") -> None:
+    with persisted(flat, "destination", stage) as flat:
         joined = with_tenant(flat, catalog.read("tenant"))
         rows = network_rows(joined)
         if only_new:
@@ -134,10 +163,10 @@ def with_client(flat: DataFrame, client: DataFrame, *, miss: str, what: str = "C
     return resolve(flat, lk, "advertiser_id", "client_mo_id", miss=miss, what=what)
 
 
-def load_estimate(flat: DataFrame, catalog, *, only_new: bool = False) -> None:
-    with persisted(flat):
+def load_estimate(flat: DataFrame, catalog, *, only_new: bool = False, stage: str = "cache") -> None:
+    with persisted(flat, "estimate", stage) as flat:
         # missing clients are listed by advertiser id
-        joined = with_client(flat.drop("tenant_id"), catalog.read("client"), miss="raise")
+        joined = with_client(flat, catalog.read("client"), miss="raise")
         rows = estimate_rows(joined)
         if only_new:
             rows = new_rows(rows, catalog.read("estimate"), KEYS["estimate"])
@@ -152,9 +181,9 @@ def daypart_rows(joined: DataFrame) -> DataFrame:
     return first_seen(rows, key, tiebreak=_tiebreak("daypart", key)).select(*TARGET_COLUMNS["daypart"])
 
 
-def load_daypart(flat: DataFrame, catalog, *, only_new: bool = False) -> None:
+def load_daypart(flat: DataFrame, catalog, *, only_new: bool = False, stage: str = "cache") -> None:
     """Tenants must exist (checked only); the client is optional and gives the tenant id."""
-    with persisted(flat):
+    with persisted(flat, "daypart", stage) as flat:
         require_parents(flat, tenant_lookup(catalog.read("tenant")), "tenant", "tenant_mo_id", what="Tenants")
         joined = with_client(flat, catalog.read("client"), miss="keep")
         rows = daypart_rows(joined)
@@ -183,9 +212,9 @@ def with_network(joined: DataFrame, network: DataFrame, *, miss: str = "drop") -
     return resolve(joined, network_lookup(network), "program_network_id", "network_mo_id", miss=miss, id_col="network_id", what="Networks")
 
 
-def load_program(flat: DataFrame, catalog, *, only_new: bool = False) -> None:
+def load_program(flat: DataFrame, catalog, *, only_new: bool = False, stage: str = "cache") -> None:
     """Tenants must exist; programs of unknown networks are left out (before the dedupe)."""
-    with persisted(flat):
+    with persisted(flat, "program", stage) as flat:
         joined = with_network(with_tenant(flat, catalog.read("tenant")), catalog.read("network"))
         rows = program_rows(joined)
         if only_new:
