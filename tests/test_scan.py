@@ -126,3 +126,23 @@ def test_json_lines_many_documents_per_file(spark, tmp_path):
     write_doc(tmp_path, ADV_NAME, lines, raw=True)
     flat = flatten(scan_feed(spark, str(tmp_path), "advertiser"), "advertiser")
     assert flat.count() == 10
+
+
+def test_bad_date_fails_by_default(spark, tmp_path):
+    doc = envelope(feed="PROGRAM", programs=[{"id": "P", "name": "n", "networkId": "N", "startDate": "05/01/2018", "endDate": "2018-06-01", "media": "TV"}])
+    write_doc(tmp_path, "DS-OO-NATIONAL-PROGRAMFEED-20180102-100000", doc)
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        flatten(scan_feed(spark, str(tmp_path), "program", multi_line=True), "program").collect()
+
+
+def test_empty_and_null_outer_arrays(spark, tmp_path):
+    write_doc(tmp_path, "DS-OO-NATIONAL-ADVERTISERFEED-20180102-100000", envelope(advertisers=[]))
+    write_doc(tmp_path, "DS-OO-NATIONAL-ADVERTISERFEED-20180103-100000", envelope(advertisers=None))
+    write_doc(tmp_path, "DS-OO-NATIONAL-ADVERTISERFEED-20180104-100000", envelope())
+    assert flatten(scan_feed(spark, str(tmp_path), "advertiser", multi_line=True), "advertiser").count() == 0
+
+
+def test_null_extract_datetime_is_kept_as_null(spark, tmp_path):
+    write_doc(tmp_path, ADV_NAME, adv_doc(extractdatetime=None))
+    rows = flatten(scan_feed(spark, str(tmp_path), "advertiser", multi_line=True), "advertiser").collect()
+    assert len(rows) == 2 and all(r.extract_datetime is None for r in rows)
