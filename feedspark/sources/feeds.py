@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -39,6 +40,19 @@ def _as_list(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
+def name_glob(word: str) -> str:
+    """Case-insensitive glob for names containing ``word``: ``*[aA][dD]...*``."""
+    parts = []
+    for ch in word:
+        if ch.isalpha():
+            parts.append(f"[{ch.lower()}{ch.upper()}]")
+        elif ch in "*?[]{}\\":
+            parts.append("\\" + ch)
+        else:
+            parts.append(ch)
+    return "*" + "".join(parts) + "*"
+
+
 def scan_feed(
     spark: SparkSession,
     landing: str | Sequence[str],
@@ -48,9 +62,15 @@ def scan_feed(
     multi_line: bool = False,
     mode: str = "FAILFAST",
     select: bool = True,
+    top_level: bool = True,
 ) -> DataFrame:
     """Documents of one feed under one or more landing roots.
 
+    A feed file is a top-level entry of a landing root whose name holds the
+    feed word (a file, or a folder of part files); only those entries are
+    listed. ``top_level=False`` lists everything below the roots and selects
+    on the whole relative path instead.
+
     ``multi_line=True`` reads one (possibly pretty-printed) document per file;
     such a file is one task. The default reads one document per line, which
     Spark splits across tasks. ``mode="PERMISSIVE"`` keeps bad documents in
@@ -63,7 +83,18 @@ def scan_feed(
     schema = spec.schema
     if mode.upper() == "PERMISSIVE":
         schema = StructType(schema.fields + [StructField(CORRUPT_COL, StringType(), True)])
-    docs = _reader(spark, schema, multi_line, mode).json(roots)
+    reader = _reader(spark, schema, multi_line, mode)
+    docs = None
+    if select and top_level:
+        # list only the landing entries named after the feed (like a listing of
+        # the landing folder), not the whole history of every feed
+        try:
+            docs = reader.json([f"{r.rstrip('/')}/{name_glob(spec.word)}" for r in roots])
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+    if docs is None:
+        docs = reader.json(roots)
     docs = docs.withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), roots))
     if select:
         docs = docs.where(select_names(F.col(FILE_COL), spec.word, since))
