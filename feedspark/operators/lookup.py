@@ -22,6 +22,13 @@ from pyspark.sql import functions as F
 
 MISS_POLICIES = ("raise", "keep", "drop")
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# session setting that overrides the row bound (e.g. raise it on big executors)
+BROADCAST_ROWS_CONF = "feedspark.lookup.broadcastMaxRows"
+
+
+def broadcast_bound(df: DataFrame) -> int:
+    """Row bound for broadcasting a lookup: the session setting, else 1,000,000."""
+    return int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
 class MissingParentError(RuntimeError):
@@ -36,12 +43,17 @@ class MissingParentError(RuntimeError):
         super().__init__(f"{what} missing: {listed}{suffix}")
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows.
+def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows (default: :func:`broadcast_bound`).
 
-    Reads at most ``max_rows + 1`` rows (a limit, not a full count), so the
-    check stays cheap even when the answer is no.
+    Reads at most ``max_rows + 1`` rows per task (a limit, not a full
+    count; pushed to the database for JDBC), so the check stays cheap even
+    when the answer is no.
     """
+    if max_rows is None:
+        max_rows = broadcast_bound(dim)
+    if max_rows <= 0:
+        return False
     return dim.limit(max_rows + 1).count() <= max_rows
 
 
@@ -64,7 +76,7 @@ def missing_parents(
     right_on: str | Sequence[str],
     *,
     broadcast: bool | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Distinct feed keys with no parent in ``dim`` (a null key counts as missing).
 
@@ -91,7 +103,7 @@ def require_parents(
     what: str = "Parents",
     show: int = 50,
     broadcast: bool | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> None:
     """Raise :class:`MissingParentError` when any feed key has no parent.
 
@@ -114,7 +126,7 @@ def resolve(
     id_col: str | None = None,
     what: str = "Parents",
     broadcast: bool | None = None,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Left outer lookup of ``feed`` in ``dim`` with a miss policy.
 

@@ -86,6 +86,14 @@ UNION ALL
 SELECT tenant, extract_datetime, CAST(c_custkey AS VARCHAR) AS advertiser_id, CAST(NULL AS VARCHAR) AS brand_id FROM adv_rows
 GROUP BY tenant, extract_datetime, chunk, c_custkey, c_name, c_mktsegment
 HAVING count(*) FILTER (WHERE o_orderpriority <> '5-LOW') = 0""",
+    "feed_since_cutoff": f"""WITH {ADV_ROWS}, {ADV_FLAT}
+SELECT filename, extract_datetime, advertiser_id, brand_id FROM adv_flat
+WHERE CAST(strftime(extract_datetime, '%Y%m%d') AS INTEGER) > 19980101""",
+    "scan_permissive": """SELECT n.n_name AS tenant, l.l_shipdate AS extract_datetime, CAST(l.l_partkey AS VARCHAR) AS program_id,
+       CAST(l.l_suppkey AS VARCHAR) AS program_network_id, CAST(l.l_shipdate AS DATE) AS program_start_date
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN part pt ON l.l_partkey = pt.p_partkey
+WHERE floor(l.l_orderkey / 256) % 10 <> 3""",
     "estimate_versions": f"""WITH {EST_FLAT}
 SELECT tenant, extract_datetime, id, estimate_name, start_date, end_date, media, advertiser_id, brand_id, brand_list FROM est""",
     "union_all_sources": """SELECT o_orderkey, o_custkey, o_orderdate, CAST(NULL AS VARCHAR) AS o_orderpriority FROM orders
@@ -164,4 +172,5 @@ WHERE NOT EXISTS (SELECT 1 FROM b1 WHERE b1.mo_id IS NOT DISTINCT FROM b2.mo_id
     "overwrite_partitions": """SELECT CAST(s_suppkey AS VARCHAR) AS mo_id, CASE WHEN s_nationkey = 0 THEN upper(s_name) ELSE s_name END AS name,
        CAST(s_nationkey AS BIGINT) AS tenant_id FROM supplier""",
     "rerun_only_new": NETWORK,
+    "stream_load_network": NETWORK,
 }

@@ -21,7 +21,7 @@ from ..operators.lookup import missing_parents, resolve
 from ..operators.union import union_sources
 from ..session import scratch_path
 from ..sinks.tables import append_table, new_rows, overwrite_partitions
-from ..sources.feeds import parse_feed, scan_feed
+from ..sources.feeds import parse_feed, scan_feed, split_corrupt
 from ..sources.lookups import as_lookup, client_lookup, tenant_lookup
 from . import landing as L
 from . import loads
@@ -124,6 +124,32 @@ def q_union_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_sources([a, b])
 
 
+def q_feed_since_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advertiser files dated after 1998-01-01 only (pruned by name before reading)."""
+    docs = scan_feed(spark, landing_root(spark, sf_dir), "advertiser", since=19980101)
+    flat = flatten(docs, "advertiser")
+    return _ntz(flat.select("filename", "extract_datetime", "advertiser_id", "brand_id"), "extract_datetime")
+
+
+# fixed value of the derived broken documents: chunks of this residue are cut short
+BROKEN_CHUNK_RESIDUE = 3
+
+
+def q_scan_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Program documents where every tenth chunk is cut short: PERMISSIVE scan,
+    broken documents go to quarantine, the rest is flattened."""
+    root = scratch_path(spark, "landing-broken")
+    docs = L.program_documents(L.read_tables(spark, sf_dir))
+    broken = (F.col("chunk") % 10) == BROKEN_CHUNK_RESIDUE
+    text = F.when(broken, F.expr("substring(value, 1, length(value) - 7)")).otherwise(F.col("value"))
+    docs.select("feed_file", text.alias("value")).write.partitionBy("feed_file").text(root)
+    scanned = scan_feed(spark, root, "program", mode="PERMISSIVE").persist()
+    good, bad = split_corrupt(scanned)
+    append_table(bad, f"{root}-quarantine")
+    flat = flatten(good, "program")
+    return _ntz(flat.select("tenant", "extract_datetime", "program_id", "program_network_id", "program_start_date"), "extract_datetime")
+
+
 # --- lookups ----------------------------------------------------------------------
 
 def _customer_tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,11 +346,24 @@ def q_rerun_only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.read("network")
 
 
+def q_stream_load_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The destination feed loaded by the incremental (file stream) ingest."""
+    from ..streaming.ingest import start_feed_stream
+
+    cat = ParquetCatalog(spark, scratch_path(spark, "catalog-stream"))
+    cat.seed("tenant", L.seed_lookups(spark, sf_dir)["tenant"])
+    q = start_feed_stream(spark, landing_root(spark, sf_dir), "destination", cat, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return cat.read("network")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_file_select": q_feed_file_select,
     "json_scan_flatten": q_json_scan_flatten,
     "flatten_drops_empty": q_flatten_drops_empty,
     "flatten_keeps_empty": q_flatten_keeps_empty,
+    "feed_since_cutoff": q_feed_since_cutoff,
+    "scan_permissive": q_scan_permissive,
     "estimate_versions": q_estimate_versions,
     "union_all_sources": q_union_all_sources,
     "rename_drop_project": q_rename_drop_project,
@@ -348,4 +387,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_only_new": q_append_only_new,
     "overwrite_partitions": q_overwrite_partitions,
     "rerun_only_new": q_rerun_only_new,
+    "stream_load_network": q_stream_load_network,
 }
