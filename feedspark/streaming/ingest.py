@@ -15,7 +15,7 @@ from ..operators.flatten import flatten
 from ..plans.loads import LOADERS
 from ..plans.specs import feed_spec
 from ..schemas import DATE_FORMAT, TIMESTAMP_FORMAT
-from ..sources.feeds import FILE_COL
+from ..sources.feeds import FILE_COL, name_glob
 
 
 def feed_stream(spark: SparkSession, landing: str, feed: str, *, since: int = 0, multi_line: bool = False, max_files: int | None = None) -> DataFrame:
@@ -31,7 +31,8 @@ def feed_stream(spark: SparkSession, landing: str, feed: str, *, since: int = 0,
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", int(max_files))
-    docs = reader.json(landing)
+    # list only the landing entries named after the feed, as the batch scan does
+    docs = reader.json(f"{landing.rstrip('/')}/{name_glob(spec.word)}")
     docs = docs.withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), [landing]))
     return docs.where(select_names(F.col(FILE_COL), spec.word, since))
 

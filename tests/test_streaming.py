@@ -23,3 +23,13 @@ def test_available_now_loads_only_new_files(spark, tmp_path):
     q.awaitTermination(120)
     rows = sorted((r.mo_id, r.id) for r in cat.read("network").collect())
     assert rows == [("N1", 1), ("N2", 2), ("N3", 3)]
+
+
+def test_stream_with_no_feed_files_loads_nothing(spark, tmp_path):
+    land = tmp_path / "landing"
+    write_doc(land, "DS-OO-NATIONAL-PROGRAMFEED-20180102-100000", envelope(feed="PROGRAM", programs=[]))
+    cat = ParquetCatalog(spark, str(tmp_path / "tables"))
+    cat.seed("tenant", spark.createDataFrame([(7, "T1")], "id long, mo_id string"))
+    q = start_feed_stream(spark, str(land), "destination", cat, str(tmp_path / "ckpt"), multi_line=True)
+    q.awaitTermination(120)
+    assert cat.read("network").count() == 0
