@@ -1,9 +1,9 @@
 """The load pipelines: flat feed -> lookups -> first-seen -> target table.
 
 ``*_rows`` functions are lazy (DataFrame in, DataFrame out). ``load_*``
-functions run the parent checks (before any write), append, and return the
-rows they appended. Tie-breakers after ``extract_datetime`` are the
-remaining output columns, so reruns give the same rows.
+functions run the parent checks (before any write) and append to the
+catalog. Tie-breakers after ``extract_datetime`` are the remaining output
+columns, so reruns give the same rows.
 """
 from __future__ import annotations
 
@@ -19,7 +19,9 @@ from ..sinks.tables import new_rows
 from ..session import scratch_path
 from ..sources.lookups import client_lookup, network_lookup, tenant_lookup
 
-# business key of every target table (first-seen and re-run guard)
+# business key of every target table (first-seen and re-run guard); product's
+# tenant comes from its client and is not stored, so its guard uses
+# (mo_id, client_id)
 KEYS = {
     "client": ["tenant_id", "mo_id"],
     "product": ["tenant_id", "mo_id"],
