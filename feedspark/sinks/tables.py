@@ -69,5 +69,7 @@ def new_rows(df: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFram
     client) matches an earlier row with the same nulls, so a re-run of the
     same files appends nothing.
     """
-    have = existing.select(*key).distinct()
+    # no distinct on ``existing``: an anti join ignores repeats on its right
+    # side, and a distinct would shuffle the whole target table once more
+    have = existing.select(*key)
     return df.join(have, _null_safe(df, have, key), "left_anti")

@@ -152,3 +152,24 @@ def test_unknown_feed(spark, landing, catalog):
     with pytest.raises(ValueError):
         run_feed(spark, "nosuchfeed", landing, catalog)
     assert main(["--feed", "nosuchfeed", "--landing", landing]) == 2
+
+
+@pytest.mark.parametrize("partitions,bound", [(3, "0"), (17, "1000000")])
+def test_same_result_for_any_partitioning_and_join_path(spark, landing, tmp_path, partitions, bound):
+    """Order independence: shuffle width and broadcast or shuffled lookups give the same tables."""
+    old_p = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("feedspark.lookup.broadcastMaxRows", bound)
+    try:
+        cat = ParquetCatalog(spark, str(tmp_path / f"t{partitions}"))
+        cat.seed("tenant", spark.createDataFrame([(7, "T1")], "id long, mo_id string"))
+        for feed in ("advertiser", "destination", "daypart", "program"):
+            _run(spark, feed, landing, cat)
+        got = {t: sorted(map(tuple, cat.read(t).collect()), key=str) for t in ("client", "product", "network", "daypart", "program")}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old_p)
+        spark.conf.unset("feedspark.lookup.broadcastMaxRows")
+    assert got["client"] == [(1, "A", "Acme", 7), (2, "B", "Bee", 7)]
+    assert got["product"] == [("b1", "x", 1), ("b2", "y", 2)]
+    assert [r[1] for r in got["network"]] == ["N2", "N3"]
+    assert len(got["daypart"]) == 3 and len(got["program"]) == 1
