@@ -10,8 +10,8 @@ rows whose parent is missing is a policy:
 
 The dimension is broadcast only after its row count is checked against a
 bound; above it the join shuffles both sides, and rows with a null key -
-which can never match and may be a large share of a feed - are routed
-around the join instead of piling into one shuffle partition.
+which can never match and may be a large share of a feed - are salted over
+the shuffle partitions instead of piling into one.
 """
 from __future__ import annotations
 
@@ -69,6 +69,34 @@ def _condition(left: DataFrame, right: DataFrame, left_on: list[str], right_on:
     return cond
 
 
+_SALT_L = "_lookup_salt"
+_SALT_R = "_lookup_salt_dim"
+
+
+def _salted_left_join(feed: DataFrame, dim: DataFrame, lk: list[str], rk: list[str]) -> DataFrame:
+    """Shuffled left outer join in which null-key rows are spread out.
+
+    A null key never matches, but hashed as is every such row lands in one
+    shuffle partition (one task may get a third of the feed). Each feed row
+    gets a second join key: 0 when its key is complete, else a deterministic
+    hash bucket of the row; every dimension row gets 0. Matches are unchanged
+    and null-key rows spread over the shuffle partitions of one join.
+    """
+    buckets = int(feed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    complete = None
+    for k in lk:
+        c = F.col(k).isNotNull()
+        complete = c if complete is None else complete & c
+    left = feed.withColumn(
+        _SALT_L,
+        F.when(complete, F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in feed.columns]), F.lit(max(1, buckets)).cast("long"))),
+    )
+    # not a literal, so the optimizer keeps it as a join key
+    right = dim.withColumn(_SALT_R, F.when(F.col(rk[0]).isNotNull(), F.lit(0).cast("long")))
+    cond = _condition(left, right, lk + [_SALT_L], rk + [_SALT_R])
+    return left.join(right, cond, "left_outer").drop(_SALT_L, _SALT_R)
+
+
 def missing_parents(
     feed: DataFrame,
     dim: DataFrame,
@@ -144,24 +172,11 @@ def resolve(
         broadcast = fits_broadcast(dim, max_broadcast_rows)
     if miss == "raise":
         require_parents(feed, dim, lk, rk, what=what, broadcast=broadcast)
-    right = F.broadcast(dim) if broadcast else dim
     if broadcast:
+        right = F.broadcast(dim)
         joined = feed.join(right, _condition(feed, right, lk, rk), "left_outer")
     else:
-        # Null keys never match: keep them out of the shuffle (one hot
-        # partition otherwise) and add them back with null lookup columns.
-        has_key = None
-        for k in lk:
-            c = F.col(k).isNotNull()
-            has_key = c if has_key is None else has_key & c
-        keyed = feed.where(has_key)
-        joined = keyed.join(right, _condition(keyed, right, lk, rk), "left_outer")
-        unkeyed = feed.where(~has_key)
-        for f in dim.schema.fields:
-            if f.name not in joined.columns or f.name in feed.columns:
-                continue
-            unkeyed = unkeyed.withColumn(f.name, F.lit(None).cast(f.dataType))
-        joined = joined.unionByName(unkeyed.select(*joined.columns))
+        joined = _salted_left_join(feed, dim, lk, rk)
     if miss == "drop":
         check = id_col or next(c for c in dim.columns if c not in rk)
         joined = joined.where(F.col(check).isNotNull())

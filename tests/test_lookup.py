@@ -64,7 +64,9 @@ def test_broadcast_only_below_bound(frames):
     small = resolve(feed, dim, "tenant", "tenant_mo_id", max_broadcast_rows=10)
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString() or "Broadcast" in _plan(small)
     big = resolve(feed, dim, "tenant", "tenant_mo_id", max_broadcast_rows=2)
-    assert "Union" in _plan(big)  # null keys routed around the shuffled join
+    plan = _plan(big)
+    # shuffled join keyed on (key, salt): null keys spread over partitions
+    assert "SortMergeJoin" in plan and "_lookup_salt" in plan and "Union" not in plan
 
 
 def _plan(df):
