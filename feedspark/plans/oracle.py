@@ -116,6 +116,9 @@ FROM orders LEFT JOIN client ON CAST(o_custkey AS VARCHAR) = client.mo_id""",
 SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS advertiser_id, client.id AS client_id, client.tenant_id
 FROM orders JOIN customer ON o_custkey = c_custkey
 LEFT JOIN client ON CAST(o_custkey AS VARCHAR) = client.mo_id AND CAST(c_nationkey AS BIGINT) = client.tenant_id""",
+    "lookup_shuffled_nulls": """WITH f AS (SELECT event_id, CASE WHEN event_type = 'signup' THEN NULL ELSE CAST(user_id AS VARCHAR) END AS advertiser_id FROM events)
+SELECT event_id, advertiser_id, CAST(c_custkey AS BIGINT) AS client_id, CAST(c_nationkey AS BIGINT) AS tenant_id
+FROM f LEFT JOIN customer ON f.advertiser_id = CAST(c_custkey AS VARCHAR)""",
     "product_candidates": f"""WITH {ADV_ROWS}, {ADV_FLAT}
 SELECT DISTINCT advertiser_id, brand_id, brand_name, extract_datetime FROM adv_flat""",
     "first_seen": """SELECT o_custkey, o_orderkey, o_orderdate, o_orderpriority FROM orders

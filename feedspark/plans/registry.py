@@ -228,6 +228,19 @@ def q_lookup_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("o_orderkey", "advertiser_id", "client_id", "tenant_id")
 
 
+def q_lookup_shuffled_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events -> client lookup on the shuffled path (as for a lookup above the
+    broadcast bound); signups have no advertiser and are salted, not piled up."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    feed = ev.select(
+        "event_id",
+        F.when(F.col("event_type") == L.NO_ADVERTISER_EVENT, F.lit(None).cast("string")).otherwise(F.col("user_id").cast("string")).alias("advertiser_id"),
+    )
+    lk = client_lookup(L.seed_lookups(spark, sf_dir)["client"], mo_id_as="client_mo_id", columns=["client_id", "client_mo_id", "tenant_id"])
+    joined = resolve(feed, lk, "advertiser_id", "client_mo_id", miss="keep", broadcast=False)
+    return joined.select("event_id", "advertiser_id", "client_id", "tenant_id")
+
+
 # --- aggregation, dedupe, ids ------------------------------------------------------
 
 def q_product_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,6 +385,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_parents": q_missing_parents,
     "lookup_fan_out": q_lookup_fan_out,
     "lookup_scoped": q_lookup_scoped,
+    "lookup_shuffled_nulls": q_lookup_shuffled_nulls,
     "product_candidates": q_product_candidates,
     "first_seen": q_first_seen,
     "dedupe_then_filter": q_dedupe_then_filter,
