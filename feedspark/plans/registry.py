@@ -28,7 +28,7 @@ from . import loads
 from .catalog import ParquetCatalog
 
 _lock = threading.Lock()
-_landing: dict[tuple[str, str], str] = {}
+_landing: dict[tuple[str, str], tuple[str, set[str]]] = {}
 _loaded: dict[tuple[str, str, str], ParquetCatalog] = {}
 
 
@@ -36,17 +36,23 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
 
 
-def landing_root(spark: SparkSession, sf_dir: str) -> str:
-    """All five feeds derived from ``sf_dir``, written once per session."""
+def landing_root(spark: SparkSession, sf_dir: str, feeds=tuple(L.BUILDERS)) -> str:
+    """One landing root per session and scale; each feed derived from
+    ``sf_dir`` is written into it the first time a query needs it."""
     k = _key(spark, sf_dir)
     with _lock:
         if k not in _landing:
-            _landing[k] = L.write_landing(spark, sf_dir, scratch_path(spark, "landing"))
-        return _landing[k]
+            _landing[k] = (scratch_path(spark, "landing"), set())
+        root, written = _landing[k]
+        missing = [f for f in L.BUILDERS if f in feeds and f not in written]
+        if missing:
+            L.write_landing(spark, sf_dir, root, missing)
+            written.update(missing)
+        return root
 
 
 def flat_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    return flatten(scan_feed(spark, landing_root(spark, sf_dir), feed), feed)
+    return flatten(scan_feed(spark, landing_root(spark, sf_dir, (feed,)), feed), feed)
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -126,7 +132,7 @@ def q_union_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_feed_since_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Advertiser files dated after 1998-01-01 only (pruned by name before reading)."""
-    docs = scan_feed(spark, landing_root(spark, sf_dir), "advertiser", since=19980101)
+    docs = scan_feed(spark, landing_root(spark, sf_dir, ("advertiser",)), "advertiser", since=19980101)
     flat = flatten(docs, "advertiser")
     return _ntz(flat.select("filename", "extract_datetime", "advertiser_id", "brand_id"), "extract_datetime")
 
@@ -365,7 +371,7 @@ def q_stream_load_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cat = ParquetCatalog(spark, scratch_path(spark, "catalog-stream"))
     cat.seed("tenant", L.seed_lookups(spark, sf_dir)["tenant"])
-    q = start_feed_stream(spark, landing_root(spark, sf_dir), "destination", cat, scratch_path(spark, "stream-ckpt"))
+    q = start_feed_stream(spark, landing_root(spark, sf_dir, ("destination",)), "destination", cat, scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
     return cat.read("network")
 
