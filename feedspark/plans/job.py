@@ -8,6 +8,7 @@ or over JDBC (``--jdbc-url`` with ``--jdbc-user``/``--jdbc-password`` or the
 from __future__ import annotations
 
 import argparse
+import logging
 import os
 import sys
 
@@ -15,10 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.flatten import flatten
 from ..sinks.tables import append_table
-from ..sources.feeds import scan_feed, split_corrupt
+from ..sources.feeds import scan_feed, split_corrupt, undated_files
 from .loads import LOADERS
 from .specs import FEEDS, feed_spec
 
+log = logging.getLogger("feedspark.job")
+
 
 def flat_feed(
     spark: SparkSession,
@@ -44,6 +47,16 @@ def flat_feed(
     return flatten(docs, spec)
 
 
+def report_undated(spark: SparkSession, feed: str, landing: str | list[str], *, multi_line: bool = False, show: int = 50) -> list[str]:
+    """Files of ``feed`` left out because their name holds no date (at most ``show``)."""
+    spec = feed_spec(feed)
+    docs = scan_feed(spark, landing, spec, multi_line=multi_line, select=False)
+    names = [r[0] for r in undated_files(docs, spec.word).limit(show).collect()]
+    if names:
+        log.warning("%s: %d+ file(s) without a date in the name were left out: %s", spec.word, len(names), ", ".join(names))
+    return names
+
+
 def run_feed(
     spark: SparkSession,
     feed: str,
@@ -62,6 +75,7 @@ def run_feed(
     An unknown feed raises ``ValueError`` before anything is read.
     """
     spec = feed_spec(feed)
+    report_undated(spark, spec.name, landing, multi_line=multi_line)
     flat = flat_feed(spark, spec.name, landing, since=since, multi_line=multi_line, mode=mode, quarantine=quarantine)
     LOADERS[spec.name](flat, catalog, only_new=only_new, stage=stage)
 

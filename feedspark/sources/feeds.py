@@ -69,7 +69,8 @@ def scan_feed(
     A feed file is a top-level entry of a landing root whose name holds the
     feed word (a file, or a folder of part files); only those entries are
     listed. ``top_level=False`` lists everything below the roots and selects
-    on the whole relative path instead.
+    on the whole relative path instead. ``select=False`` skips the exact
+    name/date predicate (e.g. to look for undated files).
 
     ``multi_line=True`` reads one (possibly pretty-printed) document per file;
     such a file is one task. The default reads one document per line, which
@@ -85,7 +86,7 @@ def scan_feed(
         schema = StructType(schema.fields + [StructField(CORRUPT_COL, StringType(), True)])
     reader = _reader(spark, schema, multi_line, mode)
     docs = None
-    if select and top_level:
+    if top_level:
         # list only the landing entries named after the feed (like a listing of
         # the landing folder), not the whole history of every feed
         try:
@@ -107,7 +108,11 @@ def select_feed(df: DataFrame, feed: str, since: int = 0, name_col: str = FILE_C
 
 
 def undated_files(df: DataFrame, feed: str, name_col: str = FILE_COL) -> DataFrame:
-    """Files of the feed whose name holds no 8-digit date (left out by the cutoff)."""
+    """Files of the feed whose name holds no 8-digit date (left out by the cutoff).
+
+    Give it an unselected scan (``scan_feed(..., select=False)``): the
+    predicate is on file metadata, so only such files are opened.
+    """
     from ..functions.names import feed_matches
 
     return df.where(feed_matches(F.col(name_col), feed) & name_date(F.col(name_col)).isNull()).select(name_col).distinct()

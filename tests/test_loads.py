@@ -182,3 +182,18 @@ def test_stage_as_table_gives_same_tables(spark, landing, catalog, tmp_path):
     _run(spark, "advertiser", landing, cat2, stage="table")
     for t in ("client", "product"):
         assert sorted(map(tuple, cat2.read(t).collect())) == sorted(map(tuple, catalog.read(t).collect()))
+
+
+def test_undated_files_are_reported(spark, landing):
+    from feedspark.plans.job import report_undated
+
+    write_doc(landing, "DS-OO-NATIONAL-DESTINATIONFEED-latest", envelope(feed="DESTINATION", destinations=[]))
+    assert report_undated(spark, "destination", landing, multi_line=True) == ["DS-OO-NATIONAL-DESTINATIONFEED-latest"]
+    assert report_undated(spark, "advertiser", landing, multi_line=True) == []
+
+
+def test_cli_loads_a_feed(spark, landing, tmp_path):
+    cat = ParquetCatalog(spark, str(tmp_path / "cli"))
+    cat.seed("tenant", spark.createDataFrame([(7, "T1")], "id long, mo_id string"))
+    assert main(["--feed", "destination", "--landing", landing, "--catalog", cat.root, "--multi-line", "--only-new"]) == 0
+    assert sorted(r.mo_id for r in cat.read("network").collect()) == ["N2", "N3"]
