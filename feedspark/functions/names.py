@@ -39,10 +39,10 @@ def name_date(name: Column | str) -> Column:
 def select_names(name: Column | str, feed: str, since: int = 0) -> Column:
     """Feed word present and name date strictly after ``since``.
 
-    A name without a date gives null, so the row is left out (the caller can
-    report those with ``name_date(...).isNull()``).
+    A name without a date (or a null name) gives false: the file is left out
+    (the job reports such files, see ``undated_files``).
     """
-    return feed_matches(name, feed) & (name_date(name) > F.lit(int(since)))
+    return F.coalesce(feed_matches(name, feed) & (name_date(name) > F.lit(int(since))), F.lit(False))
 
 
 _SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
