@@ -146,3 +146,13 @@ def test_null_extract_datetime_is_kept_as_null(spark, tmp_path):
     write_doc(tmp_path, ADV_NAME, adv_doc(extractdatetime=None))
     rows = flatten(scan_feed(spark, str(tmp_path), "advertiser", multi_line=True), "advertiser").collect()
     assert len(rows) == 2 and all(r.extract_datetime is None for r in rows)
+
+
+def test_several_landing_roots_in_one_scan(spark, tmp_path):
+    a, b = tmp_path / "a", tmp_path / "b"
+    write_doc(a, ADV_NAME, adv_doc())
+    write_doc(b, "DS-OO-NATIONAL-ADVERTISERFEED-20180301-100000", adv_doc(tenant="T2"))
+    docs = scan_feed(spark, [str(a), str(b)], "advertiser", multi_line=True)
+    rows = flatten(docs, "advertiser").select("tenant", "brand_id").collect()
+    assert sorted(map(tuple, rows)) == [("T1", "b1"), ("T1", "b2"), ("T2", "b1"), ("T2", "b2")]
+    assert sorted(r._feed_file for r in docs.select("_feed_file").collect()) == [ADV_NAME, "DS-OO-NATIONAL-ADVERTISERFEED-20180301-100000"]
