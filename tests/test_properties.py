@@ -5,7 +5,6 @@ import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from feedspark.functions.names import name_date, select_names
 from feedspark.operators.dedupe import first_seen
