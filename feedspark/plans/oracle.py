@@ -131,6 +131,11 @@ SELECT user_id, event_id, ts, kind FROM e WHERE kind IS NOT NULL
 QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id NULLS FIRST) = 1""",
     "assign_ids": """WITH r AS (SELECT DISTINCT CAST(c_nationkey AS BIGINT) AS tenant_id, CAST(c_custkey AS VARCHAR) AS mo_id FROM customer)
 SELECT ROW_NUMBER() OVER (ORDER BY tenant_id NULLS FIRST, mo_id NULLS FIRST) AS id, tenant_id, mo_id FROM r""",
+    "ids_continue": """WITH r AS (SELECT CAST(c_custkey AS VARCHAR) AS mo_id, c_name AS name, CAST(c_nationkey AS BIGINT) AS tenant_id,
+                  c_mktsegment = 'BUILDING' AS first FROM customer),
+a AS (SELECT ROW_NUMBER() OVER (ORDER BY tenant_id, mo_id) AS id, mo_id, name, tenant_id FROM r WHERE first),
+b AS (SELECT (SELECT count(*) FROM a) + ROW_NUMBER() OVER (ORDER BY tenant_id, mo_id) AS id, mo_id, name, tenant_id FROM r WHERE NOT first)
+SELECT * FROM a UNION ALL SELECT * FROM b""",
     "load_client": f"WITH {ADV_ROWS}, {ADV_FLAT}, {CLIENT} SELECT id, mo_id, name, tenant_id FROM client",
     "load_product": f"""WITH {ADV_ROWS}, {ADV_FLAT}, {CLIENT},
 cand AS (SELECT DISTINCT advertiser_id, brand_id, brand_name, extract_datetime FROM adv_flat),

@@ -282,6 +282,19 @@ def q_assign_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_ids(rows, ["tenant_id", "mo_id"], start=1)
 
 
+def q_ids_continue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two appends to a client table: the second batch's ids follow the first's maximum."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    rows = customer.select(
+        F.col("c_custkey").cast("string").alias("mo_id"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").cast("long").alias("tenant_id"), (F.col("c_mktsegment") == "BUILDING").alias("first"),
+    )
+    cat = ParquetCatalog(spark, scratch_path(spark, "catalog-ids"))
+    cat.append("client", rows.where("first").drop("first"))
+    cat.append("client", rows.where("NOT first").drop("first"))
+    return cat.read("client")
+
+
 # --- full loads ---------------------------------------------------------------------
 
 def q_load_client(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -397,6 +410,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_then_filter": q_dedupe_then_filter,
     "filter_then_dedupe": q_filter_then_dedupe,
     "assign_ids": q_assign_ids,
+    "ids_continue": q_ids_continue,
     "load_client": q_load_client,
     "load_product": q_load_product,
     "load_network": q_load_network,
