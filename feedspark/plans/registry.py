@@ -385,10 +385,15 @@ def q_stream_load_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     cat = ParquetCatalog(spark, scratch_path(spark, "catalog-stream"))
     cat.seed("tenant", L.seed_lookups(spark, sf_dir)["tenant"])
     q = start_feed_stream(spark, landing_root(spark, sf_dir, ("destination",)), "destination", cat, scratch_path(spark, "stream-ckpt"))
-    q.awaitTermination()
+    if not q.awaitTermination(STREAM_TIMEOUT_SEC):
+        q.stop()
+        raise TimeoutError(f"stream did not finish the available files within {STREAM_TIMEOUT_SEC} s")
     return cat.read("network")
 
 
+STREAM_TIMEOUT_SEC = 1800
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_file_select": q_feed_file_select,
     "json_scan_flatten": q_json_scan_flatten,
