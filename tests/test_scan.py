@@ -156,3 +156,11 @@ def test_several_landing_roots_in_one_scan(spark, tmp_path):
     rows = flatten(docs, "advertiser").select("tenant", "brand_id").collect()
     assert sorted(map(tuple, rows)) == [("T1", "b1"), ("T1", "b2"), ("T2", "b1"), ("T2", "b2")]
     assert sorted(r._feed_file for r in docs.select("_feed_file").collect()) == [ADV_NAME, "DS-OO-NATIONAL-ADVERTISERFEED-20180301-100000"]
+
+
+def test_top_level_array_gives_one_document_per_element(spark, tmp_path):
+    import json
+
+    write_doc(tmp_path, ADV_NAME, json.dumps([adv_doc(tenant="T1"), adv_doc(tenant="T2")]), raw=True)
+    docs = scan_feed(spark, str(tmp_path), "advertiser", multi_line=True)
+    assert sorted(r.tenant for r in docs.collect()) == ["T1", "T2"]
