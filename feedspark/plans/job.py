@@ -68,7 +68,7 @@ def run_feed(
     mode: str = "FAILFAST",
     quarantine: str | None = None,
     only_new: bool = False,
-    stage: str = "cache",
+    stage: str | None = None,
 ) -> None:
     """Load every landing file of ``feed`` dated after ``since`` into ``catalog``.
 
@@ -111,7 +111,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
     p.add_argument("--quarantine", help="where PERMISSIVE mode keeps bad documents")
     p.add_argument("--only-new", action="store_true", help="append only keys not yet in the target")
-    p.add_argument("--stage", default="cache", choices=["cache", "table"], help="hold the flat feed in cache or as a parquet table")
+    p.add_argument("--stage", default=None, choices=["table", "cache"], help="hold the flat feed as a parquet table (default) or in cache")
     args = p.parse_args(argv)
     try:
         feed_spec(args.feed)

@@ -49,23 +49,36 @@ NEEDED = {
 }
 
 
+STAGE_CONF = "feedspark.stage"
+STAGES = ("table", "cache")
+
+
 @contextmanager
-def persisted(df: DataFrame, feed: str | None = None, stage: str = "cache"):
+def persisted(df: DataFrame, feed: str | None = None, stage: str | None = None):
     """Hold the columns a load needs between its actions (check, then writes),
     so the JSON is parsed once.
 
-    ``stage="cache"`` persists in executor memory/disk (recomputed from the
-    files if an executor is lost); ``stage="table"`` writes a parquet table
-    under the shared checkpoint folder and reads it back, which survives
-    executor loss without recomputation and lets each later read prune
-    columns - the choice for very large feeds.
+    ``stage="table"`` (the default; session setting ``feedspark.stage``)
+    writes them as a parquet table under the shared checkpoint folder and
+    reads that back: the lineage is cut, a lost executor costs no re-parse,
+    and each later read prunes columns. The table is emptied afterwards.
+    ``stage="cache"`` persists in executor memory/disk instead (recomputed
+    from the files if an executor is lost) - fine for small feeds.
     """
     if feed:
         df = df.select(*NEEDED[feed])
+    spark = df.sparkSession
+    stage = stage or spark.conf.get(STAGE_CONF, "table")
+    if stage not in STAGES:
+        raise ValueError(f"stage must be one of {STAGES}")
     if stage == "table":
-        path = scratch_path(df.sparkSession, f"stage-{feed or 'flat'}")
+        path = scratch_path(spark, f"stage-{feed or 'flat'}")
         df.write.parquet(path)
-        yield df.sparkSession.read.parquet(path)
+        try:
+            yield spark.read.parquet(path)
+        finally:
+            # plain overwrite with no rows: the staged data is removed
+            spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
         return
     df = df.persist()
     try:
@@ -117,7 +130,7 @@ def product_rows(joined: DataFrame, client: DataFrame, *, tenant_scoped: bool =
     return first_seen(rows, key, tiebreak=_tiebreak("product", key)).select("mo_id", "name", "client_id")
 
 
-def load_advertiser(flat: DataFrame, catalog, *, only_new: bool = False, tenant_scoped: bool = False, stage: str = "cache") -> None:
+def load_advertiser(flat: DataFrame, catalog, *, only_new: bool = False, tenant_scoped: bool = False, stage: str | None = None) -> None:
     """Client first, then product (which reads the client ids back)."""
     with persisted(flat, "advertiser", stage) as flat:
         joined = with_tenant(flat, catalog.read("tenant"))
@@ -147,7 +160,7 @@ def network_rows(joined: DataFrame) -> DataFrame:
     return first.where(F.col("network_type").isNotNull()).select(*TARGET_COLUMNS["network"][1:])
 
 
-def load_destination(flat: DataFrame, catalog, *, only_new: bool = False, stage: str = "cache") -> None:
+def load_destination(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None) -> None:
     with persisted(flat, "destination", stage) as flat:
         joined = with_tenant(flat, catalog.read("tenant"))
         rows = network_rows(joined)
@@ -169,7 +182,7 @@ def with_client(flat: DataFrame, client: DataFrame, *, miss: str, what: str = "C
     return resolve(flat, lk, "advertiser_id", "client_mo_id", miss=miss, what=what)
 
 
-def load_estimate(flat: DataFrame, catalog, *, only_new: bool = False, stage: str = "cache") -> None:
+def load_estimate(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None) -> None:
     with persisted(flat, "estimate", stage) as flat:
         # missing clients are listed by advertiser id
         joined = with_client(flat, catalog.read("client"), miss="raise")
@@ -187,7 +200,7 @@ def daypart_rows(joined: DataFrame) -> DataFrame:
     return first_seen(rows, key, tiebreak=_tiebreak("daypart", key)).select(*TARGET_COLUMNS["daypart"])
 
 
-def load_daypart(flat: DataFrame, catalog, *, only_new: bool = False, stage: str = "cache") -> None:
+def load_daypart(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None) -> None:
     """Tenants must exist (checked only); the client is optional and gives the tenant id."""
     with persisted(flat, "daypart", stage) as flat:
         require_parents(flat, tenant_lookup(catalog.read("tenant")), "tenant", "tenant_mo_id", what="Tenants")
@@ -218,7 +231,7 @@ def with_network(joined: DataFrame, network: DataFrame, *, miss: str = "drop") -
     return resolve(joined, network_lookup(network), "program_network_id", "network_mo_id", miss=miss, id_col="network_id", what="Networks")
 
 
-def load_program(flat: DataFrame, catalog, *, only_new: bool = False, stage: str = "cache") -> None:
+def load_program(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None) -> None:
     """Tenants must exist; programs of unknown networks are left out (before the dedupe)."""
     with persisted(flat, "program", stage) as flat:
         joined = with_network(with_tenant(flat, catalog.read("tenant")), catalog.read("network"))

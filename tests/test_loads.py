@@ -175,11 +175,11 @@ def test_same_result_for_any_partitioning_and_join_path(spark, landing, tmp_path
     assert len(got["daypart"]) == 3 and len(got["program"]) == 1
 
 
-def test_stage_as_table_gives_same_tables(spark, landing, catalog, tmp_path):
+def test_stage_in_cache_gives_same_tables(spark, landing, catalog, tmp_path):
     _run(spark, "advertiser", landing, catalog)
     cat2 = ParquetCatalog(spark, str(tmp_path / "staged"))
     cat2.seed("tenant", catalog.read("tenant"))
-    _run(spark, "advertiser", landing, cat2, stage="table")
+    _run(spark, "advertiser", landing, cat2, stage="cache")
     for t in ("client", "product"):
         assert sorted(map(tuple, cat2.read(t).collect())) == sorted(map(tuple, catalog.read(t).collect()))
 
