@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 MISS_POLICIES = ("raise", "keep", "drop")
 DEFAULT_BROADCAST_ROWS = 1_000_000
-# session setting that overrides the row bound (e.g. raise it on big executors)
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+# session settings that override the bounds (e.g. raise them on big executors)
 BROADCAST_ROWS_CONF = "feedspark.lookup.broadcastMaxRows"
+BROADCAST_BYTES_CONF = "feedspark.lookup.broadcastMaxBytes"
 
 
 def broadcast_bound(df: DataFrame) -> int:
@@ -31,6 +33,11 @@ def broadcast_bound(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(BROADCAST_ROWS_CONF, str(DEFAULT_BROADCAST_ROWS)))
 
 
+def broadcast_byte_bound(df: DataFrame) -> int:
+    """Byte bound for broadcasting a lookup: the session setting, else 256 MiB."""
+    return int(df.sparkSession.conf.get(BROADCAST_BYTES_CONF, str(DEFAULT_BROADCAST_BYTES)))
+
+
 class MissingParentError(RuntimeError):
     """Feed rows point at parents that the lookup table does not hold."""
 
@@ -43,18 +50,23 @@ class MissingParentError(RuntimeError):
         super().__init__(f"{what} missing: {listed}{suffix}")
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (default: :func:`broadcast_bound`).
+def fits_broadcast(dim: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows and about ``max_bytes`` bytes.
 
-    Reads at most ``max_rows + 1`` rows per task (a limit, not a full
-    count; pushed to the database for JDBC), so the check stays cheap even
-    when the answer is no.
+    One job over at most ``max_rows + 1`` rows per task (a limit, not a full
+    count; pushed to the database for JDBC) counts the rows and the size of
+    their values (JSON-encoded, a stand-in for the broadcast size), so the
+    check stays cheap even when the answer is no.
     """
     if max_rows is None:
         max_rows = broadcast_bound(dim)
-    if max_rows <= 0:
+    if max_bytes is None:
+        max_bytes = broadcast_byte_bound(dim)
+    if max_rows <= 0 or max_bytes <= 0:
         return False
-    return dim.limit(max_rows + 1).count() <= max_rows
+    width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in dim.columns]))) if dim.columns else F.lit(0)
+    rows, size = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:

@@ -77,3 +77,12 @@ def _plan(df):
     with redirect_stdout(buf):
         df.explain()
     return buf.getvalue()
+
+
+def test_broadcast_bound_on_bytes_too(spark):
+    wide = spark.range(100).selectExpr("cast(id as string) as k", "repeat('x', 1000) as payload")
+    from feedspark.operators.lookup import fits_broadcast
+
+    assert fits_broadcast(wide, max_rows=1000, max_bytes=10_000_000)
+    assert not fits_broadcast(wide, max_rows=1000, max_bytes=50_000)  # ~100 kB of values
+    assert not fits_broadcast(wide, max_rows=99, max_bytes=10_000_000)
