@@ -69,6 +69,7 @@ def run_feed(
     quarantine: str | None = None,
     only_new: bool = False,
     stage: str | None = None,
+    tenant_scoped: bool = False,
 ) -> None:
     """Load every landing file of ``feed`` dated after ``since`` into ``catalog``.
 
@@ -77,7 +78,7 @@ def run_feed(
     spec = feed_spec(feed)
     report_undated(spark, spec.name, landing, multi_line=multi_line)
     flat = flat_feed(spark, spec.name, landing, since=since, multi_line=multi_line, mode=mode, quarantine=quarantine)
-    LOADERS[spec.name](flat, catalog, only_new=only_new, stage=stage)
+    LOADERS[spec.name](flat, catalog, only_new=only_new, stage=stage, tenant_scoped=tenant_scoped)
 
 
 def _catalog(spark: SparkSession, args):
@@ -111,6 +112,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
     p.add_argument("--quarantine", help="where PERMISSIVE mode keeps bad documents")
     p.add_argument("--only-new", action="store_true", help="append only keys not yet in the target")
+    p.add_argument("--tenant-scoped", action="store_true", help="match clients/networks within the feed row's tenant only")
     p.add_argument("--stage", default=None, choices=["table", "cache"], help="hold the flat feed as a parquet table (default) or in cache")
     args = p.parse_args(argv)
     try:
@@ -130,6 +132,7 @@ def main(argv: list[str] | None = None) -> int:
         quarantine=args.quarantine,
         only_new=args.only_new,
         stage=args.stage,
+        tenant_scoped=args.tenant_scoped,
     )
     return 0
 

@@ -17,7 +17,7 @@ from ..operators.lookup import require_parents, resolve
 from ..schemas import TARGET_COLUMNS
 from ..sinks.tables import new_rows
 from ..session import scratch_path
-from ..sources.lookups import client_lookup, network_lookup, tenant_lookup
+from ..sources.lookups import as_lookup, client_lookup, network_lookup, tenant_lookup
 
 # business key of every target table (first-seen and re-run guard); product's
 # tenant comes from its client and is not stored, so its guard uses
@@ -40,7 +40,7 @@ def _tiebreak(table: str, key: list[str]) -> list[str]:
 NEEDED = {
     "advertiser": ["tenant", "extract_datetime", "advertiser_id", "advertiser_name", "brand_id", "brand_name"],
     "destination": ["tenant", "extract_datetime", "id", "name", "media", "type", "nielsen_code"],
-    "estimate": ["extract_datetime", "id", "estimate_name", "start_date", "end_date", "media", "advertiser_id"],
+    "estimate": ["tenant", "extract_datetime", "id", "estimate_name", "start_date", "end_date", "media", "advertiser_id"],
     "daypart": ["tenant", "extract_datetime", "id", "daypart_name", "media", "advertiser_id"],
     "program": [
         "tenant", "extract_datetime", "program_id", "program_name", "program_network_id",
@@ -160,7 +160,8 @@ def network_rows(joined: DataFrame) -> DataFrame:
     return first.where(F.col("network_type").isNotNull()).select(*TARGET_COLUMNS["network"][1:])
 
 
-def load_destination(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None) -> None:
+def load_destination(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None, tenant_scoped: bool = False) -> None:
+    """Networks of known tenants (``tenant_scoped`` changes nothing: the tenant is the lookup)."""
     with persisted(flat, "destination", stage) as flat:
         joined = with_tenant(flat, catalog.read("tenant"))
         rows = network_rows(joined)
@@ -177,15 +178,30 @@ def estimate_rows(joined: DataFrame) -> DataFrame:
     return first_seen(rows, key, tiebreak=_tiebreak("estimate", key)).select(*TARGET_COLUMNS["estimate"])
 
 
-def with_client(flat: DataFrame, client: DataFrame, *, miss: str, what: str = "Clients") -> DataFrame:
+def with_client(flat: DataFrame, client: DataFrame, *, miss: str, what: str = "Clients", tenant_col: str | None = None) -> DataFrame:
+    """Client lookup by advertiser id; with ``tenant_col`` (the feed row's
+    tenant id) only a client of the same tenant matches."""
     lk = client_lookup(client, mo_id_as="client_mo_id", columns=["client_id", "client_mo_id", "tenant_id"])
+    if tenant_col:
+        return resolve(flat, lk, ["advertiser_id", tenant_col], ["client_mo_id", "tenant_id"], miss=miss, what=what)
     return resolve(flat, lk, "advertiser_id", "client_mo_id", miss=miss, what=what)
 
 
-def load_estimate(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None) -> None:
+FEED_TENANT = "feed_tenant_id"
+
+
+def with_feed_tenant(flat: DataFrame, tenant: DataFrame) -> DataFrame:
+    """Add the feed row's tenant id (null for an unknown tenant) as ``feed_tenant_id``."""
+    return with_tenant(flat, tenant, miss="keep").withColumnRenamed("tenant_id", FEED_TENANT)
+
+
+def load_estimate(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None, tenant_scoped: bool = False) -> None:
     with persisted(flat, "estimate", stage) as flat:
-        # missing clients are listed by advertiser id
-        joined = with_client(flat, catalog.read("client"), miss="raise")
+        scope = None
+        if tenant_scoped:
+            flat, scope = with_feed_tenant(flat, catalog.read("tenant")), FEED_TENANT
+        # missing clients are listed by advertiser id (and tenant id when scoped)
+        joined = with_client(flat, catalog.read("client"), miss="raise", tenant_col=scope)
         rows = estimate_rows(joined)
         if only_new:
             rows = new_rows(rows, catalog.read("estimate"), KEYS["estimate"])
@@ -200,11 +216,14 @@ def daypart_rows(joined: DataFrame) -> DataFrame:
     return first_seen(rows, key, tiebreak=_tiebreak("daypart", key)).select(*TARGET_COLUMNS["daypart"])
 
 
-def load_daypart(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None) -> None:
+def load_daypart(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None, tenant_scoped: bool = False) -> None:
     """Tenants must exist (checked only); the client is optional and gives the tenant id."""
     with persisted(flat, "daypart", stage) as flat:
         require_parents(flat, tenant_lookup(catalog.read("tenant")), "tenant", "tenant_mo_id", what="Tenants")
-        joined = with_client(flat, catalog.read("client"), miss="keep")
+        scope = None
+        if tenant_scoped:
+            flat, scope = with_feed_tenant(flat, catalog.read("tenant")), FEED_TENANT
+        joined = with_client(flat, catalog.read("client"), miss="keep", tenant_col=scope)
         rows = daypart_rows(joined)
         if only_new:
             rows = new_rows(rows, catalog.read("daypart"), KEYS["daypart"])
@@ -227,14 +246,24 @@ def program_rows(joined: DataFrame) -> DataFrame:
     return first_seen(rows, key, tiebreak=_tiebreak("program", key)).select(*TARGET_COLUMNS["program"])
 
 
-def with_network(joined: DataFrame, network: DataFrame, *, miss: str = "drop") -> DataFrame:
+def with_network(joined: DataFrame, network: DataFrame, *, miss: str = "drop", tenant_scoped: bool = False) -> DataFrame:
+    """Network lookup by network id; ``tenant_scoped`` also compares the tenant."""
+    if tenant_scoped:
+        lk = as_lookup(
+            network, {"id": "network_id", "mo_id": "network_mo_id", "tenant_id": "network_tenant_id"},
+            ["network_id", "network_mo_id", "network_tenant_id"],
+        )
+        return resolve(
+            joined, lk, ["program_network_id", "tenant_id"], ["network_mo_id", "network_tenant_id"],
+            miss=miss, id_col="network_id", what="Networks",
+        ).drop("network_tenant_id")
     return resolve(joined, network_lookup(network), "program_network_id", "network_mo_id", miss=miss, id_col="network_id", what="Networks")
 
 
-def load_program(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None) -> None:
+def load_program(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None, tenant_scoped: bool = False) -> None:
     """Tenants must exist; programs of unknown networks are left out (before the dedupe)."""
     with persisted(flat, "program", stage) as flat:
-        joined = with_network(with_tenant(flat, catalog.read("tenant")), catalog.read("network"))
+        joined = with_network(with_tenant(flat, catalog.read("tenant")), catalog.read("network"), tenant_scoped=tenant_scoped)
         rows = program_rows(joined)
         if only_new:
             rows = new_rows(rows, catalog.read("program"), KEYS["program"])

@@ -73,6 +73,10 @@ b1 AS (SELECT * FROM e WHERE ts < TIMESTAMP '2024-01-15'
        QUALIFY ROW_NUMBER() OVER (PARTITION BY mo_id, client_id ORDER BY ts NULLS FIRST, event_id NULLS FIRST) = 1),
 b2 AS (SELECT * FROM e QUALIFY ROW_NUMBER() OVER (PARTITION BY mo_id, client_id ORDER BY ts NULLS FIRST, event_id NULLS FIRST) = 1)"""
 
+ESTIMATE_FIRST = """SELECT id AS mo_id, media, client_id, start_date, end_date, estimate_name AS name FROM j
+QUALIFY ROW_NUMBER() OVER (PARTITION BY id, client_id ORDER BY extract_datetime NULLS FIRST, media NULLS FIRST,
+                           start_date NULLS FIRST, end_date NULLS FIRST, estimate_name NULLS FIRST) = 1"""
+
 ORACLE_SQL: dict[str, str] = {
     "feed_file_select": f"""WITH {FILE_NAMES}
 SELECT event_id, file_name, TRY_CAST(NULLIF(regexp_extract(file_name, '([0-9]{{8}})', 1), '') AS INTEGER) AS file_date
@@ -148,6 +152,13 @@ j AS (SELECT est.*, CAST(c.c_custkey AS BIGINT) AS client_id FROM est LEFT JOIN
 SELECT id AS mo_id, media, client_id, start_date, end_date, estimate_name AS name FROM j
 QUALIFY ROW_NUMBER() OVER (PARTITION BY id, client_id ORDER BY extract_datetime NULLS FIRST, media NULLS FIRST,
                            start_date NULLS FIRST, end_date NULLS FIRST, estimate_name NULLS FIRST) = 1""",
+    "load_estimate_fan_out": f"""WITH {EST_FLAT}, {TWO_TENANT_CLIENTS},
+j AS (SELECT est.*, client.id AS client_id FROM est LEFT JOIN client ON est.advertiser_id = client.mo_id)
+{ESTIMATE_FIRST}""",
+    "load_estimate_scoped": f"""WITH {EST_FLAT}, {TWO_TENANT_CLIENTS},
+j AS (SELECT est.*, client.id AS client_id FROM est LEFT JOIN nation t ON est.tenant = t.n_name
+      LEFT JOIN client ON est.advertiser_id = client.mo_id AND CAST(t.n_nationkey AS BIGINT) = client.tenant_id)
+{ESTIMATE_FIRST}""",
     "load_daypart": """WITH ev AS (SELECT e.*, n.n_name FROM events e JOIN customer c ON e.user_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
 d AS (SELECT n_name AS tenant, date_trunc('second', ts) AS extract_datetime, event_type AS id,
              event_type || '-' || CAST(hour(ts) AS VARCHAR) AS daypart_name,

@@ -321,6 +321,27 @@ def q_load_program(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded_catalog(spark, sf_dir, "program").read("program")
 
 
+def _estimate_two_tenant_catalog(spark: SparkSession, sf_dir: str, tag: str) -> ParquetCatalog:
+    cat = ParquetCatalog(spark, scratch_path(spark, f"catalog-{tag}"))
+    cat.seed("tenant", L.seed_lookups(spark, sf_dir)["tenant"])
+    cat.seed("client", _two_tenant_clients(spark, sf_dir))
+    return cat
+
+
+def q_load_estimate_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimate load when some client ids exist under two tenants: unscoped, each copy matches."""
+    cat = _estimate_two_tenant_catalog(spark, sf_dir, "estimate-fan-out")
+    loads.load_estimate(flat_feed(spark, sf_dir, "estimate"), cat)
+    return cat.read("estimate")
+
+
+def q_load_estimate_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with tenant-scoped client matching: only the client of the feed's tenant."""
+    cat = _estimate_two_tenant_catalog(spark, sf_dir, "estimate-scoped")
+    loads.load_estimate(flat_feed(spark, sf_dir, "estimate"), cat, tenant_scoped=True)
+    return cat.read("estimate")
+
+
 # --- sinks ---------------------------------------------------------------------------
 
 def _supplier_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -420,6 +441,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_product": q_load_product,
     "load_network": q_load_network,
     "load_estimate": q_load_estimate,
+    "load_estimate_fan_out": q_load_estimate_fan_out,
+    "load_estimate_scoped": q_load_estimate_scoped,
     "load_daypart": q_load_daypart,
     "load_program": q_load_program,
     "append_twice": q_append_twice,

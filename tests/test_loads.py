@@ -197,3 +197,25 @@ def test_cli_loads_a_feed(spark, landing, tmp_path):
     cat.seed("tenant", spark.createDataFrame([(7, "T1")], "id long, mo_id string"))
     assert main(["--feed", "destination", "--landing", landing, "--catalog", cat.root, "--multi-line", "--only-new"]) == 0
     assert sorted(r.mo_id for r in cat.read("network").collect()) == ["N2", "N3"]
+
+
+def test_tenant_scoped_client_and_network(spark, landing, tmp_path):
+    cat = ParquetCatalog(spark, str(tmp_path / "scoped"))
+    cat.seed("tenant", spark.createDataFrame([(7, "T1"), (8, "T2")], "id long, mo_id string"))
+    # advertiser A and network N2 exist under both tenants
+    cat.seed("client", spark.createDataFrame([(1, "A", "a", 7), (2, "A", "a", 8)], "id long, mo_id string, name string, tenant_id long"))
+    cat.seed("network", spark.createDataFrame([(5, "N2", 8), (6, "N2", 7)], "id long, mo_id string, tenant_id long"))
+    _run(spark, "daypart", landing, cat)
+    unscoped = sorted((r.mo_id, r.client_id) for r in cat.read("daypart").where("client_id is not null").collect())
+    assert unscoped == [("D1", 1), ("D1", 2)]
+    _run(spark, "program", landing, cat)
+    assert sorted(r.network_id for r in cat.read("program").collect()) == [5]  # unscoped: one per key, smallest id wins
+
+    cat2 = ParquetCatalog(spark, str(tmp_path / "scoped2"))
+    for t in ("tenant", "client", "network"):
+        cat2.seed(t, cat.read(t))
+    _run(spark, "daypart", landing, cat2, tenant_scoped=True)
+    scoped = sorted((r.mo_id, r.client_id, r.tenant_id) for r in cat2.read("daypart").where("client_id is not null").collect())
+    assert scoped == [("D1", 1, 7)]
+    _run(spark, "program", landing, cat2, tenant_scoped=True)
+    assert [r.network_id for r in cat2.read("program").collect()] == [6]
