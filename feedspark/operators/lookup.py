@@ -8,8 +8,8 @@ rows whose parent is missing is a policy:
 * ``keep``  - keep the row with null ids;
 * ``drop``  - remove the row.
 
-The dimension is broadcast only after its row count is checked against a
-bound; above it the join shuffles both sides, and rows with a null key -
+The dimension is broadcast only after its size (rows, then bytes) is
+checked against bounds; above them the join shuffles both sides, and rows with a null key -
 which can never match and may be a large share of a feed - are salted over
 the shuffle partitions instead of piling into one.
 """
