@@ -67,3 +67,36 @@ def test_name_predicates_match_python(spark, data, since):
         d = int(m.group(1)) if m else None
         want.append((n, d, ("ADVERTISERFEED" in n.upper()) and d is not None and d > since))
     assert got == sorted(want)
+
+
+feed_rows = st.lists(st.tuples(st.integers(0, 10**6), st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"]))), max_size=40, unique_by=lambda r: r[0])
+dim_rows = st.lists(st.tuples(st.integers(0, 50), st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))), max_size=8)
+
+
+@SETTINGS
+@given(feed_rows, dim_rows, st.booleans())
+def test_resolve_is_left_outer_join(spark, feed, dim, broadcast):
+    from feedspark.operators.lookup import resolve
+
+    f = spark.createDataFrame(feed, "seq long, k string")
+    d = spark.createDataFrame(dim, "dim_id long, dim_k string")
+    got = sorted(map(tuple, resolve(f, d, "k", "dim_k", broadcast=broadcast).select("seq", "k", "dim_id").collect()), key=repr)
+    want = []
+    for seq, k in feed:
+        hits = [i for i, dk in dim if k is not None and dk == k]
+        want += [(seq, k, i) for i in hits] or [(seq, k, None)]
+    assert got == sorted(want, key=repr)
+
+
+pairs = st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["x", "y"])), st.one_of(st.none(), st.integers(0, 2))), max_size=15)
+
+
+@SETTINGS
+@given(pairs, pairs)
+def test_new_rows_is_null_safe_anti_join(spark, new, old):
+    from feedspark.sinks.tables import new_rows
+
+    a = spark.createDataFrame(new, "mo_id string, client_id long")
+    b = spark.createDataFrame(old, "mo_id string, client_id long")
+    got = sorted(map(tuple, new_rows(a, b, ["mo_id", "client_id"]).collect()), key=repr)
+    assert got == sorted([r for r in new if r not in set(old)], key=repr)
