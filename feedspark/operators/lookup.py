@@ -53,11 +53,11 @@ class MissingParentError(RuntimeError):
 def fits_broadcast(dim: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """True when ``dim`` has at most ``max_rows`` rows and about ``max_bytes`` bytes.
 
-    First a row check that reads at most ``max_rows + 1`` rows per task and
-    moves no column values (a limit, not a full count; pushed to the
-    database for JDBC). Only a dimension that passes it - so one of at most
-    ``max_rows`` rows - is then measured: the size of its values,
-    JSON-encoded, stands in for the broadcast size.
+    One job: every task measures at most ``max_rows + 1`` rows (a limit, not
+    a full count; pushed to the database for JDBC) and passes on only one
+    number per row - the size of its values, JSON-encoded, which stands in
+    for the broadcast size - so the check stays cheap even when the answer
+    is no.
     """
     if max_rows is None:
         max_rows = broadcast_bound(dim)
@@ -65,13 +65,10 @@ def fits_broadcast(dim: DataFrame, max_rows: int | None = None, max_bytes: int |
         max_bytes = broadcast_byte_bound(dim)
     if max_rows <= 0 or max_bytes <= 0:
         return False
-    if dim.limit(max_rows + 1).count() > max_rows:
-        return False
-    if not dim.columns:
-        return True
-    width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in dim.columns])))
-    size = dim.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
-    return size <= max_bytes
+    width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in dim.columns]))) if dim.columns else F.lit(0)
+    sized = dim.select(width.alias("_w")).limit(max_rows + 1)
+    rows, size = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("_w"), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
