@@ -81,6 +81,20 @@ def run_feed(
     LOADERS[spec.name](flat, catalog, only_new=only_new, stage=stage, tenant_scoped=tenant_scoped)
 
 
+# parents before children: clients before products, estimates and dayparts;
+# networks before programs
+LOAD_ORDER = ("advertiser", "destination", "estimate", "daypart", "program")
+
+
+def run_feeds(spark: SparkSession, landing: str | list[str], catalog, feeds=LOAD_ORDER, **options) -> None:
+    """Load several feeds in load order (each as :func:`run_feed`)."""
+    wanted = {feed_spec(f).name for f in feeds}
+    for feed in LOAD_ORDER:
+        if feed in wanted:
+            log.info("loading %s", feed)
+            run_feed(spark, feed, landing, catalog, **options)
+
+
 def _catalog(spark: SparkSession, args):
     from .catalog import JdbcCatalog, ParquetCatalog
 
@@ -99,7 +113,7 @@ def _catalog(spark: SparkSession, args):
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description="Load one feed from a landing area.")
-    p.add_argument("--feed", required=True, help=f"one of {sorted(FEEDS)}")
+    p.add_argument("--feed", required=True, help=f"one of {sorted(FEEDS)}, or all (in load order)")
     p.add_argument("--landing", required=True, action="append", help="landing root (repeatable)")
     p.add_argument("--catalog", help="root folder of parquet target tables")
     p.add_argument("--jdbc-url")
@@ -115,17 +129,19 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--tenant-scoped", action="store_true", help="match clients/networks within the feed row's tenant only")
     p.add_argument("--stage", default=None, choices=["table", "cache"], help="hold the flat feed as a parquet table (default) or in cache")
     args = p.parse_args(argv)
+    feeds = LOAD_ORDER if args.feed == "all" else (args.feed,)
     try:
-        feed_spec(args.feed)
+        for f in feeds:
+            feed_spec(f)
     except ValueError as e:
         print(e, file=sys.stderr)
         return 2
     spark = SparkSession.builder.appName(f"feed-{args.feed}").getOrCreate()
-    run_feed(
+    run_feeds(
         spark,
-        args.feed,
         args.landing,
         _catalog(spark, args),
+        feeds,
         since=args.since,
         multi_line=args.multi_line,
         mode=args.mode,

@@ -219,3 +219,11 @@ def test_tenant_scoped_client_and_network(spark, landing, tmp_path):
     assert scoped == [("D1", 1, 7)]
     _run(spark, "program", landing, cat2, tenant_scoped=True)
     assert [r.network_id for r in cat2.read("program").collect()] == [6]
+
+
+def test_cli_all_feeds_in_load_order(spark, landing, tmp_path):
+    cat = ParquetCatalog(spark, str(tmp_path / "all"))
+    cat.seed("tenant", spark.createDataFrame([(7, "T1")], "id long, mo_id string"))
+    assert main(["--feed", "all", "--landing", landing, "--catalog", cat.root, "--multi-line"]) == 0
+    counts = {t: cat.read(t).count() for t in ("client", "product", "network", "estimate", "daypart", "program")}
+    assert counts == {"client": 2, "product": 2, "network": 2, "estimate": 1, "daypart": 3, "program": 1}
