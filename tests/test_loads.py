@@ -227,3 +227,13 @@ def test_cli_all_feeds_in_load_order(spark, landing, tmp_path):
     assert main(["--feed", "all", "--landing", landing, "--catalog", cat.root, "--multi-line"]) == 0
     counts = {t: cat.read(t).count() for t in ("client", "product", "network", "estimate", "daypart", "program")}
     assert counts == {"client": 2, "product": 2, "network": 2, "estimate": 1, "daypart": 3, "program": 1}
+
+
+def test_feed_without_files_loads_nothing(spark, tmp_path):
+    land = tmp_path / "empty-landing"
+    write_doc(land, "DS-OO-NATIONAL-PROGRAMFEED-20180102-100000", envelope(feed="PROGRAM", programs=[]))
+    cat = ParquetCatalog(spark, str(tmp_path / "none"))
+    cat.seed("tenant", spark.createDataFrame([(7, "T1")], "id long, mo_id string"))
+    for feed in ("advertiser", "destination"):
+        _run(spark, feed, str(land), cat)
+    assert cat.read("client").count() == 0 and cat.read("network").count() == 0
