@@ -1,6 +1,7 @@
 """The feed job: feed name -> landing files -> flat feed -> load.
 
-    spark-submit -m feedspark.plans.job --feed advertiser --landing s3://.../landing --catalog s3://.../tables
+    python -m feedspark --feed advertiser --landing s3://.../landing --catalog s3://.../tables
+    (or spark-submit a script that calls ``feedspark.plans.job.main()``)
 
 or over JDBC (``--jdbc-url`` with ``--jdbc-user``/``--jdbc-password`` or the
 ``FEED_JDBC_USER``/``FEED_JDBC_PASSWORD`` variables).
@@ -112,7 +113,7 @@ def _catalog(spark: SparkSession, args):
 
 
 def main(argv: list[str] | None = None) -> int:
-    p = argparse.ArgumentParser(description="Load one feed from a landing area.")
+    p = argparse.ArgumentParser(prog="feedspark", description="Load one feed (or all, in load order) from a landing area.")
     p.add_argument("--feed", required=True, help=f"one of {sorted(FEEDS)}, or all (in load order)")
     p.add_argument("--landing", required=True, action="append", help="landing root (repeatable)")
     p.add_argument("--catalog", help="root folder of parquet target tables")
