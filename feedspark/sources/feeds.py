@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.names import name_date, relative_path, select_names
+from ..functions.names import feed_matches, name_date, relative_path, select_names
 from ..plans.specs import FeedSpec, feed_spec
 from ..schemas import DATE_FORMAT, TIMESTAMP_FORMAT
 
@@ -73,8 +73,10 @@ def scan_feed(
     name/date predicate (e.g. to look for undated files).
 
     ``multi_line=True`` reads one (possibly pretty-printed) document per file;
-    such a file is one task. The default reads one document per line, which
-    Spark splits across tasks. ``mode="PERMISSIVE"`` keeps bad documents in
+    such a file is never split (small ones are packed several to a task). The
+    default reads one document per line, which Spark splits across tasks. If
+    a root holds no entry of the feed, every file below the roots is listed
+    and the name predicate selects (none). ``mode="PERMISSIVE"`` keeps bad documents in
     ``_corrupt_record`` (see :func:`split_corrupt`); the default fails.
     The result has the document columns plus ``_feed_file`` (path below the
     landing root).
@@ -113,8 +115,6 @@ def undated_files(df: DataFrame, feed: str, name_col: str = FILE_COL) -> DataFra
     Give it an unselected scan (``scan_feed(..., select=False)``): the
     predicate is on file metadata, so only such files are opened.
     """
-    from ..functions.names import feed_matches
-
     return df.where(feed_matches(F.col(name_col), feed) & name_date(F.col(name_col)).isNull()).select(name_col).distinct()
 
 
