@@ -7,6 +7,7 @@ metadata, so files of other feeds are pruned before they are opened.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -75,8 +76,8 @@ def scan_feed(
     ``multi_line=True`` reads one (possibly pretty-printed) document per file;
     such a file is never split (small ones are packed several to a task). The
     default reads one document per line, which Spark splits across tasks. If
-    a root holds no entry of the feed, every file below the roots is listed
-    and the name predicate selects (none). ``mode="PERMISSIVE"`` keeps bad documents in
+    no root holds an entry of the feed, the roots themselves are read (so a
+    missing root still fails) and the name predicate selects nothing. ``mode="PERMISSIVE"`` keeps bad documents in
     ``_corrupt_record`` (see :func:`split_corrupt`); the default fails.
     The result has the document columns plus ``_feed_file`` (path below the
     landing root).
@@ -90,15 +91,22 @@ def scan_feed(
     docs = None
     if top_level:
         # list only the landing entries named after the feed (like a listing of
-        # the landing folder), not the whole history of every feed
-        try:
-            docs = reader.json([f"{r.rstrip('/')}/{name_glob(spec.word)}" for r in roots])
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
+        # the landing folder), not the whole history of every feed; a root
+        # without such entries is skipped
+        parts = []
+        for r in roots:
+            try:
+                part = reader.json(f"{r.rstrip('/')}/{name_glob(spec.word)}")
+            except AnalysisException as e:
+                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                    raise
+                continue
+            # file metadata does not cross a union: name the file per root
+            parts.append(part.withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), roots)))
+        if parts:
+            docs = reduce(DataFrame.unionByName, parts)
     if docs is None:
-        docs = reader.json(roots)
-    docs = docs.withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), roots))
+        docs = reader.json(roots).withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), roots))
     if select:
         docs = docs.where(select_names(F.col(FILE_COL), spec.word, since))
     return docs

@@ -164,3 +164,16 @@ def test_top_level_array_gives_one_document_per_element(spark, tmp_path):
     write_doc(tmp_path, ADV_NAME, json.dumps([adv_doc(tenant="T1"), adv_doc(tenant="T2")]), raw=True)
     docs = scan_feed(spark, str(tmp_path), "advertiser", multi_line=True)
     assert sorted(r.tenant for r in docs.collect()) == ["T1", "T2"]
+
+
+def test_root_without_feed_entries_is_skipped(spark, tmp_path):
+    a, b = tmp_path / "a", tmp_path / "b"
+    write_doc(a, ADV_NAME, adv_doc())
+    write_doc(b, "DS-OO-NATIONAL-PROGRAMFEED-20180102-100000", envelope(feed="PROGRAM", programs=[]))
+    docs = scan_feed(spark, [str(a), str(b)], "advertiser", multi_line=True)
+    assert docs.count() == 1
+
+
+def test_missing_root_fails(spark, tmp_path):
+    with pytest.raises(PySparkException):
+        scan_feed(spark, str(tmp_path / "nope"), "advertiser", multi_line=True)
