@@ -177,3 +177,17 @@ def test_root_without_feed_entries_is_skipped(spark, tmp_path):
 def test_missing_root_fails(spark, tmp_path):
     with pytest.raises(PySparkException):
         scan_feed(spark, str(tmp_path / "nope"), "advertiser", multi_line=True)
+
+
+def test_permissive_quarantines_bad_timestamp_instead_of_null(spark, tmp_path):
+    """A bad timestamp must not pass as null: a null extract would win the first-seen dedupe."""
+    import json
+
+    from feedspark.sources.feeds import split_corrupt
+
+    lines = "\n".join([json.dumps(adv_doc()), json.dumps(adv_doc(extractdatetime="2018/01/02 10:00"))])
+    write_doc(tmp_path, ADV_NAME, lines, raw=True)
+    docs = scan_feed(spark, str(tmp_path), "advertiser", mode="PERMISSIVE").persist()
+    good, bad = split_corrupt(docs)
+    assert [r.extractdatetime for r in good.collect()] == [dt.datetime(2018, 1, 2, 10, 0)]
+    assert bad.count() == 1
