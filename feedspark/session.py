@@ -28,6 +28,8 @@ def local_session(
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # checkpoint files of ids are removed once nothing refers to them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("FEEDSPARK_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
