@@ -58,3 +58,28 @@ def test_missing_parent_check_is_distinct_then_anti_join(spark, flats):
     seeds = L.seed_lookups(spark, SF)
     plan = _plan(missing_parents(flats["advertiser"], tenant_lookup(seeds["tenant"]), "tenant", "tenant_mo_id"))
     assert "LeftAnti" in plan and "HashAggregate" in plan
+
+
+def test_each_load_is_one_scan_and_one_shuffle(spark):
+    """With checked broadcasts: one JSON scan and one shuffle (the first-seen window) per load;
+    with shuffled lookups still one scan (null keys are salted, not split off)."""
+    import os
+    import sys
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
+    from plan_report import rows_plans, shape
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, df in rows_plans(spark, SF).items():
+            s = shape(df)
+            assert s["json scans"] == 1 and s["shuffles"] == 1 and s["partial window limits"] == 1, (name, s)
+        spark.conf.set("feedspark.lookup.broadcastMaxRows", "0")
+        for name, df in rows_plans(spark, SF).items():
+            s = shape(df)
+            assert s["json scans"] == 1 and s["broadcasts"] == 0, (name, s)
+            assert s["shuffles"] == 1 + 2 * s["sort-merge joins"], (name, s)
+    finally:
+        spark.conf.unset("feedspark.lookup.broadcastMaxRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
