@@ -21,8 +21,11 @@ def explode_chain(df: DataFrame, steps, keep_empty: bool = False) -> DataFrame:
     return df
 
 
-def flatten(docs: DataFrame, feed: str | FeedSpec, *, keep_empty: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Documents of ``feed`` -> one row per innermost payload element."""
+def flatten(
+    docs: DataFrame, feed: str | FeedSpec, *, keep_empty: bool = False, keep: tuple[str, ...] = (), columns=None
+) -> DataFrame:
+    """Documents of ``feed`` -> one row per innermost payload element
+    (all flat columns, or only ``columns``)."""
     spec = feed_spec(feed)
     exploded = explode_chain(docs, spec.explode, keep_empty)
-    return exploded.select(*spec.select_list(), *[F.col(c) for c in keep])
+    return exploded.select(*spec.select_list(columns), *[F.col(c) for c in keep])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.flatten import flatten
 from ..sinks.tables import append_table
 from ..sources.feeds import scan_feed, split_corrupt, undated_files
-from .loads import LOADERS
+from .loads import LOADERS, NEEDED
 from .specs import FEEDS, feed_spec
 
 log = logging.getLogger("feedspark.job")
@@ -33,11 +33,14 @@ def flat_feed(
     multi_line: bool = False,
     mode: str = "FAILFAST",
     quarantine: str | None = None,
+    columns=None,
 ) -> DataFrame:
-    """Scan + flatten one feed. In PERMISSIVE mode bad documents are appended
-    to ``quarantine`` (required then) instead of being dropped silently."""
+    """Scan + flatten one feed (all flat columns, or only ``columns``, whose
+    document fields alone are read). In PERMISSIVE mode bad documents are
+    appended to ``quarantine`` (required then) instead of being dropped
+    silently."""
     spec = feed_spec(feed)
-    docs = scan_feed(spark, landing, spec, since=since, multi_line=multi_line, mode=mode)
+    docs = scan_feed(spark, landing, spec, since=since, multi_line=multi_line, mode=mode, columns=columns)
     if mode.upper() == "PERMISSIVE":
         if not quarantine:
             raise ValueError("PERMISSIVE mode needs a quarantine location")
@@ -45,7 +48,7 @@ def flat_feed(
         good, bad = split_corrupt(docs)
         append_table(bad, quarantine)
         docs = good
-    return flatten(docs, spec)
+    return flatten(docs, spec, columns=columns)
 
 
 def report_undated(spark: SparkSession, feed: str, landing: str | list[str], *, multi_line: bool = False, show: int = 50) -> list[str]:
@@ -78,7 +81,9 @@ def run_feed(
     """
     spec = feed_spec(feed)
     report_undated(spark, spec.name, landing, multi_line=multi_line)
-    flat = flat_feed(spark, spec.name, landing, since=since, multi_line=multi_line, mode=mode, quarantine=quarantine)
+    flat = flat_feed(
+        spark, spec.name, landing, since=since, multi_line=multi_line, mode=mode, quarantine=quarantine, columns=NEEDED[spec.name]
+    )
     LOADERS[spec.name](flat, catalog, only_new=only_new, stage=stage, tenant_scoped=tenant_scoped)
 
 

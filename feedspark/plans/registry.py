@@ -51,8 +51,9 @@ def landing_root(spark: SparkSession, sf_dir: str, feeds=tuple(L.BUILDERS)) -> s
         return root
 
 
-def flat_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    return flatten(scan_feed(spark, landing_root(spark, sf_dir, (feed,)), feed), feed)
+def flat_feed(spark: SparkSession, sf_dir: str, feed: str, columns=None) -> DataFrame:
+    """Flat rows of one derived feed (all columns, or only ``columns``)."""
+    return flatten(scan_feed(spark, landing_root(spark, sf_dir, (feed,)), feed, columns=columns), feed, columns=columns)
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -72,7 +73,7 @@ def loaded_catalog(spark: SparkSession, sf_dir: str, feed: str) -> ParquetCatalo
         cat.seed("client", seeds["client"])
     if feed == "program":
         cat.seed("network", seeds["network"])
-    loads.LOADERS[feed](flat_feed(spark, sf_dir, feed), cat)
+    loads.LOADERS[feed](flat_feed(spark, sf_dir, feed, loads.NEEDED[feed]), cat)
     with _lock:
         _loaded[k] = cat
     return cat
@@ -331,14 +332,14 @@ def _estimate_two_tenant_catalog(spark: SparkSession, sf_dir: str, tag: str) ->
 def q_load_estimate_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Estimate load when some client ids exist under two tenants: unscoped, each copy matches."""
     cat = _estimate_two_tenant_catalog(spark, sf_dir, "estimate-fan-out")
-    loads.load_estimate(flat_feed(spark, sf_dir, "estimate"), cat)
+    loads.load_estimate(flat_feed(spark, sf_dir, "estimate", loads.NEEDED["estimate"]), cat)
     return cat.read("estimate")
 
 
 def q_load_estimate_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with tenant-scoped client matching: only the client of the feed's tenant."""
     cat = _estimate_two_tenant_catalog(spark, sf_dir, "estimate-scoped")
-    loads.load_estimate(flat_feed(spark, sf_dir, "estimate"), cat, tenant_scoped=True)
+    loads.load_estimate(flat_feed(spark, sf_dir, "estimate", loads.NEEDED["estimate"]), cat, tenant_scoped=True)
     return cat.read("estimate")
 
 
@@ -393,7 +394,7 @@ def q_rerun_only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the destination feed twice with the re-run guard: no row twice."""
     cat = ParquetCatalog(spark, scratch_path(spark, "catalog-rerun"))
     cat.seed("tenant", L.seed_lookups(spark, sf_dir)["tenant"])
-    flat = flat_feed(spark, sf_dir, "destination")
+    flat = flat_feed(spark, sf_dir, "destination", loads.NEEDED["destination"])
     loads.load_destination(flat, cat, only_new=True)
     loads.load_destination(flat, cat, only_new=True)
     return cat.read("network")

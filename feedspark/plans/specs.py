@@ -2,11 +2,12 @@
 flatten and how the flat columns are named."""
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 from .. import schemas as S
 from ..functions.parse import merge_brand_ids
@@ -28,16 +29,67 @@ class FeedSpec:
     explode: tuple[tuple[str, str], ...]
     columns: tuple[tuple[str, str], ...]
     derived: tuple[tuple[str, object], ...] = field(default=())
+    # source paths each derived column reads
+    derived_paths: tuple[tuple[str, tuple[str, ...]], ...] = field(default=())
 
-    def select_list(self) -> list[Column]:
-        cols = [F.col(src).alias(dst) for dst, src in self.columns]
+    def select_list(self, columns: Sequence[str] | None = None) -> list[Column]:
+        keep = set(columns) if columns is not None else None
+        cols = [F.col(src).alias(dst) for dst, src in self.columns if keep is None or dst in keep]
         for dst, make in self.derived:
-            cols.append(make().alias(dst))  # type: ignore[operator]
+            if keep is None or dst in keep:
+                cols.append(make().alias(dst))  # type: ignore[operator]
         return cols
 
     def flat_names(self) -> list[str]:
         return [dst for dst, _ in self.columns] + [dst for dst, _ in self.derived]
 
+    def read_schema(self, columns: Sequence[str] | None = None) -> StructType:
+        """Document schema reduced to the fields the given flat columns read
+        (and the arrays that are exploded). Spark prunes top-level JSON
+        fields by itself, but not fields inside exploded arrays."""
+        if columns is None:
+            return self.schema
+        unknown = set(columns) - set(self.flat_names())
+        if unknown:
+            raise ValueError(f"{self.name} has no flat columns {sorted(unknown)}")
+        sources = dict(self.columns)
+        derived = dict(self.derived_paths)
+        paths = []
+        for c in columns:
+            paths.extend(derived[c] if c in derived else [sources[c]])
+        aliases = {name: path for name, path in self.explode if name != path}
+
+        def resolve(path: str) -> list[str]:
+            head, *rest = path.split(".")
+            if head in aliases:
+                return resolve(".".join([aliases[head], *rest]))
+            return [head, *rest]
+
+        # an exploded array must exist, but not all of its fields are needed
+        containers = [resolve(p) + [_ANY] for _, p in self.explode]
+        return _prune(self.schema, [resolve(p) for p in paths] + containers)  # type: ignore[return-value]
+
+
+_ANY = "\0"  # path step: keep the container, no field in particular
+
+
+def _prune(dtype: DataType, paths: list[list[str]]) -> DataType:
+    """Keep only the fields on ``paths`` (a path ending at a field keeps all of it)."""
+    if isinstance(dtype, ArrayType):
+        return ArrayType(_prune(dtype.elementType, paths), dtype.containsNull)
+    if not isinstance(dtype, StructType) or any(not p for p in paths):
+        return dtype
+    paths = [p for p in paths if p[0] != _ANY] or []
+    fields = []
+    for f in dtype.fields:
+        below = [p[1:] for p in paths if p[0] == f.name]
+        if below:
+            fields.append(StructField(f.name, _prune(f.dataType, below), f.nullable))
+    if not fields:  # only the container was asked for: keep its first field
+        f = dtype.fields[0]
+        fields = [StructField(f.name, _prune(f.dataType, [[_ANY]]), f.nullable)]
+    return StructType(fields)
+
 
 def _envelope(*extra: tuple[str, str]) -> tuple[tuple[str, str], ...]:
     head = (("mo_system", "moSystem"), ("tenant", "tenant"), ("system", "system"))
@@ -77,6 +129,7 @@ ESTIMATE = FeedSpec(
     ),
     # both schema versions: the 2018+ list, or the 2017 scalar as a list
     derived=(("brand_ids", merge_brand_ids),),
+    derived_paths=(("brand_ids", ("estimates.brandIds", "estimates.brandId")),),
 )
 
 DAYPART = FeedSpec(

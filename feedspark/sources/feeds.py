@@ -64,6 +64,7 @@ def scan_feed(
     mode: str = "FAILFAST",
     select: bool = True,
     top_level: bool = True,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Documents of one feed under one or more landing roots.
 
@@ -80,11 +81,12 @@ def scan_feed(
     missing root still fails) and the name predicate selects nothing. ``mode="PERMISSIVE"`` keeps bad documents in
     ``_corrupt_record`` (see :func:`split_corrupt`); the default fails.
     The result has the document columns plus ``_feed_file`` (path below the
-    landing root).
+    landing root). ``columns`` (flat column names) reads only the document
+    fields those need, nested ones included.
     """
     spec = feed_spec(feed)
     roots = _as_list(landing)
-    schema = spec.schema
+    schema = spec.read_schema(columns)
     if mode.upper() == "PERMISSIVE":
         schema = StructType(schema.fields + [StructField(CORRUPT_COL, StringType(), True)])
     reader = _reader(spark, schema, multi_line, mode)

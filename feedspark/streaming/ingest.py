@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 
 from ..functions.names import relative_path, select_names
 from ..operators.flatten import flatten
-from ..plans.loads import LOADERS
+from ..plans.loads import LOADERS, NEEDED
 from ..plans.specs import feed_spec
 from ..schemas import DATE_FORMAT, TIMESTAMP_FORMAT
 from ..sources.feeds import FILE_COL, name_glob
 
 
 def feed_stream(spark: SparkSession, landing: str, feed: str, *, since: int = 0, multi_line: bool = False, max_files: int | None = None) -> DataFrame:
-    """Streaming DataFrame of one feed's documents (new files only)."""
+    """Streaming DataFrame of one feed's documents (new files only; only the
+    fields its load reads)."""
     spec = feed_spec(feed)
     reader = (
-        spark.readStream.schema(spec.schema)
+        spark.readStream.schema(spec.read_schema(NEEDED[spec.name]))
         .option("timestampFormat", TIMESTAMP_FORMAT)
         .option("dateFormat", DATE_FORMAT)
         .option("multiLine", bool(multi_line))
@@ -59,7 +60,7 @@ def start_feed_stream(
     load = LOADERS[spec.name]
 
     def batch(docs: DataFrame, epoch_id: int) -> None:
-        load(flatten(docs, spec), catalog, only_new=True)
+        load(flatten(docs, spec, columns=NEEDED[spec.name]), catalog, only_new=True)
 
     writer = feed_stream(spark, landing, spec.name, since=since, multi_line=multi_line, max_files=max_files).writeStream.foreachBatch(batch)
     writer = writer.option("checkpointLocation", checkpoint)

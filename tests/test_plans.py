@@ -83,3 +83,14 @@ def test_each_load_is_one_scan_and_one_shuffle(spark):
     finally:
         spark.conf.unset("feedspark.lookup.broadcastMaxRows")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_load_scan_reads_only_needed_nested_fields(spark):
+    from feedspark.plans.loads import NEEDED
+
+    flat = R.flat_feed(spark, SF, "advertiser", NEEDED["advertiser"])
+    read_schema = [ln for ln in _plan(flat).splitlines() if ln.startswith("ReadSchema")][0]
+    # the advertiser's media is inside the exploded array: Spark would read it, the load does not
+    assert "media" not in read_schema and "brands" in read_schema
+    est = R.flat_feed(spark, SF, "estimate", NEEDED["estimate"])
+    assert "brandId" not in [ln for ln in _plan(est).splitlines() if ln.startswith("ReadSchema")][0]
