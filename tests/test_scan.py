@@ -191,3 +191,20 @@ def test_permissive_quarantines_bad_timestamp_instead_of_null(spark, tmp_path):
     good, bad = split_corrupt(docs)
     assert [r.extractdatetime for r in good.collect()] == [dt.datetime(2018, 1, 2, 10, 0)]
     assert bad.count() == 1
+
+
+def test_read_schema_prunes_nested_fields(spark, tmp_path):
+    from feedspark.plans.specs import ADVERTISER, ESTIMATE
+
+    s = ADVERTISER.read_schema(["tenant", "brand_id"]).simpleString()
+    assert s == "struct<tenant:string,advertisers:array<struct<brands:array<struct<id:string>>>>>"
+    # envelope only: the exploded arrays stay (they decide the rows), with one field each
+    assert "advertisers:array<struct<brands:array<struct<id:string>>>>" in ADVERTISER.read_schema(["tenant"]).simpleString()
+    assert "brandIds" in ESTIMATE.read_schema(["brand_ids"]).simpleString()
+    assert ADVERTISER.read_schema(None) == ADVERTISER.schema
+    with pytest.raises(ValueError):
+        ADVERTISER.read_schema(["nope"])
+    write_doc(tmp_path, ADV_NAME, adv_doc())
+    cols = ["tenant", "brand_id"]
+    rows = flatten(scan_feed(spark, str(tmp_path), "advertiser", multi_line=True, columns=cols), "advertiser", columns=cols).collect()
+    assert sorted(map(tuple, rows)) == [("T1", "b1"), ("T1", "b2")]
