@@ -46,6 +46,73 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM q"""
 
 
+def _secrets() -> str:
+    from . import secret_scan as S
+
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    hits = " UNION ALL ".join(
+        f"SELECT r, {i} AS kind, regexp_extract_all(body, {quoted(p)}) AS h, regexp_split_to_array(body, {quoted(p)}) AS g FROM t"
+        for i, (_, p) in enumerate(S.KINDS)
+    )
+    role = {name: ", ".join(str(S.RANK[k]) for k in kinds) for name, kinds in S.ROLES.items()}
+
+    def near(name: str) -> str:
+        return f"""(coalesce(s - max(CASE WHEN kind IN ({role[name]}) THEN e END) OVER before, {S.SCOPE + 1}) <= {S.SCOPE}
+      OR coalesce(min(CASE WHEN kind IN ({role[name]}) THEN s END) OVER later - e, {S.SCOPE + 1}) <= {S.SCOPE})"""
+
+    names = "[" + ", ".join(quoted(k) for k, _ in S.KINDS) + "]"
+    one = f"{names}[kind + 1] || ':' || s || ':' || e"
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body FROM documents),
+hits AS ({hits}),
+each AS (SELECT r, kind, g, h, unnest(range(1, len(h) + 1)) AS i FROM hits),
+flat AS (SELECT r, kind, h[i] AS hit, sum(length(g[i]) + length(h[i])) OVER (PARTITION BY r, kind ORDER BY i) AS e FROM each),
+parts AS (
+  SELECT r, kind, (e - length(hit))::BIGINT AS s, e::BIGINT AS e FROM flat
+  WHERE CASE kind WHEN 0 THEN length(regexp_extract(hit, {quoted(S.ASSIGN)}, 2)) >= 6 WHEN 1 THEN length(hit) >= 20
+    WHEN {S.RANK["token"]} THEN regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') ELSE true END),
+linked AS (
+  SELECT *, {near("id")} AS near_id, {near("secret")} AS near_secret,
+    coalesce(max(CASE WHEN kind < 3 THEN e END) OVER before, -1) > s
+      OR coalesce(min(CASE WHEN kind < 3 THEN s END) OVER later, e) < e AS again
+  FROM parts
+  WINDOW before AS (PARTITION BY r ORDER BY s, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    later AS (PARTITION BY r ORDER BY s DESC, kind DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+kept AS (
+  SELECT * FROM linked WHERE kind < 3 OR (NOT again AND CASE kind WHEN {S.RANK["ident"]} THEN near_secret
+    WHEN {S.RANK["token"]} THEN near_id ELSE near_id AND near_secret END)),
+lists AS (
+  SELECT r, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS k, count(*) FILTER (kind = 2) AS x,
+    string_agg({one}, ',' ORDER BY s, kind, e) FILTER (kind < 3) AS base,
+    string_agg({one}, ',' ORDER BY s, kind, e) AS spans
+  FROM kept GROUP BY r)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(k, 0)::BIGINT AS n_access, coalesce(x, 0)::BIGINT AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN lists USING (r)"""
+
+
+_MIXING = """
+WITH per AS (SELECT source, sum(coalesce(strlen(text), 0) + 1)::BIGINT AS bytes FROM documents GROUP BY source),
+rates AS (
+  SELECT source, pow(bytes::DOUBLE, 0.5) / sum(pow(bytes::DOUBLE, 0.5)) OVER () * sum(bytes) OVER () / bytes AS rate FROM per),
+terms AS (
+  SELECT source, rate, k, sum(CASE WHEN k > 0 THEN ln(k::DOUBLE) ELSE 0.0 END) OVER (PARTITION BY source ORDER BY k) AS lnf
+  FROM (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 30)::BIGINT + 1)) AS k FROM rates)),
+cdf AS (SELECT source, k, sum(exp(k * ln(rate) - rate - lnf)) OVER (PARTITION BY source ORDER BY k) AS below FROM terms),
+steps AS (SELECT source, list(below) AS cdf FROM cdf GROUP BY source),
+drawn AS (
+  SELECT doc_id, d.source,
+    len(list_filter(cdf, lambda c: c <= ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / pow(2, 52)))::INTEGER AS copies
+  FROM documents d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source)
+SELECT doc_id, source, copies, copy::INTEGER AS copy,
+  ('0x' || substr(md5('17-order|' || coalesce(doc_id::VARCHAR, 'null') || '|' || copy), 1, 15))::BIGINT AS order_key
+FROM (SELECT *, unnest(range(0, copies)) AS copy FROM drawn)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_secret_scan": _secrets(),
     "op2_quality_rules": _quality(),
+    "op6_source_mixing": _MIXING,
 }

@@ -6,16 +6,58 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import mixing, near_dedup, quality_rules, secret_scan, sharding
 from .common import table
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and all spans of every document."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    strong = F.filter("spans", lambda s: s["kind"] < secret_scan.N_STRONG)
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == secret_scan.RANK[kind])).cast("long")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secret_scan.span_list(strong), 256).alias("base_sha256"),
+        secret_scan.span_list(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every copy of the mixed corpus, in its global order."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.replicate(docs).select("row.doc_id", "row.source", "copies", "copy", "order_key")
+
+
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document."""
+    found = near_dedup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document under the law of rows."""
+    put = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return put.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
+    "op6_source_mixing": op6_source_mixing,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_sharding": op10_sharding,
 }
