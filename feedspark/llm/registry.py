@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, near_dedup, quality_rules, secret_scan, sharding
-from .common import table
+from . import language, mixing, near_dedup, quality_model, quality_rules, secret_scan, sharding
+from .common import held_out, table
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,12 +33,29 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from rows not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.label(docs, language.train(docs))
+    return found.select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "lang_pred", "score", "spans")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every copy of the mixed corpus, in its global order."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.replicate(docs).select("row.doc_id", "row.source", "copies", "copy", "order_key")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; learned from labels not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality_model.predict(docs, quality_model.train(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score",
+        (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document."""
     found = near_dedup.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -57,7 +74,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
+    "op3_language_id": op3_language_id,
     "op6_source_mixing": op6_source_mixing,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op10_sharding": op10_sharding,
 }
