@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_dedup, quality_model, quality_rules, secret_scan, sharding
+from . import ann, language, mixing, near_dedup, pieces, quality_model, quality_rules, secret_scan, sharding
 from .common import held_out, table
 
 
@@ -40,6 +40,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "lang_pred", "score", "spans")
 
 
+def op5_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest vectors of every fiftieth."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(rows, rows.where("vec_id % 50 = 0")).withColumnRenamed("id", "vec_id")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every copy of the mixed corpus, in its global order."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -62,6 +68,19 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best and N-best segmentations of every document, decoded again."""
+    coded = pieces.decode(pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return coded.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_pieces"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        "score",
+        F.array_join(F.transform("nbest", lambda b: b["score"].cast("decimal(38,0)").cast("string")), ",").alias("nbest_scores"),
+        (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document under the law of rows."""
     put = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -75,8 +94,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
     "op3_language_id": op3_language_id,
+    "op5_hnsw_search": op5_hnsw_search,
     "op6_source_mixing": op6_source_mixing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_sharding": op10_sharding,
 }
