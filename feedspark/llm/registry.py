@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language, mixing, near_dedup, pieces, quality_model, quality_rules, secret_scan, sharding
+from . import ann, language, mixing, near_dedup, pieces, quality_model, quality_rules, repeats, secret_scan, sharding
 from .common import held_out, table
 
 
@@ -40,6 +40,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "lang_pred", "score", "spans")
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated passages take from every document."""
+    found = repeats.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest vectors of every fiftieth."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
     "op3_language_id": op3_language_id,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_hnsw_search": op5_hnsw_search,
     "op6_source_mixing": op6_source_mixing,
     "op7_quality_classifier": op7_quality_classifier,
