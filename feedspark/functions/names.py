@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import FEED_WORDS
@@ -40,7 +40,7 @@ def select_names(name: Column | str, feed: str, since: int = 0) -> Column:
     """Feed word present and name date strictly after ``since``.
 
     A name without a date (or a null name) gives false: the file is left out
-    (the job reports such files, see ``undated_files``).
+    (the job and the stream stop on such files, see ``undated_files``).
     """
     return F.coalesce(feed_matches(name, feed) & (name_date(name) > F.lit(int(since))), F.lit(False))
 
@@ -50,8 +50,7 @@ _SCHEME = re.compile(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
 
 def _normalise_root(root: str) -> str:
     path = _SCHEME.sub("", root)
-    path = "/" + path.lstrip("/") if path.startswith("/") else path
-    return path.rstrip("/")
+    return ("/" + path.lstrip("/")).rstrip("/")
 
 
 def relative_path(path: Column | str, roots: Sequence[str]) -> Column:
@@ -59,7 +58,8 @@ def relative_path(path: Column | str, roots: Sequence[str]) -> Column:
 
     File names and sub-folders below the root take part in feed selection;
     the root itself does not, so neither its name nor digits in it can select
-    or date a file. Paths under none of the roots keep their full text.
+    or date a file. ``roots`` must be written as file metadata writes paths
+    (see :func:`qualified_roots`); a path under none of them is an error.
     """
     p = _col(path)
     parts = []
@@ -67,4 +67,19 @@ def relative_path(path: Column | str, roots: Sequence[str]) -> Column:
         marker = _normalise_root(root) + "/"
         pos = F.instr(p, marker)  # first occurrence, 1-based; 0 when absent
         parts.append(F.when(pos > 0, p.substr(pos + F.lit(len(marker)), F.lit(1 << 30))))
-    return F.coalesce(*parts, p)
+    return F.coalesce(*parts, F.raise_error(F.concat(F.lit("file under none of the landing roots: "), p)).cast("string"))
+
+
+def qualified_roots(spark: SparkSession, roots: Sequence[str]) -> list[str]:
+    """Landing roots as file metadata spells them: absolute, percent-encoded,
+    globs resolved to the folders they match now."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    out = []
+    for root in roots:
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(conf)
+        # no matches only for a folder that is not there: reading it fails later
+        found = fs.globStatus(path) or []
+        places = [s.getPath() for s in found] or [path]
+        out += [fs.makeQualified(x).toUri().toString() for x in places]
+    return list(dict.fromkeys(out))

@@ -1,23 +1,9 @@
-"""Scalar parse helpers for feed fields held as strings, and the estimate
-schema-version merge."""
+"""The estimate schema-version merge."""
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import DATE_FORMAT, TIMESTAMP_FORMAT
-
-
-def parse_timestamp(c: Column | str, fmt: str = TIMESTAMP_FORMAT) -> Column:
-    """Feed timestamp text -> timestamp; text that does not parse gives null."""
-    return F.try_to_timestamp(F.col(c) if isinstance(c, str) else c, F.lit(fmt))
-
-
-def parse_date(c: Column | str, fmt: str = DATE_FORMAT) -> Column:
-    """Feed date text -> date; text that does not parse gives null."""
-    ts = F.try_to_timestamp(F.col(c) if isinstance(c, str) else c, F.lit(fmt))
-    return ts.cast("date")
-
 
 def merge_brand_ids(element: str = "estimates") -> Column:
     """One brand list for both estimate versions.

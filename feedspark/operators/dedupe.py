@@ -18,14 +18,12 @@ def first_seen(
     """One row per ``key``: the smallest ``order`` value, nulls first.
 
     Ties on ``order`` are broken by ``tiebreak`` (ascending, nulls first), so
-    repeated runs give the same rows. Null key values form one group. A key
-    column called ``name`` is not used for grouping.
+    repeated runs give the same rows. Null key values form one group.
 
     ``row_number() ... = 1`` is planned by Spark as a partial
     ``WindowGroupLimit`` before the shuffle, so a hot key sends at most one
     row per map task over the network.
     """
-    partition = [c for c in key if c != "name"]
     ordering = [F.col(order).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in tiebreak]
-    w = Window.partitionBy(*partition).orderBy(*ordering)
+    w = Window.partitionBy(*key).orderBy(*ordering)
     return df.withColumn(RANK_COL, F.row_number().over(w)).where(F.col(RANK_COL) == 1).drop(RANK_COL)

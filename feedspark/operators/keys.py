@@ -15,7 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
+
+# rows of one range (and so of one output file)
+RANGE_ROWS = 200_000
 
 _PID = "_id_pid"
 _POS = "_id_pos"
@@ -33,7 +36,12 @@ def assign_ids(
     """Add ``id_col`` = ``start`` + rank of the row in ``order_cols`` order."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if num_partitions is None:
+        # few rows make few ranges; the rows are staged, so counting reads them once
+        path = scratch_path(spark, "ids")
+        df.write.parquet(path)
+        df = spark.read.schema(df.schema).parquet(path)
+    n = num_partitions or df.count() // RANGE_ROWS + 1
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     ranged = (
         df.repartitionByRange(n, *order)

@@ -3,8 +3,8 @@
 Every lookup is a left outer equi-join on the external id; what happens to
 rows whose parent is missing is a policy:
 
-* ``raise`` - stop before anything is written, listing (a bounded number of)
-  the missing keys;
+* ``raise`` - stop before any target is written, listing the missing keys
+  (some in the message, all in a table);
 * ``keep``  - keep the row with null ids;
 * ``drop``  - remove the row.
 
@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 MISS_POLICIES = ("raise", "keep", "drop")
 DEFAULT_BROADCAST_ROWS = 1_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
@@ -41,23 +43,23 @@ def broadcast_byte_bound(df: DataFrame) -> int:
 class MissingParentError(RuntimeError):
     """Feed rows point at parents that the lookup table does not hold."""
 
-    def __init__(self, what: str, keys: list, more: bool):
+    def __init__(self, what: str, keys: list, more: bool, table: str | None = None):
         self.what = what
         self.keys = keys
         self.more = more
+        # holds every missing key
+        self.table = table
         listed = "\n".join(str(k) for k in keys)
-        suffix = "\n..." if more else ""
+        suffix = f"\n... (all in {table})" if more else ""
         super().__init__(f"{what} missing: {listed}{suffix}")
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
     """True when ``dim`` has at most ``max_rows`` rows and about ``max_bytes`` bytes.
 
-    One job: every task measures at most ``max_rows + 1`` rows (a limit, not
-    a full count; pushed to the database for JDBC) and passes on only one
-    number per row - the size of its values, JSON-encoded, which stands in
-    for the broadcast size - so the check stays cheap even when the answer
-    is no.
+    One partial aggregate: every task reads its part of the lookup and passes on
+    one row (count, bytes of the JSON-encoded values, which stand in for the
+    broadcast size). No row of the lookup moves, whatever its size.
     """
     if max_rows is None:
         max_rows = broadcast_bound(dim)
@@ -66,8 +68,7 @@ def fits_broadcast(dim: DataFrame, max_rows: int | None = None, max_bytes: int |
     if max_rows <= 0 or max_bytes <= 0:
         return False
     width = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in dim.columns]))) if dim.columns else F.lit(0)
-    sized = dim.select(width.alias("_w")).limit(max_rows + 1)
-    rows, size = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("_w"), F.lit(0))).first()
+    rows, size = dim.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
@@ -127,9 +128,10 @@ def missing_parents(
     """
     lk, rk = _keys(left_on), _keys(right_on)
     keys = feed.select(*lk).distinct()
-    parents = dim.select(*[F.col(r).alias(f"_p{i}") for i, r in enumerate(rk)]).distinct()
+    # an anti join ignores repeats on its right side: no distinct of the lookup
+    parents = dim.select(*[F.col(r).alias(f"_p{i}") for i, r in enumerate(rk)])
     if broadcast is None:
-        broadcast = fits_broadcast(parents, max_broadcast_rows)
+        broadcast = fits_broadcast(dim, max_broadcast_rows)
     if broadcast:
         parents = F.broadcast(parents)
     cond = _condition(keys, parents, lk, [f"_p{i}" for i in range(len(rk))])
@@ -149,13 +151,16 @@ def require_parents(
 ) -> None:
     """Raise :class:`MissingParentError` when any feed key has no parent.
 
-    One bounded action: at most ``show + 1`` missing keys reach the driver.
+    The whole list of missing keys is written to a table in the shared
+    checkpoint folder, named in the error; the message shows ``show`` of them.
     """
     missing = missing_parents(feed, dim, left_on, right_on, broadcast=broadcast, max_broadcast_rows=max_broadcast_rows)
     rows = missing.limit(show + 1).collect()
     if rows:
         keys = [r[0] if len(r) == 1 else tuple(r) for r in rows[:show]]
-        raise MissingParentError(what, keys, len(rows) > show)
+        table = scratch_path(feed.sparkSession, f"missing-{what.lower()}")
+        missing.write.parquet(table)
+        raise MissingParentError(what, keys, len(rows) > show, table)
 
 
 def resolve(

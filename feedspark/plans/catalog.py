@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keys import assign_ids
 from ..schemas import GENERATED_IDS, TARGET_COLUMNS, target_schema
+from ..session import scratch_path
 from ..sinks.tables import append_jdbc, append_table
 from ..sources.lookups import read_jdbc
 
@@ -40,7 +41,19 @@ class ParquetCatalog:
                 raise
             return self.spark.createDataFrame([], target_schema(table))
 
+    def ledger_path(self, table: str) -> str:
+        """Folder of the target's first-seen ledger (incremental loads)."""
+        return f"{self.root}/_ledgers/{table}"
+
+    def rewrite(self, table: str, df: DataFrame) -> None:
+        """Replace the table by rows that may come from it: staged first."""
+        path = scratch_path(self.spark, f"rewrite-{table}")
+        conform(df, table).write.parquet(path)
+        self.spark.read.schema(target_schema(table)).parquet(path).write.mode("overwrite").parquet(self.path(table))
+
     def next_id(self, table: str) -> int:
+        """The id after the largest. One writer per table at a time: two loads
+        that append at once would make the same ids."""
         top = self.read(table).agg(F.max("id")).first()[0]
         return 1 if top is None else int(top) + 1
 
@@ -66,6 +79,7 @@ class JdbcCatalog:
         *,
         schema: str = "",
         read_partitions: int = 4,
+        fetch_size: int = 10_000,
         writers: int = 20,
         untyped_strings: bool = True,
     ):
@@ -74,13 +88,15 @@ class JdbcCatalog:
         self.properties = dict(properties)
         self.prefix = f"{schema}." if schema and not schema.endswith(".") else schema
         self.read_partitions = read_partitions
+        self.fetch_size = fetch_size
         self.writers = writers
         self.untyped_strings = untyped_strings
 
     def read(self, table: str) -> DataFrame:
         part = "id" if "id" in TARGET_COLUMNS.get(table, ["id"]) else None
         return read_jdbc(
-            self.spark, self.url, self.prefix + table, self.properties, partition_column=part, num_partitions=self.read_partitions
+            self.spark, self.url, self.prefix + table, self.properties, partition_column=part,
+            num_partitions=self.read_partitions, fetch_size=self.fetch_size,
         )
 
     def append(self, table: str, df: DataFrame) -> None:

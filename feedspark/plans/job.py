@@ -13,52 +13,31 @@ import logging
 import os
 import sys
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.flatten import flatten
+from ..session import scratch_path
 from ..sinks.tables import append_table
-from ..sources.feeds import scan_feed, split_corrupt, undated_files
+from ..sources.feeds import check_undated, detect_multi_line, scan_feed, select_feed, split_corrupt
 from .loads import LOADERS, NEEDED
 from .specs import FEEDS, feed_spec
 
 log = logging.getLogger("feedspark.job")
 
 
-def flat_feed(
-    spark: SparkSession,
-    feed: str,
-    landing: str | list[str],
-    *,
-    since: int = 0,
-    multi_line: bool = False,
-    mode: str = "FAILFAST",
-    quarantine: str | None = None,
-    columns=None,
-) -> DataFrame:
-    """Scan + flatten one feed (all flat columns, or only ``columns``, whose
-    document fields alone are read). In PERMISSIVE mode bad documents are
-    appended to ``quarantine`` (required then) instead of being dropped
-    silently."""
-    spec = feed_spec(feed)
-    docs = scan_feed(spark, landing, spec, since=since, multi_line=multi_line, mode=mode, columns=columns)
-    if mode.upper() == "PERMISSIVE":
-        if not quarantine:
-            raise ValueError("PERMISSIVE mode needs a quarantine location")
-        docs = docs.persist()
-        good, bad = split_corrupt(docs)
+def _append_once(bad: DataFrame, quarantine: str) -> None:
+    """Append the bad documents that the quarantine does not hold yet."""
+    spark = bad.sparkSession
+    bad = bad.distinct()
+    try:
+        held = spark.read.parquet(quarantine)
+        bad = bad.join(held, [bad[c].eqNullSafe(held[c]) for c in bad.columns], "left_anti")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            raise
+    if not bad.isEmpty():
         append_table(bad, quarantine)
-        docs = good
-    return flatten(docs, spec, columns=columns)
-
-
-def report_undated(spark: SparkSession, feed: str, landing: str | list[str], *, multi_line: bool = False, show: int = 50) -> list[str]:
-    """Files of ``feed`` left out because their name holds no date (at most ``show``)."""
-    spec = feed_spec(feed)
-    docs = scan_feed(spark, landing, spec, multi_line=multi_line, select=False)
-    names = [r[0] for r in undated_files(docs, spec.word).limit(show).collect()]
-    if names:
-        log.warning("%s: %d+ file(s) without a date in the name were left out: %s", spec.word, len(names), ", ".join(names))
-    return names
 
 
 def run_feed(
@@ -68,9 +47,11 @@ def run_feed(
     catalog,
     *,
     since: int = 0,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     mode: str = "FAILFAST",
     quarantine: str | None = None,
+    undated: str = "raise",
+    undated_list: str | None = None,
     only_new: bool = False,
     stage: str | None = None,
     tenant_scoped: bool = False,
@@ -78,13 +59,32 @@ def run_feed(
     """Load every landing file of ``feed`` dated after ``since`` into ``catalog``.
 
     An unknown feed raises ``ValueError`` before anything is read.
+    ``multi_line=None`` finds out whether files hold one document each or one
+    per line. Files without a date stop the run, or with ``undated="skip"`` are
+    listed in the table ``undated_list``. In PERMISSIVE mode documents that do
+    not parse go to ``quarantine`` (required then) once the others are loaded;
+    a run that stops or is repeated adds none twice. ``only_new`` loads through
+    the ledger (see :mod:`feedspark.plans.incremental`).
     """
     spec = feed_spec(feed)
-    report_undated(spark, spec.name, landing, multi_line=multi_line)
-    flat = flat_feed(
-        spark, spec.name, landing, since=since, multi_line=multi_line, mode=mode, quarantine=quarantine, columns=NEEDED[spec.name]
-    )
+    permissive = mode.upper() == "PERMISSIVE"
+    if permissive and not quarantine:
+        raise ValueError("PERMISSIVE mode needs a quarantine location")
+    if multi_line is None:
+        multi_line = detect_multi_line(spark, landing, spec)
+    # one scan, one listing: the check, the selection and the load derive from it
+    docs = scan_feed(spark, landing, spec, multi_line=multi_line, mode=mode, columns=NEEDED[spec.name], select=False)
+    check_undated(docs, spec.word, undated, undated_list)
+    docs = select_feed(docs, spec.word, since)
+    bad = None
+    if permissive:
+        path = scratch_path(spark, f"documents-{spec.name}")
+        docs.write.parquet(path)
+        docs, bad = split_corrupt(spark.read.schema(docs.schema).parquet(path))
+    flat = flatten(docs, spec, columns=NEEDED[spec.name])
     LOADERS[spec.name](flat, catalog, only_new=only_new, stage=stage, tenant_scoped=tenant_scoped)
+    if bad is not None:
+        _append_once(bad, quarantine)
 
 
 # parents before children: clients before products, estimates and dayparts;
@@ -128,10 +128,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--jdbc-driver")
     p.add_argument("--jdbc-schema", default="")
     p.add_argument("--since", type=int, default=0, help="only files dated after yyyymmdd")
-    p.add_argument("--multi-line", action="store_true", help="one (pretty-printed) document per file")
+    p.add_argument("--multi-line", action=argparse.BooleanOptionalAction, default=None, help="one (pretty-printed) document per file, or one per line; found out unless given")
+    p.add_argument("--undated", default="raise", choices=["raise", "skip"], help="stop on files without a date in the name, or list them and go on")
+    p.add_argument("--undated-list", help="table for the list of skipped files")
     p.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"])
     p.add_argument("--quarantine", help="where PERMISSIVE mode keeps bad documents")
-    p.add_argument("--only-new", action="store_true", help="append only keys not yet in the target")
+    p.add_argument("--only-new", action="store_true", help="incremental load through the first-seen ledger")
     p.add_argument("--tenant-scoped", action="store_true", help="match clients/networks within the feed row's tenant only")
     p.add_argument("--stage", default=None, choices=["table", "cache"], help="hold the flat feed as a parquet table (default) or in cache")
     args = p.parse_args(argv)
@@ -152,6 +154,8 @@ def main(argv: list[str] | None = None) -> int:
         multi_line=args.multi_line,
         mode=args.mode,
         quarantine=args.quarantine,
+        undated=args.undated,
+        undated_list=args.undated_list,
         only_new=args.only_new,
         stage=args.stage,
         tenant_scoped=args.tenant_scoped,

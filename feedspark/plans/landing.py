@@ -10,9 +10,9 @@ the customer's order lines), network/destination = supplier, estimate =
 order, daypart = event, program = order line.
 
 A document never holds more than ``DOC_CHUNK`` source keys (orders,
-suppliers or events), so no group grows with the data, and each feed file
-folder is written by several tasks (``FILE_SALT``), so one busy month or
-tenant does not land in one task.
+suppliers or events), so no group grows with the data. Before the write rows
+are rebalanced by feed file: a folder with many rows is split over as many
+tasks as its size asks for.
 """
 from __future__ import annotations
 
@@ -23,7 +23,6 @@ from ..schemas import DATE_FORMAT, FEED_WORDS, TIMESTAMP_FORMAT
 
 # --- fixed values of the derived feeds --------------------------------------
 DOC_CHUNK = 256
-FILE_SALT = 4
 SYSTEM = "NATIONAL"
 MO_SYSTEM = "OO"
 DESTINATION_EXTRACTS = ("2018-01-01 06:00:00", "2018-07-01 06:00:00")
@@ -35,8 +34,20 @@ TABLES = (
 ).split()
 
 
+class Tables(dict):
+    """The driver's tables, each opened when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._open = lambda t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._open(name)
+        return self[name]
+
+
 def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TABLES}
+    return Tables(spark, sf_dir)
 
 
 def feed_file_name(feed: str, extract: Column) -> Column:
@@ -211,10 +222,9 @@ def feed_documents(t: dict[str, DataFrame], feeds=tuple(BUILDERS)) -> DataFrame:
 def write_landing(spark: SparkSession, sf_dir: str, root: str, feeds=tuple(BUILDERS)) -> str:
     """Write the documents of ``feeds`` under ``root``; returns ``root``."""
     docs = feed_documents(read_tables(spark, sf_dir), feeds)
-    salt = F.pmod(F.xxhash64("chunk"), F.lit(FILE_SALT))
     (
-        docs.repartition("feed_file", salt)
-        .select("feed_file", "value")
+        docs.select("feed_file", "value")
+        .hint("rebalance", "feed_file")
         .write.mode("append")
         .partitionBy("feed_file")
         .text(root)

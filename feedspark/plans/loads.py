@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 from ..operators.dedupe import first_seen
 from ..operators.lookup import require_parents, resolve
 from ..schemas import TARGET_COLUMNS
-from ..sinks.tables import new_rows
 from ..session import scratch_path
 from ..sources.lookups import as_lookup, client_lookup, network_lookup, tenant_lookup
+from . import incremental
 
-# business key of every target table (first-seen and re-run guard); product's
-# tenant comes from its client and is not stored, so its guard uses
-# (mo_id, client_id)
+# --- fixed values: business key of every target table; product's tenant is that
+# of its client and is not stored
 KEYS = {
     "client": ["tenant_id", "mo_id"],
     "product": ["tenant_id", "mo_id"],
@@ -36,7 +35,7 @@ def _tiebreak(table: str, key: list[str]) -> list[str]:
     return [c for c in TARGET_COLUMNS[table] if c not in key and c != "id"]
 
 
-# flat-feed columns each load reads (the rest is never held)
+# --- fixed values: flat-feed columns each load reads (the rest is never held)
 NEEDED = {
     "advertiser": ["tenant", "extract_datetime", "advertiser_id", "advertiser_name", "brand_id", "brand_name"],
     "destination": ["tenant", "extract_datetime", "id", "name", "media", "type", "nielsen_code"],
@@ -96,7 +95,7 @@ def with_tenant(flat: DataFrame, tenant: DataFrame, *, miss: str = "raise") -> D
 def client_rows(joined: DataFrame) -> DataFrame:
     """Earliest advertiser row per (tenant_id, advertiser_id)."""
     rows = joined.withColumnsRenamed({"advertiser_id": "mo_id", "advertiser_name": "name"})
-    key = ["tenant_id", "mo_id"]
+    key = KEYS["client"]
     return first_seen(rows, key, tiebreak=_tiebreak("client", key)).select("mo_id", "name", "tenant_id")
 
 
@@ -126,28 +125,39 @@ def product_rows(joined: DataFrame, client: DataFrame, *, tenant_scoped: bool =
         lk = client_lookup(client, mo_id_as="client_mo_id", columns=["client_id", "client_mo_id", "tenant_id"])
         rows = resolve(cand, lk, "advertiser_id", "client_mo_id", miss="keep")
     rows = rows.withColumnsRenamed({"brand_id": "mo_id", "brand_name": "name"})
-    key = ["tenant_id", "mo_id"]
-    return first_seen(rows, key, tiebreak=_tiebreak("product", key)).select("mo_id", "name", "client_id")
+    # the client's external id breaks ties: its made id follows that order in a
+    # load of everything, but not over several runs
+    first = first_seen(rows, KEYS["product"], tiebreak=["name", "advertiser_id"])
+    return first.select("tenant_id", *TARGET_COLUMNS["product"])
+
+
+def _product_tenants(catalog):
+    """Adds the tenant of each product's client."""
+
+    def keyed(products: DataFrame) -> DataFrame:
+        lk = client_lookup(catalog.read("client"), mo_id_as="client_mo_id", columns=["client_id", "tenant_id"])
+        return resolve(products, lk.withColumnRenamed("client_id", "_client"), "client_id", "_client", miss="keep").drop("_client")
+
+    return keyed
 
 
 def load_advertiser(flat: DataFrame, catalog, *, only_new: bool = False, tenant_scoped: bool = False, stage: str | None = None) -> None:
     """Client first, then product (which reads the client ids back)."""
     with persisted(flat, "advertiser", stage) as flat:
         joined = with_tenant(flat, catalog.read("tenant"))
-        clients = client_rows(joined)
         if only_new:
-            clients = new_rows(clients, catalog.read("client"), ["tenant_id", "mo_id"])
-        catalog.append("client", clients)
+            known = lambda rows: with_tenant(rows, catalog.read("tenant"), miss="keep")  # noqa: E731 - checked just now
+            incremental.run(flat, catalog, "client", lambda rows: client_rows(known(rows)), KEYS["client"])
+            incremental.run(
+                flat, catalog, "product",
+                lambda rows: product_rows(known(rows), catalog.read("client"), tenant_scoped=tenant_scoped),
+                KEYS["product"], _product_tenants(catalog),
+            )
+            return
+        catalog.append("client", client_rows(joined))
         # read after write: ids exist only now
         products = product_rows(joined, catalog.read("client"), tenant_scoped=tenant_scoped)
-        if only_new:
-            products = _only_new_products(products, catalog)
-        catalog.append("product", products)
-
-
-def _only_new_products(products: DataFrame, catalog) -> DataFrame:
-    # product has no tenant column; its key is (mo_id, client_id)
-    return new_rows(products, catalog.read("product"), ["mo_id", "client_id"])
+        catalog.append("product", products.drop("tenant_id"))
 
 
 # --- destination -> network --------------------------------------------------
@@ -164,10 +174,13 @@ def load_destination(flat: DataFrame, catalog, *, only_new: bool = False, stage:
     """Networks of known tenants (``tenant_scoped`` changes nothing: the tenant is the lookup)."""
     with persisted(flat, "destination", stage) as flat:
         joined = with_tenant(flat, catalog.read("tenant"))
-        rows = network_rows(joined)
         if only_new:
-            rows = new_rows(rows, catalog.read("network"), KEYS["network"])
-        catalog.append("network", rows)
+            incremental.run(
+                flat, catalog, "network",
+                lambda rows: network_rows(with_tenant(rows, catalog.read("tenant"), miss="keep")), KEYS["network"],
+            )
+            return
+        catalog.append("network", network_rows(joined))
 
 
 # --- estimate ----------------------------------------------------------------
@@ -197,15 +210,18 @@ def with_feed_tenant(flat: DataFrame, tenant: DataFrame) -> DataFrame:
 
 def load_estimate(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None, tenant_scoped: bool = False) -> None:
     with persisted(flat, "estimate", stage) as flat:
-        scope = None
-        if tenant_scoped:
-            flat, scope = with_feed_tenant(flat, catalog.read("tenant")), FEED_TENANT
-        # missing clients are listed by advertiser id (and tenant id when scoped)
-        joined = with_client(flat, catalog.read("client"), miss="raise", tenant_col=scope)
-        rows = estimate_rows(joined)
+        def joined(rows: DataFrame, miss: str) -> DataFrame:
+            scope = None
+            if tenant_scoped:
+                rows, scope = with_feed_tenant(rows, catalog.read("tenant")), FEED_TENANT
+            # missing clients are listed by advertiser id (and tenant id when scoped)
+            return with_client(rows, catalog.read("client"), miss=miss, tenant_col=scope)
+
+        checked = joined(flat, "raise")
         if only_new:
-            rows = new_rows(rows, catalog.read("estimate"), KEYS["estimate"])
-        catalog.append("estimate", rows)
+            incremental.run(flat, catalog, "estimate", lambda rows: estimate_rows(joined(rows, "keep")), KEYS["estimate"])
+            return
+        catalog.append("estimate", estimate_rows(checked))
 
 
 # --- daypart -----------------------------------------------------------------
@@ -220,14 +236,20 @@ def load_daypart(flat: DataFrame, catalog, *, only_new: bool = False, stage: str
     """Tenants must exist (checked only); the client is optional and gives the tenant id."""
     with persisted(flat, "daypart", stage) as flat:
         require_parents(flat, tenant_lookup(catalog.read("tenant")), "tenant", "tenant_mo_id", what="Tenants")
-        scope = None
-        if tenant_scoped:
-            flat, scope = with_feed_tenant(flat, catalog.read("tenant")), FEED_TENANT
-        joined = with_client(flat, catalog.read("client"), miss="keep", tenant_col=scope)
-        rows = daypart_rows(joined)
+        def derived(rows: DataFrame) -> DataFrame:
+            scope = None
+            if tenant_scoped:
+                rows, scope = with_feed_tenant(rows, catalog.read("tenant")), FEED_TENANT
+            return daypart_rows(with_client(rows, catalog.read("client"), miss="keep", tenant_col=scope))
+
         if only_new:
-            rows = new_rows(rows, catalog.read("daypart"), KEYS["daypart"])
-        catalog.append("daypart", rows)
+            incremental.run(flat, catalog, "daypart", derived, KEYS["daypart"])
+            return
+        # first seen per feed key before the lookup: the rows that survive are the
+        # same (a lookup never orders them), and far fewer of them are looked up
+        spec = incremental.LEDGERS["daypart"]
+        few = first_seen(flat.select(*spec.key, "extract_datetime", *spec.rest), spec.key, tiebreak=spec.rest)
+        catalog.append("daypart", derived(few))
 
 
 # --- program -----------------------------------------------------------------
@@ -263,11 +285,15 @@ def with_network(joined: DataFrame, network: DataFrame, *, miss: str = "drop", t
 def load_program(flat: DataFrame, catalog, *, only_new: bool = False, stage: str | None = None, tenant_scoped: bool = False) -> None:
     """Tenants must exist; programs of unknown networks are left out (before the dedupe)."""
     with persisted(flat, "program", stage) as flat:
-        joined = with_network(with_tenant(flat, catalog.read("tenant")), catalog.read("network"), tenant_scoped=tenant_scoped)
-        rows = program_rows(joined)
+        def derived(rows: DataFrame, miss: str) -> DataFrame:
+            known = with_tenant(rows, catalog.read("tenant"), miss=miss)
+            return program_rows(with_network(known, catalog.read("network"), tenant_scoped=tenant_scoped))
+
+        checked = derived(flat, "raise")
         if only_new:
-            rows = new_rows(rows, catalog.read("program"), KEYS["program"])
-        catalog.append("program", rows)
+            incremental.run(flat, catalog, "program", lambda rows: derived(rows, "keep"), KEYS["program"])
+            return
+        catalog.append("program", checked)
 
 
 LOADERS = {

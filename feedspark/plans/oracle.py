@@ -77,6 +77,8 @@ ESTIMATE_FIRST = """SELECT id AS mo_id, media, client_id, start_date, end_date,
 QUALIFY ROW_NUMBER() OVER (PARTITION BY id, client_id ORDER BY extract_datetime NULLS FIRST, media NULLS FIRST,
                            start_date NULLS FIRST, end_date NULLS FIRST, estimate_name NULLS FIRST) = 1"""
 
+NETWORK_ROWS = NETWORK.replace("ROW_NUMBER() OVER (ORDER BY tenant_id NULLS FIRST, mo_id NULLS FIRST) AS id, ", "")
+
 ORACLE_SQL: dict[str, str] = {
     "feed_file_select": f"""WITH {FILE_NAMES}
 SELECT event_id, file_name, TRY_CAST(NULLIF(regexp_extract(file_name, '([0-9]{{8}})', 1), '') AS INTEGER) AS file_date
@@ -192,4 +194,28 @@ WHERE NOT EXISTS (SELECT 1 FROM b1 WHERE b1.mo_id IS NOT DISTINCT FROM b2.mo_id
        CAST(s_nationkey AS BIGINT) AS tenant_id FROM supplier""",
     "rerun_only_new": NETWORK,
     "stream_load_network": NETWORK,
+    "stream_network_batches": NETWORK_ROWS,
+    "incremental_network": NETWORK_ROWS,
+    "incremental_client": f"WITH {ADV_ROWS}, {ADV_FLAT}, {CLIENT} SELECT mo_id, name, tenant_id FROM client",
+    "incremental_product": f"""WITH {ADV_ROWS}, {ADV_FLAT}, {CLIENT},
+cand AS (SELECT DISTINCT advertiser_id, brand_id, brand_name, extract_datetime FROM adv_flat),
+j AS (SELECT cand.*, client.mo_id AS client_mo_id, client.tenant_id FROM cand LEFT JOIN client ON cand.advertiser_id = client.mo_id)
+SELECT brand_id AS mo_id, brand_name AS name, client_mo_id, tenant_id FROM j
+QUALIFY ROW_NUMBER() OVER (PARTITION BY tenant_id, brand_id ORDER BY extract_datetime NULLS FIRST, brand_name NULLS FIRST, advertiser_id NULLS FIRST) = 1""",
+    "run_feed_client": f"WITH {ADV_ROWS}, {ADV_FLAT}, {CLIENT} SELECT id, mo_id, name, tenant_id FROM client",
+    "run_feed_multi_line": NETWORK,
+    "scan_quarantine": """SELECT 'DS-OO-NATIONAL-PROGRAMFEED-' || strftime(date_trunc('month', l.l_shipdate), '%Y%m%d') || '-000000' AS feed_file,
+       count(DISTINCT (n.n_name, l.l_shipdate, floor(l.l_orderkey / 256))) AS n_bad
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN part pt ON l.l_partkey = pt.p_partkey
+WHERE floor(l.l_orderkey / 256) % 10 = 3 GROUP BY 1""",
+    "undated_files": f"WITH {FILE_NAMES} SELECT DISTINCT file_name FROM f WHERE contains(upper(file_name), 'CLICKFEED') AND event_id % 50 = 0",
+    "missing_parent_table": """SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS advertiser_id FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 12)""",
+    "first_seen_by_name": "SELECT c_mktsegment AS name, min(c_custkey) AS c_custkey FROM customer GROUP BY 1",
+    "append_spread": f"SELECT *, CAST(least(3, (SELECT count(*) FROM supplier)) AS BIGINT) AS files FROM ({SUPPLIER_ROWS})",
 }
+# the same rows over several runs, and with lookups above the broadcast bound
+for _table in ("estimate", "daypart", "program"):
+    ORACLE_SQL[f"incremental_{_table}"] = ORACLE_SQL[f"load_{_table}_shuffled"] = ORACLE_SQL[f"load_{_table}"]
+ORACLE_SQL["load_product_shuffled"] = ORACLE_SQL["load_product"]

@@ -17,15 +17,16 @@ from ..functions.names import name_date, select_names
 from ..operators.dedupe import first_seen
 from ..operators.flatten import flatten
 from ..operators.keys import assign_ids
-from ..operators.lookup import missing_parents, resolve
+from ..operators.lookup import BROADCAST_ROWS_CONF, MissingParentError, missing_parents, resolve
 from ..operators.union import union_sources
 from ..session import scratch_path
 from ..sinks.tables import append_table, new_rows, overwrite_partitions
-from ..sources.feeds import parse_feed, scan_feed, split_corrupt
+from ..sources.feeds import FILE_COL, parse_feed, scan_feed, split_corrupt, undated_files
 from ..sources.lookups import as_lookup, client_lookup, tenant_lookup
 from . import landing as L
 from . import loads
 from .catalog import ParquetCatalog
+from .job import run_feed
 
 _lock = threading.Lock()
 _landing: dict[tuple[str, str], tuple[str, set[str]]] = {}
@@ -81,13 +82,17 @@ def loaded_catalog(spark: SparkSession, sf_dir: str, feed: str) -> ParquetCatalo
 
 # --- scans and flattening -----------------------------------------------------
 
-def q_feed_file_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     base = F.concat(F.lit("ds-oo-national-"), F.col("event_type"), F.lit("feed"))
     name = F.when(F.col("event_id") % 50 == 0, base).otherwise(
         F.concat(base, F.lit("-"), F.date_format("ts", "yyyyMMdd-HHmmss"))
     )
-    files = ev.select("event_id", name.alias("file_name"))
+    return ev.select("event_id", name.alias("file_name"))
+
+
+def q_feed_file_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _file_names(spark, sf_dir)
     return files.where(select_names("file_name", "clickfeed", since=20240115)).select(
         "event_id", "file_name", name_date("file_name").alias("file_date")
     )
@@ -142,17 +147,23 @@ def q_feed_since_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 BROKEN_CHUNK_RESIDUE = 3
 
 
-def q_scan_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Program documents where every tenth chunk is cut short: PERMISSIVE scan,
-    broken documents go to quarantine, the rest is flattened."""
+def _broken_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Program documents where every tenth chunk is cut short."""
     root = scratch_path(spark, "landing-broken")
     docs = L.program_documents(L.read_tables(spark, sf_dir))
     broken = (F.col("chunk") % 10) == BROKEN_CHUNK_RESIDUE
     text = F.when(broken, F.expr("substring(value, 1, length(value) - 7)")).otherwise(F.col("value"))
     docs.select("feed_file", text.alias("value")).write.partitionBy("feed_file").text(root)
-    scanned = scan_feed(spark, root, "program", mode="PERMISSIVE").persist()
-    good, bad = split_corrupt(scanned)
-    append_table(bad, f"{root}-quarantine")
+    return root
+
+
+def q_scan_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PERMISSIVE scan of documents some of which are broken: staged once, the
+    good ones flattened."""
+    scanned = scan_feed(spark, _broken_landing(spark, sf_dir), "program", mode="PERMISSIVE")
+    path = scratch_path(spark, "scanned")
+    scanned.write.parquet(path)
+    good, _ = split_corrupt(spark.read.schema(scanned.schema).parquet(path))
     flat = flatten(good, "program")
     return _ntz(flat.select("tenant", "extract_datetime", "program_id", "program_network_id", "program_start_date"), "extract_datetime")
 
@@ -413,9 +424,182 @@ def q_stream_load_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cat.read("network")
 
 
+def q_stream_network_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same one file at a time: the size of batches changes nothing."""
+    from ..streaming.ingest import start_feed_stream
+
+    cat = ParquetCatalog(spark, scratch_path(spark, "catalog-stream-batches"))
+    cat.seed("tenant", L.seed_lookups(spark, sf_dir)["tenant"])
+    root = landing_root(spark, sf_dir, ("destination",))
+    q = start_feed_stream(spark, root, "destination", cat, scratch_path(spark, "stream-batches-ckpt"), max_files=1)
+    if not q.awaitTermination(STREAM_TIMEOUT_SEC):
+        q.stop()
+        raise TimeoutError(f"stream did not finish the available files within {STREAM_TIMEOUT_SEC} s")
+    return cat.read("network").drop("id")
+
+
 STREAM_TIMEOUT_SEC = 1800
 
 
+# --- loads split over runs ------------------------------------------------------------
+
+# the history of each feed in three runs, the last part first
+RUNS = {
+    "advertiser": ("1996-01-01", "1994-01-01"),
+    "destination": ("2018-07-01", "2018-01-01"),
+    "estimate": ("1996-01-01", "1994-01-01"),
+    "daypart": ("2024-01-20", "2024-01-10"),
+    "program": ("1996-01-01", "1994-01-01"),
+}
+
+
+def split_catalog(spark: SparkSession, sf_dir: str, feed: str) -> ParquetCatalog:
+    """A catalog after incremental loads of a feed whose files arrive late:
+    first the newest, then the oldest, then the rest."""
+    cat = ParquetCatalog(spark, scratch_path(spark, f"catalog-split-{feed}"))
+    seeds = L.seed_lookups(spark, sf_dir)
+    cat.seed("tenant", seeds["tenant"])
+    if feed in ("estimate", "daypart"):
+        cat.seed("client", seeds["client"])
+    if feed == "program":
+        cat.seed("network", seeds["network"])
+    new, old = (F.lit(d).cast("timestamp") for d in RUNS[feed])
+    flat = flat_feed(spark, sf_dir, feed, loads.NEEDED[feed])
+    at = F.col("extract_datetime")
+    for part in (at >= new, at < old, (at >= old) & (at < new)):
+        loads.LOADERS[feed](flat.where(part), cat, only_new=True)
+    return cat
+
+
+def q_incremental_client(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_catalog(spark, sf_dir, "advertiser").read("client").drop("id")
+
+
+def q_incremental_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products by their clients' external ids (made ids follow the runs)."""
+    cat = split_catalog(spark, sf_dir, "advertiser")
+    client = cat.read("client").select(F.col("id").alias("client_id"), F.col("mo_id").alias("client_mo_id"), "tenant_id")
+    return cat.read("product").join(client, "client_id", "left").select("mo_id", "name", "client_mo_id", "tenant_id")
+
+
+def q_incremental_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_catalog(spark, sf_dir, "destination").read("network").drop("id")
+
+
+def q_incremental_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_catalog(spark, sf_dir, "estimate").read("estimate")
+
+
+def q_incremental_daypart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_catalog(spark, sf_dir, "daypart").read("daypart")
+
+
+def q_incremental_program(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_catalog(spark, sf_dir, "program").read("program")
+
+
+# --- loads with lookups above the broadcast bound --------------------------------------
+
+def _shuffled(spark: SparkSession, sf_dir: str, feed: str, table: str) -> DataFrame:
+    before = spark.conf.get(BROADCAST_ROWS_CONF, None)
+    spark.conf.set(BROADCAST_ROWS_CONF, "0")
+    try:
+        cat = ParquetCatalog(spark, scratch_path(spark, f"catalog-shuffled-{feed}"))
+        for name, df in L.seed_lookups(spark, sf_dir).items():
+            if name == "tenant" or (name, feed) in (("client", "estimate"), ("client", "daypart"), ("network", "program")):
+                cat.seed(name, df)
+        loads.LOADERS[feed](flat_feed(spark, sf_dir, feed, loads.NEEDED[feed]), cat)
+        return cat.read(table)
+    finally:
+        if before is None:
+            spark.conf.unset(BROADCAST_ROWS_CONF)
+        else:
+            spark.conf.set(BROADCAST_ROWS_CONF, before)
+
+
+def q_load_product_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shuffled(spark, sf_dir, "advertiser", "product")
+
+
+def q_load_estimate_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shuffled(spark, sf_dir, "estimate", "estimate")
+
+
+def q_load_daypart_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shuffled(spark, sf_dir, "daypart", "daypart")
+
+
+def q_load_program_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shuffled(spark, sf_dir, "program", "program")
+
+
+# --- the job, its checks and its quarantine --------------------------------------------
+
+def q_run_feed_client(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed job end to end on the advertiser landing."""
+    cat = ParquetCatalog(spark, scratch_path(spark, "catalog-job"))
+    cat.seed("tenant", L.seed_lookups(spark, sf_dir)["tenant"])
+    run_feed(spark, "advertiser", landing_root(spark, sf_dir, ("advertiser",)), cat)
+    return cat.read("client")
+
+
+def q_run_feed_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed job on files of one document over several lines each."""
+    root = scratch_path(spark, "landing one document a file")
+    docs = L.destination_documents(L.read_tables(spark, sf_dir))
+    lines = docs.select("feed_file", F.xxhash64("value").alias("doc"), F.replace(F.col("value"), F.lit("{"), F.lit("{\n")).alias("value"))
+    lines.write.partitionBy("feed_file", "doc").text(root)
+    cat = ParquetCatalog(spark, scratch_path(spark, "catalog-multi-line"))
+    cat.seed("tenant", L.seed_lookups(spark, sf_dir)["tenant"])
+    run_feed(spark, "destination", root, cat)
+    return cat.read("network")
+
+
+def q_scan_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken documents per feed file in the quarantine of a PERMISSIVE job
+    that ran twice."""
+    root = _broken_landing(spark, sf_dir)
+    seeds = L.seed_lookups(spark, sf_dir)
+    for turn in range(2):
+        cat = ParquetCatalog(spark, scratch_path(spark, f"catalog-quarantine-{turn}"))
+        cat.seed("tenant", seeds["tenant"])
+        cat.seed("network", seeds["network"])
+        run_feed(spark, "program", root, cat, multi_line=False, mode="PERMISSIVE", quarantine=f"{root}-kept")
+    held = spark.read.parquet(f"{root}-kept")
+    return held.groupBy(F.regexp_extract(FILE_COL, "feed_file=([^/]+)/", 1).alias("feed_file")).agg(F.count(F.lit(1)).alias("n_bad"))
+
+
+def q_undated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All names of a feed without a date."""
+    return undated_files(_file_names(spark, sf_dir), "clickfeed", "file_name")
+
+
+def q_missing_parent_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole list of missing keys that a stopped run leaves."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_custkey").cast("string").alias("advertiser_id"))
+    client = L.seed_lookups(spark, sf_dir)["client"].where(F.col("tenant_id") < 12)
+    lk = client_lookup(client, mo_id_as="client_mo_id", columns=["client_id", "client_mo_id"])
+    try:
+        resolve(orders, lk, "advertiser_id", "client_mo_id", miss="raise", what="Clients")
+    except MissingParentError as e:
+        return spark.read.parquet(e.table)
+    return orders.limit(0)  # none missing
+
+
+def q_first_seen_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_mktsegment").alias("name"), "c_custkey")
+    return first_seen(customer, ["name"], order="c_custkey")
+
+
+def q_append_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows spread over three writers, and read back with their files' number."""
+    path = scratch_path(spark, "append_spread")
+    append_table(_supplier_rows(spark, sf_dir), path, writers=3)
+    out = spark.read.parquet(path)
+    files = out.select(F.input_file_name().alias("f")).distinct().agg(F.count(F.lit(1)).alias("files"))
+    return out.join(F.broadcast(files), F.col("files") > 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_file_select": q_feed_file_select,
     "json_scan_flatten": q_json_scan_flatten,
@@ -451,4 +635,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overwrite_partitions": q_overwrite_partitions,
     "rerun_only_new": q_rerun_only_new,
     "stream_load_network": q_stream_load_network,
+    "stream_network_batches": q_stream_network_batches,
+    "incremental_client": q_incremental_client,
+    "incremental_product": q_incremental_product,
+    "incremental_network": q_incremental_network,
+    "incremental_estimate": q_incremental_estimate,
+    "incremental_daypart": q_incremental_daypart,
+    "incremental_program": q_incremental_program,
+    "load_product_shuffled": q_load_product_shuffled,
+    "load_estimate_shuffled": q_load_estimate_shuffled,
+    "load_daypart_shuffled": q_load_daypart_shuffled,
+    "load_program_shuffled": q_load_program_shuffled,
+    "run_feed_client": q_run_feed_client,
+    "run_feed_multi_line": q_run_feed_multi_line,
+    "scan_quarantine": q_scan_quarantine,
+    "undated_files": q_undated_files,
+    "missing_parent_table": q_missing_parent_table,
+    "first_seen_by_name": q_first_seen_by_name,
+    "append_spread": q_append_spread,
 }

@@ -85,8 +85,6 @@ def document_schema(payload_field: str, element: StructType, extra_envelope: lis
 
 
 ADVERTISER_DOC = document_schema("advertisers", ADVERTISER, [_s("advertiserMappedByMedia")])
-ESTIMATE_DOC_2017 = document_schema("estimates", ESTIMATE_2017)
-ESTIMATE_DOC_2018 = document_schema("estimates", ESTIMATE_2018)
 ESTIMATE_DOC = document_schema("estimates", ESTIMATE_ANY)
 DAYPART_DOC = document_schema("dayparts", DAYPART)
 DESTINATION_DOC = document_schema("destinations", DESTINATION)

@@ -7,8 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 
 
-def append_table(df: DataFrame, path: str, *, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Append ``df`` to a file table (duplicates are not checked)."""
+def append_table(df: DataFrame, path: str, *, fmt: str = "parquet", partition_by: Sequence[str] = (), writers: int | None = None) -> None:
+    """Append ``df`` to a file table (duplicates are not checked).
+
+    ``writers`` spreads the rows evenly over so many tasks (and files) first."""
+    if writers is not None:
+        if writers < 1:
+            raise ValueError("writers must be at least 1")
+        df = df.repartition(writers)
     writer = df.write.mode("append").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -47,11 +53,12 @@ def append_jdbc(
     ``untyped_strings`` sends strings untyped so the database casts them
     (PostgreSQL ``stringtype=unspecified``).
     """
+    if writers < 1:
+        raise ValueError("writers must be at least 1")
     props = dict(properties)
     if untyped_strings:
         props.setdefault("stringtype", "unspecified")
-    out = df.repartition(writers) if writers else df
-    out.write.option("numPartitions", writers).jdbc(url=url, table=table, mode="append", properties=props)
+    df.repartition(writers).write.option("numPartitions", writers).jdbc(url=url, table=table, mode="append", properties=props)
 
 
 def _null_safe(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Column:

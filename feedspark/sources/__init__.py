@@ -1,10 +1,9 @@
 """Sources: landing-area feed scans, JSON-text parsing, lookup tables."""
-from .feeds import parse_feed, read_documents, scan_feed, select_feed, split_corrupt, undated_files
+from .feeds import UndatedFilesError, check_undated, detect_multi_line, parse_feed, scan_feed, select_feed, split_corrupt, undated_files
 from .lookups import as_lookup, client_lookup, network_lookup, read_jdbc, tenant_lookup
 
 __all__ = [
     "parse_feed",
-    "read_documents",
     "scan_feed",
     "select_feed",
     "split_corrupt",

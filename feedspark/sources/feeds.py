@@ -6,6 +6,7 @@ metadata, so files of other feeds are pruned before they are opened.
 """
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,13 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.names import feed_matches, name_date, relative_path, select_names
+from ..functions.names import feed_matches, name_date, qualified_roots, relative_path, select_names
 from ..plans.specs import FeedSpec, feed_spec
 from ..schemas import DATE_FORMAT, TIMESTAMP_FORMAT
 
 FILE_COL = "_feed_file"
 CORRUPT_COL = "_corrupt_record"
-MODES = ("FAILFAST", "PERMISSIVE", "DROPMALFORMED")
+# a mode that leaves bad documents out without a trace is not offered
+MODES = ("FAILFAST", "PERMISSIVE")
 
 
 def _reader(spark: SparkSession, schema: StructType, multi_line: bool, mode: str):
@@ -86,6 +88,7 @@ def scan_feed(
     """
     spec = feed_spec(feed)
     roots = _as_list(landing)
+    places = qualified_roots(spark, roots)
     schema = spec.read_schema(columns)
     if mode.upper() == "PERMISSIVE":
         schema = StructType(schema.fields + [StructField(CORRUPT_COL, StringType(), True)])
@@ -104,11 +107,11 @@ def scan_feed(
                     raise
                 continue
             # file metadata does not cross a union: name the file per root
-            parts.append(part.withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), roots)))
+            parts.append(part.withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), places)))
         if parts:
             docs = reduce(DataFrame.unionByName, parts)
     if docs is None:
-        docs = reader.json(roots).withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), roots))
+        docs = reader.json(roots).withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), places))
     if select:
         docs = docs.where(select_names(F.col(FILE_COL), spec.word, since))
     return docs
@@ -119,6 +122,59 @@ def select_feed(df: DataFrame, feed: str, since: int = 0, name_col: str = FILE_C
     return df.where(select_names(F.col(name_col), feed, since))
 
 
+class UndatedFilesError(RuntimeError):
+    """Feed files whose name holds no date: no cutoff can place them."""
+
+
+def check_undated(docs: DataFrame, feed: str, policy: str = "raise", listing: str | None = None) -> None:
+    """Stop on undated files of the feed, or with ``policy="skip"`` write the
+    whole list of them to the ``listing`` table (idempotently) and go on.
+
+    ``docs`` is an unselected scan, which the caller selects from afterwards,
+    so the landing area is listed once."""
+    if policy not in ("raise", "skip"):
+        raise ValueError("policy must be raise or skip")
+    if policy == "skip" and not listing:
+        raise ValueError("skipping undated files needs a place for their list")
+    names = undated_files(docs, feed)
+    if policy == "skip":
+        spark = docs.sparkSession
+        try:
+            names = names.join(spark.read.parquet(listing), names.columns, "left_anti")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+        if not names.isEmpty():
+            names.write.mode("append").parquet(listing)
+        return
+    some = [r[0] for r in names.limit(6).collect()]
+    if some:
+        raise UndatedFilesError(f"{feed}: files without a date in the name: " + ", ".join(some[:5]) + (", ..." if len(some) > 5 else ""))
+
+
+def detect_multi_line(spark: SparkSession, landing: str | Sequence[str], feed: str | FeedSpec) -> bool:
+    """Whether the feed's files hold one document over several lines each: the
+    first line of one of them is no whole document. A feed must keep to one
+    form: pretty-printed files fail a scan by lines, but of a file of lines the
+    multi-line form would read the first document only."""
+    spec = feed_spec(feed)
+    for root in _as_list(landing):
+        try:
+            # a text scan that is cut at its first row reads the head of one file
+            line = spark.read.option("recursiveFileLookup", True).text(f"{root.rstrip('/')}/{name_glob(spec.word)}").where(F.trim("value") != "").first()
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            continue
+        if line is not None:
+            try:
+                json.loads(line[0])
+            except ValueError:
+                return True
+            return False
+    return False
+
+
 def undated_files(df: DataFrame, feed: str, name_col: str = FILE_COL) -> DataFrame:
     """Files of the feed whose name holds no 8-digit date (left out by the cutoff).
 
@@ -140,14 +196,10 @@ def parse_feed(df: DataFrame, column: str, feed: str | FeedSpec, *, mode: str =
 def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good documents, quarantined documents) of a PERMISSIVE scan.
 
-    The scan is persisted by the caller if both halves are used, so the
-    files are read once.
+    The scan is staged by the caller if both halves are used, so the files
+    are read once.
     """
     good = docs.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
     bad = docs.where(F.col(CORRUPT_COL).isNotNull()).select(FILE_COL, CORRUPT_COL)
     return good, bad
 
-
-def read_documents(spark: SparkSession, paths: str | Sequence[str], schema: StructType, *, multi_line: bool = False, mode: str = "FAILFAST") -> DataFrame:
-    """Plain document scan with a fixed schema (no feed selection)."""
-    return _reader(spark, schema, multi_line, mode).json(_as_list(paths))

@@ -15,14 +15,19 @@ def read_jdbc(
     *,
     partition_column: str | None = None,
     num_partitions: int = 1,
+    fetch_size: int = 10_000,
 ) -> DataFrame:
     """A database table over JDBC.
 
     Several partitions need a numeric ``partition_column``; its bounds are
     read first with one small query (min/max), so the ranges fit the data.
-    Without it the read is a single task.
+    Without it the read is a single task. ``fetch_size`` bounds the rows a
+    task holds at a time (drivers that ignore it buffer their whole range:
+    give those more partitions).
     """
-    props = dict(properties)
+    if num_partitions < 1:
+        raise ValueError("num_partitions must be at least 1")
+    props = {"fetchsize": str(fetch_size), **properties}
     if partition_column and num_partitions > 1:
         bounds = spark.read.jdbc(
             url, f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}) b", properties=props
@@ -66,7 +71,3 @@ def network_lookup(network: DataFrame) -> DataFrame:
     """Network table as used by programs: ``network_id``, ``network_mo_id``."""
     return as_lookup(network, {"id": "network_id", "mo_id": "network_mo_id"}, ["network_id", "network_mo_id"])
 
-
-def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast columns (database ids arrive with whatever type the driver reports)."""
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from feedspark.plans.landing import TABLES
+from feedspark.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -34,10 +35,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]
