@@ -11,8 +11,9 @@
 3. Survivors are verified exactly on full shingle sets, each member's likeliest
    hub first, and joined into components.
 4. Whatever a bucket then holds in different components is compared in blocks
-   inside tasks by the same Bayesian test, and its survivors verified exactly, so
-   a link between members that no hub has is found too.
+   inside tasks: the members outside the bucket's largest component against all,
+   by the same Bayesian test and then on full sets, so a link between members that
+   no hub has is found too, and a task puts out no more links than join components.
 
 A pair at the threshold shares no band with probability below 1e-6.
 
@@ -42,6 +43,7 @@ N_HASHES = BAND * N_BANDS
 BATCH = 16  # signature values compared at a time
 MISS = 1e-6  # posterior probability at which a pair is given up
 BLOCK = 256  # members of a bucket compared at once
+COLUMNS = 4096  # shingles counted at once when blocks are verified
 # ids up to this number (8 bytes each) are sent to every task instead of
 # shuffling texts to them
 BROADCAST_IDS = 1_000_000
@@ -115,22 +117,60 @@ def _prune(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pdf[["a", "b"]].iloc[alive].assign(equal=equal)
 
 
-def _block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block with another (or within itself) that lie in
-    different components, have no hub in them and survive."""
-    i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-    x = pdf[pdf["block"] == i]
-    y = x if i == j else pdf[pdf["block"] == j]
-    sx, sy = _table(x["sig"]), _table(y["sig"])
-    ids, others, mine, theirs = (v.to_numpy() for v in (x["rep"], y["rep"], x["component"], y["component"]))
-    out = [np.empty((0, 2), dtype=np.int64)]
-    for k in range(len(ids)):
-        to = np.flatnonzero((theirs != mine[k]) & ((others > ids[k]) if i == j else True))
-        if len(to):
-            alive, _ = alike(np.broadcast_to(sx[k], (len(to), N_HASHES)), sy[to])
-            far = others[to[alive]]
-            out.append(np.stack([np.minimum(far, ids[k]), np.maximum(far, ids[k])], axis=1))
-    return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+def _shared_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of ``x`` with every one of ``y``."""
+    size = [len(s) for s in x + y]
+    values, which, count = np.unique(np.concatenate(x + y), return_inverse=True, return_counts=True)
+    often = count > 1
+    column = (np.cumsum(often) - 1)[which]
+    row, column = np.repeat(np.arange(len(size)), size)[often[which]], column[often[which]]
+    by = np.argsort(column, kind="stable")
+    row, column = row[by], column[by]
+    out = np.zeros((len(x), len(y)), dtype=np.float32)
+    for at in range(0, int(often.sum()), COLUMNS):
+        a, b = np.searchsorted(column, (at, at + COLUMNS))
+        hold = np.zeros((len(size), COLUMNS), dtype=np.float32)
+        hold[row[a:b], column[a:b] - at] = 1
+        out += hold[: len(x)] @ hold[len(x) :].T
+    return out.astype(np.int64)
+
+
+def _block_links(size: int):
+    """Links between one block of a bucket's minor members and one of all its
+    members across components: the batches first, then the full sets; of the
+    links found as many as it takes to join what they join."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y = pdf[pdf["minor"]], pdf[~pdf["minor"]]
+        ids, others, mine, theirs = (v.to_numpy() for v in (x["rep"], y["rep"], x["component"], y["component"]))
+        maybe = np.zeros((len(ids), len(others)), dtype=bool)
+        if len(ids) and len(others):
+            sx, sy = _table(x["sig"]), _table(y["sig"])
+            for k in range(len(ids)):
+                to = np.flatnonzero(theirs != mine[k])
+                alive, _ = alike(np.broadcast_to(sx[k], (len(to), N_HASHES)), sy[to])
+                maybe[k, to[alive]] = True
+        rows, cols = np.flatnonzero(maybe.any(axis=1)), np.flatnonzero(maybe.any(axis=0))
+        found = []
+        if len(rows):
+            a, b = ([shingles(t.encode(), size) for t in v] for v in (x["text"].iloc[rows], y["text"].iloc[cols]))
+            both = _shared_counts(a, b)
+            union = np.array([len(s) for s in a])[:, None] + np.array([len(s) for s in b])[None, :] - both
+            head: dict[int, int] = {}
+
+            def top(c: int) -> int:
+                while c in head:
+                    c = head[c]
+                return c
+
+            for i, j in np.argwhere((100 * both >= PERCENT * union) & maybe[np.ix_(rows, cols)]):
+                p, q = top(int(mine[rows[i]])), top(int(theirs[cols[j]]))
+                if p != q:
+                    head[max(p, q)] = min(p, q)
+                    found.append((int(ids[rows[i]]), int(others[cols[j]])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
 
 
 def _exact(size: int):
@@ -187,23 +227,37 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
     sure = cut(_verified(first.select("p.*").distinct(), texts, size), "sure")
     part = cut(components(sure, "first"), "parts")
 
-    # what is left: pairs across components, with a hub or in blocks
+    # hub pairs that still lie across components
     a_part, b_part = (part.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
     across = likely.join(a_part, "a", "left").join(b_part, "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
     across = across.join(first.select("p.*").distinct(), ["a", "b"], "left_anti")
+    links = cut(sure.unionByName(_verified(across, texts, size)), "links")
+    part = cut(components(links, "second"), "second_parts")
+
+    # members without a hub across components: a bucket's minor members (not of
+    # its largest component) against all, in blocks
     many = members.where("n > 2").join(part.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = many.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    inner = many.where("rep <> hub AND rep <> hub2").join(mixed, "key")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    inner = inner.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    dealt = inner.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "rep", "component")
-    blocked = dealt.join(reps.select("rep", "sig"), "rep").groupBy("key", "i", "j").applyInPandas(_block_pairs, "a bigint, b bigint")
-    rest = cut(across.unionByName(blocked.distinct().join(likely.select("a", "b"), ["a", "b"], "left_anti")), "rest")
-    more_ids = cut(rest.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "rest_ids")
-    more = cut(_only(rows.where("id IS NOT NULL AND text IS NOT NULL"), more_ids, "left_semi").dropDuplicates(["id"]), "rest_texts")
-    late = cut(_verified(rest, more, size), "late")
-    final = cut(components(sure.unionByName(late), "all"), "components")
+    many = cut(many.select("key", "n", "rep", "hub", "hub2", "component"), "many")
+    held = many.groupBy("key", "component").agg(
+        F.count(F.lit(1)).alias("c"), F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.expr("bit_xor(xxhash64(rep))").alias("x")
+    )
+    mixed = held.groupBy("key").agg(
+        F.sum("c").alias("n"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("c", "component")).alias("top"),
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.expr("bit_xor(x)").alias("x"),
+    ).where("parts > 1")
+    # buckets with the same members do the same work
+    once = mixed.groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key"), F.min_by("top", "key").alias("top"))
+    inner = many.drop("n").where("rep <> hub AND rep <> hub2").join(once.select("key", "n", "top"), "key").withColumn("minor", F.col("component") != F.col("top.component"))
+    x_blocks = F.ceil((F.col("n") - F.col("top.c")) / BLOCK).cast("int")
+    y_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    x_own, y_own = F.pmod(F.xxhash64("rep"), x_blocks).cast("int"), F.pmod(F.xxhash64("rep"), y_blocks).cast("int")
+    xs = inner.where("minor").select("key", "rep", "component", "minor", x_own.alias("i"), F.explode(F.sequence(F.lit(0), y_blocks - 1)).alias("j"))
+    ys = inner.select("key", "rep", "component", F.lit(False).alias("minor"), F.explode(F.sequence(F.lit(0), x_blocks - 1)).alias("i"), y_own.alias("j"))
+    dealt = cut(xs.unionByName(ys), "dealt")
+    more = cut(_only(rows.where("id IS NOT NULL AND text IS NOT NULL"), cut(dealt.select(F.col("rep").alias("id")).distinct(), "dealt_ids"), "left_semi").dropDuplicates(["id"]), "dealt_texts")
+    facts = reps.select("rep", "sig").join(more.select(F.col("id").alias("rep"), "text"), "rep")
+    blocked = dealt.join(facts, "rep").groupBy("key", "i", "j").applyInPandas(_block_links(size), "a bigint, b bigint")
+    final = cut(components(links.unionByName(blocked), "all"), "components")
 
     named = signed.drop("sig").join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left").join(final.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep", "id")).otherwise(F.col("id"))
