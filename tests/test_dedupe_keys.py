@@ -44,9 +44,14 @@ def test_window_group_limit_before_shuffle(spark):
     assert "WindowGroupLimit" in _plan(first_seen(df, ["k"]))
 
 
-def test_name_is_not_a_partition_column(spark):
+def test_name_is_a_key_like_any_other(spark):
     df = spark.createDataFrame([("a", "n1", dt.datetime(2018, 1, 1)), ("a", "n2", dt.datetime(2018, 1, 2))], "k string, name string, extract_datetime timestamp")
-    assert first_seen(df, ["k", "name"]).count() == 1
+    assert first_seen(df, ["k", "name"]).count() == first_seen(df, ["name"]).count() == 2
+
+
+def test_few_rows_make_few_ranges(spark):
+    df = spark.range(300).selectExpr("id % 3 as tenant_id", "cast(id as string) as mo_id")
+    assert assign_ids(df, ["tenant_id", "mo_id"]).select(F.spark_partition_id()).distinct().count() == 1
 
 
 def test_assign_ids_equals_global_row_number(spark):

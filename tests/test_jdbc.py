@@ -19,7 +19,7 @@ def test_ranged_read_uses_bounds_of_the_table(spark, monkeypatch):
     df = read_jdbc(spark, "jdbc:x://h/db", "media.client", {"user": "u"}, partition_column="id", num_partitions=4)
     assert df.count() == 1
     assert "MIN(id)" in calls[0]["table"] and "media.client" in calls[0]["table"]
-    assert calls[1] == {"table": "media.client", "column": "id", "lo": 5, "hi": 901, "n": 4, "props": {"user": "u"}}
+    assert calls[1] == {"table": "media.client", "column": "id", "lo": 5, "hi": 901, "n": 4, "props": {"fetchsize": "10000", "user": "u"}}
 
 
 def test_single_partition_read_without_column(spark, monkeypatch):
@@ -48,3 +48,27 @@ def test_append_leaves_id_to_the_database(spark, monkeypatch):
     assert seen["cols"] == ["mo_id", "name", "tenant_id"]  # no id: the database makes it
     assert seen["props"]["stringtype"] == "unspecified"
     assert seen["parts"] == 3
+
+
+def test_no_writers_or_partitions_is_refused(spark):
+    import pytest
+
+    rows = spark.createDataFrame([("A",)], "mo_id string")
+    from feedspark.sinks.tables import append_jdbc, append_table
+
+    for call in (
+        lambda: append_jdbc(rows, "jdbc:x://h/db", "t", {}, writers=0),
+        lambda: append_table(rows, "/nowhere", writers=0),
+        lambda: read_jdbc(spark, "jdbc:x://h/db", "t", {}, num_partitions=0),
+    ):
+        with pytest.raises(ValueError, match="at least 1"):
+            call()
+
+
+def test_incremental_loads_need_a_ledger(spark):
+    import pytest
+
+    from feedspark.plans import incremental
+
+    with pytest.raises(ValueError, match="ledger"):
+        incremental.run(spark.range(1), JdbcCatalog(spark, "jdbc:x://h/db", {}), "client", lambda d: d, [])

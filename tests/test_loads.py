@@ -184,12 +184,30 @@ def test_stage_in_cache_gives_same_tables(spark, landing, catalog, tmp_path):
         assert sorted(map(tuple, cat2.read(t).collect())) == sorted(map(tuple, catalog.read(t).collect()))
 
 
-def test_undated_files_are_reported(spark, landing):
-    from feedspark.plans.job import report_undated
+def test_undated_files_stop_the_run_or_are_listed(spark, landing, catalog, tmp_path):
+    from feedspark.sources import UndatedFilesError
 
     write_doc(landing, "DS-OO-NATIONAL-DESTINATIONFEED-latest", envelope(feed="DESTINATION", destinations=[]))
-    assert report_undated(spark, "destination", landing, multi_line=True) == ["DS-OO-NATIONAL-DESTINATIONFEED-latest"]
-    assert report_undated(spark, "advertiser", landing, multi_line=True) == []
+    with pytest.raises(UndatedFilesError, match="DESTINATIONFEED-latest"):
+        _run(spark, "destination", landing, catalog)
+    assert catalog.read("network").count() == 0
+    listing = str(tmp_path / "undated")
+    with pytest.raises(ValueError, match="list"):
+        _run(spark, "destination", landing, catalog, undated="skip")
+    for _ in range(2):
+        _run(spark, "destination", landing, catalog, undated="skip", undated_list=listing, only_new=True)
+    assert [r[0] for r in spark.read.parquet(listing).collect()] == ["DS-OO-NATIONAL-DESTINATIONFEED-latest"]
+    assert catalog.read("network").count() == 2
+
+
+def test_missing_keys_are_kept_in_full(spark):
+    from feedspark.operators.lookup import resolve
+
+    feed = spark.range(200).selectExpr("cast(id as string) as k")
+    dim = spark.createDataFrame([("0", 1)], "d string, n int")
+    with pytest.raises(MissingParentError) as e:
+        resolve(feed, dim, "k", "d", miss="raise")
+    assert len(e.value.keys) == 50 and e.value.more and spark.read.parquet(e.value.table).count() == 199
 
 
 def test_cli_loads_a_feed(spark, landing, tmp_path):
@@ -237,3 +255,29 @@ def test_feed_without_files_loads_nothing(spark, tmp_path):
     for feed in ("advertiser", "destination"):
         _run(spark, feed, str(land), cat)
     assert cat.read("client").count() == 0 and cat.read("network").count() == 0
+
+
+def test_a_brand_under_two_advertisers_over_two_runs(spark, tmp_path):
+    land, cat = str(tmp_path / "landing"), ParquetCatalog(spark, str(tmp_path / "tables"))
+    cat.seed("tenant", spark.createDataFrame([(7, "T1")], "id long, mo_id string"))
+    for day, adv in (("01", "A"), ("02", "B")):
+        doc = envelope(ts=f"2018-01-{day}-10-00-00", advertiserMappedByMedia="N", advertisers=[{"id": adv, "name": adv, "media": "N", "brands": [{"id": "b1", "name": "x"}]}])
+        write_doc(land, f"DS-ADVERTISERFEED-201801{day}", doc)
+        _run(spark, "advertiser", land, cat, only_new=True)
+    client = {r.mo_id: r.id for r in cat.read("client").collect()}
+    assert [tuple(r) for r in cat.read("product").collect()] == [("b1", "x", client["A"])]
+
+
+def test_a_new_lookup_row_reaches_rows_loaded_before(spark, tmp_path):
+    land, cat = str(tmp_path / "landing"), ParquetCatalog(spark, str(tmp_path / "tables"))
+    cat.seed("tenant", spark.createDataFrame([(7, "T1")], "id long, mo_id string"))
+    network = "id long, mo_id string, name string, tenant_id long, media string, network_type string, nielsen_code string"
+    cat.seed("network", spark.createDataFrame([(1, "N1", "n", 7, "m", "t", "c")], network))
+    for k, (pid, net) in enumerate((("P1", "N1"), ("P2", "N2"), ("P3", "N1"))):
+        doc = envelope(ts=f"2018-01-0{k + 1}-10-00-00", feed="PROGRAM", programs=[{"id": pid, "name": pid, "networkId": net, "media": "TV"}])
+        write_doc(land, f"DS-PROGRAMFEED-2018010{k + 1}", doc)
+        _run(spark, "program", land, cat, only_new=True)
+        if k == 1:
+            assert [r.mo_id for r in cat.read("program").collect()] == ["P1"]
+            cat.seed("network", spark.createDataFrame([(1, "N1", "n", 7, "m", "t", "c"), (2, "N2", "n", 7, "m", "t", "c")], network))
+    assert sorted((r.mo_id, r.network_id) for r in cat.read("program").collect()) == [("P1", 1), ("P2", 2), ("P3", 1)]

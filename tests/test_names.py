@@ -1,6 +1,11 @@
 from pyspark.sql import functions as F
 
-from feedspark.functions.names import feed_matches, name_date, relative_path, select_names
+import pytest
+
+from feedspark.functions.names import feed_matches, name_date, qualified_roots, relative_path, select_names
+from feedspark.sources.feeds import scan_feed
+
+from .conftest import envelope, write_doc
 
 
 def test_feed_word_and_date(spark):
@@ -30,6 +35,19 @@ def test_relative_path_ignores_root(spark):
     )
     rel = [r[0] for r in df.select(relative_path(F.col("p"), ["/data/20991231-ADVERTISERFEED/landing"])).collect()]
     assert rel == ["DS-PROGRAMFEED-20180101", "sub/x"]
-    rel2 = [r[0] for r in df.select(relative_path(F.col("p"), ["hdfs://nn:8020/data/20991231-ADVERTISERFEED/landing/"])).collect()]
-    # a root on another file system does not match: the full path is kept
-    assert rel2 == ["file:/data/20991231-ADVERTISERFEED/landing/DS-PROGRAMFEED-20180101", "sub/x"]
+    # a root on another file system does not match: an error, not a guess
+    with pytest.raises(Exception, match="under none of the landing roots"):
+        df.select(relative_path(F.col("p"), ["hdfs://nn:8020/data/20991231-ADVERTISERFEED/landing/"])).collect()
+
+
+@pytest.mark.parametrize("folder", ["land 20990101", "100% ADVERTISERFEED", "Zürich-20990101-feed", "a+b&c=d", "plain"])
+def test_no_root_selects_or_dates_a_file(spark, tmp_path, folder, monkeypatch):
+    root = tmp_path / folder
+    write_doc(root, "DS-ADVERTISERFEED-20180101", envelope(advertisers=[]))
+    write_doc(root, "DS-PROGRAMFEED-20300101", envelope(feed="PROGRAM", programs=[]))
+    monkeypatch.chdir(tmp_path)
+    for spelled in (str(root), f"file://{root}/", str(root)[:-1] + "?"):
+        docs = scan_feed(spark, spelled, "advertiser", since=20170101, multi_line=True)
+        assert [r._feed_file for r in docs.select("_feed_file").collect()] == ["DS-ADVERTISERFEED-20180101"], spelled
+        assert scan_feed(spark, spelled, "advertiser", since=20200101, multi_line=True).count() == 0
+    assert len(qualified_roots(spark, [str(tmp_path / "*")])) == 1

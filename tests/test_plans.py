@@ -94,3 +94,20 @@ def test_load_scan_reads_only_needed_nested_fields(spark):
     assert "media" not in read_schema and "brands" in read_schema
     est = R.flat_feed(spark, SF, "estimate", NEEDED["estimate"])
     assert "brandId" not in [ln for ln in _plan(est).splitlines() if ln.startswith("ReadSchema")][0]
+
+
+def test_size_check_moves_no_row_of_the_lookup(spark, tmp_path):
+    """One partial aggregate: no limit, and only one row a task leaves the map side."""
+    spark.range(5000).selectExpr("id as tenant_id", "cast(id as string) as tenant_mo_id").write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    from feedspark.operators import lookup
+
+    seen = []
+    kind = type(dim)
+    first = kind.first
+    try:
+        kind.first = lambda self: (seen.append(self._jdf.queryExecution().executedPlan().toString()), first(self))[1]
+        assert lookup.fits_broadcast(dim, 10_000, 1 << 20) and not lookup.fits_broadcast(dim, 4_999, 1 << 20)
+    finally:
+        kind.first = first
+    assert len(seen) == 2 and all("Limit" not in p and "partial_count" in p for p in seen)

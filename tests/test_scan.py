@@ -5,8 +5,10 @@ from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
 from feedspark.operators.flatten import flatten
-from feedspark.plans.job import flat_feed
-from feedspark.sources.feeds import parse_feed, scan_feed
+from feedspark.plans.catalog import ParquetCatalog
+from feedspark.plans.job import run_feed
+from feedspark.operators.lookup import MissingParentError
+from feedspark.sources.feeds import detect_multi_line, parse_feed, scan_feed
 
 from .conftest import envelope, write_doc
 
@@ -76,10 +78,33 @@ def test_permissive_quarantines_bad_documents(spark, tmp_path):
     write_doc(land, ADV_NAME, adv_doc())
     write_doc(land, "DS-OO-NATIONAL-ADVERTISERFEED-20180103-100000", "{ not json", raw=True)
     q = str(tmp_path / "quarantine")
-    flat = flat_feed(spark, "advertiser", str(land), multi_line=True, mode="PERMISSIVE", quarantine=q)
-    assert flat.count() == 2
+    cat = ParquetCatalog(spark, str(tmp_path / "tables"))
+    with pytest.raises(MissingParentError):  # no tenant yet: nothing is written
+        run_feed(spark, "advertiser", str(land), cat, multi_line=True, mode="PERMISSIVE", quarantine=q)
+    assert not (tmp_path / "quarantine").exists()
+    cat.seed("tenant", spark.createDataFrame([(7, "T1")], "id long, mo_id string"))
+    for _ in range(2):
+        run_feed(spark, "advertiser", str(land), cat, multi_line=True, mode="PERMISSIVE", quarantine=q, only_new=True)
+    assert cat.read("product").count() == 2
     bad = spark.read.parquet(q).collect()
     assert len(bad) == 1 and "ADVERTISERFEED-20180103" in bad[0]._feed_file
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_no_mode_drops_documents(spark, tmp_path):
+    write_doc(tmp_path, ADV_NAME, adv_doc())
+    with pytest.raises(ValueError, match="mode"):
+        scan_feed(spark, str(tmp_path), "advertiser", mode="DROPMALFORMED")
+
+
+def test_form_of_files_is_found_out(spark, tmp_path):
+    import json
+
+    write_doc(tmp_path / "pretty", ADV_NAME, adv_doc())
+    write_doc(tmp_path / "lines", ADV_NAME, json.dumps(adv_doc()) + "\n" + json.dumps(adv_doc()), raw=True)
+    assert detect_multi_line(spark, str(tmp_path / "pretty"), "advertiser")
+    assert not detect_multi_line(spark, str(tmp_path / "lines"), "advertiser")
+    assert not detect_multi_line(spark, str(tmp_path / "lines"), "program")
 
 
 def test_since_cutoff_and_undated_names(spark, tmp_path):
