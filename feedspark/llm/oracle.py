@@ -111,8 +111,49 @@ SELECT doc_id, source, copies, copy::INTEGER AS copy,
 FROM (SELECT *, unnest(range(0, copies)) AS copy FROM drawn)"""
 
 
+_REPEATS = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (
+  SELECT doc_id, 1000 * c AS base, substr(h, 2000 * c + 1, 2098) AS part
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2000 + 1)) AS c FROM t)),
+places AS (
+  SELECT doc_id, base + q AS p, substr(part, 2 * q + 1, 100) AS s
+  FROM (SELECT doc_id, base, part, unnest(range(0, greatest(least(1000, length(part) // 2 - 49), 0))) AS q FROM parts)),
+firsts AS (SELECT s, min(doc_id) AS least FROM places GROUP BY s HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS prev
+  FROM places JOIN firsts USING (s) WHERE least < doc_id),
+runs AS (SELECT doc_id, p, sum(CASE WHEN p - prev <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM gone),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM runs GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM spans),
+kept AS (
+  SELECT t.doc_id, count(*) AS n, sum(b - a) AS removed,
+    string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS rest
+  FROM gaps JOIN t USING (doc_id) GROUP BY t.doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)"""
+
+_NEAR = """
+WITH RECURSIVE t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1))) AS i FROM t)
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM t WHERE len(w) BETWEEN 1 AND 3),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (SELECT doc_id, doc_id AS r FROM t UNION SELECT reach.doc_id, y FROM reach JOIN links ON r = x)
+SELECT t.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r) AS component_id, t.doc_id = min(r) AS kept
+FROM t JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY t.doc_id"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": _secrets(),
     "op2_quality_rules": _quality(),
+    "op4_suffix_array_dedup": _REPEATS,
     "op6_source_mixing": _MIXING,
+    "op8_minhash_near_dedup": _NEAR,
 }
