@@ -79,7 +79,7 @@ def _grams(points: np.ndarray, letter_start: np.ndarray, letter_end: np.ndarray)
     low = np.where((points >= 65) & (points < 91), points + 32, points)
     low = np.where((points >= 0xC0) & (points < 0xDF), points + 32, low).astype(np.uint64)
     size = letter_end - letter_start
-    first = np.concatenate(([0], np.cumsum(size + 1)[:-1])).astype(np.int64)
+    first = (np.cumsum(size + 1) - (size + 1)).astype(np.int64)
     # words one after another, each with a blank before it
     at = np.arange(int(size.sum() + len(size))) - np.repeat(first, size + 1) + np.repeat(letter_start, size + 1) - 1
     text = low[np.maximum(at, 0)]
