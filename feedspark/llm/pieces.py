@@ -35,7 +35,8 @@ from pyspark.sql import types as T
 # the vocabulary file of a public tokenizer; a parameter everywhere
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 4
-CACHE = 200_000  # units whose segmentation a task remembers at most
+ROWS = 500  # rows of one batch that a task puts out
+CACHE = 400_000  # units whose segmentation a task remembers at most
 MARK = "▁"
 # stands for a blank mark of the text itself; no text holds lone surrogates
 _OWN_MARK = "\udc81"
@@ -115,31 +116,31 @@ class Lattice:
         return value, into
 
     def _best(self, unit: str) -> tuple[bytes, float, float]:
-        n, edges = len(unit), self.edges(unit)
-        value, into = self._forward(n, edges)
-        path, at = [], n
+        n, none = len(unit), float("-inf")
+        known = self.single.issuperset(unit)
+        found = self.matcher.iter(unit) if known else [(b - 1, (b - a, s, i)) for a, b, s, i in self.edges(unit)]
+        # the best and the second best score up to every place
+        value, second, into = [0.0] + [none] * n, [none] * (n + 1), [None] * (n + 1)
+        for end, (size, score, i) in found:
+            end += 1
+            a = end - size
+            v, top = value[a] + score, value[end]
+            if v > top:
+                value[end], into[end] = v, (a, i)
+                v = second[a] + score
+                second[end] = top if top > v else v
+            elif v > second[end]:
+                second[end] = v
+        ids, at = [], n
         while at:
-            e = into[at]
-            path.append(e)
-            at = e[0]
-        ids = array("i", self.ids(unit, path[::-1])).tobytes()
-        if len(edges) == len(path):
-            return ids, value[n], float("inf")
-        # the best score through an edge off the best path is the second best;
-        # edges are sorted by end, so all that leave a place come after those
-        # that reach it
-        rest, second = [float("-inf")] * n + [0.0], float("-inf")
-        for e in reversed(edges):
-            a, b, s, _ = e
-            v = rest[b] + s
-            if v > rest[a]:
-                rest[a] = v
-            v += value[a]
-            if v > second and into[b] is not e:
-                second = v
-            elif v > second and e not in path:
-                second = v
-        return ids, value[n], value[n] - second
+            a, i = into[at]
+            if i >= 0:
+                ids.append(i)
+            else:
+                ids += self.ids(unit, [(a, at, 0.0, i)])[::-1]
+            at = a
+        ids.reverse()
+        return array("i", ids).tobytes(), value[n], value[n] - second[n]
 
     def nbest(self, unit: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The ``n`` best segmentations (all, if fewer): backward A-star whose
@@ -152,9 +153,11 @@ class Lattice:
         into: list[list] = [[] for _ in range(len(unit) + 1)]
         for e in edges:
             into[e[1]].append(e)
-        heap, turn, out = [(-value[-1], 0, 0.0, len(unit), None)], 0, []
+        # of equally good ones the path nearest to the start goes on first, so
+        # a unit full of ties is walked through, not spread out
+        heap, turn, out = [(-value[-1], len(unit), 0, 0.0, None)], 0, []
         while heap and len(out) < n:
-            _, _, done, at, path = heapq.heappop(heap)
+            _, at, _, done, path = heapq.heappop(heap)
             if at == 0:
                 edges_, link = [], path
                 while link:
@@ -164,7 +167,7 @@ class Lattice:
                 continue
             for e in into[at]:
                 turn += 1
-                heapq.heappush(heap, (-(done + e[2] + value[e[0]]), turn, done + e[2], e[0], (e, path)))
+                heapq.heappush(heap, (-(done + e[2] + value[e[0]]), e[0], turn, done + e[2], (e, path)))
         if len(self.ranked) >= CACHE // 10:
             self.ranked.clear()
         self.ranked[unit] = out
@@ -205,27 +208,31 @@ class Lattice:
         return out[1:]
 
 
-_ENCODED = "ids binary, score double, nbest array<struct<score:double,changes:array<struct<at:int,ids:array<int>>>>>"
+_ENCODED = "ids binary, score double, nbest array<struct<score:double,changes:array<struct<at:int,ids:array<int>>>>>, round_trip boolean"
 
 
-def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, n_best: int = N_BEST) -> DataFrame:
-    """``row`` (the input row) with ``ids`` (32-bit little-endian), ``score``
-    and ``nbest`` of its text: for each of the N best segmentations its score
-    and the units in which it differs from the best (``at``: the place in the
-    best's pieces)."""
+def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, n_best: int = N_BEST, carry: list[str] | None = None) -> DataFrame:
+    """``row`` (the input row, or its ``carry`` columns) with ``ids`` (32-bit
+    little-endian), ``score`` and ``nbest`` of its text: for each of the N best
+    segmentations its score and the units in which it differs from the best
+    (``at``: the place in the best's pieces); ``round_trip`` says that the ids
+    decode to the text."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice = Lattice(vocabulary.value)
-        for pdf in batches:
-            rows = []
-            for text in pdf["_text"]:
-                ids, score, best = lattice.encode(text or "", n_best)
-                rows.append((ids, float(score), [{"score": float(s), "changes": [{"at": a, "ids": list(i)} for a, i in d]} for s, d in best]))
-            out = pd.DataFrame(rows, columns=["ids", "score", "nbest"])
-            yield pd.concat([pdf.drop(columns="_text").reset_index(drop=True), out], axis=1)
-
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text_col}`").alias("_text"))
+        for whole in batches:
+            for at in range(0, len(whole), ROWS):
+                pdf, rows = whole.iloc[at : at + ROWS], []
+                for text in pdf["_text"]:
+                    ids, score, best = lattice.encode(text or "", n_best)
+                    ranked = [{"score": float(s), "changes": [{"at": a, "ids": list(i)} for a, i in d]} for s, d in best]
+                    rows.append((ids, float(score), ranked, lattice.decode(ids) == (text or "")))
+                out = pd.DataFrame(rows, columns=["ids", "score", "nbest", "round_trip"])
+                yield pd.concat([pdf.drop(columns="_text").reset_index(drop=True), out], axis=1)
+
+    kept = docs.columns if carry is None else carry
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), F.col(f"`{text_col}`").alias("_text"))
     kind = rows.schema["row"].dataType.simpleString()
     return rows.mapInPandas(run, f"row {kind}, {_ENCODED}")
 
