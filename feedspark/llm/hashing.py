@@ -9,7 +9,6 @@ _U = np.uint64
 _M1, _M2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_SHINGLE = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], dtype=_U)
 # bytes hashed at once, so that memory does not follow the longest text
 PIECE = 1 << 21
 
@@ -21,6 +20,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+# a weight for each word of a shingle, so for shingles of at most so many words
+_SHINGLE = mix(np.arange(1, 65, dtype=_U) * _U(0xD6E8FEB86659FD93)) | _U(1)
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(_BASE))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -29,10 +30,14 @@ _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _powers: list[np.ndarray] = []
 
 
+def powers(n: int) -> list[np.ndarray]:
+    """The first ``n`` powers of the polynomial's base and of its inverse."""
+    return [np.multiply.accumulate(np.concatenate(([_U(1)], np.full(n - 1, b, dtype=_U)))) for b in (_BASE, _INVERSE)]
+
+
 def _power_tables(n: int) -> list[np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        size = max(n, PIECE + 1)
-        _powers[:] = [np.multiply.accumulate(np.concatenate(([_U(1)], np.full(size - 1, b, dtype=_U)))) for b in (_BASE, _INVERSE)]
+        _powers[:] = powers(max(n, PIECE + 1))
     return _powers
 
 

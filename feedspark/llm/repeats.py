@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
-from .hashing import mix
+from .hashing import _BYTE, mix, powers
 
 WINDOW = 50
 GRAM = 20
@@ -47,6 +47,7 @@ BLOCK = 1 << 22  # bytes of text in a block
 SEGMENT = 1 << 17  # places hashed at once
 NO_ID = np.iinfo(np.int64).max
 _U = np.uint64
+_UP, _DOWN = powers(SEGMENT + WINDOW)
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -67,9 +68,9 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
-def phrases(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Trigger hash, first window, number of windows and text of every phrase
-    of a block; ``sizes`` are the lengths of its texts in ``data``."""
+def phrases(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Trigger hash, first window, number of windows, text and hash of every
+    phrase of a block; ``sizes`` are the lengths of its texts in ``data``."""
     end = np.cumsum(sizes)
     text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     out = []
@@ -88,10 +89,14 @@ def phrases(data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray
         turn = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (mine[1:] != mine[:-1]) | (whole[1:] != whole[:-1]))))
         size = np.diff(np.append(turn, len(at)))
         turn, size = turn[whole[turn]], size[whole[turn]]
-        out.append((h[at[turn]], turn + s, size, mine[turn]))
+        # hashes of the phrases' bytes from one running sum
+        total = np.concatenate(([_U(0)], np.cumsum(_BYTE[part] * _UP[: len(part)], dtype=_U)))
+        local = turn
+        value = mix((total[local + size + WINDOW - 1] - total[local]) * _DOWN[local] + size.astype(_U))
+        out.append((h[at[turn]], turn + s, size, mine[turn], value))
     if not out:
         none = np.empty(0, dtype=np.int64)
-        return none.astype(_U), none, none, none
+        return none.astype(_U), none, none, none, none.astype(_U)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -101,10 +106,12 @@ class Block:
     def __init__(self, row, buckets: int):
         self.ids, self.sizes = np.frombuffer(row.ids, dtype=np.int64), np.frombuffer(row.sizes, dtype=np.int64)
         self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.data), dtype=np.uint8)
-        h, self.first, self.windows, self.text = phrases(self.data, self.sizes)
+        h, self.first, self.windows, self.text, self.value = phrases(self.data, self.sizes)
         self.bucket, self.key = (h % _U(buckets)).astype(np.int64), h
         by = np.lexsort((self.key, self.bucket))
-        self.bucket, self.key, self.first, self.windows, self.text = (x[by] for x in (self.bucket, self.key, self.first, self.windows, self.text))
+        self.bucket, self.key, self.first, self.windows, self.text, self.value = (
+            x[by] for x in (self.bucket, self.key, self.first, self.windows, self.text, self.value)
+        )
         self.new = np.concatenate(([True], self.key[1:] != self.key[:-1])) if len(by) else np.empty(0, dtype=bool)
 
     def keys(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -124,28 +131,17 @@ class Block:
         sent = {r["bucket"]: r["bits"] for r in bits}
         which = [np.unpackbits(np.frombuffer(sent[b], dtype=np.uint8), count=len(k)) if b in sent else np.zeros(len(k), dtype=np.uint8) for b, k, _ in self.keys()]
         on = np.concatenate(which).astype(bool)[np.cumsum(self.new) - 1] if which else np.empty(0, dtype=bool)
-        bucket, key, self.first, self.windows, self.text = (x[on] for x in (self.bucket, self.key, self.first, self.windows, self.text))
-        value = self._values()
+        bucket, key, value, self.first, self.windows, self.text = (
+            x[on] for x in (self.bucket, self.key, self.value, self.first, self.windows, self.text)
+        )
         by = np.lexsort((value, key, bucket))
         bucket, key, value, self.first, self.windows, self.text = (x[by] for x in (bucket, key, value, self.first, self.windows, self.text))
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (value[1:] != value[:-1]))) if len(by) else np.empty(0, dtype=bool)
-        self.entry, self.head, self.bucket = np.cumsum(new) - 1, np.flatnonzero(new), bucket
-
-    def _values(self) -> np.ndarray:
-        """Hashes that tell a block's phrases apart: of length and bytes."""
-        out = np.empty(len(self.first), dtype=_U)
-        for a in range(0, len(self.first), 1 << 14):
-            first, size = self.first[a : a + (1 << 14)], self.windows[a : a + (1 << 14)] + WINDOW - 1
-            places = np.arange(SPAN + WINDOW - 1)
-            inside = places[None, :] < size[:, None]
-            at = np.where(inside, first[:, None] + places, 0)
-            chars = np.where(inside, self.data[at], 0).astype(_U)
-            weights = mix(places.astype(_U) + _U(1)) | _U(1)
-            out[a : a + (1 << 14)] = mix(mix(chars + _U(1)) @ weights + size.astype(_U) * _U(_BASE))
-        return out
-
-    def entries(self) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-        """Per bucket its distinct phrases: numbers of windows, least ids, bytes."""
+        self.entry, self.head, self.bucket, self.key = np.cumsum(new) - 1, np.flatnonzero(new), bucket, key
+
+    def entries(self) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
+        """Per bucket its distinct phrases: triggers, numbers of windows, least
+        ids, bytes."""
         if not len(self.head):
             return
         least = np.minimum.reduceat(self.ids[self.text], self.head)
@@ -155,7 +151,8 @@ class Block:
         for a, b in zip(edge, edge[1:], strict=False):
             size = windows[a:b] + WINDOW - 1
             at = np.repeat(first[a:b] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-            yield int(bucket[a]), windows[a:b].astype(np.uint8).tobytes(), least[a:b].tobytes(), press.compress(self.data[at].tobytes())
+            triggers = (self.key[self.head[a:b]] >> _U(32)).astype("<u4")
+            yield int(bucket[a]), triggers.tobytes(), windows[a:b].astype(np.uint8).tobytes(), least[a:b].tobytes(), press.compress(self.data[at].tobytes())
 
     def removed(self, replies: list) -> np.ndarray:
         """Which bytes go, given every bucket's runs of least ids."""
@@ -236,7 +233,8 @@ def _send_entries(buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row, block in _blocks(batches, buckets):
             block.keep(row.bits)
-            yield pd.DataFrame([(b, row.block, n, i, t) for b, n, i, t in block.entries()], columns=["bucket", "block", "windows", "least", "chars"])
+            sent = [(b, row.block, *parts) for b, *parts in block.entries()]
+            yield pd.DataFrame(sent, columns=["bucket", "block", "triggers", "windows", "least", "chars"])
 
     return run
 
@@ -261,21 +259,57 @@ def suffix_order(chars: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.n
     return by, new
 
 
+def distinct_phrases(chars: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For each phrase the first phrase with the same bytes. Hashes propose,
+    bytes decide."""
+    wide = SPAN + WINDOW - 1
+    rows = np.zeros((len(n), wide + 1), dtype=np.uint8)
+    rows[:, wide] = n
+    size = n + WINDOW - 1
+    line = np.repeat(np.arange(len(n)), size)
+    step = np.arange(len(line)) - np.repeat(start, size)
+    rows[line, step] = chars
+    weights = mix(np.arange(1, wide + 2, dtype=_U)) | _U(1)
+    value = np.empty(len(n), dtype=_U)
+    for a in range(0, len(n), 1 << 14):
+        value[a : a + (1 << 14)] = mix((_BYTE[rows[a : a + (1 << 14)]] * weights).sum(axis=1, dtype=_U))
+    _, first, which = np.unique(value, return_index=True, return_inverse=True)
+    like = first[which]
+    differs = (rows != rows[like]).any(axis=1)
+    like[differs] = np.flatnonzero(differs)  # such a phrase stands for itself
+    return like
+
+
 def _firsts(pdf: pd.DataFrame) -> pd.DataFrame:
     """For every window of a bucket's phrases the least id that starts it, in
-    runs, block by block."""
+    runs, block by block. Only distinct phrases are sorted, and of these only
+    those that share their trigger with another one: all places that start a
+    window lie under its one trigger."""
     unpress = zstandard.ZstdDecompressor()
     pdf = pdf.sort_values("block")
     windows = [np.frombuffer(x, dtype=np.uint8).astype(np.int64) for x in pdf["windows"]]
     n, ids = np.concatenate(windows), np.concatenate([np.frombuffer(x, dtype=np.int64) for x in pdf["least"]])
     chars = np.frombuffer(b"".join(unpress.decompress(x) for x in pdf["chars"]), dtype=np.uint8)
     start = np.concatenate(([0], np.cumsum(n + WINDOW - 1)[:-1]))
+    like = distinct_phrases(chars, start, n)
+    np.minimum.at(ids, like, ids)
+    word = np.flatnonzero(like == np.arange(len(n)))  # the dictionary
+    triggers = np.concatenate([np.frombuffer(x, dtype="<u4") for x in pdf["triggers"]])
+    _, which, count = np.unique(triggers[word], return_inverse=True, return_counts=True)
+    word = word[count[which] > 1]
+    edge = np.concatenate(([0], np.cumsum(n)))  # of each phrase's windows
     entry = np.repeat(np.arange(len(n)), n)
-    step = np.arange(len(entry)) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
-    by, new = suffix_order(chars, start[entry] + step)
-    group = np.flatnonzero(new)
-    least = np.empty(len(entry), dtype=np.int64)
-    least[by] = np.repeat(np.minimum.reduceat(ids[entry][by], group), np.diff(np.append(group, len(by))))
+    least = ids[entry]
+    mine = np.repeat(word, n[word])
+    step = np.arange(len(mine)) - np.repeat(np.cumsum(n[word]) - n[word], n[word])
+    by, new = suffix_order(chars, start[mine] + step)
+    if len(by):
+        group = np.flatnonzero(new)
+        found = np.empty(len(by), dtype=np.int64)
+        found[by] = np.repeat(np.minimum.reduceat(ids[mine][by], group), np.diff(np.append(group, len(by))))
+        least[edge[mine] + step] = found
+    # copies of a phrase take what was found for it
+    least = least[np.repeat(edge[like] - edge[:-1], n) + np.arange(len(entry))]
     # runs of one id within one phrase
     turn = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (entry[1:] != entry[:-1]))))
     runs, least = np.diff(np.append(turn, len(entry))), least[turn]
@@ -313,7 +347,7 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     keys = packed.mapInPandas(_send_keys(buckets), "bucket bigint, block bigint, keys binary, several binary")
     bits = keys.groupBy("bucket").applyInPandas(_shared, "block bigint, bits binary, bucket bigint")
     per_block = cut(bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits")), "shared")
-    entries = packed.join(per_block, "block").mapInPandas(_send_entries(buckets), "bucket bigint, block bigint, windows binary, least binary, chars binary")
+    entries = packed.join(per_block, "block").mapInPandas(_send_entries(buckets), "bucket bigint, block bigint, triggers binary, windows binary, least binary, chars binary")
     firsts = entries.groupBy("bucket").applyInPandas(_firsts, "block bigint, runs binary, least binary, bucket bigint")
     replies = firsts.groupBy("block").agg(F.collect_list(F.struct("bucket", "runs", "least")).alias("replies"))
     asked = packed.join(per_block.join(replies, "block"), "block", "left")
