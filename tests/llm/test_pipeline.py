@@ -85,7 +85,8 @@ def test_odd_rows_pass_every_stage(spark):
     docs = odd(spark)
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
-        assert out.count() <= 4 * docs.count()
+        # mixing repeats the rows of small sources, and may leave rows out
+        assert out.count() <= docs.count() or stage is corpus_pipeline.mix
         if stage is not corpus_pipeline.STAGES[-1][1]:
             assert out.columns == docs.columns
     empty = frame(spark, [])
