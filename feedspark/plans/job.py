@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.flatten import flatten
 from ..session import scratch_path
 from ..sinks.tables import append_table
-from ..sources.feeds import check_undated, detect_multi_line, scan_feed, select_feed, split_corrupt
+from ..sources.feeds import check_undated, scan_feed, select_feed, split_corrupt
 from .loads import LOADERS, NEEDED
 from .specs import FEEDS, feed_spec
 
@@ -59,8 +59,8 @@ def run_feed(
     """Load every landing file of ``feed`` dated after ``since`` into ``catalog``.
 
     An unknown feed raises ``ValueError`` before anything is read.
-    ``multi_line=None`` finds out whether files hold one document each or one
-    per line. Files without a date stop the run, or with ``undated="skip"`` are
+    ``multi_line=None`` finds out for every file whether it holds one document
+    or one per line. Files without a date stop the run, or with ``undated="skip"`` are
     listed in the table ``undated_list``. In PERMISSIVE mode documents that do
     not parse go to ``quarantine`` (required then) once the others are loaded;
     a run that stops or is repeated adds none twice. ``only_new`` loads through
@@ -70,10 +70,8 @@ def run_feed(
     permissive = mode.upper() == "PERMISSIVE"
     if permissive and not quarantine:
         raise ValueError("PERMISSIVE mode needs a quarantine location")
-    if multi_line is None:
-        multi_line = detect_multi_line(spark, landing, spec)
     # one scan, one listing: the check, the selection and the load derive from it
-    docs = scan_feed(spark, landing, spec, multi_line=multi_line, mode=mode, columns=NEEDED[spec.name], select=False)
+    docs = scan_feed(spark, landing, spec, since=since, multi_line=multi_line, mode=mode, columns=NEEDED[spec.name], select=False)
     check_undated(docs, spec.word, undated, undated_list)
     docs = select_feed(docs, spec.word, since)
     bad = None

@@ -1,5 +1,5 @@
 """Sources: landing-area feed scans, JSON-text parsing, lookup tables."""
-from .feeds import UndatedFilesError, check_undated, detect_multi_line, parse_feed, scan_feed, select_feed, split_corrupt, undated_files
+from .feeds import SeveralDocumentsError, UndatedFilesError, check_undated, detect_multi_line, file_forms, parse_feed, scan_feed, select_feed, split_corrupt, undated_files
 from .lookups import as_lookup, client_lookup, network_lookup, read_jdbc, tenant_lookup
 
 __all__ = [

@@ -6,23 +6,26 @@ metadata, so files of other feeds are pruned before they are opened.
 """
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.names import feed_matches, name_date, qualified_roots, relative_path, select_names
 from ..plans.specs import FeedSpec, feed_spec
 from ..schemas import DATE_FORMAT, TIMESTAMP_FORMAT
+from ..session import scratch_path
 
 FILE_COL = "_feed_file"
 CORRUPT_COL = "_corrupt_record"
 # a mode that leaves bad documents out without a trace is not offered
 MODES = ("FAILFAST", "PERMISSIVE")
+# files of the rarer form that a scan names, and the largest file read whole to find its form
+LISTED = 100_000
+WHOLE = 1 << 28
 
 
 def _reader(spark: SparkSession, schema: StructType, multi_line: bool, mode: str):
@@ -56,13 +59,36 @@ def name_glob(word: str) -> str:
     return "*" + "".join(parts) + "*"
 
 
+def _scan(reader, roots: list[str], places, word: str, top_level: bool, files: Column | None) -> DataFrame:
+    """Documents of the (selected) files below the roots, with their names."""
+
+    def read(paths) -> DataFrame:
+        part = reader.json(paths)
+        part = part if files is None else part.where(files)
+        # file metadata does not cross a union: name the file per root
+        return part.withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), places))
+
+    parts = []
+    if top_level:
+        # list only the landing entries named after the feed (like a listing of
+        # the landing folder), not the whole history of every feed; a root
+        # without such entries is skipped
+        for r in roots:
+            try:
+                parts.append(read(f"{r.rstrip('/')}/{name_glob(word)}"))
+            except AnalysisException as e:
+                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                    raise
+    return reduce(DataFrame.unionByName, parts) if parts else read(roots)
+
+
 def scan_feed(
     spark: SparkSession,
     landing: str | Sequence[str],
     feed: str | FeedSpec,
     *,
     since: int = 0,
-    multi_line: bool = False,
+    multi_line: bool | None = False,
     mode: str = "FAILFAST",
     select: bool = True,
     top_level: bool = True,
@@ -78,7 +104,9 @@ def scan_feed(
 
     ``multi_line=True`` reads one (possibly pretty-printed) document per file;
     such a file is never split (small ones are packed several to a task). The
-    default reads one document per line, which Spark splits across tasks. If
+    default reads one document per line, which Spark splits across tasks, and
+    ``None`` reads every file in its own form (see :func:`file_forms`; this
+    reads the feed's text once more). If
     no root holds an entry of the feed, the roots themselves are read (so a
     missing root still fails) and the name predicate selects nothing. ``mode="PERMISSIVE"`` keeps bad documents in
     ``_corrupt_record`` (see :func:`split_corrupt`); the default fails.
@@ -92,26 +120,11 @@ def scan_feed(
     schema = spec.read_schema(columns)
     if mode.upper() == "PERMISSIVE":
         schema = StructType(schema.fields + [StructField(CORRUPT_COL, StringType(), True)])
-    reader = _reader(spark, schema, multi_line, mode)
-    docs = None
-    if top_level:
-        # list only the landing entries named after the feed (like a listing of
-        # the landing folder), not the whole history of every feed; a root
-        # without such entries is skipped
-        parts = []
-        for r in roots:
-            try:
-                part = reader.json(f"{r.rstrip('/')}/{name_glob(spec.word)}")
-            except AnalysisException as e:
-                if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                    raise
-                continue
-            # file metadata does not cross a union: name the file per root
-            parts.append(part.withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), places)))
-        if parts:
-            docs = reduce(DataFrame.unionByName, parts)
-    if docs is None:
-        docs = reader.json(roots).withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), places))
+    most, others = file_forms(spark, landing, spec, since) if multi_line is None else (multi_line, [])
+    docs = _scan(_reader(spark, schema, most, mode), roots, places, spec.word, top_level, ~F.col("_metadata.file_path").isin(others) if others else None)
+    if others:
+        rest = _scan(_reader(spark, schema, not most, mode), roots, places, spec.word, top_level, F.col("_metadata.file_path").isin(others))
+        docs = docs.unionByName(rest)
     if select:
         docs = docs.where(select_names(F.col(FILE_COL), spec.word, since))
     return docs
@@ -152,27 +165,91 @@ def check_undated(docs: DataFrame, feed: str, policy: str = "raise", listing: st
         raise UndatedFilesError(f"{feed}: files without a date in the name: " + ", ".join(some[:5]) + (", ..." if len(some) > 5 else ""))
 
 
-def detect_multi_line(spark: SparkSession, landing: str | Sequence[str], feed: str | FeedSpec) -> bool:
-    """Whether the feed's files hold one document over several lines each: the
-    first line of one of them is no whole document. A feed must keep to one
-    form: pretty-printed files fail a scan by lines, but of a file of lines the
-    multi-line form would read the first document only."""
-    spec = feed_spec(feed)
+class SeveralDocumentsError(RuntimeError):
+    """Files whose documents no form of scan would read in full."""
+
+
+def _entries(spark: SparkSession, landing: str | Sequence[str], word: str, since: int, whole: bool = False) -> DataFrame | None:
+    """Text of the feed's landing entries after ``since`` (or without a date),
+    with ``path`` and ``size`` of the file."""
+    places = qualified_roots(spark, _as_list(landing))
+    name = relative_path(F.col("_metadata.file_path"), places)
+    parts = []
     for root in _as_list(landing):
         try:
-            # a text scan that is cut at its first row reads the head of one file
-            line = spark.read.option("recursiveFileLookup", True).text(f"{root.rstrip('/')}/{name_glob(spec.word)}").where(F.trim("value") != "").first()
+            part = spark.read.option("recursiveFileLookup", True).text(f"{root.rstrip('/')}/{name_glob(word)}", wholetext=whole)
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
             continue
-        if line is not None:
-            try:
-                json.loads(line[0])
-            except ValueError:
-                return True
-            return False
-    return False
+        part = part.where(feed_matches(name, word) & (F.coalesce(name_date(name), F.lit(since + 1)) > since))
+        # file metadata does not cross a union
+        parts.append(part.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("at")))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def _listed(names: DataFrame, mine: Column) -> tuple[bool, list[str]]:
+    """Whether more than half of the files are ``mine``, and the paths of the
+    others (the driver lists them for the scan anyway)."""
+    counts = names.agg(F.count_if(mine).alias("mine"), F.count_if(~mine).alias("rest")).first()
+    most = counts["mine"] >= counts["rest"]
+    if min(counts) > LISTED:
+        raise SeveralDocumentsError(f"both forms of file are there more than {LISTED} times: load them apart, with multi_line given")
+    return most, [r[0] for r in names.where(~mine if most else mine).select("path").collect()] if min(counts) else []
+
+
+def file_forms(spark: SparkSession, landing: str | Sequence[str], feed: str | FeedSpec, since: int = 0) -> tuple[bool, list[str]]:
+    """Whether most files of the feed hold one document over several lines, and
+    the paths of the files in the other form.
+
+    Every file after ``since`` (or without a date) is looked at, on Spark. One
+    whose first line stands alone as JSON is a file of lines. Of the others (read
+    whole, up to ``WHOLE`` bytes) those that are one JSON value, or whose first
+    value is broken while no line stands alone, take the multi-line form, which
+    reads (or quarantines) all of them; files of lines behind a broken first one
+    are read by lines. A file with more after a document over several lines would
+    lose that in one form and the document in the other: it raises
+    :class:`SeveralDocumentsError`."""
+    spec = feed_spec(feed)
+    lines = _entries(spark, landing, spec.word, since)
+    if lines is None:
+        return False, []
+    # one value and nothing after it
+    alone = F.col("value").rlike(r"^\s*[{\[]") & F.coalesce(F.json_array_length(F.concat(F.lit("["), "value", F.lit("]"))) == 1, F.lit(False))
+    # one value at least
+    first = F.json_object_keys("value").isNotNull() | F.json_array_length("value").isNotNull()
+    place = F.struct("at", F.monotonically_increasing_id().alias("n"))
+    seen = lines.where(F.trim("value") != "").select("path", "size", alone.alias("alone"), first.alias("first"), place.alias("place"))
+    path = scratch_path(spark, f"forms-{spec.name}")
+    seen.groupBy("path", "size").agg(F.min_by("alone", "place").alias("head"), F.min_by("first", "place").alias("on_head"), F.bool_or("alone").alias("some"), F.count(F.lit(1)).alias("n")).write.parquet(path)
+    files = spark.read.parquet(path)
+    # a single line is the same in both forms
+    by_line = F.col("head") | (F.col("n") == 1) | (F.col("some") & (F.col("size") > WHOLE))
+    most, others = _listed(files, by_line)
+    if most and not others:
+        return False, []
+    big = [r[0] for r in files.where(~by_line & (F.col("size") > WHOLE)).select("path").limit(5).collect()]
+    if big:
+        raise SeveralDocumentsError(f"{spec.name}: too large to find out whether they are one document (give multi_line): " + ", ".join(big))
+    whole = _entries(spark, landing, spec.word, since, whole=True)
+    if others:
+        whole = whole.where(F.col("path").isin(others) if most else ~F.col("path").isin(others))
+    whole = whole.select("path", alone.alias("one"), first.alias("first")).join(files.where(~by_line), "path")
+    form = F.when(F.col("one"), "multi").when(F.col("first") & ~F.col("on_head"), "several").when(F.col("some") | F.col("first"), "lines").otherwise("multi")
+    held = scratch_path(spark, f"forms-whole-{spec.name}")
+    whole.select("path", form.alias("form")).write.parquet(held)
+    forms = spark.read.parquet(held)
+    several = [r[0] for r in forms.where("form = 'several'").select("path").limit(6).collect()]
+    if several:
+        raise SeveralDocumentsError(f"{spec.name}: more after a document over several lines in " + ", ".join(several[:5]) + (", ..." if len(several) > 5 else ""))
+    every = files.select("path").join(forms, "path", "left")
+    return _listed(every, F.coalesce(F.col("form") == "multi", F.lit(False)))
+
+
+def detect_multi_line(spark: SparkSession, landing: str | Sequence[str], feed: str | FeedSpec) -> bool:
+    """Whether some file of the feed holds one document over several lines."""
+    most, others = file_forms(spark, landing, feed)
+    return most or bool(others)
 
 
 def undated_files(df: DataFrame, feed: str, name_col: str = FILE_COL) -> DataFrame:

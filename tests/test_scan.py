@@ -107,6 +107,49 @@ def test_form_of_files_is_found_out(spark, tmp_path):
     assert not detect_multi_line(spark, str(tmp_path / "lines"), "program")
 
 
+def test_every_file_is_read_in_its_own_form(spark, tmp_path):
+    import json
+
+    from feedspark.sources.feeds import SeveralDocumentsError, split_corrupt
+
+    a, b = tmp_path / "a", tmp_path / "b"
+    name = "DS-OO-NATIONAL-ADVERTISERFEED-2018010{}-100000".format
+    one = lambda t: json.dumps(adv_doc(tenant=t))
+    write_doc(a, name(1), adv_doc(tenant="pretty"))
+    write_doc(a, name(2), one("l1") + "\n\n" + one("l2"), raw=True)
+    write_doc(b, name(3), "[\n" + one("i1") + ",\n" + one("i2") + "\n]", raw=True)
+    write_doc(b, name(4), one("single"), raw=True)
+    docs = scan_feed(spark, [str(a), str(b)], "advertiser", multi_line=None)
+    assert sorted(r.tenant for r in docs.collect()) == ["i1", "i2", "l1", "l2", "pretty", "single"]
+    # a broken first line, a document cut off
+    write_doc(b, name(5), one("x")[:-9] + "\n" + one("b1") + "\n" + one("b2"), raw=True)
+    write_doc(b, name(6), json.dumps(adv_doc(), indent=2)[:-30], raw=True)
+    good, bad = split_corrupt(scan_feed(spark, [str(a), str(b)], "advertiser", multi_line=None, mode="PERMISSIVE").persist())
+    assert sorted(r.tenant for r in good.collect()) == ["b1", "b2", "i1", "i2", "l1", "l2", "pretty", "single"]
+    assert sorted(r._feed_file for r in bad.collect()) == [name(5), name(6)]
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        scan_feed(spark, [str(a), str(b)], "advertiser", multi_line=None).collect()
+    # two documents over several lines each: no form reads both
+    write_doc(b, name(7), json.dumps(adv_doc(), indent=2) + "\n" + json.dumps(adv_doc(), indent=2), raw=True)
+    with pytest.raises(SeveralDocumentsError, match=name(7)):
+        scan_feed(spark, [str(a), str(b)], "advertiser", multi_line=None)
+    # which is not looked at before the cutoff
+    assert scan_feed(spark, [str(a), str(b)], "advertiser", since=20180107, multi_line=None).count() == 0
+
+
+def test_job_loads_lines_beside_a_pretty_file(spark, tmp_path):
+    import json
+
+    land = tmp_path / "landing"
+    write_doc(land, "DS-OO-NATIONAL-DESTINATIONFEED-20180101-100000", envelope(feed="DESTINATION", destinations=[], system="x" * 9000))  # the larger file comes first
+    docs = [envelope(feed="DESTINATION", destinations=[{"id": i, "name": i, "media": "TV", "type": "CABLE", "nielsenCode": "1"}]) for i in "ABC"]
+    write_doc(land, "DS-OO-NATIONAL-DESTINATIONFEED-20180102-100000", "\n".join(map(json.dumps, docs)), raw=True)
+    cat = ParquetCatalog(spark, str(tmp_path / "tables"))
+    cat.seed("tenant", spark.createDataFrame([(7, "T1")], "id long, mo_id string"))
+    run_feed(spark, "destination", str(land), cat)
+    assert cat.read("network").count() == 3
+
+
 def test_since_cutoff_and_undated_names(spark, tmp_path):
     write_doc(tmp_path, ADV_NAME, adv_doc())
     write_doc(tmp_path, "DS-OO-NATIONAL-ADVERTISERFEED-20170101-100000", adv_doc(extractdatetime="2017-01-01-10-00-00"))
