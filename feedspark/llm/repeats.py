@@ -8,7 +8,10 @@ document with a smaller id. Texts are packed into blocks; then:
    a phrase, looking ahead to the end of its last window. What belongs where
    depends on the bytes alone, so equal windows fall under equal triggers.
 2. Triggers that occur in one document only are dropped: distinct trigger hashes
-   of each block meet in hash buckets, which send back one bit each.
+   of each block meet in hash buckets, which send back one bit each. A trigger
+   with more than ``HOT`` phrases (a common string between different neighbours)
+   is split: its windows, under their own hashes, go through this step again, and
+   those that two documents hold go on as phrases of one window.
 3. The dictionary: distinct phrases of each block with the least id that holds
    them. Per bucket the suffixes of all phrases that start a window are sorted by
    their ``WINDOW`` bytes (the part of the suffix array that matters here);
@@ -17,7 +20,8 @@ document with a smaller id. Texts are packed into blocks; then:
 4. Blocks get these ids back phrase by phrase and lay them over their texts.
 
 A block's phrases travel once however often they occur in it, so the most common
-passage costs one entry a block. Strings are compared byte by byte.
+passage costs one entry a block, and a common string no more than ``HOT`` entries
+beyond those of its windows. Strings are compared byte by byte.
 
 Defined results: a null text is empty; a row without id counts as larger than
 all ids (it loses what others have, nobody loses by it); rows with equal ids do
@@ -45,6 +49,7 @@ GRAM = 20
 SPAN = WINDOW - GRAM + 1  # substrings of a window that can trigger
 BLOCK = 1 << 22  # bytes of text in a block
 SEGMENT = 1 << 17  # places hashed at once
+HOT = 1 << 15  # distinct phrases of one trigger, summed over blocks, that may meet
 NO_ID = np.iinfo(np.int64).max
 _U = np.uint64
 _UP, _DOWN = powers(SEGMENT + WINDOW)
@@ -106,14 +111,31 @@ class Block:
     def __init__(self, row, buckets: int):
         self.ids, self.sizes = np.frombuffer(row.ids, dtype=np.int64), np.frombuffer(row.sizes, dtype=np.int64)
         self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row.data), dtype=np.uint8)
-        h, self.first, self.windows, self.text, self.value = phrases(self.data, self.sizes)
-        self.bucket, self.key = (h % _U(buckets)).astype(np.int64), h
+        self.buckets = buckets
+        self._order(*phrases(self.data, self.sizes))
+
+    def _order(self, h, first, windows, text, value) -> None:
+        self.first, self.windows, self.text, self.value = first, windows, text, value
+        self.bucket, self.key = (h % _U(self.buckets)).astype(np.int64), h
         by = np.lexsort((self.key, self.bucket))
         self.bucket, self.key, self.first, self.windows, self.text, self.value = (
             x[by] for x in (self.bucket, self.key, self.first, self.windows, self.text, self.value)
         )
         self.new = np.concatenate(([True], self.key[1:] != self.key[:-1])) if len(by) else np.empty(0, dtype=bool)
 
+    def counts(self) -> np.ndarray:
+        """Distinct phrases of every distinct trigger."""
+        start = np.flatnonzero(self.new)
+        n = np.diff(np.append(start, len(self.key)))
+        line = np.repeat(np.arange(len(n)), n)
+        some = np.flatnonzero(n[line] > 1)
+        line, value = line[some], self.value[some]
+        by = np.lexsort((value, line))
+        line, value = line[by], value[by]
+        new = np.ones(len(line), dtype=bool)
+        new[1:] = (line[1:] != line[:-1]) | (value[1:] != value[:-1])
+        return np.maximum(np.bincount(line[new], minlength=len(n)), 1)
+
     def keys(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per bucket the distinct triggers and whether two texts hold each."""
         start = np.flatnonzero(self.new)
@@ -125,14 +147,40 @@ class Block:
         for a, b in zip(edge, edge[1:], strict=False):
             yield int(bucket[a]), key[a:b], several[a:b]
 
-    def keep(self, bits: list) -> None:
-        """Drop phrases whose trigger has no bit; then number the distinct
-        phrases (``entry``)."""
-        sent = {r["bucket"]: r["bits"] for r in bits}
+    def marked(self, bits: list, name: str = "bits") -> np.ndarray:
+        """Which phrases have a bit of this name for their trigger."""
+        sent = {r["bucket"]: r[name] for r in bits if r[name] is not None}
         which = [np.unpackbits(np.frombuffer(sent[b], dtype=np.uint8), count=len(k)) if b in sent else np.zeros(len(k), dtype=np.uint8) for b, k, _ in self.keys()]
-        on = np.concatenate(which).astype(bool)[np.cumsum(self.new) - 1] if which else np.empty(0, dtype=bool)
+        return np.concatenate(which).astype(bool)[np.cumsum(self.new) - 1] if which else np.empty(0, dtype=bool)
+
+    def split(self, bits: list) -> Block:
+        """The windows of phrases with hot triggers, each a phrase of its own
+        under its own hash."""
+        hot = self.marked(bits, "hot")
+        n = self.windows[hot]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        first, text = np.repeat(self.first[hot], n) + step, np.repeat(self.text[hot], n)
+        weights = [mix(np.arange(k, k + WINDOW, dtype=_U)) | _U(1) for k in (1, 1 + WINDOW)]
+        key, value = np.empty(len(first), dtype=_U), np.empty(len(first), dtype=_U)
+        for a in range(0, len(first), 1 << 14):
+            chars = _BYTE[self.data[first[a : a + (1 << 14), None] + np.arange(WINDOW)]]
+            key[a : a + (1 << 14)], value[a : a + (1 << 14)] = (mix((chars * w).sum(axis=1, dtype=_U)) for w in weights)
+        out = object.__new__(Block)
+        out.ids, out.sizes, out.data, out.buckets = self.ids, self.sizes, self.data, self.buckets
+        out._order(key, first, np.ones_like(first), text, value)
+        return out
+
+    def keep(self, bits: list, shared: list) -> None:
+        """Drop phrases whose trigger has no bit in ``bits``, and split those of
+        hot triggers into windows, of which those without a bit in ``shared`` are
+        dropped; then number the distinct phrases (``entry``)."""
+        on = self.marked(bits)
+        parts = [(self, on)]
+        if any(r["hot"] is not None for r in bits):
+            part = self.split(bits)
+            parts = [(self, on & ~self.marked(bits, "hot")), (part, part.marked(shared))]
         bucket, key, value, self.first, self.windows, self.text = (
-            x[on] for x in (self.bucket, self.key, self.value, self.first, self.windows, self.text)
+            np.concatenate([getattr(p, name)[o] for p, o in parts]) for name in ("bucket", "key", "value", "first", "windows", "text")
         )
         by = np.lexsort((value, key, bucket))
         bucket, key, value, self.first, self.windows, self.text = (x[by] for x in (bucket, key, value, self.first, self.windows, self.text))
@@ -202,37 +250,55 @@ def _blocks(batches: Iterator[pd.DataFrame], buckets: int):
             yield row, Block(row, buckets)
 
 
-def _send_keys(buckets: int):
+def _send_keys(buckets: int, windows: bool = False):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row, block in _blocks(batches, buckets):
-            sent = [(b, row.block, (k >> _U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), np.packbits(s).tobytes()) for b, k, s in block.keys()]
-            yield pd.DataFrame(sent, columns=["bucket", "block", "keys", "several"])
+            if windows:
+                block = block.split(row.bits)
+            counts, at, sent = block.counts(), 0, []
+            for b, k, s in block.keys():
+                mine = counts[at : at + len(k)]
+                at += len(k)
+                # the few counts beyond one: place and count
+                more = np.flatnonzero(mine > 1)
+                many = np.column_stack((more, mine[more])).astype("<u4").tobytes()
+                sent.append((b, row.block, (k >> _U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), np.packbits(s).tobytes(), many))
+            yield pd.DataFrame(sent, columns=["bucket", "block", "keys", "several", "many"])
 
     return run
 
 
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One bit for every trigger of every block: held by two texts or more."""
+    """One bit for every trigger of every block: held by two texts or more; and
+    where there are such, which of these are hot."""
     pdf = pdf.sort_values("block")
-    parts, several = [], []
-    for keys, bits in zip(pdf["keys"], pdf["several"], strict=True):
+    parts, several, counts = [], [], []
+    for keys, bits, many in zip(pdf["keys"], pdf["several"], pdf["many"], strict=True):
         raw = np.zeros((len(keys) // 6, 8), dtype=np.uint8)
         raw[:, :6] = np.frombuffer(keys, dtype=np.uint8).reshape(-1, 6)
         parts.append(raw.view("<u8").ravel())
         several.append(np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=len(raw)))
+        n = np.ones(len(raw), dtype=np.int64)
+        more = np.frombuffer(many, dtype="<u4").reshape(-1, 2)
+        n[more[:, 0]] = more[:, 1]
+        counts.append(n)
     _, which, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
     twice = np.concatenate(several).astype(bool)
     shared = (count > 1) | (np.bincount(which, twice, len(count)) > 0)
     edge = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
     on = shared[which]
-    rows = [(b, np.packbits(on[x:y]).tobytes()) for b, x, y in zip(pdf["block"], edge, edge[1:], strict=False) if on[x:y].any()]
-    return pd.DataFrame(rows, columns=["block", "bits"]).assign(bucket=int(pdf["bucket"].iloc[0]))
+    hot = (shared & (np.bincount(which, np.concatenate(counts), len(count)) > HOT))[which]
+    rows = [
+        (b, np.packbits(on[x:y]).tobytes(), np.packbits(hot[x:y]).tobytes() if hot[x:y].any() else None)
+        for b, x, y in zip(pdf["block"], edge, edge[1:], strict=False) if on[x:y].any()
+    ]
+    return pd.DataFrame(rows, columns=["block", "bits", "hot"]).assign(bucket=int(pdf["bucket"].iloc[0]))
 
 
 def _send_entries(buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row, block in _blocks(batches, buckets):
-            block.keep(row.bits)
+            block.keep(row.bits, row.windows if row.windows is not None else [])
             sent = [(b, row.block, *parts) for b, *parts in block.entries()]
             yield pd.DataFrame(sent, columns=["bucket", "block", "triggers", "windows", "least", "chars"])
 
@@ -322,7 +388,7 @@ def _firsts(pdf: pd.DataFrame) -> pd.DataFrame:
 def _lay_over(buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row, block in _blocks(batches, buckets):
-            block.keep(row.bits if row.bits is not None else [])
+            block.keep(row.bits if row.bits is not None else [], row.windows if row.windows is not None else [])
             gone = block.removed(row.replies if row.replies is not None else [])
             rows, at = [], 0
             for i, size in zip(block.ids.tolist(), block.sizes.tolist(), strict=True):
@@ -344,9 +410,17 @@ def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     packed = cut(rows.mapInPandas(_pack, "block bigint, ids binary, sizes binary, data binary, n_bytes bigint"), "blocks")
     total = packed.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = int(total // BLOCK) + 1
-    keys = packed.mapInPandas(_send_keys(buckets), "bucket bigint, block bigint, keys binary, several binary")
-    bits = keys.groupBy("bucket").applyInPandas(_shared, "block bigint, bits binary, bucket bigint")
-    per_block = cut(bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits")), "shared")
+    key_type, bit_type = "bucket bigint, block bigint, keys binary, several binary, many binary", "block bigint, bits binary, hot binary, bucket bigint"
+    keys = packed.mapInPandas(_send_keys(buckets), key_type)
+    bits = keys.groupBy("bucket").applyInPandas(_shared, bit_type)
+    per_block = cut(bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits", "hot")).alias("bits")), "shared")
+    hot = per_block.where(F.exists("bits", lambda r: r["hot"].isNotNull()))
+    if hot.isEmpty():
+        per_block = per_block.withColumn("windows", F.lit(None).cast("array<struct<bucket:bigint,bits:binary>>"))
+    else:
+        again = packed.join(hot, "block").mapInPandas(_send_keys(buckets, windows=True), key_type).groupBy("bucket").applyInPandas(_shared, bit_type)
+        windows = cut(again.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("windows")), "shared_windows")
+        per_block = per_block.join(windows, "block", "left")
     entries = packed.join(per_block, "block").mapInPandas(_send_entries(buckets), "bucket bigint, block bigint, triggers binary, windows binary, least binary, chars binary")
     firsts = entries.groupBy("bucket").applyInPandas(_firsts, "block bigint, runs binary, least binary, bucket bigint")
     replies = firsts.groupBy("block").agg(F.collect_list(F.struct("bucket", "runs", "least")).alias("replies"))

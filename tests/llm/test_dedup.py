@@ -106,6 +106,28 @@ def test_repeats_match_all_windows(spark, monkeypatch):
     assert removal(frame(spark, rows)) == plain_removal(rows)
 
 
+def test_a_common_string_between_different_neighbours_is_split(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BLOCK", 5000)
+    monkeypatch.setattr(repeats, "HOT", 40, raising=False)
+    whole = repeats._firsts
+
+    def bounded(pdf):
+        triggers = np.concatenate([np.frombuffer(x, dtype="<u4") for x in pdf["triggers"]])
+        assert np.unique(triggers, return_counts=True)[1].max() <= 40
+        return whole(pdf)
+
+    monkeypatch.setattr(repeats, "_firsts", bounded)
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    # a string that triggers nearly everywhere
+    line = min((noise(20) for _ in range(2000)), key=lambda t: int(repeats._gram_hashes(np.frombuffer(t.encode(), dtype=np.uint8))[0]))
+    rows = [(i, noise(60) + line + noise(60)) for i in range(300)]
+    # some contexts repeat: in part, in whole, within one text
+    rows += [(300 + i, noise(50) + rows[i][1][45 : 110 + i] + noise(50)) for i in range(10)]
+    rows += [(310, rows[5][1] + rows[9][1]), (311, rows[7][1]), (312, rows[8][1] * 2), (313, line * 3), (314, line * 5)]
+    assert removal(frame(spark, rows)) == plain_removal(rows)
+
+
 def test_repeats_of_odd_rows(spark):
     df = odd(spark)
     got = repeats.remove(df).collect()
