@@ -23,6 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+
+def _either(words: str) -> str:
+    """The words in any mix of cases."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
 # Kinds in the order of the span list, with their patterns.
 ASSIGN = (
     r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"""
@@ -31,13 +37,14 @@ ASSIGN = (
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"
 IDENT = (
-    r"""([Cc]lient_?[Ii][Dd]|[Aa]ccess_?[Kk]ey(_?[Ii][Dd])?|[Uu]ser_?[Nn]ame|[Uu]ser|[Ll]ogin|[Aa]ccount)"""
+    rf"""({_either("client_?id|access_?key(_?id)?|user_?name|user|login|account")})"""
     r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})"""
 )
 TOKEN = r"[A-Za-z0-9+/=_-]{20,}"
 ENDPOINT = (
     r"""([a-z][a-z0-9+]{1,15}://[A-Za-z0-9._~:/?@!$&()*+,;=%-]+"""
-    r"""|([Ee]ndpoint|[Hh]ost([Nn]ame)?|[Ss]erver)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:/-]{3,})"""
+    rf"""|({_either("endpoint|host(name)?|server")})"""
+    r"""["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:/-]{3,})"""
 )
 KINDS = (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("ident", IDENT), ("token", TOKEN), ("endpoint", ENDPOINT))
 RANK = {name: i for i, (name, _) in enumerate(KINDS)}

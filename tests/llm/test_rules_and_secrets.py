@@ -85,6 +85,14 @@ def test_weak_parts_need_their_complement(spark):
     assert kinds == {1: ["ident", "token"], 2: [], 3: [], 4: [], 5: [], 6: ["endpoint", "ident", "token"], 7: [], 8: ["ident", "assign", "endpoint"]}
 
 
+def test_key_words_in_upper_case(spark):
+    token = "Zk9fQ2xhcmEtTm9ydGgtNDIyMQ"
+    rows = list(enumerate(f"{k} {token}" for k in ("CLIENT_ID=robot-7", "USERNAME: robot", "ACCESS_KEY_ID=robot", "Login = robot", "HOST=db.example.com LOGIN=robot", "Endpoint: db.example.com ACCOUNT=robot")))
+    kinds = {i: [x.split(":")[0] for x in s.split(",") if x] for i, s in spans_of(spark, rows).items()}
+    assert kinds == {i: ["ident", "token"] for i in range(4)} | {i: ["endpoint", "ident", "token"] for i in (4, 5)}
+    assert secret_scan.redact(frame(spark, rows[:1])).first().text == "[SECRET] [SECRET]"
+
+
 def test_odd_rows_and_redaction(spark):
     df = odd(spark).unionByName(frame(spark, [(20, "é token=abcdefgh! x AKIA" + "B" * 20 + " tail"), (20, "é token=abcdefgh! x AKIA" + "B" * 20 + " tail"), (21, "secret: 0123456789abcdef0123456789abcdef")]))
     assert secret_scan.scan(df).count() == df.count()
