@@ -4,10 +4,11 @@ Strong parts (assigned secrets, access identifiers, long hex runs) are always
 reported. Weak parts (assigned user names and ids, opaque tokens, endpoints)
 are reported only where the parts that complete a credential lie within a scope
 of ``SCOPE`` code points: an identifier next to a secret, a token next to an
-identifier, an endpoint next to both. The link is an interval join between the
-parts of one text, carried out as ordered windows: for every part the nearest
-end before and the nearest start after it of each role, so a text with many
-parts costs a sort, never all pairs.
+identifier, an endpoint next to both. A part that overlaps another does not
+complete it. The link is an interval join between the parts of one text, carried
+out as ordered windows over where parts start and end: for every part the nearest
+end up to its start and the nearest start from its end of each role, so a text
+with many parts costs a sort, never all pairs.
 
 One pass of regular expressions over each text, one shuffle of a few numbers per
 document; texts are never shuffled, and no user function runs.
@@ -97,15 +98,24 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     flat = flat.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(at)).where("counts")
     flat = flat.select("id", "text_md5", "copies", "kind", (F.col("end") - F.col("len")).alias("start"), "end")
 
+    # both ends of every part, in order of place; equal places see each other
+    ends = F.explode(F.array(*(F.struct(F.col(c).alias("pos"), F.lit(c == "start").alias("opens")) for c in ("start", "end"))))
+    ends = flat.select("*", ends.alias("e")).select("id", "text_md5", "copies", "kind", "start", "end", "e.*")
+    upto = W.partitionBy("id", "text_md5").orderBy("pos").rangeBetween(W.unboundedPreceding, 0)
+    onward = W.partitionBy("id", "text_md5").orderBy(F.desc("pos")).rangeBetween(W.unboundedPreceding, 0)
+    gaps = {}
+    for role, kinds in ROLES.items():
+        mine = F.col("kind").isin([RANK[k] for k in kinds])
+        gap_before = F.col("pos") - F.max(F.when(mine & ~F.col("opens"), F.col("pos"))).over(upto)
+        gap_after = F.min(F.when(mine & F.col("opens"), F.col("pos"))).over(onward) - F.col("pos")
+        gaps[role] = F.when(F.col("opens"), gap_before).otherwise(gap_after)
+    sides = ends.select("id", "text_md5", "copies", "kind", "start", "end", *(g.alias(f"_{r}") for r, g in gaps.items()))
+    flat = sides.groupBy("id", "text_md5", "copies", "kind", "start", "end").agg(*(F.min(f"_{r}").alias(f"_{r}") for r in ROLES))
+    near = {r: F.coalesce(F.col(f"_{r}"), F.lit(SCOPE + 1)) <= SCOPE for r in ROLES}
+
     before = W.partitionBy("id", "text_md5").orderBy("start", "kind").rowsBetween(W.unboundedPreceding, -1)
     after = W.partitionBy("id", "text_md5").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(W.unboundedPreceding, -1)
     strong = F.col("kind").between(0, N_STRONG - 1)
-    near = {}
-    for role, kinds in ROLES.items():
-        mine = F.col("kind").isin([RANK[k] for k in kinds])
-        gap_before = F.col("start") - F.max(F.when(mine, F.col("end"))).over(before)
-        gap_after = F.min(F.when(mine, F.col("start"))).over(after) - F.col("end")
-        near[role] = (F.coalesce(gap_before, F.lit(SCOPE + 1)) <= SCOPE) | (F.coalesce(gap_after, F.lit(SCOPE + 1)) <= SCOPE)
     # a weak part inside a strong one is that one again
     again = (F.coalesce(F.max(F.when(strong, F.col("end"))).over(before), F.lit(-1)) > F.col("start")) | (
         F.coalesce(F.min(F.when(strong, F.col("start"))).over(after), F.col("end")) < F.col("end")

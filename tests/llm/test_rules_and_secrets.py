@@ -93,6 +93,15 @@ def test_key_words_in_upper_case(spark):
     assert secret_scan.redact(frame(spark, rows[:1])).first().text == "[SECRET] [SECRET]"
 
 
+def test_no_part_completes_itself(spark):
+    link, token = "/profile?user=verylongusername12345", "Zk9fQ2xhcmEtTm9ydGgtNDIyMQ"
+    rows = [(1, link), (2, f"{link} password=abcdefgh"), (3, f"user=verylongusername12345 {token}"), (4, f"login = robot {link}"), (5, f"user=verylongusername12345 {'x ' * 200}{token}")]
+    kinds = {i: [x.split(":")[0] for x in s.split(",") if x] for i, s in spans_of(spark, rows).items()}
+    # in the third text the first token lies in the identifier, the second completes it
+    assert kinds == {1: [], 2: ["ident", "assign"], 3: ["ident", "token"], 4: ["ident", "token"], 5: []}
+    assert secret_scan.redact(frame(spark, rows[:1])).first().text == link
+
+
 def test_odd_rows_and_redaction(spark):
     df = odd(spark).unionByName(frame(spark, [(20, "é token=abcdefgh! x AKIA" + "B" * 20 + " tail"), (20, "é token=abcdefgh! x AKIA" + "B" * 20 + " tail"), (21, "secret: 0123456789abcdef0123456789abcdef")]))
     assert secret_scan.scan(df).count() == df.count()
