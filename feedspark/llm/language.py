@@ -19,6 +19,7 @@ carries on over pieces' ends within a text); other columns are not looked at.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,17 +47,21 @@ SCRIPTS = (
     (0xE00, 0xE80, 10), (0x10A0, 0x1100, 11), (0x1100, 0x1200, 12), (0x1E00, 0x1F00, 2), (0x1F00, 0x2000, 3),
     (0x3040, 0x3100, 13), (0x3400, 0x4DC0, 14), (0x4E00, 0xA000, 14), (0xAC00, 0xD7B0, 12),
 )
-# no letters beyond Latin: signs, punctuation, symbols, private use
+# no letters beyond Latin but LETTERS: signs, punctuation, symbols, private use
 SILENT = ((0x80, 0xC0), (0xD7, 0xD8), (0xF7, 0xF8), (0x2000, 0x2C00), (0x3000, 0x3040), (0xFE00, 0xFE70), (0xFF00, 0xFF21), (0xE000, 0xF900), (0x1F000, 0x20000))
+# scripts of letters in the silent ranges; others there are script 1
+LETTERS = {0xAA: 2, 0xBA: 2, 0x2071: 2, 0x207F: 2, 0x2126: 3, 0x212A: 2, 0x212B: 2, 0x2132: 2, 0x214E: 2, 0x3005: 14, 0x303B: 14}
 N_SCRIPTS = 15
+ABOVE, BEYOND = 0x20000, 0x40000  # from here on Han, and no letters
 _LETTER = re.compile(r"[^\W\d_]")
 
 
 def _script_table() -> np.ndarray:
-    out = np.ones(0x20000, dtype=np.uint8)
+    out = np.ones(ABOVE + 1, dtype=np.uint8)
     out[:0x80] = 0
     for a, b in SILENT:
-        out[a:b] = 0
+        out[a:b] = [LETTERS.get(c, 1) if unicodedata.category(chr(c))[0] == "L" else 0 for c in range(a, b)]
+    out[ABOVE] = 14
     for a, b, s in SCRIPTS:
         out[a:b] = s
     return out
@@ -65,9 +70,15 @@ def _script_table() -> np.ndarray:
 _SCRIPT = _script_table()
 
 
+def _scripts(points: np.ndarray) -> np.ndarray:
+    out = _SCRIPT[np.minimum(points, ABOVE)]
+    out[points >= BEYOND] = 0
+    return out
+
+
 def words_of(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and script of every run of letters."""
-    script = _SCRIPT[np.minimum(points, 0x1FFFF)]
+    script = _scripts(points)
     letter = script > 0
     edge = np.flatnonzero(np.diff(np.concatenate(([False], letter, [False])).astype(np.int8)))
     return edge[0::2], edge[1::2], script[edge[0::2]]
@@ -120,7 +131,7 @@ def _split_long(points: np.ndarray) -> Iterator[tuple[int, int]]:
     at = 0
     while at < len(points):
         to = min(at + PIECE, len(points))
-        while to < len(points) and _SCRIPT[min(int(points[to - 1]), 0x1FFFF)] > 0:
+        while to < len(points) and _scripts(points[to - 1 : to])[0] > 0:
             to += 1
         yield at, to
         at = to

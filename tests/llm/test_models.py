@@ -31,6 +31,16 @@ def test_mixed_text_gets_spans_and_scripts_narrow(spark):
     assert of[5].lang_pred == "en" and 0.9 < of[5].score < 1
 
 
+def test_letters_above_the_table_and_among_signs(spark):
+    rows = [(i, "the house and the garden", "en", "s") for i in range(1, 40)] + [(i, "中文 漢字 的", "zh", "s") for i in range(40, 80)]
+    model = language.train(frame(spark, rows))
+    texts = ["\U00020000\U00020BB7", "\U00030000", "々", "ℵ ℂ", "ª", "→ ± × ♥ 〒", "\U0001F600", "\U000E0041", "\U0010FFFD"]
+    of = {r.id: r for r in language.label(frame(spark, list(enumerate(texts))), model).collect()}
+    assert [(of[i].lang_pred, of[i].score) for i in range(3)] == [("zh", 1.0)] * 3
+    assert of[3].lang_pred != "und" and (of[4].lang_pred, of[4].score) == ("en", 1.0)
+    assert {of[i].lang_pred for i in range(5, 9)} == {"und"}
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(1)
     for _ in range(20):
