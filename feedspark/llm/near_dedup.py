@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedspark.operators.keys import assign_ids
+
 from .common import cut
 from .components import components
 from .hashing import mix, shingles
@@ -267,8 +269,24 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE) -> DataFrame:
-    """The rows that head their component, with the columns they came with;
-    rows that repeat an id all stay or go together."""
+    """The rows that head their component, with the columns they came with: the
+    smallest id's, of equal ids one row. Where ids repeat or are null, rows are
+    numbered (by id, then text, nulls last) and the numbers take the ids' part."""
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    odd = docs.groupBy(id_.alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 OR _id IS NULL")
+    if odd.isEmpty():
+        gone = _gone(docs, id_col, text_col, size)
+        return docs.join(gone, id_ == F.col("_gone"), "left_anti")
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), id_.isNull().alias("_null"), id_.alias("_id"),
+        F.md5(text.cast("binary")).alias("_md5"), F.monotonically_increasing_id().alias("_copy"),
+    )
+    rows = assign_ids(rows, ["_null", "_id", "_md5", "_copy"], id_col="_key").select("_key", "_row")
+    gone = _gone(rows.select("_key", F.col(f"_row.`{text_col}`").alias("_text")), "_key", "_text", size)
+    return rows.join(gone, F.col("_key") == F.col("_gone"), "left_anti").select("_row.*")
+
+
+def _gone(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """Ids that do not head their component, to be broadcast if they are few."""
     gone = cut(classes(docs, id_col, text_col, size).where("NOT kept").select(F.col("id").alias("_gone")).distinct(), "gone")
-    small = gone.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if small else gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone

@@ -59,6 +59,17 @@ def test_odd_rows(spark):
     assert near_dedup.classes(df.limit(0)).collect() == []
 
 
+def test_one_row_of_each_group_stays_where_ids_repeat_or_miss(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    # 2 is a near copy of 1 and a text of its own, 3 heads a group thrice, no id heads another
+    rows = [(1, a), (2, a + " end"), (2, b), (3, c), (3, c), (3, c), (4, c), (None, d), (None, d + " end"), (None, a), (None, None), (5, None)]
+    kept = near_dedup.keep(frame(spark, rows))
+    assert kept.columns == frame(spark, rows).columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(x for x in got if x[0]) == [(1, a), (2, b), (3, c), (5, None)]
+    assert sorted((x[1] or "")[:2] for x in got if x[0] is None) == ["", "d0"]
+
+
 def test_texts_beyond_one_piece_hash_alike(monkeypatch):
     from feedspark.llm import hashing
 
