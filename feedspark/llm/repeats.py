@@ -1,4 +1,7 @@
-"""Repeated passages by prefix-free parsing.
+"""Repeated passages by minimizer buckets and a sort of windows.
+
+This stands in for the suffix arrays of a prefix-free parse: only equal
+``WINDOW``-byte strings and their least ids are asked for, so no parse order is built.
 
 Removes every byte that lies in a ``WINDOW``-byte string which also starts in a
 document with a smaller id. Texts are packed into blocks; then:
@@ -15,8 +18,8 @@ document with a smaller id. Texts are packed into blocks; then:
 3. The dictionary: distinct phrases of each block with the least id that holds
    them. Per bucket the suffixes of all phrases that start a window are sorted by
    their ``WINDOW`` bytes (the part of the suffix array that matters here);
-   neighbours with equal bytes are one string, and the parse, that is the
-   ids that hold a phrase, gives the least id that starts it.
+   neighbours with equal bytes are one string, and the ids that hold its
+   phrases give the least id that starts it.
 4. Blocks get these ids back phrase by phrase and lay them over their texts.
 
 A block's phrases travel once however often they occur in it, so the most common
