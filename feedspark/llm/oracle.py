@@ -150,10 +150,51 @@ SELECT t.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r) AS comp
 FROM t JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY t.doc_id"""
 
 
+_COLLOCATIONS = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(pieces) AS piece FROM t)),
+grams AS (
+  SELECT lang, array_to_string(w[i:i+s-1], ' ') AS phrase, s
+  FROM (SELECT lang, w, s, unnest(range(1, greatest(len(w) - s + 2, 1))) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS s))),
+f AS (SELECT lang, phrase, s, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+cuts AS (
+  SELECT lang, phrase, f AS a, s, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS x, array_to_string(string_split(phrase, ' ')[k+1:s], ' ') AS y
+  FROM (SELECT *, unnest(range(1, s)) AS k FROM f WHERE s > 1)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f + r.f))::BIGINT AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.x JOIN f r ON r.lang = c.lang AND r.phrase = c.y),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+  SELECT lang, array_to_string(w[i:i+n-1], ' ') AS phrase, max(f) AS most
+  FROM (SELECT lang, f, w, n, unnest(range(1, s - n + 2)) AS i
+    FROM (SELECT lang, f, s, string_split(phrase, ' ') AS w, unnest(range(2, s)) AS n FROM f WHERE s > 2)) GROUP BY ALL),
+ranked AS (
+  SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, encode(w.phrase)) AS rank, w.phrase, a, l, r, score
+  FROM weakest w LEFT JOIN held h USING (lang, phrase) WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+_TOP_PRODUCTS = """
+WITH v AS (
+  SELECT DISTINCT vec_id::BIGINT AS id, list_transform(embedding, lambda x: floor(1024.0::DOUBLE * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.id AS query_id, c.id AS vec_id, q.v AS qv, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.id % 100 = 0 AND q.id <> c.id AND len(q.v) = len(c.v)),
+ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": _secrets(),
     "op2_quality_rules": _quality(),
     "op4_suffix_array_dedup": _REPEATS,
     "op6_source_mixing": _MIXING,
     "op8_minhash_near_dedup": _NEAR,
+    "op11_phrase_collocations": _COLLOCATIONS,
+    "op13_kdtree_search": _TOP_PRODUCTS,
 }

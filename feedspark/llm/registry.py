@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language, mixing, near_dedup, pieces, quality_model, quality_rules, repeats, secret_scan, sharding
+from . import alignment, ann, collocations, kdtree, language, mixing, near_dedup, pieces, quality_model, quality_rules, repeats, secret_scan, sharding
 from .common import held_out, table
 
 
@@ -96,6 +96,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of every language."""
+    return collocations.mine(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document."""
+    found = alignment.measure(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op13_kdtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best vectors of every hundredth."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return kdtree.nearest(rows, rows.where("vec_id % 100 = 0")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_rules": op2_quality_rules,
@@ -107,4 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_sharding": op10_sharding,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_kdtree_search": op13_kdtree_search,
 }

@@ -21,7 +21,7 @@ def test_same_rows(spark, name):
     assert got == rows
 
 
-def test_all_eleven_are_registered():
+def test_all_fourteen_are_registered():
     names = entry.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
