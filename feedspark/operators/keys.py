@@ -10,7 +10,7 @@ partition) give each partition its id offset, and every row gets
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,11 +29,12 @@ def assign_ids(
     df: DataFrame,
     order_cols: Sequence[str],
     *,
-    start: int = 1,
+    start: int | Callable[[int], int] = 1,
     id_col: str = "id",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``id_col`` = ``start`` + rank of the row in ``order_cols`` order."""
+    """Add ``id_col`` = ``start`` + rank of the row in ``order_cols`` order;
+    ``start`` may be a function of the number of rows (a reservation)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     if num_partitions is None:
@@ -56,6 +57,8 @@ def assign_ids(
     for pid, cnt in counts:
         offsets.append((pid, running))
         running += cnt
+    if callable(start):
+        start = start(running)
     off_df = spark.createDataFrame(offsets or [(0, 0)], f"{_PID} int, {_OFF} long")
     out = ranged.join(F.broadcast(off_df), _PID, "inner")
     out = out.withColumn(id_col, (F.lit(int(start)) + F.col(_OFF) + F.col(_POS)).cast("long"))

@@ -9,13 +9,14 @@ rows whose parent is missing is a policy:
 * ``drop``  - remove the row.
 
 The dimension is broadcast only after its size (rows, then bytes) is
-checked against bounds; above them the join shuffles both sides, and rows with a null key -
-which can never match and may be a large share of a feed - are salted over
-the shuffle partitions instead of piling into one.
+checked against bounds; above them the join shuffles both sides, and rows with a null key
+(which can never match and may be a large share of a feed) or with a hot key are
+salted over the shuffle partitions instead of piling into one.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,30 +87,53 @@ def _condition(left: DataFrame, right: DataFrame, left_on: list[str], right_on:
 
 _SALT_L = "_lookup_salt"
 _SALT_R = "_lookup_salt_dim"
+# salts of a null or hot key for every shuffle partition: hashed to partitions,
+# so many make each partition's share even
+SPREAD = 8
+MAX_SALTS = 4096
+HOT_KEYS = 64  # a sketch tracks many more and is asked for these
+
+
+def hot_keys(feed: DataFrame, keys: Sequence[str], partitions: int) -> list[int]:
+    """Hashes of the keys that hold more rows than half a shuffle partition's
+    even share, by a mergeable sketch: one partial aggregate over the keys,
+    whose result is one row."""
+    key = F.xxhash64(*[F.col(k) for k in keys]).alias("_key")
+    found = feed.where(_complete(keys)).select(key).agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_key, {HOT_KEYS}, {100 * HOT_KEYS})").alias("top")).first()
+    return [x["item"] for x in found["top"] or [] if x["count"] * 2 * partitions > found["n"]]
+
+
+def _complete(keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
 
 
 def _salted_left_join(feed: DataFrame, dim: DataFrame, lk: list[str], rk: list[str]) -> DataFrame:
-    """Shuffled left outer join in which null-key rows are spread out.
+    """Shuffled left outer join in which null-key rows and hot keys are spread.
 
     A null key never matches, but hashed as is every such row lands in one
-    shuffle partition (one task may get a third of the feed). Each feed row
-    gets a second join key: 0 when its key is complete, else a deterministic
-    hash bucket of the row; every dimension row gets 0. Matches are unchanged
-    and null-key rows spread over the shuffle partitions of one join.
+    shuffle partition (one task may get a third of the feed), and so do the
+    rows of one hot parent. Both get a deterministic hash bucket of the row as
+    a second join key; the few parents of hot keys are repeated for every
+    bucket, all others have bucket 0. Matches are unchanged. The join is
+    hinted, so that no size estimate turns it into a broadcast.
     """
-    buckets = int(feed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    complete = None
-    for k in lk:
-        c = F.col(k).isNotNull()
-        complete = c if complete is None else complete & c
-    left = feed.withColumn(
-        _SALT_L,
-        F.when(complete, F.lit(0).cast("long")).otherwise(F.pmod(F.xxhash64(*[F.col(c) for c in feed.columns]), F.lit(max(1, buckets)).cast("long"))),
-    )
+    partitions = max(1, int(feed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salts = min(MAX_SALTS, SPREAD * partitions)
+    # equal keys must hash alike, so their types must be the same
+    alike = [feed.schema[k].dataType for k in lk] == [dim.schema[k].dataType for k in rk]
+    hot = hot_keys(feed, lk, partitions) if alike else []
+    row = F.pmod(F.xxhash64(*[F.col(c) for c in feed.columns]), F.lit(salts).cast("long"))
+    spread = ~_complete(lk) | (F.xxhash64(*[F.col(k) for k in lk]).isin(hot) if hot else F.lit(False))
+    left = feed.withColumn(_SALT_L, F.when(spread, row).otherwise(F.lit(0).cast("long")))
     # not a literal, so the optimizer keeps it as a join key
-    right = dim.withColumn(_SALT_R, F.when(F.col(rk[0]).isNotNull(), F.lit(0).cast("long")))
+    zero = F.when(F.col(rk[0]).isNotNull(), F.lit(0).cast("long"))
+    if hot:
+        every = F.when(F.xxhash64(*[F.col(k) for k in rk]).isin(hot), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(zero))
+        right = dim.withColumn(_SALT_R, F.explode(every))
+    else:
+        right = dim.withColumn(_SALT_R, zero)
     cond = _condition(left, right, lk + [_SALT_L], rk + [_SALT_R])
-    return left.join(right, cond, "left_outer").drop(_SALT_L, _SALT_R)
+    return left.hint("merge").join(right.hint("merge"), cond, "left_outer").drop(_SALT_L, _SALT_R)
 
 
 def missing_parents(
@@ -132,8 +156,7 @@ def missing_parents(
     parents = dim.select(*[F.col(r).alias(f"_p{i}") for i, r in enumerate(rk)])
     if broadcast is None:
         broadcast = fits_broadcast(dim, max_broadcast_rows)
-    if broadcast:
-        parents = F.broadcast(parents)
+    parents = F.broadcast(parents) if broadcast else parents.hint("merge")
     cond = _condition(keys, parents, lk, [f"_p{i}" for i in range(len(rk))])
     return keys.join(parents, cond, "left_anti")
 

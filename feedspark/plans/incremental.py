@@ -1,26 +1,32 @@
 """Incremental loads that equal a load of the whole history.
 
 Every target has a ledger: the first-seen row of each *feed* key (external
-ids, before any lookup or filter), with its extract time. A run merges its
-rows into the ledger and derives the target from it with the same row
-functions a full load uses, so neither the number of runs nor the order in
-which files arrive can change the result: a rejected key stays known, and an
-earlier extract that arrives late corrects its row, which keeps its id.
-
-The ledger is partitioned by a hash bucket of the entity's external id, which
-every feed key and every target key contains. A run rewrites and derives only
-the buckets of its own entities - unless a lookup table has changed since the
-last run, which can change any row.
-
-A run that stops half way is repaired by repeating it: the ledger merge gives
-the same ledger again, and the target is compared with what the ledger says.
+ids, before any lookup or filter), with its extract time. The target is derived
+from it with the same row functions a full load uses, so neither the number of
+runs nor the order in which files arrive can change the result: a rejected key
+stays known, and an earlier extract that arrives late corrects its row, which
+keeps its id.
+
+A ledger is a base and deltas, merged on read. A run writes only the rows that
+are new or earlier than what is held; deltas are folded into the base once they
+hold half as much, so what all runs write together follows the new keys.
+
+A run derives only the entities (external ids of the target, which every target
+key contains) that its new rows belong to, or that a change in a lookup table
+reaches: the lookup's folders are compared with those the target was last
+derived with, and only the ids whose rows differ are followed. Of the target
+only folders that hold a corrected or withdrawn row are written again.
+
+All of it - ledgers, targets, both tables of a feed - is published in one
+commit (see :mod:`feedspark.plans.catalog`), so a run that stops half way has
+changed nothing and is repeated.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,10 +34,10 @@ from ..operators.dedupe import first_seen
 from ..operators.keys import assign_ids
 from ..schemas import GENERATED_IDS, TARGET_COLUMNS
 from ..session import scratch_path
-from ..sinks.tables import overwrite_partitions
 
-BUCKETS = 64
-BUCKET = "ledger_bucket"
+# deltas are folded into the base when their rows are this share of its rows,
+# or when there are this many
+FOLD_SHARE, FOLD_DELTAS = 0.5, 64
 
 
 @dataclass(frozen=True)
@@ -62,17 +68,13 @@ LEDGERS = {
 }
 
 
-def bucket_of(entity: Column) -> Column:
-    return F.pmod(F.xxhash64(entity), F.lit(BUCKETS)).cast("int")
-
-
-def _read(spark, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
-        return None
+# --- fixed values: columns of the lookups that a load reads, and the flat column that points at them
+LINKS = {
+    "tenant": (("id", "mo_id"), "tenant"),
+    "client": (("id", "mo_id", "tenant_id"), "advertiser_id"),
+    "network": (("id", "mo_id", "tenant_id"), "program_network_id"),
+}
+_KEY = "_entity"
 
 
 def _staged(df: DataFrame, name: str) -> DataFrame:
@@ -81,102 +83,147 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _fingerprint(catalog, tables: tuple[str, ...]) -> str:
-    """Number and hash sum of the lookups' rows."""
-    parts = []
-    for t in tables:
-        df = catalog.read(t)
-        n, h = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first()
-        parts.append(f"{t}:{n}:{h}")
-    return ";".join(parts)
+def _same(left: DataFrame, right: DataFrame, cols) -> Column:
+    """Null-safe equality of the given columns."""
+    return reduce(Column.__and__, [left[c].eqNullSafe(right[c]) for c in cols])
+
+
+def ledger_rows(catalog, table: str, entities: DataFrame | None = None) -> DataFrame | None:
+    """First-seen rows of a ledger (of some entities), base and deltas merged."""
+    held, spec = catalog.state().get("ledgers", {}).get(table), LEDGERS[table]
+    if not held:
+        return None
+    rows = catalog.open(held["folders"])
+    if entities is not None:
+        rows = rows.join(entities, rows[spec.entity].eqNullSafe(entities[_KEY]), "left_semi")
+    return rows if len(held["folders"]) == 1 else first_seen(rows, spec.key, tiebreak=spec.rest)
 
 
-def merge_ledger(flat: DataFrame, catalog, table: str) -> list[int]:
-    """Merge the rows of ``flat`` into the ledger; returns the buckets to derive."""
+def merge_ledger(flat: DataFrame, catalog, table: str) -> DataFrame | None:
+    """Add the rows of ``flat`` that are new to the ledger, or earlier than what
+    it holds, as a delta. Returns the delta (None: nothing new)."""
     spec = LEDGERS[table]
-    spark, root = flat.sparkSession, catalog.ledger_path(table)
-    rows = flat.select(*spec.key, "extract_datetime", *spec.rest)
-    batch = first_seen(rows, spec.key, tiebreak=spec.rest).withColumn(BUCKET, bucket_of(F.col(spec.entity)))
-    batch = _staged(batch, f"ledger-batch-{table}")
-    # at most BUCKETS numbers
-    touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())
-    old = _read(spark, f"{root}/rows")
-    if touched:
-        merged = batch
-        if old is not None:
-            merged = batch.unionByName(old.where(F.col(BUCKET).isin(touched)).select(*batch.columns))
-            merged = first_seen(merged, spec.key, tiebreak=spec.rest)
-        overwrite_partitions(_staged(merged, f"ledger-{table}"), f"{root}/rows", [BUCKET])
-    now, seen = _fingerprint(catalog, spec.lookups), _read(spark, f"{root}/lookups")
-    if seen is not None and seen.first()[0] == now:
-        return touched
-    full = _read(spark, f"{root}/rows")
-    return sorted(r[0] for r in full.select(BUCKET).distinct().collect()) if full is not None else []
-
-
-def remember_lookups(catalog, table: str) -> None:
-    """Note the lookups a finished run has used."""
-    spark = catalog.spark
-    row = spark.createDataFrame([(_fingerprint(catalog, LEDGERS[table].lookups),)], "lookups string")
-    row.write.mode("overwrite").parquet(f"{catalog.ledger_path(table)}/lookups")
-
-
-def ledger_rows(catalog, table: str, buckets: list[int]) -> DataFrame | None:
-    rows = _read(catalog.spark, f"{catalog.ledger_path(table)}/rows")
-    return None if rows is None else rows.where(F.col(BUCKET).isin(buckets)).drop(BUCKET)
+    batch = first_seen(flat.select(*spec.key, "extract_datetime", *spec.rest), spec.key, tiebreak=spec.rest)
+    ledgers = catalog.part("ledgers")
+    held = ledgers.get(table, {"folders": [], "rows": []})
+    if held["folders"]:
+        batch = _staged(batch, f"ledger-batch-{table}")
+        known = catalog.open(held["folders"])
+        known = known.join(batch, _same(known, batch, spec.key), "left_semi")
+        both = batch.withColumn("_new", F.lit(1)).unionByName(known.select(*batch.columns).withColumn("_new", F.lit(0)))
+        # of equal rows the one that is held stands first
+        batch = first_seen(both, spec.key, tiebreak=[*spec.rest, "_new"]).where("_new = 1").drop("_new")
+    folder = catalog.store(f"ledger-{table}", batch)
+    delta = catalog.open([folder])
+    n = delta.count()
+    if not n:
+        return None
+    held = {"folders": [*held["folders"], folder], "rows": [*held["rows"], n]}
+    ledgers[table] = held
+    if len(held["folders"]) > FOLD_DELTAS or sum(held["rows"][1:]) > FOLD_SHARE * held["rows"][0]:
+        if len(held["folders"]) > 1:
+            base = catalog.store(f"ledger-{table}", ledger_rows(catalog, table))
+            ledgers[table] = {"folders": [base], "rows": [catalog.open([base]).count()]}
+    return delta
+
+
+def changed_ids(catalog, lookup: str, before: list[str] | None) -> DataFrame | None:
+    """External ids whose rows differ between the folders a lookup had and the
+    folders it has (None: no difference is possible)."""
+    now = catalog.folders(lookup) or []
+    if before is None or before == now:
+        return None
+    cols = LINKS[lookup][0]
 
+    def rows(folders: list[str]) -> DataFrame:
+        if not folders:
+            return catalog.spark.createDataFrame([], ", ".join(f"{c} string" for c in cols))
+        held = catalog.open(folders)
+        return held.select(*(F.col(c).cast("string") if c in held.columns else F.lit(None).cast("string").alias(c) for c in cols))
 
-def _same(left: DataFrame, right: DataFrame, cols) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
+    added, gone = rows([f for f in now if f not in before]), rows([f for f in before if f not in now])
+    either = added.withColumn("_n", F.lit(1)).unionByName(gone.withColumn("_n", F.lit(-1)))
+    return either.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0").select(F.col("mo_id").alias("_changed")).distinct()
 
 
-def sync_target(catalog, table: str, wanted: DataFrame, key: list[str], buckets: list[int], keyed: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """Make the target's rows of ``buckets`` equal to ``wanted``.
+def reached(catalog, table: str, delta: DataFrame | None) -> DataFrame | None:
+    """Entities to derive: those of new ledger rows, and those whose ledger
+    rows point at a changed lookup row."""
+    spec = LEDGERS[table]
+    parts = [] if delta is None else [delta.select(F.col(spec.entity).alias(_KEY))]
+    seen = catalog.state().get("seen", {}).get(table, {})
+    rows = ledger_rows(catalog, table)
+    for lookup in spec.lookups if rows is not None else ():
+        if catalog.folders(lookup) == [lookup]:  # a plain folder that others may change in place
+            parts.append(rows.select(F.col(spec.entity).alias(_KEY)))
+            continue
+        ids = changed_ids(catalog, lookup, seen.get(lookup))
+        if ids is not None:
+            link = F.col(LINKS[lookup][1])
+            parts.append(rows.join(ids, link == F.col("_changed"), "left_semi").select(F.col(spec.entity).alias(_KEY)))
+    return _staged(reduce(DataFrame.unionByName, parts).distinct(), f"entities-{table}") if parts else None
+
+
+def sync_target(catalog, table: str, wanted: DataFrame, key: list[str], entities: DataFrame, keyed: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Make the target's rows of ``entities`` equal to ``wanted``.
 
     ``wanted`` has the key and the target columns (without a made ``id``);
-    ``keyed`` adds key columns that the target does not store. Rows that are
-    there keep their id. Only new rows: one append. A row corrected or
-    withdrawn: the table is staged and rewritten.
+    ``keyed`` adds key columns that the target does not store. A row whose key
+    is there keeps its id. New rows are one more folder; folders that hold a
+    row that is corrected or withdrawn are written again without it.
     """
     made = table in GENERATED_IDS
     cols = [c for c in TARGET_COLUMNS[table] if not (made and c == "id")]
+    stored = (["id"] if made else []) + cols
     wanted = _staged(wanted.select(*dict.fromkeys([*key, *cols])), f"wanted-{table}")
-    target = catalog.read(table)
-    have = (keyed(target) if keyed else target).where(bucket_of(F.col("mo_id")).isin(buckets))
-    have = have.select(*dict.fromkeys([*(["id"] if made else []), *key, *cols]))
-    added = wanted.join(have, _same(wanted, have, key), "left_anti")
-    gone = have.join(wanted, _same(have, wanted, dict.fromkeys([*key, *cols])), "left_anti")
-    if gone.isEmpty():
-        if not added.isEmpty():
-            catalog.append(table, added.select(*cols))
-        return
-    rest = target.where(~F.coalesce(bucket_of(F.col("mo_id")).isin(buckets), F.lit(False)))
+    folders = catalog.folders(table) or []
+    if folders:
+        part = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]*$", 1)
+        target = catalog.read(table).withColumn("_folder", part)
+        have = target.join(entities, target["mo_id"].eqNullSafe(entities[_KEY]), "left_semi")
+        have = (keyed(have) if keyed else have).select("_folder", *dict.fromkeys([*stored, *key]))
+        have = _staged(have, f"have-{table}")
+        changed = wanted.join(have, _same(wanted, have, wanted.columns), "left_anti")
+        gone = have.join(wanted, _same(have, wanted, wanted.columns), "left_anti")
+        gone = _staged(gone, f"gone-{table}")
+    else:
+        changed, gone = wanted, None
+    hit = {r[0] for r in gone.select("_folder").distinct().collect()} if gone is not None else set()
     if made:
-        kept = wanted.join(have.select(*(F.col(c).alias(f"_{c}") for c in ["id", *key])), _pairs(wanted, key), "inner")
-        kept = kept.select(F.col("_id").alias("id"), *cols)
-        fresh = assign_ids(added.select(*cols), GENERATED_IDS[table], start=catalog.next_id(table))
-        body = kept.unionByName(fresh)
+        if hit:
+            ids = gone.groupBy(*key).agg(F.min("id").alias("_kept"))
+            ids = ids.select(F.col("_kept"), *(F.col(c).alias(f"_{c}") for c in key))
+            known = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key])
+            changed = _staged(changed.join(ids, known, "left").select("_kept", *changed.columns), f"changed-{table}")
+            old = changed.where("_kept IS NOT NULL").select(F.col("_kept").alias("id"), *cols)
+            fresh = changed.where("_kept IS NULL").select(*cols)
+        else:
+            old, fresh = None, changed.select(*cols)
+        body = assign_ids(fresh, GENERATED_IDS[table], start=lambda n: catalog.reserve(table, n)).select(*stored)
+        body = body if old is None else body.unionByName(old.select(*stored))
     else:
-        body = wanted.select(*cols)
-    catalog.rewrite(table, rest.select(*body.columns).unionByName(body))
-
+        body = changed.select(*cols)
+    if hit:
+        again = [f for f in folders if f.rsplit("/", 1)[-1] in hit]
+        rest = catalog.open(again).select(*stored)
+        out = gone.select(*stored).distinct()
+        body = rest.join(out, _same(rest, out, stored), "left_anti").unionByName(body)
+        folders = [f for f in folders if f not in again]
+    from .catalog import conform
 
-def _pairs(df: DataFrame, key: list[str]) -> Column:
-    cond = F.lit(True)
-    for c in key:
-        cond = cond & df[c].eqNullSafe(F.col(f"_{c}"))
-    return cond
+    folder = catalog.store(table, conform(body, table))
+    if hit or not folders or not catalog.open([folder]).isEmpty():
+        catalog.replace(table, [*folders, folder])
 
 
 def run(flat: DataFrame, catalog, table: str, derive: Callable[[DataFrame], DataFrame], key: list[str], keyed=None) -> None:
-    """Merge ``flat`` into the ledger of ``table`` and bring the target up to it."""
-    if not hasattr(catalog, "ledger_path"):
+    """Merge ``flat`` into the ledger of ``table`` and bring the target up to
+    it, in one commit (that of the caller's transaction, if there is one)."""
+    if not hasattr(catalog, "state"):
         raise ValueError("incremental loads need a catalog with ledgers; a database target takes full loads only")
-    buckets = merge_ledger(flat, catalog, table)
-    rows = ledger_rows(catalog, table, buckets)
-    if rows is not None and buckets:
-        sync_target(catalog, table, derive(rows), key, buckets, keyed)
-    remember_lookups(catalog, table)
+    with catalog.transaction():
+        entities = reached(catalog, table, merge_ledger(flat, catalog, table))
+        if entities is not None and not entities.isEmpty():
+            sync_target(catalog, table, derive(ledger_rows(catalog, table, entities)), key, entities, keyed)
+        # the folders themselves are the snapshot: no commit changes one
+        catalog.part("seen")[table] = {x: catalog.folders(x) or [] for x in LEDGERS[table].lookups}

@@ -143,7 +143,8 @@ def _product_tenants(catalog):
 
 def load_advertiser(flat: DataFrame, catalog, *, only_new: bool = False, tenant_scoped: bool = False, stage: str | None = None) -> None:
     """Client first, then product (which reads the client ids back)."""
-    with persisted(flat, "advertiser", stage) as flat:
+    # both tables appear together
+    with persisted(flat, "advertiser", stage) as flat, catalog.transaction():
         joined = with_tenant(flat, catalog.read("tenant"))
         if only_new:
             known = lambda rows: with_tenant(rows, catalog.read("tenant"), miss="keep")  # noqa: E731 - checked just now

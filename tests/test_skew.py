@@ -52,32 +52,31 @@ def test_null_keys_spread_over_shuffle_partitions(spark):
     assert sorted(sizes)[-2] < 0.25 * 30000
 
 
-def test_hot_key_partition_is_split_at_runtime(spark):
-    """A real key with a third of the rows: AQE splits its shuffled-join partition."""
-    import io
-    from contextlib import redirect_stdout
-
-    confs = {
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    }
+def test_hot_key_is_spread_without_help_at_runtime(spark):
+    """A real key with a third of the rows, another third null, AQE off: no
+    task of the join has twice the rows of the median one."""
+    from statistics import median
+
+    confs = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
     old = {k: spark.conf.get(k, None) for k in confs}
     for k, v in confs.items():
         spark.conf.set(k, v)
     try:
-        joined = resolve(_feed(spark, 300000), _dim(spark), "advertiser_id", "client_mo_id", broadcast=False)
-        assert len(joined.collect()) == 300000
-        buf = io.StringIO()
-        with redirect_stdout(buf):
-            joined.explain()
+        feed, dim = _feed(spark, 300000), _dim(spark)
+        joined = resolve(feed, dim, "advertiser_id", "client_mo_id", broadcast=False)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        whole = resolve(feed, dim, "advertiser_id", "client_mo_id", broadcast=True)
+        assert joined.exceptAll(whole).isEmpty() and whole.exceptAll(joined).isEmpty()
     finally:
         for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-    assert "SortMergeJoin(skew=true)" in buf.getvalue()
+            spark.conf.set(k, v)
+    assert len(sizes) == 16 and max(sizes) < 2 * median(sizes)
+
+
+def test_hot_keys_of_other_types_still_match(spark):
+    feed = spark.range(3000).selectExpr("cast(if(id % 3 = 0, 7, id % 50) as int) as k", "id")
+    dim = spark.range(50).selectExpr("id as d", "id * 10 as n")
+    got = resolve(feed, dim, "k", "d", broadcast=False)
+    assert got.where("n is null").isEmpty() and got.count() == 3000
+    feed, dim = feed.withColumn("t", F.lit("T")), dim.withColumn("u", F.lit("T")).withColumn("d", F.col("d").cast("int"))
+    assert resolve(feed, dim, ["k", "t"], ["d", "u"], broadcast=False).where("n = k * 10").count() == 3000
