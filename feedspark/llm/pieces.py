@@ -1,5 +1,10 @@
 """SentencePiece encoding and decoding with N-best segmentations.
 
+The vocabulary is a byte-pair one: its scores are the ranks of its merges, taken
+as they are for scores of pieces, so the best segmentation is the one of the
+largest sum of ranks and need not be that of the merges. Texts are not
+normalised.
+
 A text becomes a lattice: every vocabulary piece that matches at a place is an
 edge with the piece's score. No piece crosses from a letter to a blank mark, so
 the lattice falls apart into units there, and equal units share their work. Per
@@ -77,7 +82,7 @@ class Lattice:
         self.unknown = min((s for _, _, s in vocabulary["pieces"] if s > -1e8), default=0.0) - 10.0
         lines = any("\n" in p for p, _, _ in vocabulary["pieces"])
         self.units = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if lines else f"\n|{MARK}*[^{MARK}\n]+|{MARK}+").findall
-        self.known: dict[str, tuple[bytes, float, float]] = {}
+        self.known: dict[str, tuple[bytes, float, float, bool]] = {}
         self.ranked: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
 
     def edges(self, unit: str) -> list[tuple[int, int, float, int]]:
@@ -98,9 +103,9 @@ class Lattice:
                 out += [self.bytes[x] for x in (MARK if c == _OWN_MARK else c).encode()]
         return tuple(out)
 
-    def best(self, unit: str) -> tuple[bytes, float, float]:
-        """Ids (little-endian), score, and what the second choice costs
-        (infinite if there is none)."""
+    def best(self, unit: str) -> tuple[bytes, float, float, bool]:
+        """Ids (little-endian), score, what the second choice costs (infinite
+        if there is none), and whether the ids give back the unit."""
         if unit not in self.known:
             if len(self.known) >= CACHE:
                 self.known.clear()
@@ -115,7 +120,7 @@ class Lattice:
                 value[e[1]], into[e[1]] = v, e
         return value, into
 
-    def _best(self, unit: str) -> tuple[bytes, float, float]:
+    def _best(self, unit: str) -> tuple[bytes, float, float, bool]:
         n, none = len(unit), float("-inf")
         known = self.single.issuperset(unit)
         found = self.matcher.iter(unit) if known else [(b - 1, (b - a, s, i)) for a, b, s, i in self.edges(unit)]
@@ -140,7 +145,8 @@ class Lattice:
                 ids += self.ids(unit, [(a, at, 0.0, i)])[::-1]
             at = a
         ids.reverse()
-        return array("i", ids).tobytes(), value[n], value[n] - second[n]
+        back = b"".join([self.text[i] for i in ids]) == unit.replace(MARK, " ").replace(_OWN_MARK, MARK).encode()
+        return array("i", ids).tobytes(), value[n], value[n] - second[n], back
 
     def nbest(self, unit: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The ``n`` best segmentations (all, if fewer): backward A-star whose
@@ -175,11 +181,15 @@ class Lattice:
 
     def encode(self, text: str, n: int) -> tuple[bytes, float, list[tuple[float, list[tuple[int, tuple[int, ...]]]]]]:
         """Ids of the best segmentation, its score, and the ``n`` best as
-        (score, units that differ: place in pieces of the best and own ids)."""
+        (score, units that differ: place in pieces of the best and own ids).
+        ``gave_back`` then says that every unit's ids decode to the unit."""
         units = self.units(marked(text)) if text else []
         known, best = self.known.get, self.best
         found = [known(u) or best(u) for u in units]
         ids, score = b"".join([f[0] for f in found]), sum([f[1] for f in found])
+        self.gave_back = all([f[3] for f in found])
+        if n < 2:
+            return ids, score, [(score, [])]
         losses = np.array([f[2] for f in found])
         cheap = np.argsort(losses, kind="stable")[: n - 1]
         choices = []
@@ -211,23 +221,28 @@ class Lattice:
 _ENCODED = "ids binary, score double, nbest array<struct<score:double,changes:array<struct<at:int,ids:array<int>>>>>, round_trip boolean"
 
 
-def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, n_best: int = N_BEST, carry: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, n_best: int = N_BEST, carry: list[str] | None = None, check: bool = True) -> DataFrame:
     """``row`` (the input row, or its ``carry`` columns) with ``ids`` (32-bit
     little-endian), ``score`` and ``nbest`` of its text: for each of the N best
     segmentations its score and the units in which it differs from the best
     (``at``: the place in the best's pieces); ``round_trip`` says that the ids
-    decode to the text."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(read_vocabulary(model))
+    decode to the text (null if not asked to ``check``)."""
+    vocabulary = docs.sparkSession.sparkContext.broadcast({"vocabulary": read_vocabulary(model)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lattice = Lattice(vocabulary.value)
+        # a worker's tasks share its copy of the broadcast, and so one lattice and its units
+        held = vocabulary.value
+        lattice = held.setdefault("lattice", None) or Lattice(held["vocabulary"])
+        held["lattice"] = lattice
         for whole in batches:
             for at in range(0, len(whole), ROWS):
                 pdf, rows = whole.iloc[at : at + ROWS], []
                 for text in pdf["_text"]:
                     ids, score, best = lattice.encode(text or "", n_best)
                     ranked = [{"score": float(s), "changes": [{"at": a, "ids": list(i)} for a, i in d]} for s, d in best]
-                    rows.append((ids, float(score), ranked, lattice.decode(ids) == (text or "")))
+                    # where every unit comes back, so does the text
+                    back = (lattice.gave_back or lattice.decode(ids) == (text or "")) if check else None
+                    rows.append((ids, float(score), ranked, back))
                 out = pd.DataFrame(rows, columns=["ids", "score", "nbest", "round_trip"])
                 yield pd.concat([pdf.drop(columns="_text").reset_index(drop=True), out], axis=1)
 
