@@ -32,7 +32,7 @@ def _append_once(bad: DataFrame, quarantine: str) -> None:
     bad = bad.distinct()
     try:
         held = spark.read.parquet(quarantine)
-        bad = bad.join(held, [bad[c].eqNullSafe(held[c]) for c in bad.columns], "left_anti")
+        bad = bad.join(held, [bad[c].eqNullSafe(held[c]) for c in bad.columns if c in held.columns], "left_anti")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
             raise
@@ -62,7 +62,7 @@ def run_feed(
     ``multi_line=None`` finds out for every file whether it holds one document
     or one per line. Files without a date stop the run, or with ``undated="skip"`` are
     listed in the table ``undated_list``. In PERMISSIVE mode documents that do
-    not parse go to ``quarantine`` (required then) once the others are loaded;
+    not parse, or do not hold the feed's payload, go to ``quarantine`` (required then) once the others are loaded;
     a run that stops or is repeated adds none twice. ``only_new`` loads through
     the ledger (see :mod:`feedspark.plans.incremental`).
     """
@@ -78,7 +78,7 @@ def run_feed(
     if permissive:
         path = scratch_path(spark, f"documents-{spec.name}")
         docs.write.parquet(path)
-        docs, bad = split_corrupt(spark.read.schema(docs.schema).parquet(path))
+        docs, bad = split_corrupt(spark.read.schema(docs.schema).parquet(path), spec)
     flat = flatten(docs, spec, columns=NEEDED[spec.name])
     LOADERS[spec.name](flat, catalog, only_new=only_new, stage=stage, tenant_scoped=tenant_scoped)
     if bad is not None:

@@ -219,3 +219,12 @@ WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 12)""
 for _table in ("estimate", "daypart", "program"):
     ORACLE_SQL[f"incremental_{_table}"] = ORACLE_SQL[f"load_{_table}_shuffled"] = ORACLE_SQL[f"load_{_table}"]
 ORACLE_SQL["load_product_shuffled"] = ORACLE_SQL["load_product"]
+ORACLE_SQL["commit_interrupted"] = ORACLE_SQL["incremental_product"]
+ORACLE_SQL["lookup_change_followed"] = ORACLE_SQL["load_estimate"]
+ORACLE_SQL["quarantine_accounting"] = """WITH d AS (
+  SELECT DISTINCT 'DS-OO-NATIONAL-PROGRAMFEED-' || strftime(date_trunc('month', l.l_shipdate), '%Y%m%d') || '-000000' AS feed_file,
+    n.n_name, l.l_shipdate, floor(l.l_orderkey / 256) AS chunk
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN part pt ON l.l_partkey = pt.p_partkey)
+SELECT feed_file, count(*) AS n_lines, count(*) FILTER (chunk % 10 NOT IN (3, 4)) AS n_loaded, count(*) FILTER (chunk % 10 IN (3, 4)) AS n_quarantined
+FROM d GROUP BY 1"""

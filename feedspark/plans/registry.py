@@ -145,6 +145,7 @@ def q_feed_since_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # fixed value of the derived broken documents: chunks of this residue are cut short
 BROKEN_CHUNK_RESIDUE = 3
+OTHER_SHAPE_RESIDUE = 4
 
 
 def _broken_landing(spark: SparkSession, sf_dir: str) -> str:
@@ -498,6 +499,58 @@ def q_incremental_program(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_catalog(spark, sf_dir, "program").read("program")
 
 
+class _Stopped(Exception):
+    pass
+
+
+class _StoppingCatalog(ParquetCatalog):
+    """Raises after a number of writes."""
+
+    left: int | None = None
+
+    def store(self, name: str, df: DataFrame) -> str:
+        out = super().store(name, df)
+        if self.left is not None:
+            self.left -= 1
+            if self.left < 0:
+                raise _Stopped(name)
+        return out
+
+
+def q_commit_interrupted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products by their clients' external ids, where the run of the oldest
+    files (which corrects both tables) stops after the client's and after the
+    product's writes before it is repeated."""
+    cat = _StoppingCatalog(spark, scratch_path(spark, "catalog-interrupted"))
+    cat.seed("tenant", L.seed_lookups(spark, sf_dir)["tenant"])
+    old = F.lit(RUNS["advertiser"][1]).cast("timestamp")
+    flat = flat_feed(spark, sf_dir, "advertiser", loads.NEEDED["advertiser"])
+    loads.load_advertiser(flat.where(F.col("extract_datetime") >= old), cat, only_new=True)
+    for left in (1, 3, None):
+        cat.left = left
+        try:
+            loads.load_advertiser(flat.where(F.col("extract_datetime") < old), cat, only_new=True)
+        except _Stopped:
+            continue
+    client = cat.read("client").select(F.col("id").alias("client_id"), F.col("mo_id").alias("client_mo_id"), "tenant_id")
+    return cat.read("product").join(client, "client_id", "left").select("mo_id", "name", "client_mo_id", "tenant_id")
+
+
+def q_lookup_change_followed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Estimates after the ids of every third client have changed since they
+    were loaded: a run without new rows follows them."""
+    cat = ParquetCatalog(spark, scratch_path(spark, "catalog-followed"))
+    seeds = L.seed_lookups(spark, sf_dir)
+    cat.seed("tenant", seeds["tenant"])
+    other = F.when(F.col("id") % 3 == 0, F.col("id") + 1_000_000).otherwise(F.col("id"))
+    cat.seed("client", seeds["client"].withColumn("id", other))
+    flat = flat_feed(spark, sf_dir, "estimate", loads.NEEDED["estimate"])
+    loads.load_estimate(flat, cat, only_new=True)
+    cat.seed("client", seeds["client"])
+    loads.load_estimate(flat.limit(0), cat, only_new=True)
+    return cat.read("estimate")
+
+
 # --- loads with lookups above the broadcast bound --------------------------------------
 
 def _shuffled(spark: SparkSession, sf_dir: str, feed: str, table: str) -> DataFrame:
@@ -569,6 +622,26 @@ def q_scan_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held.groupBy(F.regexp_extract(FILE_COL, "feed_file=([^/]+)/", 1).alias("feed_file")).agg(F.count(F.lit(1)).alias("n_bad"))
 
 
+def q_quarantine_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every file, documents loaded and documents quarantined, where
+    some lines are cut short and others are of another shape."""
+    root = scratch_path(spark, "landing-shapes")
+    docs = L.program_documents(L.read_tables(spark, sf_dir))
+    part = F.col("chunk") % 10
+    text = F.when(part == BROKEN_CHUNK_RESIDUE, F.expr("substring(value, 1, length(value) - 7)")).when(part == OTHER_SHAPE_RESIDUE, F.lit('{"heartbeat": true}'))
+    docs.select("feed_file", F.coalesce(text, "value").alias("value")).write.partitionBy("feed_file").text(root)
+    path = scratch_path(spark, "scanned-shapes")
+    scanned = scan_feed(spark, root, "program", mode="PERMISSIVE")
+    scanned.write.parquet(path)
+    good, bad = split_corrupt(spark.read.schema(scanned.schema).parquet(path), "program")
+    name = F.regexp_extract(FILE_COL, "feed_file=([^/]+)/", 1).alias("feed_file")
+    loaded = good.groupBy(name).agg(F.count(F.lit(1)).alias("n_loaded"))
+    kept = bad.groupBy(name).agg(F.sum("n_documents").alias("n_quarantined"))
+    lines = spark.read.text(root).groupBy("feed_file").agg(F.count(F.lit(1)).alias("n_lines"))
+    both = lines.join(loaded, "feed_file", "left").join(kept, "feed_file", "left")
+    return both.select("feed_file", "n_lines", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_loaded", "n_quarantined")))
+
+
 def q_undated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All names of a feed without a date."""
     return undated_files(_file_names(spark, sf_dir), "clickfeed", "file_name")
@@ -646,6 +719,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_estimate_shuffled": q_load_estimate_shuffled,
     "load_daypart_shuffled": q_load_daypart_shuffled,
     "load_program_shuffled": q_load_program_shuffled,
+    "commit_interrupted": q_commit_interrupted,
+    "lookup_change_followed": q_lookup_change_followed,
+    "quarantine_accounting": q_quarantine_accounting,
     "run_feed_client": q_run_feed_client,
     "run_feed_multi_line": q_run_feed_multi_line,
     "scan_quarantine": q_scan_quarantine,

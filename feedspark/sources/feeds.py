@@ -224,7 +224,7 @@ def file_forms(spark: SparkSession, landing: str | Sequence[str], feed: str | Fe
     seen.groupBy("path", "size").agg(F.min_by("alone", "place").alias("head"), F.min_by("first", "place").alias("on_head"), F.bool_or("alone").alias("some"), F.count(F.lit(1)).alias("n")).write.parquet(path)
     files = spark.read.parquet(path)
     # a single line is the same in both forms
-    by_line = F.col("head") | (F.col("n") == 1) | (F.col("some") & (F.col("size") > WHOLE))
+    by_line = F.col("head") | (F.col("n") == 1)
     most, others = _listed(files, by_line)
     if most and not others:
         return False, []
@@ -270,13 +270,18 @@ def parse_feed(df: DataFrame, column: str, feed: str | FeedSpec, *, mode: str =
     return df.select(*others, parsed.alias("_doc")).select(*others, "_doc.*")
 
 
-def split_corrupt(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_corrupt(docs: DataFrame, feed: str | FeedSpec | None = None) -> tuple[DataFrame, DataFrame]:
     """(good documents, quarantined documents) of a PERMISSIVE scan.
 
-    The scan is staged by the caller if both halves are used, so the files
-    are read once.
+    With ``feed`` given, a document that parses but does not hold the feed's
+    payload array (a line of another shape) is quarantined too, as what was
+    parsed of it. ``n_documents`` counts equal ones of a file, so good and
+    quarantined documents of a file add up to those it holds. The scan is
+    staged by the caller if both halves are used, so the files are read once.
     """
-    good = docs.where(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
-    bad = docs.where(F.col(CORRUPT_COL).isNotNull()).select(FILE_COL, CORRUPT_COL)
-    return good, bad
-
+    whole = F.col(CORRUPT_COL).isNull()
+    held = [F.col(c) for c in docs.columns if c not in (CORRUPT_COL, FILE_COL)]
+    text = F.coalesce(F.col(CORRUPT_COL), F.to_json(F.struct(*held)))
+    fits = whole if feed is None else whole & F.col(feed_spec(feed).explode[0][1]).isNotNull()
+    bad = docs.where(~fits).groupBy(FILE_COL, text.alias(CORRUPT_COL)).agg(F.count(F.lit(1)).alias("n_documents"))
+    return docs.where(fits).drop(CORRUPT_COL), bad

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.errors import PySparkException
@@ -276,3 +277,30 @@ def test_read_schema_prunes_nested_fields(spark, tmp_path):
     cols = ["tenant", "brand_id"]
     rows = flatten(scan_feed(spark, str(tmp_path), "advertiser", multi_line=True, columns=cols), "advertiser", columns=cols).collect()
     assert sorted(map(tuple, rows)) == [("T1", "b1"), ("T1", "b2")]
+
+
+def test_documents_of_another_shape_are_kept_and_counted(spark, tmp_path):
+    """Loaded and quarantined documents add up; nothing is left out unseen."""
+    from feedspark.plans.job import run_feed
+
+    land, cat = tmp_path / "shapes", ParquetCatalog(spark, str(tmp_path / "shape-tables"))
+    cat.seed("tenant", spark.createDataFrame([(7, "T1")], "id long, mo_id string"))
+    good = json.dumps(envelope(feed="DESTINATION", destinations=[{"id": "N1", "name": "n", "media": "m", "type": "t", "nielsenCode": "c"}]))
+    lines = [good, '{"heartbeat": 1}', '{"heartbeat": 2}', '{"destinations": null}', "{cut", good.replace("N1", "N2")]
+    write_doc(land, "DS-DESTINATIONFEED-20180101", "\n".join(lines), raw=True)
+    for _ in range(2):
+        run_feed(spark, "destination", str(land), cat, multi_line=False, mode="PERMISSIVE", quarantine=str(tmp_path / "kept"), only_new=True)
+    assert sorted(r.mo_id for r in cat.read("network").collect()) == ["N1", "N2"]
+    kept = spark.read.parquet(str(tmp_path / "kept")).collect()
+    assert sum(r.n_documents for r in kept) == 4 and "{cut" in {r._corrupt_record for r in kept}
+
+
+def test_a_large_file_over_several_lines_is_refused(spark, tmp_path, monkeypatch):
+    from feedspark.sources import SeveralDocumentsError, feeds
+
+    monkeypatch.setattr(feeds, "WHOLE", 100)
+    doc = envelope(feed="DESTINATION", destinations=[{"id": f"N{i}"} for i in range(20)])
+    text = json.dumps(doc).replace("}, {", "},\n{").replace("}]", "}\n]")
+    write_doc(tmp_path / "large", "DS-DESTINATIONFEED-20180101", text, raw=True)
+    with pytest.raises(SeveralDocumentsError, match="too large"):
+        scan_feed(spark, str(tmp_path / "large"), "destination", multi_line=None)
