@@ -27,6 +27,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -40,7 +42,7 @@ INSIDE = 80  # per cent of a phrase's occurrences that a longer one may hold
 SCALE = 2_000_000
 UNKNOWN = "und"
 BURST = 4096  # entries of a container that becomes a node
-LIMIT = 400_000  # entries of a trie that sends subtrees out, and words a task numbers
+LIMIT = 1_000_000  # entries of a trie that sends subtrees out, and words a task numbers
 RUN = 50_000  # entries of a run at least, if there are more
 CHUNK = 1 << 20  # bytes worked on at once
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 31  # of the bitmap; at most 256 MiB
@@ -116,27 +118,34 @@ def _chunks(text: str) -> Iterator[bytes]:
         at = to
 
 
-def _run_of(found: list[tuple[str, bytes, int]]) -> pd.DataFrame:
-    found.sort()
-    texts = {"lang": [x[0] for x in found], "phrase": [x[1].decode() for x in found]}
-    return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in texts.items()}).assign(n=np.array([x[2] for x in found], dtype=np.int64))
+def _sorted_run(parts: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+    yield from pa.concat_tables(parts).sort_by([("lang", "ascending"), ("phrase", "ascending")]).to_batches()
 
 
-def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _rows_of(lang: pa.Array, phrase: pa.Array, n) -> pa.Table:
+    return pa.table({"lang": lang.cast(pa.string()), "phrase": phrase.cast(pa.string()), "n": pa.array(n, pa.int64())})
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str, str]]:
+    return zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True)
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted runs of words; a word is a trie's root, so its count hangs there."""
     counts: dict[str, Counter] = {}
 
-    def held() -> pd.DataFrame:
-        return _run_of([(lang, w, n) for lang, c in counts.items() for w, n in c.items()])
+    def held() -> Iterator[pa.RecordBatch]:
+        if counts:
+            yield from _sorted_run([_rows_of(pa.array([lang] * len(c)), pa.array(list(c), pa.binary()), list(c.values())) for lang, c in counts.items()])
 
-    for pdf in batches:
-        for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
+    for batch in batches:
+        for lang, text in _texts(batch):
             for data in _chunks(text):
                 counts.setdefault(lang, Counter()).update(data.split())
                 if sum(map(len, counts.values())) > LIMIT:
-                    yield held()
+                    yield from held()
                     counts = {}
-    yield held()
+    yield from held()
 
 
 class _Words:
@@ -180,19 +189,28 @@ def _count_phrases(words, pairs):
     """Sorted runs of the pairs of frequent words, or (given a bitmap of
     frequent ``pairs``) of longer phrases all of whose pairs are frequent."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, trie = _Words(np.frombuffer(words.value, dtype=np.uint8)), HatTrie()
         often = None if pairs is None else _Words(np.frombuffer(pairs.value, dtype=np.uint8))
         passed: dict[int, bool] = {}
 
-        def out(to: int) -> Iterator[pd.DataFrame]:
-            found = []
+        def out(to: int) -> Iterator[pa.RecordBatch]:
+            words_, langs, found = pa.array(own.word, pa.binary()), pa.array(own.lang, pa.string()), []
             for tree in trie.spill(to):
-                found += [(own.lang[row[0]], b" ".join([own.word[i] for i in row]), n) for row, n in tree]
+                found += tree
                 if len(found) >= RUN:
-                    yield _run_of(found)
+                    yield from _sorted_run(tables(words_, langs, found))
                     found = []
-            yield _run_of(found)
+            if found:
+                yield from _sorted_run(tables(words_, langs, found))
+
+        def tables(words_: pa.Array, langs: pa.Array, found: list) -> list[pa.Table]:
+            parts = []
+            for size in sorted({len(row) for row, _ in found}):
+                ids = np.array([row for row, _ in found if len(row) == size], dtype=np.int64)
+                phrase = pc.binary_join_element_wise(*(words_.take(pa.array(ids[:, k])) for k in range(size)), b" ")
+                parts.append(_rows_of(langs.take(pa.array(ids[:, 0])), phrase, [n for row, n in found if len(row) == size]))
+            return parts
 
         def frequent(code: int) -> bool:
             a, b = code >> 32, code & 0xFFFFFFFF
@@ -221,8 +239,8 @@ def _count_phrases(words, pairs):
                 trie.add(list(rows), list(rows.values()))
 
         waiting, chars = [], 0
-        for pdf in batches:
-            for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
+        for batch in batches:
+            for lang, text in _texts(batch):
                 for data in _chunks(text):
                     waiting.append(own.ids(lang, data))
                     chars += len(data)
@@ -277,11 +295,11 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit(UNKNOWN)).alias("lang"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.where("text IS NOT NULL AND text <> ''")
     context = docs.sparkSession.sparkContext
-    words = _merged(rows.mapInPandas(_count_words, _RUN), "words", None)
+    words = _merged(rows.mapInArrow(_count_words, _RUN), "words", None)
     often = words.where(F.col("f") >= least)
     known = context.broadcast(_bitmap(often))
-    pairs = _merged(rows.mapInPandas(_count_phrases(known, None), _RUN), "pairs", least)
-    more = _merged(rows.mapInPandas(_count_phrases(known, context.broadcast(_bitmap(pairs))), _RUN), "longer", least)
+    pairs = _merged(rows.mapInArrow(_count_phrases(known, None), _RUN), "pairs", least)
+    more = _merged(rows.mapInArrow(_count_phrases(known, context.broadcast(_bitmap(pairs))), _RUN), "longer", least)
     every = often.unionByName(pairs).unionByName(more)
     every = every.withColumn("words", F.size(F.split("phrase", " ")))
     return every, words.groupBy("lang").agg(F.sum("f").alias("n"))
