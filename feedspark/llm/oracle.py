@@ -58,9 +58,13 @@ def _secrets() -> str:
     )
     role = {name: ", ".join(str(S.RANK[k]) for k in kinds) for name, kinds in S.ROLES.items()}
 
+    def sides(name: str) -> str:
+        mine = f"kind IN ({role[name]})"
+        return f"""CASE WHEN opens THEN pos - max(CASE WHEN {mine} AND NOT opens THEN pos END) OVER upto
+      ELSE min(CASE WHEN {mine} AND opens THEN pos END) OVER onward - pos END AS gap_{name}"""
+
     def near(name: str) -> str:
-        return f"""(coalesce(s - max(CASE WHEN kind IN ({role[name]}) THEN e END) OVER before, {S.SCOPE + 1}) <= {S.SCOPE}
-      OR coalesce(min(CASE WHEN kind IN ({role[name]}) THEN s END) OVER later - e, {S.SCOPE + 1}) <= {S.SCOPE})"""
+        return f"coalesce(min(gap_{name}), {S.SCOPE + 1}) <= {S.SCOPE} AS near_{name}"
 
     names = "[" + ", ".join(quoted(k) for k, _ in S.KINDS) + "]"
     one = f"{names}[kind + 1] || ':' || s || ':' || e"
@@ -73,11 +77,17 @@ parts AS (
   SELECT r, kind, (e - length(hit))::BIGINT AS s, e::BIGINT AS e FROM flat
   WHERE CASE kind WHEN 0 THEN length(regexp_extract(hit, {quoted(S.ASSIGN)}, 2)) >= 6 WHEN 1 THEN length(hit) >= 20
     WHEN {S.RANK["token"]} THEN regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') ELSE true END),
+ends AS (SELECT *, s AS pos, true AS opens FROM parts UNION ALL SELECT *, e AS pos, false AS opens FROM parts),
+gaps AS (
+  SELECT r, kind, s, e, {sides("id")},
+    {sides("secret")}
+  FROM ends
+  WINDOW upto AS (PARTITION BY r ORDER BY pos), onward AS (PARTITION BY r ORDER BY pos DESC)),
+beside AS (SELECT r, kind, s, e, {near("id")}, {near("secret")} FROM gaps GROUP BY r, kind, s, e),
 linked AS (
-  SELECT *, {near("id")} AS near_id, {near("secret")} AS near_secret,
-    coalesce(max(CASE WHEN kind < 3 THEN e END) OVER before, -1) > s
+  SELECT *, coalesce(max(CASE WHEN kind < 3 THEN e END) OVER before, -1) > s
       OR coalesce(min(CASE WHEN kind < 3 THEN s END) OVER later, e) < e AS again
-  FROM parts
+  FROM beside
   WINDOW before AS (PARTITION BY r ORDER BY s, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
     later AS (PARTITION BY r ORDER BY s DESC, kind DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 kept AS (

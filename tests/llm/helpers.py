@@ -6,6 +6,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from feedspark.llm import secret_scan
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PROSE = "the cat of the house and a dog in the garden that is for him with all of this and more to be on it"
 # prose that passes every rule
@@ -69,3 +71,34 @@ def classes(texts: dict[int, str | None], size: int) -> dict[int, int]:
                     p, q = top(a), top(b)
                     head[max(p, q)] = min(p, q)
     return {i: top(i) for i in texts}
+
+
+def parts(text: str):
+    """Start, kind and end of every secret part, weak ones included."""
+    for kind, (name, pattern) in enumerate(secret_scan.KINDS):
+        for m in re.finditer(pattern, text):
+            hit = m[0]
+            if (name == "assign" and len(m[2]) < 6) or (name == "access" and len(hit) < 20):
+                continue
+            if name == "token" and not (re.search("[0-9]", hit) and re.search("[A-Za-z]", hit)):
+                continue
+            yield m.start(), kind, m.end()
+
+
+def secrets(text: str) -> list[tuple[int, int, int]]:
+    """The reported spans, comparing every pair of parts."""
+    found = sorted(parts(text))
+
+    def near(p, role):
+        kinds = {secret_scan.RANK[k] for k in secret_scan.ROLES[role]}
+        return any(0 <= p[0] - q[2] <= secret_scan.SCOPE or 0 <= q[0] - p[2] <= secret_scan.SCOPE for q in found if q[1] in kinds)
+
+    def told(p):
+        if p[1] < secret_scan.N_STRONG:
+            return True
+        if any(q[1] < secret_scan.N_STRONG and q[0] < p[2] and p[0] < q[2] for q in found):
+            return False
+        need = {"ident": ("secret",), "token": ("id",), "endpoint": ("id", "secret")}[secret_scan.KINDS[p[1]][0]]
+        return all(near(p, role) for role in need)
+
+    return [p for p in found if told(p)]

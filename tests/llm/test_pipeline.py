@@ -2,9 +2,9 @@
 import re
 
 import corpus_pipeline
-from feedspark.llm import mixing, pieces, quality_rules, secret_scan
+from feedspark.llm import mixing, pieces, quality_rules
 
-from .helpers import classes, frame, odd, words
+from .helpers import classes, frame, odd, secrets, words
 from .test_mix_shard_pieces import draw
 
 SF = "/root/testdata/sf0.001"
@@ -28,35 +28,10 @@ def good(text):
     )
 
 
-def parts(text):
-    for kind, (name, pattern) in enumerate(secret_scan.KINDS):
-        for m in re.finditer(pattern, text):
-            hit = m[0]
-            if (name == "assign" and len(m[2]) < 6) or (name == "access" and len(hit) < 20):
-                continue
-            if name == "token" and not (re.search("[0-9]", hit) and re.search("[A-Za-z]", hit)):
-                continue
-            yield m.start(), kind, m.end()
-
-
 def masked(text):
-    found = sorted(parts(text))
-    strong = [p for p in found if p[1] < secret_scan.N_STRONG]
-
-    def near(p, role):
-        kinds = {secret_scan.RANK[k] for k in secret_scan.ROLES[role]}
-        k = found.index(p)
-        return any(p[0] - q[2] <= secret_scan.SCOPE for q in found[:k] if q[1] in kinds) or any(q[0] - p[2] <= secret_scan.SCOPE for q in found[k + 1 :] if q[1] in kinds)
-
-    keep = list(strong)
-    for p in found:
-        if p[1] >= secret_scan.N_STRONG and not any(q[0] < p[2] and p[0] < q[2] for q in strong):
-            name = secret_scan.KINDS[p[1]][0]
-            if {"ident": lambda: near(p, "secret"), "token": lambda: near(p, "id"), "endpoint": lambda: near(p, "id") and near(p, "secret")}[name]():
-                keep.append(p)
     out, at = "", 0
     runs = []
-    for a, _, b in sorted(keep):
+    for a, _, b in secrets(text):
         if runs and a <= runs[-1][1]:
             runs[-1][1] = max(runs[-1][1], b)
         else:

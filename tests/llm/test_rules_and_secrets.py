@@ -1,11 +1,13 @@
 import hashlib
+import random
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from feedspark.llm import quality_rules, secret_scan
 
-from .helpers import GOOD, PROSE, frame, odd, words
+from .helpers import GOOD, PROSE, frame, odd, secrets, words
 
 
 def plain_counts(text):
@@ -102,6 +104,30 @@ def test_no_part_completes_itself(spark):
     assert secret_scan.redact(frame(spark, rows[:1])).first().text == link
 
 
+def mixed_texts():
+    """Texts of parts in any order, some within others, some beyond the scope."""
+    rng = random.Random(11)
+    some = [
+        "/profile?user=verylongusername12345", "user=verylongusername12345", "Zk9fQ2xhcmEtTm9ydGgtNDIyMQ", "password=abcdefgh", "AKIA" + "B" * 16,
+        "0123456789abcdef01234567", "https://api.example.com/v1?login=robot-77", "host: db.example.com", "client_id = robot-7", "token=user=abcdefgh1234567890abcdef", "é 日本", "x " * 140,
+    ]
+    return [(i, rng.choice((" ", "", "\n")).join(rng.choices(some, k=rng.randrange(1, 7)))) for i in range(400)]
+
+
+def test_spans_match_all_pairs_of_parts_and_the_sql(spark, tmp_path):
+    from feedspark.llm import registry
+    from feedspark.llm.oracle import ORACLE_SQL
+
+    rows = mixed_texts()
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.spans for r in registry.op1_secret_scan(spark, str(tmp_path)).collect()}
+    assert got == {i: ",".join(f"{secret_scan.KINDS[k][0]}:{a}:{b}" for a, k, b in secrets(t)) for i, t in rows}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert dict(con.sql(f"SELECT doc_id, spans FROM ({ORACLE_SQL['op1_secret_scan']})").fetchall()) == got
+    assert len(set(got.values())) > 200
+
+
 def test_odd_rows_and_redaction(spark):
     df = odd(spark).unionByName(frame(spark, [(20, "é token=abcdefgh! x AKIA" + "B" * 20 + " tail"), (20, "é token=abcdefgh! x AKIA" + "B" * 20 + " tail"), (21, "secret: 0123456789abcdef0123456789abcdef")]))
     assert secret_scan.scan(df).count() == df.count()
