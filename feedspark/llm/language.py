@@ -7,12 +7,14 @@ words, and neighbours with one label form a span. A text's language is the one
 with most letters.
 
 The model counts n-grams of at most ``MAX_TRAIN`` rows of each learned language
-(those of the least hash) in a table of fixed size; scoring is one pass without
-a shuffle, in pieces of ``PIECE`` characters.
+(those of the least hash of their id, found by counts over leading bits of the
+hash, so no task ranks a whole language) in a table of fixed size; more than
+``MAX_LANGS`` learned languages are an error. Scoring is one pass without a
+shuffle, in pieces of ``PIECE`` characters.
 
 Defined results: ``und`` with score 0 for a null text, one without letters, or
 when nothing was learned; ties go to the first language in code order; rows
-whose lang is null teach nothing; repeated rows label alike; an empty table
+whose lang or id is null teach nothing; repeated rows label alike; an empty table
 gives an empty table; texts of any length are read whole (the label path
 carries on over pieces' ends within a text); other columns are not looked at.
 """
@@ -28,10 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import cut, held_out
 from .hashing import mix
 
 MAX_TRAIN = 1_500  # rows a language
+MAX_LANGS = 256  # languages a model holds, half a MiB each; more stop the job
 BUCKETS = 1 << 15  # n-gram counts a language
 ORDERS = (2, 4)
 SWITCH = 12.0  # cost of changing language between two words, in nats
@@ -163,14 +166,29 @@ def _add(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "grams": [grams.tobytes()], "scripts": [scripts.tobytes()]})
 
 
+def teachers(known: DataFrame, max_rows: int = MAX_TRAIN) -> DataFrame:
+    """The ids of every ``lang`` that come first by hash, until ``max_rows``
+    rows lie before them: at most ``max_rows`` times ``MAX_LANGS`` ids."""
+    hashed = known.select("id", "lang").withColumn("_h", F.xxhash64("id"))
+    # rows per language and leading bits of the hash; a language takes the least
+    # hashes up to the range in which it reaches max_rows
+    ranges = hashed.groupBy("lang", F.shiftright("_h", 48).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    below = W.partitionBy("lang").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    used = ranges.withColumn("_below", F.coalesce(F.sum("_n").over(below), F.lit(0))).where(F.col("_below") < max_rows)
+    limits = cut(used.groupBy("lang").agg(F.max("_range").alias("_last")), "lang_limits")
+    if (n := limits.count()) > MAX_LANGS:
+        raise ValueError(f"{n} languages; a model holds at most {MAX_LANGS}")
+    near = hashed.join(F.broadcast(limits), "lang").where(F.shiftright("_h", 48) <= F.col("_last"))
+    order = W.partitionBy("lang").orderBy("_h", "id")
+    rows = near.groupBy("lang", "_h", "id").agg(F.count(F.lit(1)).alias("_n"))
+    return rows.withColumn("_before", F.sum("_n").over(order) - F.col("_n")).where(F.col("_before") < max_rows).select("id", "lang")
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_TRAIN) -> dict:
     """Per language: n-gram log-probabilities and the scripts it uses."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= max_rows)
-    # at most max_rows ids a language
-    ids = F.broadcast(chosen.select("id", "lang").distinct())
-    rows = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(ids, ["id", "lang"])
+    known = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    rows = known.join(F.broadcast(teachers(known, max_rows)), ["id", "lang"])
     shape = "lang string, grams binary, scripts binary"
     counted = rows.select("lang", "text").mapInPandas(_count, shape).groupBy("lang").applyInPandas(_add, shape).collect()
     counted = sorted(counted, key=lambda r: r.lang)

@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from feedspark.llm import ann, language, quality_model
@@ -58,6 +59,19 @@ def test_viterbi_is_the_best_path():
             at += n
 
 
+def test_training_rows_are_those_of_the_least_hash(spark, monkeypatch):
+    rows = [(i, "x", "xyz"[i % 3]) for i in range(3000)] + [(7, "x", "y")] * 40 + [(None, "x", "z")] * 9 + [(5000 + i, "x", "few") for i in range(4)]
+    known = frame(spark, rows).select(F.col("doc_id").alias("id"), "lang")
+    hashed = sorted((r.lang, r.h, r.id is not None, r.id or 0) for r in known.select("*", F.xxhash64("id").alias("h")).collect())
+    for n in (1, 30, 950, 10_000):
+        want = {(lang, i if some else None) for lang in ("x", "y", "z", "few") for _, _, some, i in [r for r in hashed if r[0] == lang][:n]}
+        got = language.teachers(known, n).collect()
+        assert {(r.lang, r.id) for r in got} == want and len(got) == len(want)
+    monkeypatch.setattr(language, "MAX_LANGS", 3)
+    with pytest.raises(ValueError, match="4 languages"):
+        language.teachers(known)
+
+
 def test_languages_of_odd_rows(spark):
     df = odd(spark)
     got = language.label(df, language.train(df)).collect()
