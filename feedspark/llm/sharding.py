@@ -1,61 +1,121 @@
 """Sharding by balanced label propagation.
 
 Rows with equal texts are linked. All rows start in shards dealt in turn, so
-counts are at most one apart; then, round by round, every linked row wants the
-shard that holds most of its group, and quotas per ordered pair of shards let
-it go only against a row that comes back: another mover first, else a row
-without links. Each shard's count thus stays as dealt through all rounds (law
-``rows``), while cut links fall.
+counts are at most one apart, and every shard keeps its count from then on (law
+``rows``). Round by round every group that lies in several shards wants the one
+that holds most of its rows and still has room for all of them; a shard's room
+is its count less the rows of groups that lie in it whole. Larger groups go
+first; those that a shard's room cannot take look further in the next round.
+Rows that come in push out others, unlinked ones first, into the places of rows
+that left. Every round settles at least one group, mostly nearly all that bid.
+When no shard has room for any of the open groups, these are laid one after
+another into the room left, and the rounds end.
 
-A group larger than a shard is first split into chunks below a shard's size,
-which move as groups of their own. Groups are only ever counted (partial
-aggregates) and ranked inside hash buckets; no task holds a whole group, and the
-driver sees one count per pair of shards.
+A text with more rows than a shard is split beforehand into chunks below a
+shard's size, which move as groups of their own. Groups are only ever counted
+(partial aggregates) and ranked inside hash buckets; the few large ones (at most
+``LARGE``) are joined by broadcast, the others by a shuffle, so no task holds a
+large group. The driver sees a few counts per pair of shards.
+
+Which rows share a shard: rows with equal texts, but for texts of more rows than
+a shard and for those of the groups laid out last that cross from one shard
+into the next: fewer than there are shards.
 
 Defined results: a null text has size 1, crc32 0 and no links; empty texts are
 equal texts; rows equal in id and text are rows of their own; a table of fewer
 rows than shards fills the first shards; an empty table gives an empty table;
-other columns are not looked at.
+ids of any type; other columns are not looked at.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut, gapless
 
-MAX_ROUNDS = 6
 # rows of one hash bucket when numbering
 BUCKET_ROWS = 20_000
+# groups of at least this part of all rows are joined by broadcast
+LARGE = 10_000
+
+
+def _line(counts: dict[int, int], shards: int) -> Column:
+    return F.array(*(F.lit(int(counts.get(s, 0))).cast("long") for s in range(shards)))
+
+
+def _with(rows: DataFrame, groups: DataFrame, least: int) -> DataFrame:
+    """The rows whose ``grp`` is in ``groups`` (grp, size, ...), joined with it.
+    Groups of ``least`` rows or more are at most ``LARGE`` and go by broadcast."""
+    large = F.broadcast(groups.where(F.col("size") >= least))
+    others = rows.join(F.broadcast(large.select("grp")), "grp", "left_anti")
+    return rows.join(large, "grp").unionByName(others.join(groups.where(F.col("size") < least), "grp"))
+
 
+def _starts(bids: DataFrame, buckets: int) -> DataFrame:
+    """The groups (grp, size, aim) with the sum of the sizes before them in their
+    shard, larger ones first. Running sums go over buckets of like size and
+    hash, then inside each."""
+    rank = F.struct((-F.floor(F.log2("size"))).alias("c"), F.pmod(F.xxhash64("grp"), F.lit(buckets)).alias("h"))
+    b = bids.withColumn("_b", rank)
+    total = b.groupBy("aim", "_b").agg(F.sum("size").alias("_sum"))
+    before = W.partitionBy("aim").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    start = total.select("aim", "_b", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    inside = W.partitionBy("aim", "_b").orderBy(F.desc("size"), "grp").rowsBetween(W.unboundedPreceding, 0)
+    placed = b.withColumn("_inside", F.sum("size").over(inside) - F.col("size")).join(start, ["aim", "_b"])
+    return placed.select("grp", "size", "aim", (F.col("_start") + F.col("_inside")).alias("start"))
 
-def _quotas(wants: dict[tuple[int, int], int], fillers: dict[int, int], shards: int) -> tuple[dict, dict]:
-    """Moves let through per (from, to), and rows without links sent back per
-    (from, to), such that every shard keeps its count."""
-    let: dict[tuple[int, int], int] = {}
-    back: dict[tuple[int, int], int] = {}
-    free = dict(fillers)
-    for a in range(shards):
-        for b in range(shards):
-            if a == b:
-                continue
-            there, here = wants.get((a, b), 0), wants.get((b, a), 0)
-            swap = min(there, here)
-            extra = min(there - swap, free.get(b, 0))
-            free[b] = free.get(b, 0) - extra
-            let[a, b] = swap + extra
-            if extra:
-                back[b, a] = extra
-    return let, back
 
+def _lay(linked: DataFrame, groups: DataFrame, room: dict[int, int], shards: int, least: int, buckets: int) -> DataFrame:
+    """Rows (node, shard) of the groups with the shard ``aim`` that they fall
+    in when the groups fill the rooms one after another."""
+    line = cut(_with(linked, _starts(groups.select("grp", "size", F.lit(0).alias("aim")), buckets).drop("aim"), least), "shard_line")
+    place = F.col("start") + F.col("place")
+    ends = F.array(*(F.lit(sum(room[t] for t in range(s + 1))).cast("long") for s in range(shards)))
+    aim = F.size(F.filter(ends, lambda e: e <= place))
+    return gapless(line, ["grp"], ["node"], "place", buckets).select("node", "shard", aim.alias("aim"))
 
-def _pairs(counts: dict[tuple[int, int], int], shards: int) -> list[list[int]]:
-    return [[counts.get((a, b), 0) for b in range(shards)] for a in range(shards)]
 
+def _ways(net: dict[int, int], shards: int) -> dict[int, list[tuple[int, int]]]:
+    """For every shard with more arrivals than leavers, which places its pushed
+    out rows take: (shard, upper end of the places counted from 0)."""
+    holes = [[s, -net.get(s, 0)] for s in range(shards) if net.get(s, 0) < 0]
+    out: dict[int, list[tuple[int, int]]] = {}
+    for s in range(shards):
+        left, end = max(net.get(s, 0), 0), 0
+        while left:
+            n = min(left, holes[0][1])
+            end, left, holes[0][1] = end + n, left - n, holes[0][1] - n
+            out.setdefault(s, []).append((holes[0][0], end))
+            if not holes[0][1]:
+                holes.pop(0)
+    return out
 
-def _grid(counts: dict[tuple[int, int], int], shards: int):
-    return F.array(*(F.array(*(F.lit(n).cast("long") for n in line)) for line in _pairs(counts, shards)))
+
+def _push(rest: DataFrame, ways: dict[int, list[tuple[int, int]]], shards: int, buckets: int) -> DataFrame:
+    """Which rows leave the shards of ``ways`` and where they go. Rows without
+    links leave first; ``rest`` (node, linked, shard) is a written table."""
+    alone = {r.shard: r["count"] for r in rest.where("NOT linked").groupBy("shard").count().collect()}
+    placed = gapless(rest.where(F.col("shard").isin(list(ways))), ["shard", "linked"], ["node"], "place", buckets)
+    place = F.col("place") + F.when(F.col("linked"), F.get(_line(alone, shards), F.col("shard"))).otherwise(F.lit(0))
+    aim = F.lit(None).cast("int")
+    for s, ends in ways.items():
+        to = F.lit(None).cast("int")
+        for t, end in reversed(ends):
+            to = F.when(place < end, F.lit(t)).otherwise(to)
+        aim = F.when(F.col("shard") == s, to).otherwise(aim)
+    return placed.select("node", aim.alias("aim")).where("aim IS NOT NULL")
+
+
+def _split_large(dealt: DataFrame, total: int, shards: int, least: int) -> DataFrame:
+    """``grp`` of every row: its text, or a chunk of a text that no shard can
+    hold; null where no other row has the text."""
+    sizes = dealt.where("_text IS NOT NULL").groupBy(F.col("_text").alias("grp")).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    linked = _with(dealt.where("_text IS NOT NULL").withColumnRenamed("_text", "grp"), cut(sizes, "shard_texts"), least)
+    fits = -(-total // shards)
+    chunks = F.when(F.col("size") <= fits, F.lit(1)).otherwise(F.ceil(F.col("size") / F.lit(max(1.0, 0.9 * (total // shards)))))
+    grp = F.concat_ws(":", "grp", F.pmod(F.xxhash64("node"), chunks).cast("string"))
+    return linked.select("node", grp.alias("grp"))
 
 
 def assign(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -72,51 +132,49 @@ def assign(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: s
     )
     total = rows.count()
     buckets = max(8, total // BUCKET_ROWS + 1)
-    room = max(1, total // shards)
-    dealt = gapless(rows, [], ["id", "_text"], "node", buckets)
-    sizes = rows.where("_text IS NOT NULL").groupBy("_text").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    # chunk of a group beyond a shard's room: hashed, a little under the room each
-    chunk = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(max(1.0, 0.9 * room)))))
-    # a hot text meets its one size row, so salting this join would gain nothing
-    # that splitting the larger side at run time does not
-    state = cut(
-        dealt.join(sizes, "_text", "left").select(
-            "id", "size", "text_crc32", "node",
-            F.when(F.col("_n").isNotNull() & (F.lit(room) > 1), F.concat_ws(":", "_text", chunk.cast("string"))).alias("grp"),
-            F.pmod("node", F.lit(shards)).cast("int").alias("shard"),
-        ),
-        "shard_state",
-    )
-    for turn in range(MAX_ROUNDS):
-        tally = state.where("grp IS NOT NULL").groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
-        best = tally.groupBy("grp").agg(F.max(F.struct("n", F.xxhash64("grp", "shard").alias("tie"), "shard")).alias("b"))
-        aim = best.select("grp", F.col("b.shard").alias("aim"))
-        linked = state.where("grp IS NOT NULL").join(aim, "grp").where("shard <> aim").select("node", "shard", "aim")
-        movers = cut(linked, f"movers_{turn}")
-        wants = {(r.shard, r.aim): r["count"] for r in movers.groupBy("shard", "aim").count().collect()}
-        if not wants:
-            break
-        alone = state.where("grp IS NULL").select("node", "shard")
-        fillers = {r.shard: r["count"] for r in alone.groupBy("shard").count().collect()}
-        let, back = _quotas(wants, fillers, shards)
-        if not any(let.values()):
+    least = max(2, total // LARGE)
+    dealt = cut(gapless(rows, [], ["id", "_text"], "node", buckets), "shard_dealt")
+    grouped = _split_large(dealt.select("node", "_text"), total, shards, least)
+    shard = F.pmod("node", F.lit(shards)).cast("int").alias("shard")
+    state = cut(dealt.select("node").join(grouped, "node", "left").select("node", "grp", shard), "shard_state")
+    capacity = {s: total // shards + (s < total % shards) for s in range(shards)}
+    laid = False
+    while not laid:
+        linked = state.where("grp IS NOT NULL")
+        tally = linked.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
+        lies = F.sort_array(F.collect_list(F.struct("n", F.xxhash64("grp", "shard").alias("tie"), "shard")), asc=False)
+        groups = cut(tally.groupBy("grp").agg(F.sum("n").alias("size"), lies.alias("lies")), "shard_groups")
+        whole = F.size("lies") == 1
+        held = {r.shard: r.n for r in groups.where(whole).groupBy(F.get("lies", F.lit(0))["shard"].alias("shard")).agg(F.sum("size").alias("n")).collect()}
+        room = {s: n - held.get(s, 0) for s, n in capacity.items()}
+        # the shard with room that holds most of the group, else any with room
+        spare = _line(room, shards)
+        here = F.filter("lies", lambda x: F.get(spare, x["shard"]) >= F.col("size"))
+        others = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda i: F.pmod(i + F.xxhash64("grp"), F.lit(shards)).cast("int"))
+        there = F.filter(others, lambda s: F.get(spare, s) >= F.col("size"))
+        aim = F.coalesce(F.get(here, F.lit(0))["shard"], F.get(there, F.lit(0))).alias("aim")
+        bids = cut(groups.where(~whole).select("grp", "size", aim), "shard_bids")
+        n_open, n_bids = bids.agg(F.count(F.lit(1)), F.count("aim")).first()
+        if not n_open:
             break
-        ranked = gapless(movers, ["shard", "aim"], ["node"], "place", buckets)
-        go = ranked.where(F.col("place") < F.get(F.get(_grid(let, shards), F.col("shard")), F.col("aim"))).select("node", "aim")
-        # rows without links leave in order of their places: the first for shard 0, and so on
-        ends = {}
-        for a in range(shards):
-            upto = 0
-            for b in range(shards):
-                upto += back.get((a, b), 0)
-                ends[a, b] = upto
-        limits = F.get(_grid(ends, shards), F.col("shard"))
-        placed = gapless(alone, ["shard"], ["node"], "place", buckets)
-        to = F.size(F.filter(limits, lambda e: e <= F.col("place"))).alias("aim")
-        leave = placed.where(F.col("place") < F.get(limits, F.lit(shards - 1))).select("node", to)
-        moves = go.unionByName(leave)
-        state = cut(
-            state.join(moves, "node", "left").select("id", "size", "text_crc32", "node", "grp", F.coalesce("aim", "shard").alias("shard")),
-            f"shard_state_{turn}",
-        )
-    return gapless(state, ["shard"], ["node"], "slot", buckets).select("id", "size", "text_crc32", "shard", "slot")
+        laid = not n_bids
+        if laid:
+            go, stay = _lay(linked, bids, room, shards, least, buckets), bids.limit(0)
+        else:
+            # larger groups first, while the sizes add up to no more than the room
+            ends = F.col("start") + F.col("size")
+            taken = cut(_starts(bids.where("aim IS NOT NULL"), buckets).where(ends <= F.get(spare, F.col("aim"))).drop("start"), "shard_taken")
+            go, stay = _with(linked, taken, least), bids.join(taken.select("grp"), "grp", "left_anti")
+        go = cut(go.where("shard <> aim").select("node", "shard", "aim"), "shard_movers")
+        net = dict.fromkeys(range(shards), 0)
+        for r in go.groupBy("shard", "aim").count().collect():
+            net[r.shard] -= r["count"]
+            net[r.aim] += r["count"]
+        moves = go.select("node", "aim")
+        if ways := _ways(net, shards):
+            free = _with(linked, stay.select("grp", "size"), least).select("node", F.lit(True).alias("linked"), "shard")
+            alone = state.where("grp IS NULL").select("node", F.lit(False).alias("linked"), "shard")
+            moves = moves.unionByName(_push(cut(free.unionByName(alone), "shard_rest"), ways, shards, buckets))
+        state = cut(state.join(moves, "node", "left").select("node", "grp", F.coalesce("aim", "shard").alias("shard")), "shard_state")
+    put = gapless(state.select("node", "shard"), ["shard"], ["node"], "slot", buckets)
+    return dealt.drop("_text").join(put, "node").select("id", "size", "text_crc32", "shard", "slot")

@@ -1,6 +1,8 @@
 import hashlib
+import itertools
 import math
 import random
+import zlib
 from collections import Counter
 
 import pytest
@@ -69,22 +71,55 @@ def shards_of(df, n=8):
     return rows
 
 
-def test_equal_texts_share_a_shard(spark):
+def spread_of(rows, got):
+    """Rows in each shard, of every text of several rows."""
+    text, where = dict(rows), {}
+    for r in got:
+        if text[r.id] is not None:
+            where.setdefault(text[r.id], Counter())[r.shard] += 1
+    return {t: c for t, c in where.items() if sum(c.values()) > 1}
+
+
+def test_equal_texts_share_a_shard(spark, monkeypatch):
     rng = random.Random(3)
     rows = [(i, f"group {rng.randrange(40)}" if i % 3 else f"alone {i}") for i in range(900)]
     got = shards_of(frame(spark, rows))
-    where = {}
-    for r in got:
-        where.setdefault(dict(rows)[r.id], set()).add(r.shard)
-    spread = sum(len(s) - 1 for t, s in where.items() if t.startswith("group"))
-    assert spread < 40  # of 280 when dealt in turn; the quotas leave no room for all
+    assert {r.id: (r.size, r.text_crc32) for r in got} == {i: (len(t) + 1, zlib.crc32(t.encode())) for i, t in rows}
+    assert all(len(c) == 1 for c in spread_of(rows, got).values())
+    monkeypatch.setattr(sharding, "LARGE", 1)  # all groups now go by shuffle
+    assert sorted(shards_of(frame(spark, rows))) == sorted(got)
+
+
+def test_a_table_of_copies(spark):
+    # a third of the rows hold one text, the others come in groups of eight
+    rows = [(i, "hot" if i % 3 == 0 else f"t{i // 12}") for i in range(2400)]
+    where = spread_of(rows, shards_of(frame(spark, rows)))
+    assert len(where["hot"]) == 3  # 800 rows, 300 a shard
+    assert sum(len(c) > 1 for c in where.values()) <= 8
 
 
 def test_a_hot_text_is_split_evenly(spark):
     rows = [(i, "hot" if i % 3 == 0 else f"t{i // 6}" if i % 3 == 1 else None) for i in range(600)]
-    got = shards_of(frame(spark, rows))
-    hot = Counter(r.shard for r in got if r.id % 3 == 0)
-    assert sum(hot.values()) == 200 and len(hot) <= 6  # 8 without links being followed
+    where = spread_of(rows, shards_of(frame(spark, rows)))
+    assert sum(where["hot"].values()) == 200 and len(where["hot"]) == 3
+    assert sum(len(c) > 1 for t, c in where.items() if t != "hot") < 8
+
+
+def cut_links(texts, shards):
+    return sum(a == b and p != q for (a, p), (b, q) in itertools.combinations(zip(texts, shards, strict=True), 2))
+
+
+def test_cut_links_against_all_ways_to_shard(spark):
+    rng = random.Random(5)
+    found, least, dealt = 0, 0, 0
+    for n in (9, 10, 11):
+        texts = [f"t{min(rng.randrange(6), 3)}" for _ in range(n)]
+        got = sorted(shards_of(frame(spark, list(enumerate(texts))), 3))
+        found += cut_links(texts, [r.shard for r in got])
+        least += min(cut_links(texts, way) for way in itertools.product(range(3), repeat=n) if max(c := [way.count(k) for k in range(3)]) - min(c) <= 1)
+        dealt += cut_links(texts, [i % 3 for i in range(n)])
+    # not always the best way, but less than half as far from it as dealing in turn
+    assert least <= found and 2 * (found - least) < dealt - least
 
 
 def test_sharding_of_odd_rows(spark):
