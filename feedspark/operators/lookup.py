@@ -197,6 +197,7 @@ def resolve(
     what: str = "Parents",
     broadcast: bool | None = None,
     max_broadcast_rows: int | None = None,
+    laid_out: bool = False,
 ) -> DataFrame:
     """Left outer lookup of ``feed`` in ``dim`` with a miss policy.
 
@@ -205,11 +206,17 @@ def resolve(
     id present more than once in ``dim`` matches every copy (fan-out); pass a
     second key column (e.g. the tenant) to scope the match. ``drop`` removes
     rows whose ``id_col`` (default: the first dimension column that is not a
-    join key) is null after the join.
+    join key) is null after the join. ``laid_out`` joins two tables bucketed by
+    the key where they lie: no broadcast, no salt and no shuffle (null and hot
+    keys stay in their buckets, so it is for keys that are spread well).
     """
     if miss not in MISS_POLICIES:
         raise ValueError(f"miss must be one of {MISS_POLICIES}")
     lk, rk = _keys(left_on), _keys(right_on)
+    if laid_out:
+        if broadcast:
+            raise ValueError("tables joined where they lie are not broadcast")
+        broadcast = False
     if broadcast is None:
         broadcast = fits_broadcast(dim, max_broadcast_rows)
     if miss == "raise":
@@ -217,6 +224,9 @@ def resolve(
     if broadcast:
         right = F.broadcast(dim)
         joined = feed.join(right, _condition(feed, right, lk, rk), "left_outer")
+    elif laid_out:
+        right = dim.hint("merge")
+        joined = feed.join(right, _condition(feed, right, lk, rk), "left_outer")
     else:
         joined = _salted_left_join(feed, dim, lk, rk)
     if miss == "drop":

@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.flatten import flatten
 from ..session import scratch_path
 from ..sinks.tables import append_table
-from ..sources.feeds import check_undated, scan_feed, select_feed, split_corrupt
+from ..sources.feeds import check_undated, landing_files, scan_feed, select_feed, split_corrupt
+from .files import note_files, to_open, unseen_files
 from .loads import LOADERS, NEEDED
 from .specs import FEEDS, feed_spec
 
@@ -64,25 +65,39 @@ def run_feed(
     listed in the table ``undated_list``. In PERMISSIVE mode documents that do
     not parse, or do not hold the feed's payload, go to ``quarantine`` (required then) once the others are loaded;
     a run that stops or is repeated adds none twice. ``only_new`` loads through
-    the ledger (see :mod:`feedspark.plans.incremental`).
+    the ledger (see :mod:`feedspark.plans.incremental`) and opens only files
+    that no earlier such run has loaded (see :mod:`feedspark.plans.files`).
     """
     spec = feed_spec(feed)
     permissive = mode.upper() == "PERMISSIVE"
+    if only_new and not hasattr(catalog, "state"):
+        raise ValueError("incremental loads need a catalog with ledgers; a database target takes full loads only")
     if permissive and not quarantine:
         raise ValueError("PERMISSIVE mode needs a quarantine location")
-    # one scan, one listing: the check, the selection and the load derive from it
-    docs = scan_feed(spark, landing, spec, since=since, multi_line=multi_line, mode=mode, columns=NEEDED[spec.name], select=False)
-    check_undated(docs, spec.word, undated, undated_list)
-    docs = select_feed(docs, spec.word, since)
-    bad = None
-    if permissive:
-        path = scratch_path(spark, f"documents-{spec.name}")
-        docs.write.parquet(path)
-        docs, bad = split_corrupt(spark.read.schema(docs.schema).parquet(path), spec)
-    flat = flatten(docs, spec, columns=NEEDED[spec.name])
-    LOADERS[spec.name](flat, catalog, only_new=only_new, stage=stage, tenant_scoped=tenant_scoped)
-    if bad is not None:
-        _append_once(bad, quarantine)
+    with catalog.transaction():
+        files = None
+        if only_new:
+            listing = landing_files(spark, landing, spec)
+            check_undated(listing, spec.word, undated, undated_list)
+            files = unseen_files(catalog, spec.name, listing, spec.word, since)
+        only = None if files is None else to_open(catalog, files)
+        # one scan, one listing: the check, the selection and the load derive from it
+        docs = scan_feed(spark, landing, spec, since=since, multi_line=multi_line, mode=mode, columns=NEEDED[spec.name], select=False, only=only)
+        if not only_new:
+            check_undated(docs, spec.word, undated, undated_list)
+        docs = select_feed(docs, spec.word, since)
+        bad = None
+        if permissive:
+            path = scratch_path(spark, f"documents-{spec.name}")
+            docs.write.parquet(path)
+            docs, bad = split_corrupt(spark.read.schema(docs.schema).parquet(path), spec)
+        flat = flatten(docs, spec, columns=NEEDED[spec.name])
+        LOADERS[spec.name](flat, catalog, only_new=only_new, stage=stage, tenant_scoped=tenant_scoped)
+        if bad is not None:
+            # before the commit: a file is known as loaded only once its bad documents are kept
+            _append_once(bad, quarantine)
+        if only != [] and files is not None:
+            note_files(catalog, spec.name, files)
 
 
 # parents before children: clients before products, estimates and dayparts;

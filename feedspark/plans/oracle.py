@@ -228,3 +228,19 @@ ORACLE_SQL["quarantine_accounting"] = """WITH d AS (
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN part pt ON l.l_partkey = pt.p_partkey)
 SELECT feed_file, count(*) AS n_lines, count(*) FILTER (chunk % 10 NOT IN (3, 4)) AS n_loaded, count(*) FILTER (chunk % 10 IN (3, 4)) AS n_quarantined
 FROM d GROUP BY 1"""
+
+EST_FILES = """e AS (
+  SELECT 'DS-OO-NATIONAL-ESTIMATEFEED-' || strftime(date_trunc('month', o.o_orderdate), '%Y%m%d') || '-000000' AS feed_file,
+    n.n_name, o.o_orderdate, floor(o.o_orderkey / 256) AS chunk, o.o_orderkey % 2 AS version
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)"""
+
+ORACLE_SQL["feed_file_ledger"] = f"""WITH {EST_FILES}
+SELECT DISTINCT CAST(CASE WHEN date_trunc('month', o_orderdate) > DATE '1996-01-01' THEN 1 ELSE 2 END AS BIGINT) AS run, feed_file FROM e"""
+
+ORACLE_SQL["schema_drift"] = f"""WITH {EST_FILES}, d AS (SELECT DISTINCT * FROM e)
+SELECT feed_file, '$.estimates[].mediaType' AS path, CAST(NULL AS VARCHAR) AS expected, 'SCALAR' AS found, count(*) AS n
+FROM e WHERE chunk % 10 = 5 GROUP BY 1
+UNION ALL SELECT feed_file, '$.region', NULL, 'OBJECT', count(*) FROM d WHERE chunk % 10 = 6 GROUP BY 1
+UNION ALL SELECT feed_file, '$.tenant', 'SCALAR', 'OBJECT', count(*) FROM d WHERE chunk % 10 = 7 GROUP BY 1"""
+
+ORACLE_SQL["lookup_bucketed"] = ORACLE_SQL["lookup_shuffled_nulls"]

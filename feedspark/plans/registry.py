@@ -8,6 +8,7 @@ tables hold them).
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,8 @@ from ..operators.keys import assign_ids
 from ..operators.lookup import BROADCAST_ROWS_CONF, MissingParentError, missing_parents, resolve
 from ..operators.union import union_sources
 from ..session import scratch_path
-from ..sinks.tables import append_table, new_rows, overwrite_partitions
+from ..sinks.tables import append_named, append_table, new_rows, overwrite_partitions
+from ..sources.drift import feed_drift
 from ..sources.feeds import FILE_COL, parse_feed, scan_feed, split_corrupt, undated_files
 from ..sources.lookups import as_lookup, client_lookup, tenant_lookup
 from . import landing as L
@@ -642,6 +644,56 @@ def q_quarantine_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("feed_file", "n_lines", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_loaded", "n_quarantined")))
 
 
+def q_feed_file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed files that each of three incremental runs opens: the newest ones,
+    then all others, then none."""
+    cat = ParquetCatalog(spark, scratch_path(spark, "catalog-files"))
+    seeds = L.seed_lookups(spark, sf_dir)
+    cat.seed("tenant", seeds["tenant"])
+    cat.seed("client", seeds["client"])
+    root = landing_root(spark, sf_dir, ("estimate",))
+    for since in (19960101, 0, 0):
+        run_feed(spark, "estimate", root, cat, since=since, multi_line=False, only_new=True)
+    name = F.regexp_extract(FILE_COL, "feed_file=([^/]+)/", 1).alias("feed_file")
+    runs = [cat.open([f]).select(F.lit(i).cast("long").alias("run"), name) for i, f in enumerate(cat.state()["files"]["estimate"], 1)]
+    return union_sources(runs).distinct()
+
+
+def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of estimate documents that the schema does not know or knows as
+    another kind, per feed file; some documents are cut short as well."""
+    root = scratch_path(spark, "landing-drift")
+    docs = L.estimate_documents(L.read_tables(spark, sf_dir))
+    part, text = F.col("chunk") % 10, F.col("value")
+    text = (
+        F.when(part == BROKEN_CHUNK_RESIDUE, F.expr("substring(value, 1, length(value) - 7)"))
+        .when(part == 5, F.replace(text, F.lit('"media":'), F.lit('"mediaType":')))
+        .when(part == 6, F.replace(text, F.lit('{"moSystem":'), F.lit('{"region":{"codes":[1,2]},"moSystem":')))
+        .when(part == 7, F.regexp_replace(text, '"tenant":("[^"]*")', '"tenant":{"name":$1}'))
+        .otherwise(text)
+    )
+    docs.select("feed_file", text.alias("value")).write.partitionBy("feed_file").text(root)
+    name = F.regexp_extract(FILE_COL, "feed_file=([^/]+)/", 1).alias("feed_file")
+    return feed_drift(spark, root, "estimate").groupBy(name, "path", "expected", "found").agg(F.sum("n").alias("n"))
+
+
+def q_lookup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events -> client lookup of two tables of the session's catalog, appended
+    to by name and joined on their buckets."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    no_one = F.col("event_type") == L.NO_ADVERTISER_EVENT
+    feed = ev.select("event_id", F.when(~no_one, F.col("user_id").cast("string")).alias("advertiser_id"))
+    client = L.seed_lookups(spark, sf_dir)["client"]
+    lk = client_lookup(client, mo_id_as="client_mo_id", columns=["client_id", "client_mo_id", "tenant_id"])
+    tag = uuid.uuid4().hex
+    for name, rows, key, part in ((f"feed_{tag}", feed, "advertiser_id", F.col("event_id") % 2), (f"client_{tag}", lk, "client_mo_id", F.col("client_id") % 2)):
+        path = scratch_path(spark, name)
+        for turn in (0, 1):
+            append_named(rows.where(part == turn), name, path=path, bucket_by=[key], buckets=8)
+    joined = resolve(spark.table(f"feed_{tag}"), spark.table(f"client_{tag}"), "advertiser_id", "client_mo_id", laid_out=True)
+    return joined.select("event_id", "advertiser_id", "client_id", "tenant_id")
+
+
 def q_undated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All names of a feed without a date."""
     return undated_files(_file_names(spark, sf_dir), "clickfeed", "file_name")
@@ -725,6 +777,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_feed_client": q_run_feed_client,
     "run_feed_multi_line": q_run_feed_multi_line,
     "scan_quarantine": q_scan_quarantine,
+    "feed_file_ledger": q_feed_file_ledger,
+    "schema_drift": q_schema_drift,
+    "lookup_bucketed": q_lookup_bucketed,
     "undated_files": q_undated_files,
     "missing_parent_table": q_missing_parent_table,
     "first_seen_by_name": q_first_seen_by_name,

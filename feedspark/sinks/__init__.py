@@ -1,4 +1,4 @@
 """Table and JDBC writers."""
-from .tables import append_jdbc, append_table, new_rows, overwrite_partitions
+from .tables import append_jdbc, append_named, append_table, new_rows, overwrite_partitions
 
-__all__ = ["append_jdbc", "append_table", "new_rows", "overwrite_partitions"]
+__all__ = ["append_jdbc", "append_named", "append_table", "new_rows", "overwrite_partitions"]

@@ -21,6 +21,27 @@ def append_table(df: DataFrame, path: str, *, fmt: str = "parquet", partition_by
     writer.save(path)
 
 
+def append_named(df: DataFrame, name: str, *, path: str | None = None, bucket_by: Sequence[str] = (), buckets: int = 0, fmt: str = "parquet") -> None:
+    """Append ``df`` to a table of the session's catalog (made if there is none).
+
+    ``path`` keeps the files of a table in a folder of its own instead of the
+    warehouse. With ``bucket_by`` the rows lie in ``buckets`` by a hash of those
+    columns, so joins and groups on them need no shuffle (see ``resolve``'s
+    ``laid_out``). Every append names the same columns and number. Rows are
+    spread by bucket first: an append writes one file a bucket, not one a task
+    and bucket.
+    """
+    if bool(bucket_by) != (buckets > 0):
+        raise ValueError("give bucket_by and buckets together")
+    writer_rows = df.repartition(buckets, *bucket_by) if bucket_by else df
+    writer = writer_rows.write.mode("append").format(fmt)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], *, fmt: str = "parquet") -> None:
     """Replace only the partitions present in ``df``; the others stay.
 

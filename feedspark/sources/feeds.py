@@ -6,6 +6,7 @@ metadata, so files of other feeds are pruned before they are opened.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -59,7 +60,12 @@ def name_glob(word: str) -> str:
     return "*" + "".join(parts) + "*"
 
 
-def _scan(reader, roots: list[str], places, word: str, top_level: bool, files: Column | None) -> DataFrame:
+def _literal(paths: Sequence[str]) -> list[str]:
+    """Paths that a reader takes as they are, not as patterns."""
+    return [re.sub(r"([{}\[\]*?\\])", r"\\\1", p) for p in paths]
+
+
+def _scan(reader, roots: list[str], places, word: str, top_level: bool, files: Column | None, only: Sequence[str] | None = None) -> DataFrame:
     """Documents of the (selected) files below the roots, with their names."""
 
     def read(paths) -> DataFrame:
@@ -68,6 +74,8 @@ def _scan(reader, roots: list[str], places, word: str, top_level: bool, files: C
         # file metadata does not cross a union: name the file per root
         return part.withColumn(FILE_COL, relative_path(F.col("_metadata.file_path"), places))
 
+    if only is not None:
+        return read(_literal(only))
     parts = []
     if top_level:
         # list only the landing entries named after the feed (like a listing of
@@ -93,6 +101,7 @@ def scan_feed(
     select: bool = True,
     top_level: bool = True,
     columns: Sequence[str] | None = None,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Documents of one feed under one or more landing roots.
 
@@ -112,7 +121,8 @@ def scan_feed(
     ``_corrupt_record`` (see :func:`split_corrupt`); the default fails.
     The result has the document columns plus ``_feed_file`` (path below the
     landing root). ``columns`` (flat column names) reads only the document
-    fields those need, nested ones included.
+    fields those need, nested ones included. ``only`` names the files below the
+    roots (as :func:`landing_files` does) that are opened, and no others.
     """
     spec = feed_spec(feed)
     roots = _as_list(landing)
@@ -120,10 +130,12 @@ def scan_feed(
     schema = spec.read_schema(columns)
     if mode.upper() == "PERMISSIVE":
         schema = StructType(schema.fields + [StructField(CORRUPT_COL, StringType(), True)])
-    most, others = file_forms(spark, landing, spec, since) if multi_line is None else (multi_line, [])
-    docs = _scan(_reader(spark, schema, most, mode), roots, places, spec.word, top_level, ~F.col("_metadata.file_path").isin(others) if others else None)
+    if only is not None and not only:
+        return spark.createDataFrame([], StructType(schema.fields + [StructField(FILE_COL, StringType())]))
+    most, others = file_forms(spark, landing, spec, since, only) if multi_line is None else (multi_line, [])
+    docs = _scan(_reader(spark, schema, most, mode), roots, places, spec.word, top_level, ~F.col("_metadata.file_path").isin(others) if others else None, only)
     if others:
-        rest = _scan(_reader(spark, schema, not most, mode), roots, places, spec.word, top_level, F.col("_metadata.file_path").isin(others))
+        rest = _scan(_reader(spark, schema, not most, mode), roots, places, spec.word, top_level, F.col("_metadata.file_path").isin(others), only)
         docs = docs.unionByName(rest)
     if select:
         docs = docs.where(select_names(F.col(FILE_COL), spec.word, since))
@@ -169,15 +181,34 @@ class SeveralDocumentsError(RuntimeError):
     """Files whose documents no form of scan would read in full."""
 
 
-def _entries(spark: SparkSession, landing: str | Sequence[str], word: str, since: int, whole: bool = False) -> DataFrame | None:
+def landing_files(spark: SparkSession, landing: str | Sequence[str], feed: str | FeedSpec) -> DataFrame:
+    """Files of the feed's landing entries: ``path``, ``size``, time ``modified``
+    and ``_feed_file`` (path below the root). None of them is opened."""
+    word, places = feed_spec(feed).word, qualified_roots(spark, _as_list(landing))
+    parts = []
+    for root in _as_list(landing):
+        try:
+            part = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root.rstrip('/')}/{name_glob(word)}")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+            continue
+        name = relative_path(F.col("_metadata.file_path"), places).alias(FILE_COL)
+        parts.append(part.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), name))
+    if not parts:
+        spark.read.text(landing if isinstance(landing, str) else list(landing))  # a missing root is an error
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], f"path string, size long, modified timestamp, {FILE_COL} string")
+
+
+def _entries(spark: SparkSession, landing: str | Sequence[str], word: str, since: int, whole: bool = False, only: Sequence[str] | None = None) -> DataFrame | None:
     """Text of the feed's landing entries after ``since`` (or without a date),
     with ``path`` and ``size`` of the file."""
     places = qualified_roots(spark, _as_list(landing))
     name = relative_path(F.col("_metadata.file_path"), places)
     parts = []
-    for root in _as_list(landing):
+    for where in [f"{root.rstrip('/')}/{name_glob(word)}" for root in _as_list(landing)] if only is None else [_literal(only)]:
         try:
-            part = spark.read.option("recursiveFileLookup", True).text(f"{root.rstrip('/')}/{name_glob(word)}", wholetext=whole)
+            part = spark.read.option("recursiveFileLookup", True).text(where, wholetext=whole)
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
                 raise
@@ -198,11 +229,11 @@ def _listed(names: DataFrame, mine: Column) -> tuple[bool, list[str]]:
     return most, [r[0] for r in names.where(~mine if most else mine).select("path").collect()] if min(counts) else []
 
 
-def file_forms(spark: SparkSession, landing: str | Sequence[str], feed: str | FeedSpec, since: int = 0) -> tuple[bool, list[str]]:
+def file_forms(spark: SparkSession, landing: str | Sequence[str], feed: str | FeedSpec, since: int = 0, only: Sequence[str] | None = None) -> tuple[bool, list[str]]:
     """Whether most files of the feed hold one document over several lines, and
     the paths of the files in the other form.
 
-    Every file after ``since`` (or without a date) is looked at, on Spark. One
+    Every file after ``since`` (or without a date; of ``only``, if given) is looked at, on Spark. One
     whose first line stands alone as JSON is a file of lines. Of the others (read
     whole, up to ``WHOLE`` bytes) those that are one JSON value, or whose first
     value is broken while no line stands alone, take the multi-line form, which
@@ -211,7 +242,7 @@ def file_forms(spark: SparkSession, landing: str | Sequence[str], feed: str | Fe
     lose that in one form and the document in the other: it raises
     :class:`SeveralDocumentsError`."""
     spec = feed_spec(feed)
-    lines = _entries(spark, landing, spec.word, since)
+    lines = _entries(spark, landing, spec.word, since, only=only)
     if lines is None:
         return False, []
     # one value and nothing after it
@@ -231,7 +262,7 @@ def file_forms(spark: SparkSession, landing: str | Sequence[str], feed: str | Fe
     big = [r[0] for r in files.where(~by_line & (F.col("size") > WHOLE)).select("path").limit(5).collect()]
     if big:
         raise SeveralDocumentsError(f"{spec.name}: too large to find out whether they are one document (give multi_line): " + ", ".join(big))
-    whole = _entries(spark, landing, spec.word, since, whole=True)
+    whole = _entries(spark, landing, spec.word, since, whole=True, only=only)
     if others:
         whole = whole.where(F.col("path").isin(others) if most else ~F.col("path").isin(others))
     whole = whole.select("path", alone.alias("one"), first.alias("first")).join(files.where(~by_line), "path")
