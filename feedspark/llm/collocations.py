@@ -21,15 +21,17 @@ an empty table gives an empty table; other columns are not looked at.
 """
 from __future__ import annotations
 
+import gc
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -47,6 +49,7 @@ RUN = 50_000  # entries of a run at least, if there are more
 CHUNK = 1 << 20  # bytes worked on at once
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 31  # of the bitmap; at most 256 MiB
 SALTS = 64
+PAIR = 2_654_435  # a pair's code: its first word's hash times this, and its second word's
 # pieces end at these, which no word holds
 _ENDS = bytes(0x0A if c in b".,;:!?\x0b\x0c\r" else c for c in range(256))
 
@@ -54,7 +57,8 @@ _ENDS = bytes(0x0A if c in b".,;:!?\x0b\x0c\r" else c for c in range(256))
 class HatTrie:
     """Counts of id sequences. Under the first id hangs a hash container of
     the other ids; one with more than ``burst`` entries bursts into a node,
-    next id to container, where ids are left to part it by."""
+    next id to container, where two ids at least are left: one to part it by
+    and one to count under."""
 
     def __init__(self, burst: int = BURST):
         self.burst, self.size = burst, 0
@@ -79,7 +83,7 @@ class HatTrie:
                 hold[rest] = n
                 tree[0] += 1
                 self.size += 1
-                if not tree[2] and tree[0] > self.burst and rest:
+                if not tree[2] and tree[0] > self.burst and len(rest) > 1:
                     self._burst(tree)
 
     def _burst(self, tree: list) -> None:
@@ -88,25 +92,29 @@ class HatTrie:
             node.setdefault(rest[0], {})[rest[1:]] = n
         tree[1], tree[2] = node, True
 
-    def subtree(self, first: int) -> Iterator[tuple[tuple[int, ...], int]]:
+    def containers(self, first: int) -> Iterator[tuple[tuple[int, ...], dict]]:
+        """Containers below a first id, each with the ids above it."""
         _, hold, node = self.root[first]
         if node:
             for second, container in hold.items():
-                for rest, n in container.items():
-                    yield (first, second, *rest), n
+                yield (first, second), container
         else:
-            for rest, n in hold.items():
-                yield (first, *rest), n
+            yield (first,), hold
 
-    def spill(self, to: int) -> Iterator[list[tuple[tuple[int, ...], int]]]:
-        """Take out whole subtrees, the largest first, until ``to`` entries
-        are left."""
+    def take(self, to: int) -> Iterator[list[tuple[tuple[int, ...], dict]]]:
+        """Take out the containers of whole subtrees, the largest first, until
+        ``to`` entries are left."""
         for first in sorted(self.root, key=lambda i: -self.root[i][0]):
             if self.size <= to:
                 return
-            yield list(self.subtree(first))
+            yield list(self.containers(first))
             self.size -= self.root.pop(first)[0]
 
+    def spill(self, to: int) -> Iterator[list[tuple[tuple[int, ...], int]]]:
+        """The same as lists of (ids, count)."""
+        for tree in self.take(to):
+            yield [((*above, *rest), n) for above, container in tree for rest, n in container.items()]
+
 
 def _chunks(text: str) -> Iterator[bytes]:
     """A text's bytes, A-Z as a-z and line ends where pieces end."""
@@ -152,7 +160,7 @@ class _Words:
     """Numbers of a task's frequent words; each language has its own."""
 
     def __init__(self, bits: np.ndarray):
-        self.bits, self.mask = bits, 8 * len(bits) - 1
+        self.bits = bits
         self.clear()
 
     def clear(self) -> None:
@@ -161,28 +169,29 @@ class _Words:
         self.crc: list[int] = []
         self.lang: list[str] = []
 
-    def has(self, crc: int) -> bool:
-        at = crc & self.mask
-        return bool(self.bits[at >> 3] >> (at & 7) & 1)
-
     def ids(self, lang: str, data: bytes) -> np.ndarray:
-        """Ids of the words, -1 for rare ones and between pieces."""
-        known = self.of.setdefault(lang, {})
-        pieces = [p.split() for p in data.split(b"\n")]
-        head = zlib.crc32(lang.encode() + b"\0")
-        for w in {w for p in pieces for w in p}.difference(known):
-            crc = zlib.crc32(w, head)
-            if self.has(crc):
-                known[w] = len(self.word)
-                self.word.append(w), self.crc.append(crc), self.lang.append(lang)
-            else:
-                known[w] = -1
-        out = []
-        for p in pieces:
-            if p:
-                out += [known[w] for w in p]
-                out.append(-1)
-        return np.array(out, dtype=np.int64)
+        """Ids of the words, -1 for rare ones and behind every piece."""
+        # no word holds a point
+        tokens = data.replace(b"\n", b" . ").split()
+        tokens.append(b".")
+        known = self.of.setdefault(lang, {b".": -1})
+        fresh = list(set(tokens).difference(known))
+        if fresh:
+            head = zlib.crc32(lang.encode() + b"\0")
+            crcs = [zlib.crc32(w, head) for w in fresh]
+            for w, crc, often in zip(fresh, crcs, _held(self.bits, np.array(crcs)).tolist(), strict=True):
+                if often:
+                    known[w] = len(self.word)
+                    self.word.append(w), self.crc.append(crc), self.lang.append(lang)
+                else:
+                    known[w] = -1
+        return np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+
+
+def _held(bits: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Whether the bits of the codes are set."""
+    at = code & (8 * len(bits) - 1)
+    return (bits[at >> 3] >> (at & 7) & 1).astype(bool)
 
 
 def _count_phrases(words, pairs):
@@ -191,45 +200,46 @@ def _count_phrases(words, pairs):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, trie = _Words(np.frombuffer(words.value, dtype=np.uint8)), HatTrie()
-        often = None if pairs is None else _Words(np.frombuffer(pairs.value, dtype=np.uint8))
-        passed: dict[int, bool] = {}
+        often = None if pairs is None else np.frombuffer(pairs.value, dtype=np.uint8)
 
         def out(to: int) -> Iterator[pa.RecordBatch]:
-            words_, langs, found = pa.array(own.word, pa.binary()), pa.array(own.lang, pa.string()), []
-            for tree in trie.spill(to):
+            words_, langs, found, size = pa.array(own.word, pa.binary()), pa.array(own.lang, pa.string()), [], 0
+            for tree in trie.take(to):
                 found += tree
-                if len(found) >= RUN:
+                size += sum(len(container) for _, container in tree)
+                if size >= RUN:
                     yield from _sorted_run(tables(words_, langs, found))
-                    found = []
+                    found, size = [], 0
             if found:
                 yield from _sorted_run(tables(words_, langs, found))
 
         def tables(words_: pa.Array, langs: pa.Array, found: list) -> list[pa.Table]:
+            rests = [rest for _, container in found for rest in container]
+            n = np.fromiter(chain.from_iterable(container.values() for _, container in found), np.int64, len(rests))
+            size = np.fromiter(map(len, rests), np.int64, len(rests))
+            flat = np.fromiter(chain.from_iterable(rests), np.int64, int(size.sum()))
+            start = np.cumsum(size) - size
+            held = [len(container) for _, container in found]
+            depth = np.repeat([len(above) for above, _ in found], held)
+            above = [np.repeat([ids[min(k, len(ids) - 1)] for ids, _ in found], held) for k in (0, 1)]
             parts = []
-            for size in sorted({len(row) for row, _ in found}):
-                ids = np.array([row for row, _ in found if len(row) == size], dtype=np.int64)
-                phrase = pc.binary_join_element_wise(*(words_.take(pa.array(ids[:, k])) for k in range(size)), b" ")
-                parts.append(_rows_of(langs.take(pa.array(ids[:, 0])), phrase, [n for row, n in found if len(row) == size]))
+            for d, s in {*zip(depth.tolist(), size.tolist(), strict=True)}:
+                mine = (depth == d) & (size == s)
+                ids = [a[mine] for a in above[:d]] + [flat[start[mine] + k] for k in range(s)]
+                phrase = pc.binary_join_element_wise(*(words_.take(pa.array(i)) for i in ids), b" ")
+                parts.append(_rows_of(langs.take(pa.array(ids[0])), phrase, n[mine]))
             return parts
 
-        def frequent(code: int) -> bool:
-            a, b = code >> 32, code & 0xFFFFFFFF
-            return often.has(zlib.crc32(own.word[b], zlib.crc32(b" ", own.crc[a])))
-
         def count(ids: np.ndarray) -> None:
-            both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-            code = (ids[:-1] << 32 | ids[1:])[both]
-            code, place, times = np.unique(code, return_inverse=True, return_counts=True)
+            left, right = ids[:-1], ids[1:]
+            both = (left >= 0) & (right >= 0)
             if often is None:
+                code, times = np.unique((left << 32 | right)[both], return_counts=True)
                 trie.add(list(zip((code >> 32).tolist(), (code & 0xFFFFFFFF).tolist(), strict=True)), times.tolist())
                 return
-            yes = []
-            for c in code.tolist():
-                if c not in passed:
-                    passed[c] = frequent(c)
-                yes.append(passed[c])
-            on = np.zeros(len(ids) - 1, dtype=bool)
-            on[both] = np.array(yes, dtype=bool)[place] if len(code) else False
+            crc = np.array(own.crc, dtype=np.int64)
+            on = np.zeros(len(left), dtype=bool)
+            on[both] = _held(often, crc[left[both]] * PAIR + crc[right[both]])
             for size in range(3, LONGEST + 1):
                 at = len(ids) - size + 1
                 if at < 1:
@@ -238,24 +248,29 @@ def _count_phrases(words, pairs):
                 rows = Counter(zip(*(ids[k : k + at][full].tolist() for k in range(size)), strict=True))
                 trie.add(list(rows), list(rows.values()))
 
-        waiting, chars = [], 0
-        for batch in batches:
-            for lang, text in _texts(batch):
-                for data in _chunks(text):
-                    waiting.append(own.ids(lang, data))
-                    chars += len(data)
-                    if chars < CHUNK:
-                        continue
-                    count(np.concatenate([*waiting, [-1]]))
-                    waiting, chars = [], 0
-                    if trie.size > LIMIT:
-                        yield from out(LIMIT // 2)
-                    if max(sum(map(len, own.of.values())), len(passed)) > 2 * LIMIT:
-                        yield from out(0)
-                        own.clear(), passed.clear()
-        if waiting:
-            count(np.concatenate([*waiting, [-1]]))
-        yield from out(0)
+        # millions of tuples and no cycles among them: nothing to collect
+        gc.disable()
+        try:
+            waiting, chars = [], 0
+            for batch in batches:
+                for lang, text in _texts(batch):
+                    for data in _chunks(text):
+                        waiting.append(own.ids(lang, data))
+                        chars += len(data)
+                        if chars < CHUNK:
+                            continue
+                        count(np.concatenate([*waiting, [-1]]))
+                        waiting, chars = [], 0
+                        if trie.size > LIMIT:
+                            yield from out(LIMIT // 2)
+                        if sum(map(len, own.of.values())) > 2 * LIMIT:
+                            yield from out(0)
+                            own.clear()
+            if waiting:
+                count(np.concatenate([*waiting, [-1]]))
+            yield from out(0)
+        finally:
+            gc.enable()
 
     return run
 
@@ -269,13 +284,18 @@ def _merged(runs: DataFrame, name: str, least: int | None) -> DataFrame:
     return cut(total if least is None else total.where(F.col("f") >= least), name)
 
 
-def _bitmap(frequent: DataFrame) -> bytes:
-    """A bit for the hash of every phrase. Its size follows their number up to
+def _code(word: Column) -> Column:
+    """Hash of a word of a language."""
+    return F.crc32(F.concat("lang", F.lit("\0"), word).cast("binary"))
+
+
+def _bitmap(frequent: DataFrame, code: Column) -> bytes:
+    """A bit for the code of every phrase. Its size follows their number up to
     ``MOST_BITS``: fuller than meant beyond that, it only holds back less."""
     n, bits = frequent.count(), LEAST_BITS
     while bits < min(BITS_EACH * n, MOST_BITS):
         bits *= 2
-    place = F.crc32(F.concat("lang", F.lit("\0"), "phrase").cast("binary")).bitwiseAND(F.lit(bits - 1))
+    place = code.bitwiseAND(F.lit(bits - 1))
 
     def part(pdf: pd.DataFrame) -> pd.DataFrame:
         hold = np.zeros(LEAST_BITS, dtype=np.uint8)
@@ -297,9 +317,11 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
     context = docs.sparkSession.sparkContext
     words = _merged(rows.mapInArrow(_count_words, _RUN), "words", None)
     often = words.where(F.col("f") >= least)
-    known = context.broadcast(_bitmap(often))
+    known = context.broadcast(_bitmap(often, _code(F.col("phrase"))))
     pairs = _merged(rows.mapInArrow(_count_phrases(known, None), _RUN), "pairs", least)
-    more = _merged(rows.mapInArrow(_count_phrases(known, context.broadcast(_bitmap(pairs))), _RUN), "longer", least)
+    ends = [_code(F.substring_index("phrase", " ", k)) for k in (1, -1)]
+    linked = context.broadcast(_bitmap(pairs, ends[0] * PAIR + ends[1]))
+    more = _merged(rows.mapInArrow(_count_phrases(known, linked), _RUN), "longer", least)
     every = often.unionByName(pairs).unionByName(more)
     every = every.withColumn("words", F.size(F.split("phrase", " ")))
     return every, words.groupBy("lang").agg(F.sum("f").alias("n"))
