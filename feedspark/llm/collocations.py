@@ -44,7 +44,7 @@ INSIDE = 80  # per cent of a phrase's occurrences that a longer one may hold
 SCALE = 2_000_000
 UNKNOWN = "und"
 BURST = 4096  # entries of a container that becomes a node
-LIMIT = 1_000_000  # entries of a trie that sends subtrees out, and words a task numbers
+LIMIT = 300_000  # entries of a trie that sends subtrees out, and words a task numbers
 RUN = 50_000  # entries of a run at least, if there are more
 CHUNK = 1 << 20  # bytes worked on at once
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 31  # of the bitmap; at most 256 MiB
@@ -135,7 +135,9 @@ def _rows_of(lang: pa.Array, phrase: pa.Array, n) -> pa.Table:
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str, str]]:
-    return zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True)
+    """One text at a time: a batch's are not held twice."""
+    for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+        yield lang.as_py(), text.as_py()
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,6 +273,8 @@ def _count_phrases(words, pairs):
             yield from out(0)
         finally:
             gc.enable()
+            # the worker goes on to other tasks
+            pa.default_memory_pool().release_unused()
 
     return run
 
