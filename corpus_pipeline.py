@@ -38,9 +38,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of every copy (``ids``: 32-bit little-endian)."""
-    coded = pieces.encode(docs, carry=["doc_id", "lang", "source"], n_best=1, check=False)
-    return coded.select("row.doc_id", "row.lang", "row.source", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_pieces"), "score", "ids")
+    """Pieces of every copy (``ids``: 32-bit little-endian), its N best
+    segmentations, and whether the pieces decode to the text."""
+    coded = pieces.encode(docs, carry=["doc_id", "lang", "source"])
+    n_pieces = F.floor(F.octet_length("ids") / 4).cast("long").alias("n_pieces")
+    return coded.select("row.doc_id", "row.lang", "row.source", n_pieces, "score", "ids", "nbest", "round_trip")
 
 
 STAGES = [

@@ -56,6 +56,17 @@ def test_against_a_plain_version(spark):
     assert sorted(got) == sorted(want) and len(kept) > len(left) > 50
 
 
+def test_last_stage_keeps_the_n_best_and_decodes(spark):
+    docs = frame(spark, [(1, "The quick brown fox jumps over the lazy dog"), (2, "Straße naïve résumé"), (3, "")])
+    lattice = pieces.Lattice(pieces.read_vocabulary())
+    got = {r.doc_id: r for r in corpus_pipeline.encode(spark, docs, SF).collect()}
+    for r in docs.collect():
+        _, _, best = lattice.encode(r.text, pieces.N_BEST)
+        found = [(n.score, [(c["at"], tuple(c["ids"])) for c in n.changes]) for n in got[r.doc_id].nbest]
+        assert found == best and got[r.doc_id].round_trip
+    assert len(got[1].nbest) == pieces.N_BEST
+
+
 def test_odd_rows_pass_every_stage(spark):
     docs = odd(spark)
     for _, stage in corpus_pipeline.STAGES:
