@@ -10,12 +10,17 @@ the customer's order lines), network/destination = supplier, estimate =
 order, daypart = event, program = order line.
 
 A document never holds more than ``DOC_CHUNK`` source keys (orders,
-suppliers or events), so no group grows with the data. Before the write rows
-are rebalanced by feed file: a folder with many rows is split over as many
-tasks as its size asks for.
+suppliers or events), so no group grows with the data. The joined rows move
+once more, as columns, to the tasks that write their feed file: a file's
+chunks are dealt to as many buckets as the largest file needs (``TASK_ROWS``
+rows a task), both levels of grouping happen there, and the documents are
+written where they are made, compressed. So neither the memory of a task nor
+the number of files follows the shuffle settings.
 """
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +28,7 @@ from ..schemas import DATE_FORMAT, FEED_WORDS, TIMESTAMP_FORMAT
 
 # --- fixed values of the derived feeds --------------------------------------
 DOC_CHUNK = 256
+TASK_ROWS = 250_000  # rows that one task makes documents of
 SYSTEM = "NATIONAL"
 MO_SYSTEM = "OO"
 DESTINATION_EXTRACTS = ("2018-01-01 06:00:00", "2018-07-01 06:00:00")
@@ -67,10 +73,35 @@ def _envelope(feed: str, tenant: Column, extract: Column) -> list[Column]:
     ]
 
 
+def _by_file(rows: DataFrame, dates: DataFrame, n: int | None = None) -> DataFrame:
+    """Rows with ``extract`` and ``chunk`` dealt to the tasks that make their
+    documents: those of a chunk and feed file lie together (the file's ``month``
+    and a ``bucket`` are added and take part in every grouping).
+
+    ``dates`` are the extracts of the source rows (or of as many that stand for
+    ``n`` rows), from one column of a scan; only their counts are needed, one
+    row a feed file."""
+    months = dates.groupBy(_month(dates[dates.columns[0]])).agg(F.count(F.lit(1)).alias("n"))
+    total, largest = months.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if n is not None and total:
+        total, largest = n, largest * n // total
+    bucket = F.pmod(F.xxhash64("chunk"), F.lit(largest // TASK_ROWS + 1))
+    dealt = rows.withColumns({"month": _month(F.col("extract")), "bucket": bucket})
+    return dealt.repartition(total // TASK_ROWS + 1, *_PLACE)
+
+
+_PLACE = ["month", "bucket"]
+
+
+def _month(extract: Column) -> Column:
+    """Month of a feed file, as a number (the file's name would weigh more than the row it moves with)."""
+    return (F.year(extract) * 12 + F.month(extract)).cast("int")
+
+
 def _docs(feed: str, elements: DataFrame, payload: str, element: Column, extra: list[Column] | None = None) -> DataFrame:
-    """Group elements into documents keyed by (tenant, extract, chunk[, version])."""
+    """Group elements (dealt by :func:`_by_file`) into documents keyed by (tenant, extract, chunk[, version])."""
     keys = ["n_name", "extract", "chunk"] + (["version"] if "version" in elements.columns else [])
-    grouped = elements.groupBy(*keys).agg(F.collect_list(element).alias(payload))
+    grouped = elements.groupBy(*_PLACE, *keys).agg(F.collect_list(element).alias(payload))
     env = _envelope(feed, F.col("n_name"), F.col("extract"))
     if extra:
         env = env[:3] + extra + env[3:]
@@ -81,12 +112,19 @@ def _docs(feed: str, elements: DataFrame, payload: str, element: Column, extra:
     )
 
 
+def _order_tenants(t: dict[str, DataFrame], orders: Sequence[str] = (), customer: Sequence[str] = ()) -> DataFrame:
+    """Orders with the tenant of their customer, joined before anything larger is."""
+    return (
+        t["orders"].select("o_orderkey", "o_custkey", *orders)
+        .join(t["customer"].select("c_custkey", "c_nationkey", *customer), F.col("o_custkey") == F.col("c_custkey"))
+        .join(t["nation"].select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+    )
+
+
 def advertiser_documents(t: dict[str, DataFrame]) -> DataFrame:
     rows = (
         t["lineitem"].select("l_orderkey", "l_partkey")
-        .join(t["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["customer"].select("c_custkey", "c_name", "c_mktsegment", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(t["nation"].select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(_order_tenants(t, ["o_orderdate", "o_orderpriority"], ["c_name", "c_mktsegment"]), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t["part"].select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
         .withColumn("extract", F.date_trunc("MONTH", "o_orderdate"))
         .withColumn("chunk", F.floor(F.col("o_orderkey") / DOC_CHUNK))
@@ -95,7 +133,8 @@ def advertiser_documents(t: dict[str, DataFrame]) -> DataFrame:
         F.col("o_orderpriority") != LOW_PRIORITY,
         F.struct(F.col("l_partkey").cast("string").alias("id"), F.col("p_name").alias("name")),
     )
-    advertisers = rows.groupBy("n_name", "extract", "chunk", "c_custkey", "c_name", "c_mktsegment").agg(
+    rows = _by_file(rows, t["orders"].select("o_orderdate"), t["lineitem"].count())
+    advertisers = rows.groupBy(*_PLACE, "n_name", "extract", "chunk", "c_custkey", "c_name", "c_mktsegment").agg(
         F.collect_list(brand).alias("brands")
     )
     element = F.struct(
@@ -132,18 +171,17 @@ def destination_documents(t: dict[str, DataFrame]) -> DataFrame:
         F.col("type"),
         (F.col("s_suppkey") % 100).cast("string").alias("nielsenCode"),
     )
-    return _docs("destination", rows, "destinations", element)
+    return _docs("destination", _by_file(rows, rows.select("extract")), "destinations", element)
 
 
 def estimate_documents(t: dict[str, DataFrame]) -> DataFrame:
     rows = (
-        t["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
-        .join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(t["nation"].select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+        _order_tenants(t, ["o_orderdate", "o_orderpriority", "o_orderstatus"])
         .withColumn("extract", F.col("o_orderdate"))
         .withColumn("chunk", F.floor(F.col("o_orderkey") / DOC_CHUNK))
         .withColumn("version", (F.col("o_orderkey") % 2).cast("int"))
     )
+    rows = _by_file(rows, t["orders"].select("o_orderdate"))
     start = F.col("o_orderdate").cast("date")
     brand = F.concat(F.lit("B"), (F.col("o_orderkey") % 100).cast("string"))
     brand2 = F.concat(F.lit("B"), (F.col("o_orderkey") % 7).cast("string"))
@@ -176,15 +214,13 @@ def daypart_documents(t: dict[str, DataFrame]) -> DataFrame:
         .otherwise(F.col("user_id").cast("string"))
         .alias("advertiserId"),
     )
-    return _docs("daypart", rows, "dayparts", element)
+    return _docs("daypart", _by_file(rows, t["events"].select("ts")), "dayparts", element)
 
 
 def program_documents(t: dict[str, DataFrame]) -> DataFrame:
     rows = (
         t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag")
-        .join(t["orders"].select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["customer"].select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(t["nation"].select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(_order_tenants(t), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t["part"].select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
         .withColumn("extract", F.col("l_shipdate"))
         .withColumn("chunk", F.floor(F.col("l_orderkey") / DOC_CHUNK))
@@ -198,7 +234,7 @@ def program_documents(t: dict[str, DataFrame]) -> DataFrame:
         F.date_add(start, 90).alias("endDate"),
         F.col("l_returnflag").alias("media"),
     )
-    return _docs("program", rows, "programs", element)
+    return _docs("program", _by_file(rows, t["lineitem"].select("l_shipdate")), "programs", element)
 
 
 BUILDERS = {
@@ -210,28 +246,19 @@ BUILDERS = {
 }
 
 
-def feed_documents(t: dict[str, DataFrame], feeds=tuple(BUILDERS)) -> DataFrame:
-    """(feed_file, chunk, value=JSON text) rows of the asked feeds."""
-    out = None
-    for feed in feeds:
-        d = BUILDERS[feed](t)
-        out = d if out is None else out.unionByName(d)
-    return out
-
-
 def write_landing(spark: SparkSession, sf_dir: str, root: str, feeds=tuple(BUILDERS)) -> str:
     """Write the documents of ``feeds`` under ``root``; returns ``root``."""
-    docs = feed_documents(read_tables(spark, sf_dir), feeds)
-    (
-        docs.select("feed_file", "value")
-        .hint("rebalance", "feed_file")
-        .write.mode("append")
-        .partitionBy("feed_file")
-        .text(root)
-    )
+    for feed in feeds:
+        write_documents(BUILDERS[feed](read_tables(spark, sf_dir)), root)
     return root
 
 
+def write_documents(docs: DataFrame, root: str) -> None:
+    """Append (feed_file, value) rows to the landing area, compressed."""
+    fast = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    docs.select("feed_file", "value").write.mode("append").options(**fast).partitionBy("feed_file").text(root)
+
+
 def seed_lookups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Lookup tables that exist before a feed run: tenant (nation), client
     (customer) and network (supplier, without every tenth supplier so that

@@ -156,7 +156,7 @@ def _broken_landing(spark: SparkSession, sf_dir: str) -> str:
     docs = L.program_documents(L.read_tables(spark, sf_dir))
     broken = (F.col("chunk") % 10) == BROKEN_CHUNK_RESIDUE
     text = F.when(broken, F.expr("substring(value, 1, length(value) - 7)")).otherwise(F.col("value"))
-    docs.select("feed_file", text.alias("value")).write.partitionBy("feed_file").text(root)
+    L.write_documents(docs.select("feed_file", text.alias("value")), root)
     return root
 
 
@@ -631,7 +631,7 @@ def q_quarantine_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = L.program_documents(L.read_tables(spark, sf_dir))
     part = F.col("chunk") % 10
     text = F.when(part == BROKEN_CHUNK_RESIDUE, F.expr("substring(value, 1, length(value) - 7)")).when(part == OTHER_SHAPE_RESIDUE, F.lit('{"heartbeat": true}'))
-    docs.select("feed_file", F.coalesce(text, "value").alias("value")).write.partitionBy("feed_file").text(root)
+    L.write_documents(docs.select("feed_file", F.coalesce(text, "value").alias("value")), root)
     path = scratch_path(spark, "scanned-shapes")
     scanned = scan_feed(spark, root, "program", mode="PERMISSIVE")
     scanned.write.parquet(path)
@@ -672,7 +672,7 @@ def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(part == 7, F.regexp_replace(text, '"tenant":("[^"]*")', '"tenant":{"name":$1}'))
         .otherwise(text)
     )
-    docs.select("feed_file", text.alias("value")).write.partitionBy("feed_file").text(root)
+    L.write_documents(docs.select("feed_file", text.alias("value")), root)
     name = F.regexp_extract(FILE_COL, "feed_file=([^/]+)/", 1).alias("feed_file")
     return feed_drift(spark, root, "estimate").groupBy(name, "path", "expected", "found").agg(F.sum("n").alias("n"))
 
