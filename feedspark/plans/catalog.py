@@ -80,7 +80,7 @@ class ParquetCatalog:
     def store(self, name: str, df: DataFrame) -> str:
         """Write rows into a folder that no commit names yet."""
         folder = f"_data/{name}/{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.root}/{folder}")
+        df.write.option("compression", "zstd").parquet(f"{self.root}/{folder}")
         return folder
 
     def open(self, folders: list[str]) -> DataFrame:

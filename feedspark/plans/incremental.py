@@ -27,11 +27,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import first_seen
 from ..operators.keys import assign_ids
+from ..operators.lookup import fits_broadcast
 from ..schemas import GENERATED_IDS, TARGET_COLUMNS
 from ..session import scratch_path
 
@@ -79,7 +80,7 @@ _KEY = "_entity"
 
 def _staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -88,6 +89,19 @@ def _same(left: DataFrame, right: DataFrame, cols) -> Column:
     return reduce(Column.__and__, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
+def _of_entities(rows: DataFrame, entity: str, entities: DataFrame) -> DataFrame:
+    """Rows of the given entities, which are distinct; a null one is as any other.
+
+    The join is on the column itself, not null-safe: where it shuffles, rows
+    then lie by their entity, which every key contains, so that no window over
+    a key moves them again."""
+    known = F.col("_known").isNotNull()
+    if not entities.where(F.col(_KEY).isNull()).isEmpty():
+        known = known | F.col(entity).isNull()
+    mine = entities.where(F.col(_KEY).isNotNull()).withColumn("_known", F.lit(1))
+    return rows.join(mine, F.col(entity) == F.col(_KEY), "left_outer").where(known).drop(_KEY, "_known")
+
+
 def ledger_rows(catalog, table: str, entities: DataFrame | None = None) -> DataFrame | None:
     """First-seen rows of a ledger (of some entities), base and deltas merged."""
     held, spec = catalog.state().get("ledgers", {}).get(table), LEDGERS[table]
@@ -95,10 +109,20 @@ def ledger_rows(catalog, table: str, entities: DataFrame | None = None) -> DataF
         return None
     rows = catalog.open(held["folders"])
     if entities is not None:
-        rows = rows.join(entities, rows[spec.entity].eqNullSafe(entities[_KEY]), "left_semi")
+        rows = _of_entities(rows, spec.entity, entities)
     return rows if len(held["folders"]) == 1 else first_seen(rows, spec.key, tiebreak=spec.rest)
 
 
+def _of_keys(known: DataFrame, batch: DataFrame, key) -> DataFrame:
+    """The known rows whose key is in ``batch`` (and any whose key hashes like
+    one). What is shuffled of rows that have no part in the batch is the hash of
+    their key."""
+    hashed = F.xxhash64(*[F.col(k) for k in key])
+    found = known.select(hashed.alias("_h")).join(batch.select(hashed.alias("_h")), "_h", "left_semi").distinct()
+    found = _staged(found, "keys-known")
+    return known.withColumn("_h", hashed).join(found, "_h", "left_semi").drop("_h")
+
+
 def merge_ledger(flat: DataFrame, catalog, table: str) -> DataFrame | None:
     """Add the rows of ``flat`` that are new to the ledger, or earlier than what
     it holds, as a delta. Returns the delta (None: nothing new)."""
@@ -108,8 +132,7 @@ def merge_ledger(flat: DataFrame, catalog, table: str) -> DataFrame | None:
     held = ledgers.get(table, {"folders": [], "rows": []})
     if held["folders"]:
         batch = _staged(batch, f"ledger-batch-{table}")
-        known = catalog.open(held["folders"])
-        known = known.join(batch, _same(known, batch, spec.key), "left_semi")
+        known = _of_keys(catalog.open(held["folders"]), batch, spec.key)
         both = batch.withColumn("_new", F.lit(1)).unionByName(known.select(*batch.columns).withColumn("_new", F.lit(0)))
         # of equal rows the one that is held stands first
         batch = first_seen(both, spec.key, tiebreak=[*spec.rest, "_new"]).where("_new = 1").drop("_new")
@@ -164,8 +187,22 @@ def reached(catalog, table: str, delta: DataFrame | None) -> DataFrame | None:
     return _staged(reduce(DataFrame.unionByName, parts).distinct(), f"entities-{table}") if parts else None
 
 
-def sync_target(catalog, table: str, wanted: DataFrame, key: list[str], entities: DataFrame, keyed: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """Make the target's rows of ``entities`` equal to ``wanted``.
+def _differing(wanted: DataFrame, have: DataFrame) -> DataFrame:
+    """Rows of either side without an equal row (in the columns of ``wanted``)
+    on the other, marked by ``_wanted``; both sides move once."""
+    more = [c for c in have.columns if c not in wanted.columns]
+    none = [F.lit(None).cast(have.schema[c].dataType).alias(c) for c in more]
+    cols = wanted.columns
+    both = have.select(*cols, *more, F.lit(0).alias("_wanted")).unionByName(wanted.select(*cols, *none, F.lit(1).alias("_wanted")))
+    equal = Window.partitionBy(*cols)
+    ends = both.withColumns({"_least": F.min("_wanted").over(equal), "_most": F.max("_wanted").over(equal)})
+    return ends.where(F.col("_least") == F.col("_most")).drop("_least", "_most")
+
+
+def sync_target(
+    catalog, table: str, wanted: DataFrame, key: list[str], entities: DataFrame | None, keyed: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Make the target's rows of ``entities`` (None: there is no row yet) equal to ``wanted``.
 
     ``wanted`` has the key and the target columns (without a made ``id``);
     ``keyed`` adds key columns that the target does not store. A row whose key
@@ -175,17 +212,16 @@ def sync_target(catalog, table: str, wanted: DataFrame, key: list[str], entities
     made = table in GENERATED_IDS
     cols = [c for c in TARGET_COLUMNS[table] if not (made and c == "id")]
     stored = (["id"] if made else []) + cols
-    wanted = _staged(wanted.select(*dict.fromkeys([*key, *cols])), f"wanted-{table}")
+    wanted = wanted.select(*dict.fromkeys([*key, *cols]))
     folders = catalog.folders(table) or []
     if folders:
         part = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]*$", 1)
         target = catalog.read(table).withColumn("_folder", part)
-        have = target.join(entities, target["mo_id"].eqNullSafe(entities[_KEY]), "left_semi")
+        have = _of_entities(target, "mo_id", entities)
         have = (keyed(have) if keyed else have).select("_folder", *dict.fromkeys([*stored, *key]))
-        have = _staged(have, f"have-{table}")
-        changed = wanted.join(have, _same(wanted, have, wanted.columns), "left_anti")
-        gone = have.join(wanted, _same(have, wanted, wanted.columns), "left_anti")
-        gone = _staged(gone, f"gone-{table}")
+        differ = _staged(_differing(wanted, have), f"differ-{table}")
+        changed = differ.where("_wanted = 1").select(*wanted.columns)
+        gone = differ.where("_wanted = 0").drop("_wanted")
     else:
         changed, gone = wanted, None
     hit = {r[0] for r in gone.select("_folder").distinct().collect()} if gone is not None else set()
@@ -222,8 +258,18 @@ def run(flat: DataFrame, catalog, table: str, derive: Callable[[DataFrame], Data
     if not hasattr(catalog, "state"):
         raise ValueError("incremental loads need a catalog with ledgers; a database target takes full loads only")
     with catalog.transaction():
-        entities = reached(catalog, table, merge_ledger(flat, catalog, table))
-        if entities is not None and not entities.isEmpty():
-            sync_target(catalog, table, derive(ledger_rows(catalog, table, entities)), key, entities, keyed)
+        empty = not catalog.state().get("ledgers", {}).get(table) and not catalog.folders(table)
+        delta = merge_ledger(flat, catalog, table)
+        if empty:  # whatever there is now is new
+            if delta is not None:
+                sync_target(catalog, table, derive(ledger_rows(catalog, table)), key, None, keyed)
+        else:
+            entities = reached(catalog, table, delta)
+            if entities is not None and not entities.isEmpty():
+                rows = ledger_rows(catalog, table, entities)
+                if not all(fits_broadcast(catalog.read(x)) for x in LEDGERS[table].lookups):
+                    # a shuffled lookup looks for hot keys first: merged once for both
+                    rows = _staged(rows, f"reached-{table}")
+                sync_target(catalog, table, derive(rows), key, entities, keyed)
         # the folders themselves are the snapshot: no commit changes one
         catalog.part("seen")[table] = {x: catalog.folders(x) or [] for x in LEDGERS[table].lookups}

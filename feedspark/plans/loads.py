@@ -72,7 +72,7 @@ def persisted(df: DataFrame, feed: str | None = None, stage: str | None = None):
         raise ValueError(f"stage must be one of {STAGES}")
     if stage == "table":
         path = scratch_path(spark, f"stage-{feed or 'flat'}")
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         try:
             yield spark.read.parquet(path)
         finally:
