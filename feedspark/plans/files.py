@@ -29,11 +29,21 @@ def unseen_files(catalog, feed: str, listing: DataFrame, word: str, since: int =
     return catalog.store(f"files-{feed}", files)
 
 
+def _named(files: DataFrame) -> list[str] | None:
+    paths = [r[0] for r in files.select("path").distinct().limit(LISTED + 1).collect()]
+    return paths if len(paths) <= LISTED else None
+
+
+def dated_files(listing: DataFrame, word: str, since: int = 0) -> list[str] | None:
+    """Paths of the listed files of the feed after ``since``. None if there are
+    more than a scan names: then the scan selects by the names itself."""
+    return _named(listing.where(select_names(FILE_COL, word, since)))
+
+
 def to_open(catalog, folder: str) -> list[str] | None:
     """Paths of the files to open. None if there are more than a scan names:
     then all are read, which changes nothing in the result."""
-    paths = [r[0] for r in catalog.open([folder]).select("path").distinct().limit(LISTED + 1).collect()]
-    return paths if len(paths) <= LISTED else None
+    return _named(catalog.open([folder]))
 
 
 def note_files(catalog, feed: str, folder: str) -> None:

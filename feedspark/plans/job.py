@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.flatten import flatten
 from ..session import scratch_path
 from ..sinks.tables import append_table
-from ..sources.feeds import check_undated, landing_files, scan_feed, select_feed, split_corrupt
-from .files import note_files, to_open, unseen_files
+from ..sources.feeds import check_undated, landing_files, scan_feed, split_corrupt
+from .files import dated_files, note_files, to_open, unseen_files
 from .loads import LOADERS, NEEDED
 from .specs import FEEDS, feed_spec
 
@@ -75,21 +75,16 @@ def run_feed(
     if permissive and not quarantine:
         raise ValueError("PERMISSIVE mode needs a quarantine location")
     with catalog.transaction():
-        files = None
-        if only_new:
-            listing = landing_files(spark, landing, spec)
-            check_undated(listing, spec.word, undated, undated_list)
-            files = unseen_files(catalog, spec.name, listing, spec.word, since)
-        only = None if files is None else to_open(catalog, files)
-        # one scan, one listing: the check, the selection and the load derive from it
-        docs = scan_feed(spark, landing, spec, since=since, multi_line=multi_line, mode=mode, columns=NEEDED[spec.name], select=False, only=only)
-        if not only_new:
-            check_undated(docs, spec.word, undated, undated_list)
-        docs = select_feed(docs, spec.word, since)
+        # files are checked and selected by a listing, not with every document
+        listing = landing_files(spark, landing, spec)
+        check_undated(listing, spec.word, undated, undated_list)
+        files = unseen_files(catalog, spec.name, listing, spec.word, since) if only_new else None
+        only = dated_files(listing, spec.word, since) if files is None else to_open(catalog, files)
+        docs = scan_feed(spark, landing, spec, since=since, multi_line=multi_line, mode=mode, columns=NEEDED[spec.name], select=only is None, only=only)
         bad = None
         if permissive:
             path = scratch_path(spark, f"documents-{spec.name}")
-            docs.write.parquet(path)
+            docs.write.option("compression", "zstd").parquet(path)
             docs, bad = split_corrupt(spark.read.schema(docs.schema).parquet(path), spec)
         flat = flatten(docs, spec, columns=NEEDED[spec.name])
         LOADERS[spec.name](flat, catalog, only_new=only_new, stage=stage, tenant_scoped=tenant_scoped)
