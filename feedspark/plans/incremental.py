@@ -175,8 +175,10 @@ def reached(catalog, table: str, delta: DataFrame | None) -> DataFrame | None:
     spec = LEDGERS[table]
     parts = [] if delta is None else [delta.select(F.col(spec.entity).alias(_KEY))]
     seen = catalog.state().get("seen", {}).get(table, {})
-    rows = ledger_rows(catalog, table)
-    for lookup in spec.lookups if rows is not None else ():
+    held = catalog.state().get("ledgers", {}).get(table)
+    # base and deltas as they lie: what points at a lookup is part of the key, so merging changes no entity
+    rows = catalog.open(held["folders"]) if held else None
+    for lookup in spec.lookups if held else ():
         if catalog.folders(lookup) == [lookup]:  # a plain folder that others may change in place
             parts.append(rows.select(F.col(spec.entity).alias(_KEY)))
             continue

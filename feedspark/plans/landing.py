@@ -112,7 +112,7 @@ def _docs(feed: str, elements: DataFrame, payload: str, element: Column, extra:
     )
 
 
-def _order_tenants(t: dict[str, DataFrame], orders: Sequence[str] = (), customer: Sequence[str] = ()) -> DataFrame:
+def _order_tenants(t: dict[str, DataFrame], orders: Sequence[str | Column] = (), customer: Sequence[str] = ()) -> DataFrame:
     """Orders with the tenant of their customer, joined before anything larger is."""
     return (
         t["orders"].select("o_orderkey", "o_custkey", *orders)
@@ -122,20 +122,20 @@ def _order_tenants(t: dict[str, DataFrame], orders: Sequence[str] = (), customer
 
 
 def advertiser_documents(t: dict[str, DataFrame]) -> DataFrame:
-    rows = (
-        t["lineitem"].select("l_orderkey", "l_partkey")
-        .join(_order_tenants(t, ["o_orderdate", "o_orderpriority"], ["c_name", "c_mktsegment"]), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["part"].select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("extract", F.date_trunc("MONTH", "o_orderdate"))
-        .withColumn("chunk", F.floor(F.col("o_orderkey") / DOC_CHUNK))
-    )
+    # whether an order names brands moves with its lines, not its priority
+    branded = (F.col("o_orderpriority") != LOW_PRIORITY).alias("branded")
+    lines = t["lineitem"].select("l_orderkey", "l_partkey").join(t["part"].select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = lines.join(_order_tenants(t, ["o_orderdate", branded], ["c_name", "c_mktsegment"]), F.col("l_orderkey") == F.col("o_orderkey"))
     brand = F.when(
-        F.col("o_orderpriority") != LOW_PRIORITY,
+        F.col("branded"),
         F.struct(F.col("l_partkey").cast("string").alias("id"), F.col("p_name").alias("name")),
     )
+    # where the lines met their order: it is dealt once, not with each of them
+    rows = rows.groupBy("o_orderkey", "o_orderdate", "n_name", "c_custkey", "c_name", "c_mktsegment").agg(F.collect_list(brand).alias("of_order"))
+    rows = rows.withColumns({"extract": F.date_trunc("MONTH", "o_orderdate"), "chunk": F.floor(F.col("o_orderkey") / DOC_CHUNK)})
     rows = _by_file(rows, t["orders"].select("o_orderdate"), t["lineitem"].count())
     advertisers = rows.groupBy(*_PLACE, "n_name", "extract", "chunk", "c_custkey", "c_name", "c_mktsegment").agg(
-        F.collect_list(brand).alias("brands")
+        F.flatten(F.collect_list("of_order")).alias("brands")
     )
     element = F.struct(
         F.col("c_custkey").cast("string").alias("id"),

@@ -62,3 +62,17 @@ def test_first_run_derives_from_the_ledger_without_looking_for_entities(spark, t
     assert not looked and sorted(r.name for r in cat.read("network").collect()) == ["N0", "N2", "N3", "N5"]
     loads.load_destination(flat, cat, only_new=True)
     assert looked == ["network"] and sorted(r.name for r in cat.read("network").collect()) == ["N0", "N1", "N2", "N3"]
+
+
+def test_a_changed_lookup_is_followed_without_merging_the_ledger(spark, tmp_path, monkeypatch):
+    from feedspark.plans.catalog import ParquetCatalog
+
+    cat = ParquetCatalog(spark, str(tmp_path / "c"))
+    cat.seed("tenant", spark.createDataFrame([(1, "T"), (2, "U")], "id long, mo_id string"))
+    rows = lambda *r: spark.createDataFrame(r, "tenant string, id string, extract_datetime timestamp, name string, media string, type string, nielsen_code string")
+    with cat.transaction():
+        cat.part("ledgers")["network"] = {"folders": [cat.store("l", rows(("T", "a", None, "x", "", "", ""))), cat.store("l", rows(("T", "a", None, "w", "", "", ""), ("U", None, None, "y", "", "", "")))], "rows": [1, 2]}
+        cat.part("seen")["network"] = {"tenant": cat.folders("tenant")}
+        cat.seed("tenant", spark.createDataFrame([(1, "T"), (3, "U")], "id long, mo_id string"))
+        monkeypatch.setattr(I, "first_seen", None)
+        assert [r[0] for r in I.reached(cat, "network", None).collect()] == [None]
