@@ -147,18 +147,22 @@ def missing_parents(
 ) -> DataFrame:
     """Distinct feed keys with no parent in ``dim`` (a null key counts as missing).
 
-    Distinct first (partial + final hash aggregate: map-side combine), then a
-    left anti join, so only distinct keys ever cross the network.
+    Distinct first (partial + final hash aggregate: map-side combine), then the
+    join, so only distinct keys ever cross the network. Spark moves an anti join
+    below the distinct, where every row of the feed would cross it and the rows
+    of a hot parent lie in one task; that is left to a broadcast lookup, which
+    moves none of them.
     """
     lk, rk = _keys(left_on), _keys(right_on)
     keys = feed.select(*lk).distinct()
-    # an anti join ignores repeats on its right side: no distinct of the lookup
+    # repeats of a parent match the same key: no distinct of the lookup
     parents = dim.select(*[F.col(r).alias(f"_p{i}") for i, r in enumerate(rk)])
     if broadcast is None:
         broadcast = fits_broadcast(dim, max_broadcast_rows)
-    parents = F.broadcast(parents) if broadcast else parents.hint("merge")
     cond = _condition(keys, parents, lk, [f"_p{i}" for i in range(len(rk))])
-    return keys.join(parents, cond, "left_anti")
+    if broadcast:
+        return keys.join(F.broadcast(parents), cond, "left_anti")
+    return keys.join(parents.hint("merge"), cond, "left_outer").where(F.col("_p0").isNull()).select(*lk)
 
 
 def require_parents(

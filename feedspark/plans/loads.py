@@ -50,6 +50,8 @@ NEEDED = {
 
 STAGE_CONF = "feedspark.stage"
 STAGES = ("table", "cache")
+# rows of a staged file: its size says little of its rows, but a task reads few files (each counts 4 MB at least)
+STAGE_ROWS = 100_000
 
 
 @contextmanager
@@ -72,7 +74,7 @@ def persisted(df: DataFrame, feed: str | None = None, stage: str | None = None):
         raise ValueError(f"stage must be one of {STAGES}")
     if stage == "table":
         path = scratch_path(spark, f"stage-{feed or 'flat'}")
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(compression="zstd", maxRecordsPerFile=STAGE_ROWS).parquet(path)
         try:
             yield spark.read.parquet(path)
         finally:

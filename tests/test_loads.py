@@ -3,7 +3,10 @@ import datetime as dt
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from feedspark.operators.lookup import MissingParentError
+from feedspark.plans import loads
 from feedspark.plans.catalog import ParquetCatalog
 from feedspark.plans.job import main, run_feed
 
@@ -281,3 +284,12 @@ def test_a_new_lookup_row_reaches_rows_loaded_before(spark, tmp_path):
             assert [r.mo_id for r in cat.read("program").collect()] == ["P1"]
             cat.seed("network", spark.createDataFrame([(1, "N1", "n", 7, "m", "t", "c"), (2, "N2", "n", 7, "m", "t", "c")], network))
     assert sorted((r.mo_id, r.network_id) for r in cat.read("program").collect()) == [("P1", 1), ("P2", 2), ("P3", 1)]
+
+
+def test_staged_files_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    """However well the rows compress, no task gets many: files are not packed by their rows."""
+    monkeypatch.setattr(loads, "STAGE_ROWS", 10, raising=False)
+    rows = spark.range(95).selectExpr("0 AS same").coalesce(1)
+    with loads.persisted(rows, stage="table") as held:
+        per_file = held.groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in per_file) == 95 and max(r["count"] for r in per_file) == 10

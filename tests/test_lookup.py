@@ -86,3 +86,14 @@ def test_broadcast_bound_on_bytes_too(spark):
     assert fits_broadcast(wide, max_rows=1000, max_bytes=10_000_000)
     assert not fits_broadcast(wide, max_rows=1000, max_bytes=50_000)  # ~100 kB of values
     assert not fits_broadcast(wide, max_rows=99, max_bytes=10_000_000)
+
+
+def test_shuffled_missing_parents_moves_distinct_keys(spark):
+    """Spark moves an anti join below the distinct; all rows of the feed would cross it then."""
+    feed = spark.range(1000).selectExpr("concat('k', id % 5) AS k", "if(id % 7 = 0, NULL, id % 2) AS t")
+    dim = spark.createDataFrame([("k0", 0), ("k0", 0), ("k1", 1), ("k3", 0), (None, 1)], "mo string, tenant long")
+    for left, right, lacking in (("k", "mo", {("k2",), ("k4",)}), (["k", "t"], ["mo", "tenant"], {(f"k{i}", t) for i in range(5) for t in (0, 1, None)} - {("k0", 0), ("k1", 1), ("k3", 0)})):
+        missing = missing_parents(feed, dim, left, right, broadcast=False)
+        plan = missing._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Join") < plan.index("Aggregate")
+        assert {tuple(r) for r in missing.collect()} == {tuple(r) for r in missing_parents(feed, dim, left, right, broadcast=True).collect()} == lacking
