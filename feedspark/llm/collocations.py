@@ -1,12 +1,15 @@
 """Collocations: phrases of two to four words that stick together.
 
-A phrase can only be frequent if its words are, and its pairs of neighbours:
-words are counted first, then pairs of frequent words, then phrases of three
-and four words whose pairs are all frequent. What is frequent goes to the tasks
-as a bitmap of hashes, of bounded size however much there is of it; a phrase it
-lets through by mistake is counted and then left out.
-
-A task counts in a HAT-trie over its own word ids: hash containers under a
+A phrase can only be frequent if its words are, its pairs of neighbours, and
+any bucket of hashes it falls into: words are counted first, then the buckets of
+pairs of frequent words, then the buckets of phrases of three and four words
+whose pairs all lie in frequent buckets, then the phrases of frequent buckets
+themselves. A bucket's count is that of all its phrases or more, so no frequent
+phrase is held back. What is frequent goes to the tasks as a bitmap of hashes, of
+bounded size however much there is of it; a phrase it lets through by mistake is
+counted and then left out.
+
+A task counts phrases in a HAT-trie over its own word ids: hash containers under a
 shallow trie that burst into a node of containers where they grow. When the trie
 holds too much, whole subtrees, the largest first, leave as sorted runs. Spark
 deals the runs to partitions by a hash of language and phrase, the whole phrase
@@ -23,6 +26,7 @@ from __future__ import annotations
 
 import gc
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -48,17 +52,20 @@ LIMIT = 300_000  # entries of a trie that sends subtrees out, and words a task n
 RUN = 50_000  # entries of a run at least, if there are more
 CHUNK = 1 << 20  # bytes worked on at once
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 31  # of the bitmap; at most 256 MiB
+PER_BUCKET = 4  # occurrences of words for each bucket of phrases, until there are MOST_BITS of them
+HELD = 1 << 22  # codes of a task that are counted and sent out at once
 SALTS = 64
-PAIR = 2_654_435  # a pair's code: its first word's hash times this, and its second word's
+PAIR = 2_654_435  # a phrase's code: that of all words but the last times this, and the last one's hash
 # pieces end at these, which no word holds
 _ENDS = bytes(0x0A if c in b".,;:!?\x0b\x0c\r" else c for c in range(256))
+_LETTER = np.array([c not in b" \t\n" for c in range(256)])  # of a chunk's bytes
 
 
 class HatTrie:
     """Counts of id sequences. Under the first id hangs a hash container of
     the other ids; one with more than ``burst`` entries bursts into a node,
-    next id to container, where two ids at least are left: one to part it by
-    and one to count under."""
+    next id to container, where one id at least is left to part it by; a phrase
+    that ends there is counted under no further ids."""
 
     def __init__(self, burst: int = BURST):
         self.burst, self.size = burst, 0
@@ -140,6 +147,37 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str, str]]:
         yield lang.as_py(), text.as_py()
 
 
+def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """Chunks of about ``CHUNK`` bytes of a language's texts, at most eight waiting."""
+    waiting: dict[str, list[bytes]] = {}
+    size: Counter = Counter()
+    held = 0
+    for batch in batches:
+        for lang, text in _texts(batch):
+            for data in _chunks(text):
+                waiting.setdefault(lang, []).append(data)
+                size[lang] += len(data)
+                held += len(data)
+                full = [lang] if size[lang] >= CHUNK else list(waiting) if held >= 8 * CHUNK else []
+                for one in full:
+                    held -= size.pop(one)
+                    yield one, b"\n".join(waiting.pop(one))
+    for lang, parts in waiting.items():
+        yield lang, b"\n".join(parts)
+
+
+def _tokens(data: bytes) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """A chunk's words in order, and the number of each one's piece."""
+    chars = np.frombuffer(data, np.uint8)
+    inside = _LETTER[chars]
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    start, end = edge[::2], edge[1::2]
+    offsets = np.zeros(len(start) + 1, np.int32)
+    np.cumsum(end - start, dtype=np.int32, out=offsets[1:])
+    words = pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(chars[inside])])
+    return words.dictionary_encode(), np.cumsum(chars == 0x0A, dtype=np.int32)[start]
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted runs of words; a word is a trie's root, so its count hangs there."""
     counts: dict[str, Counter] = {}
@@ -148,13 +186,14 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if counts:
             yield from _sorted_run([_rows_of(pa.array([lang] * len(c)), pa.array(list(c), pa.binary()), list(c.values())) for lang, c in counts.items()])
 
-    for batch in batches:
-        for lang, text in _texts(batch):
-            for data in _chunks(text):
-                counts.setdefault(lang, Counter()).update(data.split())
-                if sum(map(len, counts.values())) > LIMIT:
-                    yield from held()
-                    counts = {}
+    for lang, data in _by_lang(batches):
+        words = _tokens(data)[0]
+        count = counts.setdefault(lang, Counter())
+        for word, n in zip(words.dictionary.to_pylist(), np.bincount(words.indices.to_numpy()).tolist(), strict=True):
+            count[word] += n
+        if sum(map(len, counts.values())) > LIMIT:
+            yield from held()
+            counts = {}
     yield from held()
 
 
@@ -168,16 +207,18 @@ class _Words:
     def clear(self) -> None:
         self.of: dict[str, dict[bytes, int]] = {}
         self.word: list[bytes] = []
-        self.crc: list[int] = []
+        self.crc = array("q")
         self.lang: list[str] = []
 
+    def full(self) -> bool:
+        return sum(map(len, self.of.values())) > 2 * LIMIT
+
     def ids(self, lang: str, data: bytes) -> np.ndarray:
         """Ids of the words, -1 for rare ones and behind every piece."""
-        # no word holds a point
-        tokens = data.replace(b"\n", b" . ").split()
-        tokens.append(b".")
-        known = self.of.setdefault(lang, {b".": -1})
-        fresh = list(set(tokens).difference(known))
+        tokens, piece = _tokens(data)
+        words = tokens.dictionary.to_pylist()
+        known = self.of.setdefault(lang, {})
+        fresh = [w for w in words if w not in known]
         if fresh:
             head = zlib.crc32(lang.encode() + b"\0")
             crcs = [zlib.crc32(w, head) for w in fresh]
@@ -187,7 +228,28 @@ class _Words:
                     self.word.append(w), self.crc.append(crc), self.lang.append(lang)
                 else:
                     known[w] = -1
-        return np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+        ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))[tokens.indices.to_numpy()]
+        return np.append(np.insert(ids, np.flatnonzero(np.diff(piece)) + 1, -1), -1)
+
+    def phrases(self, ids: np.ndarray, pairs: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Sizes from two words on, with the places and codes of the phrases of
+        frequent words, all of whose pairs have bits in ``pairs`` if given."""
+        if not self.crc:
+            return
+        word = np.array(self.crc)[ids]
+        at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
+        code = word[at] * PAIR + word[at + 1]
+        if pairs is not None:
+            on = _held(pairs, code)
+            at, code = at[on], code[on]
+        yield 2, at, code
+        on = np.zeros(len(ids), dtype=bool)
+        on[at] = True
+        for size in range(3, LONGEST + 1):
+            further = on[at + size - 2]
+            at, code = at[further], code[further]
+            code = code * PAIR + word[at + size - 1]
+            yield size, at, code
 
 
 def _held(bits: np.ndarray, code: np.ndarray) -> np.ndarray:
@@ -196,13 +258,53 @@ def _held(bits: np.ndarray, code: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7) & 1).astype(bool)
 
 
-def _count_phrases(words, pairs):
-    """Sorted runs of the pairs of frequent words, or (given a bitmap of
-    frequent ``pairs``) of longer phrases all of whose pairs are frequent."""
+def _count_buckets(words, pairs, buckets: int):
+    """Counts of the buckets of pairs of frequent words, or (given a bitmap of
+    ``pairs``) of longer phrases, packed by the part of the bitmap they lie in."""
+
+    def packed(codes: list[np.ndarray]) -> pa.RecordBatch:
+        place, n = np.unique(np.concatenate(codes), return_counts=True)
+        part, start = np.unique(place // LEAST_BITS, return_index=True)
+        ends = np.append(start, len(place))
+
+        def column(of: np.ndarray) -> pa.Array:
+            return pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer((ends * of.itemsize).astype(np.int32)), pa.py_buffer(of)])
+
+        return pa.record_batch(
+            {"part": pa.array(part, pa.int64()), "places": column((place % LEAST_BITS).astype(np.uint16)), "n": column(n.astype(np.uint32))}
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, trie = _Words(np.frombuffer(words.value, dtype=np.uint8)), HatTrie()
+        own = _Words(np.frombuffer(words.value, dtype=np.uint8))
         often = None if pairs is None else np.frombuffer(pairs.value, dtype=np.uint8)
+        codes, held = [], 0
+        for lang, data in _by_lang(batches):
+            for size, _, code in own.phrases(own.ids(lang, data), often):
+                if size > 2 or often is None:
+                    codes.append((code & (buckets - 1)).astype(np.uint32))
+                    held += len(code)
+                if often is None:
+                    break
+            if held > HELD:
+                yield packed(codes)
+                codes, held = [], 0
+            if own.full():
+                own.clear()
+        if held:
+            yield packed(codes)
+        # the worker goes on to other tasks
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def _count_phrases(words, pairs, longer):
+    """Sorted runs of the phrases of frequent words all of whose pairs, and in
+    longer ones they themselves, lie in frequent buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, trie = _Words(np.frombuffer(words.value, dtype=np.uint8)), HatTrie()
+        often, often_longer = (np.frombuffer(b.value, dtype=np.uint8) for b in (pairs, longer))
 
         def out(to: int) -> Iterator[pa.RecordBatch]:
             words_, langs, found, size = pa.array(own.word, pa.binary()), pa.array(own.lang, pa.string()), [], 0
@@ -233,43 +335,25 @@ def _count_phrases(words, pairs):
             return parts
 
         def count(ids: np.ndarray) -> None:
-            left, right = ids[:-1], ids[1:]
-            both = (left >= 0) & (right >= 0)
-            if often is None:
-                code, times = np.unique((left << 32 | right)[both], return_counts=True)
-                trie.add(list(zip((code >> 32).tolist(), (code & 0xFFFFFFFF).tolist(), strict=True)), times.tolist())
-                return
-            crc = np.array(own.crc, dtype=np.int64)
-            on = np.zeros(len(left), dtype=bool)
-            on[both] = _held(often, crc[left[both]] * PAIR + crc[right[both]])
-            for size in range(3, LONGEST + 1):
-                at = len(ids) - size + 1
-                if at < 1:
-                    break
-                full = np.logical_and.reduce([on[k : k + at] for k in range(size - 1)])
-                rows = Counter(zip(*(ids[k : k + at][full].tolist() for k in range(size)), strict=True))
+            for size, at, code in own.phrases(ids, often):
+                if size == 2:
+                    both, times = np.unique(ids[at] << 32 | ids[at + 1], return_counts=True)
+                    trie.add(list(zip((both >> 32).tolist(), (both & 0xFFFFFFFF).tolist(), strict=True)), times.tolist())
+                    continue
+                mine = at[_held(often_longer, code)]
+                rows = Counter(zip(*(ids[mine + k].tolist() for k in range(size)), strict=True))
                 trie.add(list(rows), list(rows.values()))
 
         # millions of tuples and no cycles among them: nothing to collect
         gc.disable()
         try:
-            waiting, chars = [], 0
-            for batch in batches:
-                for lang, text in _texts(batch):
-                    for data in _chunks(text):
-                        waiting.append(own.ids(lang, data))
-                        chars += len(data)
-                        if chars < CHUNK:
-                            continue
-                        count(np.concatenate([*waiting, [-1]]))
-                        waiting, chars = [], 0
-                        if trie.size > LIMIT:
-                            yield from out(LIMIT // 2)
-                        if sum(map(len, own.of.values())) > 2 * LIMIT:
-                            yield from out(0)
-                            own.clear()
-            if waiting:
-                count(np.concatenate([*waiting, [-1]]))
+            for lang, data in _by_lang(batches):
+                count(own.ids(lang, data))
+                if trie.size > LIMIT:
+                    yield from out(LIMIT // 2)
+                if own.full():
+                    yield from out(0)
+                    own.clear()
             yield from out(0)
         finally:
             gc.enable()
@@ -280,6 +364,7 @@ def _count_phrases(words, pairs):
 
 
 _RUN = "lang string, phrase string, n bigint"
+_PACKED = "part bigint, places binary, n binary"
 
 
 def _merged(runs: DataFrame, name: str, least: int | None) -> DataFrame:
@@ -293,24 +378,49 @@ def _code(word: Column) -> Column:
     return F.crc32(F.concat("lang", F.lit("\0"), word).cast("binary"))
 
 
-def _bitmap(frequent: DataFrame, code: Column) -> bytes:
-    """A bit for the code of every phrase. Its size follows their number up to
-    ``MOST_BITS``: fuller than meant beyond that, it only holds back less."""
-    n, bits = frequent.count(), LEAST_BITS
-    while bits < min(BITS_EACH * n, MOST_BITS):
+def _joined(parts: DataFrame, bits: int) -> bytes:
+    """A bitmap of its (``part``, ``bits``); parts not given are empty."""
+    out = bytearray(bits // 8)
+    for r in parts.toLocalIterator():
+        out[r["part"] * LEAST_BITS // 8 : (r["part"] + 1) * LEAST_BITS // 8] = r["bits"]
+    return bytes(out)
+
+
+def _bits_of(pdf: pd.DataFrame, held: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "bits": [np.packbits(held, bitorder="little").tobytes()]})
+
+
+def _width(n: int) -> int:
+    """Bits for ``n`` entries, up to ``MOST_BITS``: fuller than meant beyond
+    that, a bitmap only holds back less."""
+    bits = LEAST_BITS
+    while bits < min(n, MOST_BITS):
         bits *= 2
+    return bits
+
+
+def _bitmap(frequent: DataFrame, code: Column, n: int) -> bytes:
+    """A bit for the code of every one of ``n`` phrases."""
+    bits = _width(BITS_EACH * n)
     place = code.bitwiseAND(F.lit(bits - 1))
 
     def part(pdf: pd.DataFrame) -> pd.DataFrame:
         hold = np.zeros(LEAST_BITS, dtype=np.uint8)
         hold[pdf["place"].to_numpy() % LEAST_BITS] = 1
-        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "bits": [np.packbits(hold, bitorder="little").tobytes()]})
+        return _bits_of(pdf, hold)
 
     spread = frequent.select(place.alias("place")).distinct().withColumn("part", F.expr(f"place div {LEAST_BITS}"))
-    out = bytearray(bits // 8)
-    for r in spread.groupBy("part").applyInPandas(part, "part bigint, bits binary").toLocalIterator():
-        out[r["part"] * LEAST_BITS // 8 : (r["part"] + 1) * LEAST_BITS // 8] = r["bits"]
-    return bytes(out)
+    return _joined(spread.groupBy("part").applyInPandas(part, "part bigint, bits binary"), bits)
+
+
+def _buckets(counts: DataFrame, name: str, buckets: int, least: int) -> bytes:
+    """A bit for every bucket of ``least`` occurrences in all tasks together."""
+
+    def part(pdf: pd.DataFrame) -> pd.DataFrame:
+        places, n = (np.frombuffer(b"".join(pdf[c]), t) for c, t in (("places", np.uint16), ("n", np.uint32)))
+        return _bits_of(pdf, np.bincount(places, n, LEAST_BITS) >= least)
+
+    return _joined(cut(counts.groupBy("part").applyInPandas(part, "part bigint, bits binary"), name), buckets)
 
 
 def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -321,12 +431,14 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lea
     context = docs.sparkSession.sparkContext
     words = _merged(rows.mapInArrow(_count_words, _RUN), "words", None)
     often = words.where(F.col("f") >= least)
-    known = context.broadcast(_bitmap(often, _code(F.col("phrase"))))
-    pairs = _merged(rows.mapInArrow(_count_phrases(known, None), _RUN), "pairs", least)
-    ends = [_code(F.substring_index("phrase", " ", k)) for k in (1, -1)]
-    linked = context.broadcast(_bitmap(pairs, ends[0] * PAIR + ends[1]))
-    more = _merged(rows.mapInArrow(_count_phrases(known, linked), _RUN), "longer", least)
-    every = often.unionByName(pairs).unionByName(more)
+    n, total = often.agg(F.count("*"), F.coalesce(F.sum("f"), F.lit(0))).first()
+    known = context.broadcast(_bitmap(often, _code(F.col("phrase")), n))
+    buckets, maps = _width(total // PER_BUCKET), [None]
+    for name in ("pairs", "longer"):
+        counts = rows.mapInArrow(_count_buckets(known, maps[-1], buckets), _PACKED)
+        maps.append(context.broadcast(_buckets(counts, name, buckets, least)))
+    more = _merged(rows.mapInArrow(_count_phrases(known, *maps[1:]), _RUN), "counted", least)
+    every = often.unionByName(more)
     every = every.withColumn("words", F.size(F.split("phrase", " ")))
     return every, words.groupBy("lang").agg(F.sum("f").alias("n"))
 

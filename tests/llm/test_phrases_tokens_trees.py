@@ -70,6 +70,29 @@ def test_spilled_and_burst_tries_count_the_same(spark, monkeypatch):
     assert got == plain_collocations([(t, lang) for _, t, lang in rows], top=7)
 
 
+def test_rare_phrases_of_frequent_words_are_not_shuffled(spark, monkeypatch):
+    rng, merged, left = random.Random(9), collocations._merged, []
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choices(words, k=300)) + ". new york city", "en") for i in range(40)]
+
+    def kept(runs, *rest):
+        left.append(runs.where("phrase LIKE '% %'").count())
+        return merged(runs, *rest)
+
+    monkeypatch.setattr(collocations, "_merged", kept)
+    got = sorted(tuple(r) for r in collocations.mine(frame(spark, rows)).collect())
+    assert got == plain_collocations([(t, lang) for _, t, lang in rows]) and len(got) == 1
+    assert sum(left) < 500
+
+
+def test_phrases_that_share_buckets_are_told_apart(spark, monkeypatch):
+    rows = phrase_rows(5)
+    for name, value in (("PAIR", 0), ("HELD", 100)):
+        monkeypatch.setattr(collocations, name, value)
+    got = sorted(tuple(r) for r in collocations.mine(frame(spark, rows), least=6).collect())
+    assert got == plain_collocations([(t, lang) for _, t, lang in rows], least=6) and len(got) > 50
+
+
 def test_trie_bursts_and_spills_whole_subtrees():
     rng, trie, want = random.Random(1), collocations.HatTrie(burst=8), Counter()
     for _ in range(2000):
